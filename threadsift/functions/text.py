@@ -93,7 +93,7 @@ def html_to_text(html: Column) -> Column:
 
 _QUOTE_STEPS = (
     (r"(?dm)^>[^\n]*\n?", ""),
-    (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*\n?$", ""),
+    (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*$", ""),
     (r"(?d)(^|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[\s\S]*)?\z", ""),
 )
 
