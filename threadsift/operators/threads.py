@@ -148,3 +148,13 @@ def size_report(texts: DataFrame) -> DataFrame:
         F.sum(F.length("user_prompt")).alias("user_chars"),
         F.sum(F.length("thread_data")).alias("thread_chars"),
     )
+
+
+def messages_by_thread(messages: DataFrame, messages_per_part: int = MESSAGES_PER_PART) -> DataFrame:
+    """Ordered message lists per thread, long threads in several parts."""
+    numbers = message_numbers(messages)
+    part = F.floor((F.col("message_no") - 1) / F.lit(messages_per_part)).cast("bigint")
+    fields = ["message_no", *[c for c in messages.columns if c != "thread_id"]]
+    return numbers.groupBy("thread_id", part.alias("part_no")).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("messages")
+    )
