@@ -43,33 +43,43 @@ def _only_array(value: Column) -> Column:
     return F.when(jv.is_object(value) & (F.size(arrays) == 1), F.get(arrays, F.lit(0)))
 
 
+def _parsed(text: Column) -> Column:
+    """struct(items, error) of a repaired text, every step evaluated once."""
+
+    def verdict(found: Column, error: Column) -> Column:
+        """A list with a null element is as unusable as no list."""
+
+        def check(items: Column) -> Column:
+            whole = items.isNotNull() & ~F.coalesce(
+                F.exists(items, lambda v: v.isNull() | F.is_variant_null(v)), F.lit(False)
+            )
+            return F.struct(
+                F.when(whole, items).alias("items"), F.when(whole, F.lit(None)).otherwise(error).alias("error")
+            )
+
+        return bound(F.try_variant_get(found, "$", "array<variant>"), check)
+
+    def from_value(value: Column) -> Column:
+        return F.when(
+            value.isNotNull(),
+            verdict(F.when(jv.is_array(value), value).otherwise(_only_array(value)), F.lit(fixed.NOT_AN_ARRAY_ERROR)),
+        ).otherwise(bound(_between(text, "{", "}", F.lit(None)), from_inner))
+
+    def from_inner(inner: Column) -> Column:
+        wrapped = bound(F.try_parse_json(inner), _only_array)
+        missing = F.when(inner.isNull(), F.lit(fixed.NO_JSON_ERROR)).otherwise(F.lit(fixed.NO_SINGLE_ARRAY_ERROR))
+        return verdict(wrapped, missing)
+
+    return bound(F.try_parse_json(text), from_value)
+
+
 def parse_replies(replies: DataFrame, raw: str = "raw") -> DataFrame:
     """Add `items` (array of VARIANT, NULL when unusable) and `parse_error`."""
-    text = F.col("_text")
-    parsed = F.col("_parsed")
-    staged = (
-        replies.withColumn("_text", repaired_text(F.coalesce(F.col(raw), F.lit(""))))
-        .withColumn("_parsed", F.try_parse_json(text))
-        .withColumn("_inner", F.when(parsed.isNull(), _between(text, "{", "}", F.lit(None))))
-        .withColumn("_wrapped", F.try_parse_json("_inner"))
-        .withColumn(
-            "_list",
-            F.when(jv.is_array(parsed), parsed)
-            .when(parsed.isNotNull(), _only_array(parsed))
-            .otherwise(_only_array(F.col("_wrapped"))),
-        )
-        .withColumn("_items", F.try_variant_get("_list", "$", "array<variant>"))
-    )
-    has_null_item = F.exists("_items", lambda v: v.isNull() | F.is_variant_null(v))
-    usable = F.col("_items").isNotNull() & ~F.coalesce(has_null_item, F.lit(False))
-    error = (
-        F.when(usable, F.lit(None))
-        .when(parsed.isNotNull(), F.lit(fixed.NOT_AN_ARRAY_ERROR))
-        .when(F.col("_inner").isNull(), F.lit(fixed.NO_JSON_ERROR))
-        .otherwise(F.lit(fixed.NO_SINGLE_ARRAY_ERROR))
-    )
-    return staged.withColumns({"items": F.when(usable, F.col("_items")), "parse_error": error}).drop(
-        "_text", "_parsed", "_inner", "_wrapped", "_list", "_items"
+    parsed = bound(repaired_text(F.coalesce(F.col(raw), F.lit(""))), _parsed)
+    return (
+        replies.withColumn("_parsed", parsed)
+        .withColumns({"items": F.col("_parsed.items"), "parse_error": F.col("_parsed.error")})
+        .drop("_parsed")
     )
 
 
@@ -152,8 +162,10 @@ def attach_thread_ids(items: DataFrame, batch_order: DataFrame) -> DataFrame:
 def reply_items(parsed: DataFrame, batch_order: DataFrame | None = None) -> DataFrame:
     """One coerced row per item of every usable reply; `pos` is its place in the reply."""
     keep = [c for c in parsed.columns if c not in ("raw", "items", "parse_error")]
-    exploded = parsed.select(*keep, F.posexplode("items").alias("pos", "item"))
-    items = coerce_items(exploded)
+    # The outer form keeps Catalyst from parsing every reply a second time in a
+    # "has items" filter below the generator.
+    exploded = parsed.select(*keep, F.posexplode_outer("items").alias("pos", "item"))
+    items = coerce_items(exploded.filter(F.col("pos").isNotNull()))
     if batch_order is None:
         return items.withColumnRenamed("own_thread_id", "thread_id").drop("has_index", "thread_index")
     return attach_thread_ids(items, batch_order)
