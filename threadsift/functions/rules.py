@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
-from threadsift.functions.headers import address, display_name, header
+from threadsift.functions.headers import address, display_name
 from threadsift.functions.scalars import bound, trim_blank
 
 REASONS = ("auth", "sender", "bulk_header", "subject", "sender_name", "free_mail")
@@ -41,60 +41,110 @@ def _any(conditions) -> Column:
     return reduce(or_, conditions, F.lit(False))
 
 
+def _words(words) -> Column:
+    """The words in lower case as one array literal."""
+    quoted = ", ".join("'" + word.lower().replace("\\", "\\\\").replace("'", "\\'") + "'" for word in words)
+    return F.expr(f"array({quoted})")
+
+
 def _contains_any(text: Column, words) -> Column:
-    return _any(text.contains(word.lower()) for word in words)
+    return F.exists(_words(words), lambda word: F.contains(text, word)) if words else F.lit(False)
 
 
 def _starts_with_any(text: Column, prefixes: tuple[str, ...]) -> Column:
-    # A prefix that ends at its only '@' is a whole local part: one set lookup
-    # replaces a chain of prefix tests.
+    # A prefix that ends at its only '@' is a whole local part: one lookup replaces
+    # a chain of prefix tests.
     local_parts = [p for p in prefixes if p.find("@") == len(p) - 1]
     others = [p for p in prefixes if p not in local_parts]
     local_part = F.concat(F.substring_index(text, "@", 1), F.lit("@"))
-    by_set = (local_part.isin(local_parts) & text.contains("@")) if local_parts else F.lit(False)
-    return _any([by_set, *(text.startswith(p) for p in others)])
+    by_name = (F.array_contains(_words(local_parts), local_part) & text.contains("@")) if local_parts else F.lit(False)
+    return _any([by_name, *(text.startswith(p) for p in others)])
+
+
+def blocked_address(a: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:
+    """Like `blocked_sender` for an address that is trimmed and in lower case already."""
+    domain = F.when(a.contains("@"), F.substring(a, F.instr(a, "@") + 1, F.length(a))).otherwise("")
+    return (
+        (a == "")
+        | _starts_with_any(a, lists.blocked_prefixes)
+        | _contains_any(domain, lists.blocked_domain_tokens)
+    )
 
 
 def blocked_sender(sender_address: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:
     """Empty address, blocked prefix, or a domain with a blocked token."""
-
-    def test(a: Column) -> Column:
-        domain = F.when(a.contains("@"), F.substring(a, F.instr(a, "@") + 1, F.length(a))).otherwise("")
-        return (
-            (a == "")
-            | _starts_with_any(a, lists.blocked_prefixes)
-            | _contains_any(domain, lists.blocked_domain_tokens)
+    plain = F.lower(trim_blank(F.coalesce(sender_address, F.lit(""))))
+    return bound(plain, lambda a: blocked_address(a, lists))
+
+
+def _facts(headers: Column) -> Column:
+    """The header values the rules look at, each extracted once."""
+    lowered = F.transform(
+        F.coalesce(headers, F.array().cast("array<struct<name:string,value:string>>")),
+        lambda h: F.struct(F.lower(h["name"]).alias("name"), h["value"].alias("value")),
+    )
+
+    def value(named: Column, name: str) -> Column:
+        found = F.filter(named, lambda h: h["name"] == name)
+        return F.coalesce(F.get(found, F.lit(0))["value"], F.lit(""))
+
+    def facts(named: Column) -> Column:
+        return F.struct(
+            value(named, "authentication-results").alias("auth"),
+            value(named, "from").alias("sender"),
+            F.lower(value(named, "subject")).alias("subject"),
+            F.lower(value(named, "precedence")).alias("precedence"),
+            F.transform(named, lambda h: h["name"]).alias("names"),
+            F.lower(F.array_join(F.transform(named, lambda h: F.coalesce(h["value"], F.lit(""))), "\n")).alias("values"),
         )
 
-    return bound(F.lower(trim_blank(F.coalesce(sender_address, F.lit("")))), test)
+    return bound(
+        bound(lowered, facts),
+        lambda f: F.struct(
+            f["auth"].alias("auth"),
+            address(f["sender"]).alias("address"),
+            F.lower(display_name(f["sender"])).alias("display_name"),
+            f["subject"].alias("subject"),
+            f["precedence"].alias("precedence"),
+            f["names"].alias("names"),
+            f["values"].alias("values"),
+        ),
+    )
+
+
+def _flags(f: Column, lists: RuleLists) -> dict[str, Column]:
+    bulk_names = _words(lists.bulk_headers)
+    return {
+        "auth": (f["auth"] != "") & ~_contains_any(f["auth"], fixed.AUTH_PASS_MARKS),
+        "sender": (f["address"] != "") & blocked_address(f["address"], lists),
+        "bulk_header": F.arrays_overlap(f["names"], bulk_names)
+        # Tool names hold no line break, so the joined values match where a single one does.
+        | _contains_any(f["values"], lists.mailing_tools)
+        | _contains_any(f["precedence"], lists.bulk_precedence_values),
+        "subject": _contains_any(f["subject"], lists.automated_subject_terms),
+        "sender_name": F.array_contains(_words(lists.impersonal_names), f["display_name"]),
+        "free_mail": _any(f["address"].rlike("(?i)" + p) for p in lists.free_mail_patterns),
+    }
 
 
 def rule_flags(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> dict[str, Column]:
     """One boolean column per reason, in the order the reasons are reported."""
-    auth = header(headers, "authentication-results")
-    sender = header(headers, "from")
-    sender_address = address(sender)
-    has_address = sender_address != ""
-    names = [n.lower() for n in lists.bulk_headers]
-    subject = F.lower(header(headers, "subject"))
-    return {
-        "auth": (auth != "") & ~_any(auth.contains(mark) for mark in fixed.AUTH_PASS_MARKS),
-        "sender": has_address & blocked_sender(sender_address, lists),
-        "bulk_header": F.exists(headers, lambda h: F.lower(h["name"]).isin(names))
-        | F.exists(
-            headers, lambda h: F.coalesce(_contains_any(F.lower(h["value"]), lists.mailing_tools), F.lit(False))
-        )
-        | _contains_any(F.lower(header(headers, "precedence")), lists.bulk_precedence_values),
-        "subject": _contains_any(subject, lists.automated_subject_terms),
-        "sender_name": F.lower(display_name(sender)).isin([n.lower() for n in lists.impersonal_names]),
-        "free_mail": _any(sender_address.rlike("(?i)" + p) for p in lists.free_mail_patterns),
-    }
+    facts = _facts(headers)
+
+    def flag(reason: str) -> Column:
+        return bound(facts, lambda f: _flags(f, lists)[reason])
+
+    return {reason: flag(reason) for reason in REASONS}
 
 
 def reject_reason(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:
     """First rule that rejects the mail, NULL when it passes."""
-    flags = rule_flags(F.coalesce(headers, F.array().cast("array<struct<name:string,value:string>>")), lists)
-    return F.coalesce(*(F.when(flags[reason], F.lit(reason)) for reason in REASONS))
+
+    def first(f: Column) -> Column:
+        flags = _flags(f, lists)
+        return F.coalesce(*(F.when(flags[reason], F.lit(reason)) for reason in REASONS))
+
+    return bound(_facts(headers), first)
 
 
 def is_rejected(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:

@@ -31,6 +31,12 @@ def straight_quotes(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), source, target)
 
 
+def straight_quotes_in_json(json: Column) -> Column:
+    """`straight_quotes` for JSON text: double quotes are escaped, so the text still parses."""
+    plain = F.translate(json, fixed.CURLY_SINGLE_QUOTES, "'" * len(fixed.CURLY_SINGLE_QUOTES))
+    return F.regexp_replace(plain, f"[{fixed.CURLY_DOUBLE_QUOTES}]", r'\\"')
+
+
 def nullable_text(text: Column) -> Column:
     """Text ready to store: straight quotes, empty becomes NULL."""
     return blank_to_null(straight_quotes(text))

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions.headers import address, display_name, header, mail_date
-from threadsift.functions.rules import DEFAULT_LISTS, RuleLists, blocked_sender
-from threadsift.functions.scalars import blank_to_null, trim_blank
+from threadsift.functions.rules import DEFAULT_LISTS, RuleLists, blocked_address
+from threadsift.functions.scalars import blank_to_null, bound, trim_blank
 from threadsift.operators.ranking import latest_per_key
 
 
@@ -17,8 +17,11 @@ def normal_address(email: Column) -> Column:
 
 def is_usable(email: Column, creator_email: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:
     """Non-empty, not the creator, not a blocked sender."""
-    mail, creator = normal_address(email), normal_address(creator_email)
-    return (mail != "") & ((creator == "") | (mail != creator)) & ~blocked_sender(mail, lists)
+    creator = normal_address(creator_email)
+    return bound(
+        normal_address(email),
+        lambda mail: (mail != "") & ((creator == "") | (mail != creator)) & ~blocked_address(mail, lists),
+    )
 
 
 def latest_stored_sender(

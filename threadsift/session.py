@@ -37,6 +37,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # The rule expressions are large; recording a call site per column slows planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
