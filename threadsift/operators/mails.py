@@ -78,19 +78,21 @@ def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> Dat
     )
 
 
+def verdicts(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
+    """(message_id, verdict): the status a mail's rules lead to."""
+    rejected = reject_reason(F.col("headers"), lists).isNotNull()
+    return headers_only(messages).select(
+        "message_id", F.when(rejected, "filter_rejected").otherwise("pending_classification").alias("verdict")
+    )
+
+
 def filter_changes(states: DataFrame, messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
     """New status of every row being filtered whose message is available.
 
     One exchange on message_id; rows without a message are left out and stay as they are.
     """
-    verdicts = headers_only(messages).select(
-        "message_id",
-        F.when(reject_reason(F.col("headers"), lists).isNotNull(), "filter_rejected")
-        .otherwise("pending_classification")
-        .alias("status"),
-    )
     waiting = states.filter(F.col("status") == "filtering").select("email_metadata_id", "batch_id", "message_id")
-    return waiting.join(verdicts, "message_id")
+    return waiting.join(verdicts(messages, lists), "message_id").withColumnRenamed("verdict", "status")
 
 
 def filter_step(states: DataFrame, messages: DataFrame, as_of: Column, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:

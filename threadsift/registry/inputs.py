@@ -91,7 +91,7 @@ VIEWS["f_deals"] = """
 SELECT thread_id AS id, MIN(user_id) AS user_id, thread_id,
  CASE COUNT(*) % 6 WHEN 0 THEN 'new' WHEN 1 THEN 'in_progress' WHEN 2 THEN 'completed'
   WHEN 3 THEN 'not_interested' WHEN 4 THEN 'likely_scam' ELSE 'low_confidence' END AS category,
- TIMESTAMP '2024-01-01 00:00:00' + (MIN(CAST(SUBSTR(email_metadata_id, 4) AS BIGINT)) % 30) * INTERVAL '1' DAY AS updated_at
+ TIMESTAMP '2024-01-12 00:00:00' + (MIN(CAST(SUBSTR(email_metadata_id, 4) AS BIGINT)) % 30) * INTERVAL '1' DAY AS updated_at
 FROM f_deal_states WHERE status = 'deal' GROUP BY thread_id"""
 
 VIEWS["f_deal_contacts"] = """
@@ -244,6 +244,10 @@ class Inputs:
         text = _REFERENCE.sub(r"\1 {\2}", text)
         return self.spark.sql(text, **{ref: self.frame(ref) for ref in named})
 
+    def metadata_from(self, orders: DataFrame) -> DataFrame:
+        """`f_email_metadata` over another (also streaming) orders frame."""
+        return self.spark.sql(_REFERENCE.sub(r"\1 {\2}", VIEWS["f_email_metadata"]), orders=orders)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time SQL settings every job relies on. A setting the cluster has already
 # chosen explicitly wins, except the time zone: all clocks here are UTC.
@@ -60,3 +61,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="threadsift-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def materialize(rows: DataFrame) -> DataFrame:
+    """Write a frame once to the shared folder and read it back.
+
+    Used where several results follow from one costly frame. The files survive a lost
+    executor, and readers prune columns and see real sizes.
+    """
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
