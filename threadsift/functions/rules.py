@@ -6,11 +6,12 @@ only and never leaves the JVM.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
@@ -48,7 +49,8 @@ def _words(words) -> Column:
 
 
 def _contains_any(text: Column, words) -> Column:
-    return F.exists(_words(words), lambda word: F.contains(text, word)) if words else F.lit(False)
+    """One pattern over a short text: a single pass instead of one search per word."""
+    return text.rlike("|".join(re.escape(word.lower()) for word in words)) if words else F.lit(False)
 
 
 def _starts_with_any(text: Column, prefixes: tuple[str, ...]) -> Column:
@@ -77,49 +79,38 @@ def blocked_sender(sender_address: Column, lists: RuleLists = DEFAULT_LISTS) ->
     return bound(plain, lambda a: blocked_address(a, lists))
 
 
-def _facts(headers: Column) -> Column:
-    """The header values the rules look at, each extracted once."""
-    lowered = F.transform(
-        F.coalesce(headers, F.array().cast("array<struct<name:string,value:string>>")),
-        lambda h: F.struct(F.lower(h["name"]).alias("name"), h["value"].alias("value")),
-    )
+# What the rules look at, in two steps: header values first, then what follows from them.
+FACTS = ("auth", "address", "display_name", "subject", "precedence", "names", "values")
 
-    def value(named: Column, name: str) -> Column:
-        found = F.filter(named, lambda h: h["name"] == name)
-        return F.coalesce(F.get(found, F.lit(0))["value"], F.lit(""))
-
-    def facts(named: Column) -> Column:
-        return F.struct(
-            value(named, "authentication-results").alias("auth"),
-            value(named, "from").alias("sender"),
-            F.lower(value(named, "subject")).alias("subject"),
-            F.lower(value(named, "precedence")).alias("precedence"),
-            F.transform(named, lambda h: h["name"]).alias("names"),
-            F.lower(F.array_join(F.transform(named, lambda h: F.coalesce(h["value"], F.lit(""))), "\n")).alias("values"),
-        )
-
-    return bound(
-        bound(lowered, facts),
-        lambda f: F.struct(
-            f["auth"].alias("auth"),
-            address(f["sender"]).alias("address"),
-            F.lower(display_name(f["sender"])).alias("display_name"),
-            f["subject"].alias("subject"),
-            f["precedence"].alias("precedence"),
-            f["names"].alias("names"),
-            f["values"].alias("values"),
-        ),
-    )
+
+def _raw_facts(names: Column, values: Column) -> dict[str, Column]:
+    """Header values by lower-case name; the first header of a name counts."""
+
+    def value(name: str) -> Column:
+        return F.coalesce(F.get(values, (F.array_position(names, name) - 1).cast("int")), F.lit(""))
+
+    return {
+        "auth": value("authentication-results"),
+        "sender": value("from"),
+        "subject": F.lower(value("subject")),
+        "precedence": F.lower(value("precedence")),
+        "names": names,
+        "values": F.lower(F.array_join(values, "\n")),
+    }
+
+
+def _facts(raw) -> dict[str, Column]:
+    derived = {"address": address(raw["sender"]), "display_name": F.lower(display_name(raw["sender"]))}
+    return {name: derived[name] if name in derived else raw[name] for name in FACTS}
 
 
-def _flags(f: Column, lists: RuleLists) -> dict[str, Column]:
-    bulk_names = _words(lists.bulk_headers)
+def _flags(f, lists: RuleLists) -> dict[str, Column]:
     return {
-        "auth": (f["auth"] != "") & ~_contains_any(f["auth"], fixed.AUTH_PASS_MARKS),
+        "auth": (f["auth"] != "") & ~_any(f["auth"].contains(mark) for mark in fixed.AUTH_PASS_MARKS),
         "sender": (f["address"] != "") & blocked_address(f["address"], lists),
-        "bulk_header": F.arrays_overlap(f["names"], bulk_names)
+        "bulk_header": F.coalesce(F.arrays_overlap(f["names"], _words(lists.bulk_headers)), F.lit(False))
         # Tool names hold no line break, so the joined values match where a single one does.
-        | _contains_any(f["values"], lists.mailing_tools)
+        | _any(f["values"].contains(tool.lower()) for tool in lists.mailing_tools)
         | _contains_any(f["precedence"], lists.bulk_precedence_values),
         "subject": _contains_any(f["subject"], lists.automated_subject_terms),
         "sender_name": F.array_contains(_words(lists.impersonal_names), f["display_name"]),
@@ -127,9 +118,27 @@ def _flags(f: Column, lists: RuleLists) -> dict[str, Column]:
     }
 
 
+def _first_reason(flags: dict[str, Column]) -> Column:
+    return F.coalesce(*(F.when(flags[reason], F.lit(reason)) for reason in REASONS))
+
+
+def _names_and_values(headers: Column) -> tuple[Column, Column]:
+    present = F.coalesce(headers, F.array().cast("array<struct<name:string,value:string>>"))
+    return F.transform(present, lambda h: F.lower(h["name"])), present["value"]
+
+
+def _bound_facts(headers: Column) -> Column:
+    names, values = _names_and_values(headers)
+    raw = bound(
+        F.struct(names.alias("n"), values.alias("v")),
+        lambda s: F.struct(*[c.alias(name) for name, c in _raw_facts(s["n"], s["v"]).items()]),
+    )
+    return bound(raw, lambda r: F.struct(*[c.alias(name) for name, c in _facts(r).items()]))
+
+
 def rule_flags(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> dict[str, Column]:
     """One boolean column per reason, in the order the reasons are reported."""
-    facts = _facts(headers)
+    facts = _bound_facts(headers)
 
     def flag(reason: str) -> Column:
         return bound(facts, lambda f: _flags(f, lists)[reason])
@@ -138,13 +147,25 @@ def rule_flags(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> dict[str, C
 
 
 def reject_reason(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:
-    """First rule that rejects the mail, NULL when it passes."""
-
-    def first(f: Column) -> Column:
-        flags = _flags(f, lists)
-        return F.coalesce(*(F.when(flags[reason], F.lit(reason)) for reason in REASONS))
-
-    return bound(_facts(headers), first)
+    """First rule that rejects the mail, NULL when it passes (for nested headers)."""
+    return bound(_bound_facts(headers), lambda f: _first_reason(_flags(f, lists)))
+
+
+def with_reject_reason(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
+    """Messages with `reason`: the first rule that rejects them, NULL when they pass.
+
+    The facts are columns of their own steps, so each is computed once and the rules
+    run as generated code.
+    """
+    kept = messages.columns
+    names, values = _names_and_values(F.col("headers"))
+    staged = messages.withColumns({"_n": names, "_v": values})
+    raw = _raw_facts(F.col("_n"), F.col("_v"))
+    staged = staged.withColumns({f"_{name}": column for name, column in raw.items()})
+    facts = _facts({name: F.col(f"_{name}") for name in raw})
+    staged = staged.withColumns({f"_{name}": column for name, column in facts.items()})
+    reason = _first_reason(_flags({name: F.col(f"_{name}") for name in FACTS}, lists))
+    return staged.select(*kept, reason.alias("reason"))
 
 
 def is_rejected(headers: Column, lists: RuleLists = DEFAULT_LISTS) -> Column:

@@ -15,6 +15,9 @@ The rule set, applied to the whole body:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +57,7 @@ _HTML_STEPS = (
     (r"(?is)</body\b.*$", ""),
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", ""),
-    (r"\s+", " "),
+    (r"[\t\n\x0B\f\r]\s*| \s+", " "),
     (r"(?i)<a\b[^>]*?\bhref=\"([^\"]*)\"[^>]*>\1</a\s*>", "$1"),
     (r"(?i)<a\b[^>]*?\bhref=\"([^\"]*)\"[^>]*>(.*?)</a\s*>", "$2 [$1]"),
     (r"(?i)<h[1-6]\b[^>]*>", "\n\n" + _HEADING_OPEN),
@@ -85,30 +88,48 @@ def html_to_text(html: Column) -> Column:
     text = html
     for pattern, replacement in _HTML_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
-    text = _upper_headings(text)
+    return trim_blank(bound(_upper_headings(text), _decoded))
+
+
+def _decoded(text: Column) -> Column:
+    decoded = text
     for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return trim_blank(text)
+        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
+# Each step with the plain strings of which a text must hold one for the step to matter:
+# a search for a string is far cheaper than running the pattern.
 _QUOTE_STEPS = (
-    (r"(?dm)^>[^\n]*\n?", ""),
-    (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*$", ""),
-    (r"(?d)(^|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[\s\S]*)?\z", ""),
+    (r"(?dm)^>[^\n]*\n?", "", (">",)),
+    (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*$", "", ("wrote:",)),
+    (r"(?d)(^|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[\s\S]*)?\z", "", ("--", "__", "Sent from my ")),
 )
 
 _SPACE_STEPS = (
-    (r"\n{3,}", "\n\n"),
-    (r"[ \t]{2,}", " "),
-    (r"(?dm)^\s+$", ""),
+    (r"\n{3,}", "\n\n", ("\n\n\n",)),
+    (r"[ \t]{2,}", " ", ("  ", "\t")),
+    # White space at the very start is trimmed in the end, so only later lines count.
+    (r"(?dm)^\s+$", "", ("\n ", "\n\t", "\r", "\f", "\v")),
 )
 
 
+def _apply(text: Column, steps) -> Column:
+    for pattern, replacement, marks in steps:
+        text = bound(text, _guarded(pattern, replacement, marks))
+    return text
+
+
+def _guarded(pattern: str, replacement: str, marks: tuple[str, ...]):
+    def step(text: Column) -> Column:
+        present = reduce(or_, (text.contains(mark) for mark in marks))
+        return F.when(present, F.regexp_replace(text, pattern, replacement)).otherwise(text)
+
+    return step
+
+
 def without_quotes(text: Column) -> Column:
-    visible = text
-    for pattern, replacement in _QUOTE_STEPS:
-        visible = F.regexp_replace(visible, pattern, replacement)
-    return visible
+    return _apply(text, _QUOTE_STEPS)
 
 
 def clean_body(body: Column, max_chars: int = fixed.BODY_MAX_CHARS) -> Column:
@@ -119,9 +140,7 @@ def clean_body(body: Column, max_chars: int = fixed.BODY_MAX_CHARS) -> Column:
         return bound(without_quotes(text), lambda v: F.when(trim_blank(v) != "", v).otherwise(text))
 
     def spaced(text: Column) -> Column:
-        for pattern, replacement in _SPACE_STEPS:
-            text = F.regexp_replace(text, pattern, replacement)
-        return trim_blank(text)
+        return trim_blank(_apply(text, _SPACE_STEPS))
 
     def truncated(text: Column) -> Column:
         return F.when(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.functions.headers import header, mail_date
-from threadsift.functions.rules import DEFAULT_LISTS, RuleLists, reject_reason
+from threadsift.functions.rules import DEFAULT_LISTS, RuleLists, reject_reason, with_reject_reason
 from threadsift.functions.scalars import trim_blank
 from threadsift.operators.mutations import apply_changes
 
@@ -40,10 +40,6 @@ def enrich(messages: DataFrame, rows: DataFrame) -> DataFrame:
     ).drop("_id", "_thread_id", "_summary")
 
 
-def with_reject_reason(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
-    return messages.withColumn("reason", reject_reason(F.col("headers"), lists))
-
-
 def count_by_reason(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
     reasons = with_reject_reason(headers_only(messages), lists)
     return reasons.groupBy(F.coalesce("reason", F.lit("(passed)")).alias("reason")).agg(
@@ -80,9 +76,9 @@ def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> Dat
 
 def verdicts(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
     """(message_id, verdict): the status a mail's rules lead to."""
-    rejected = reject_reason(F.col("headers"), lists).isNotNull()
-    return headers_only(messages).select(
-        "message_id", F.when(rejected, "filter_rejected").otherwise("pending_classification").alias("verdict")
+    rejected = F.when(F.col("reason").isNotNull(), "filter_rejected").otherwise("pending_classification")
+    return with_reject_reason(messages.select("message_id", "headers"), lists).select(
+        "message_id", rejected.alias("verdict")
     )
 
 

@@ -97,7 +97,7 @@ _REASON = "CASE " + " ".join(f"WHEN {_RULES[r]} THEN '{r}'" for r in rules.REASO
 
 @query("rul_7_reject_reason", f"SELECT k, {_REASON} AS reason FROM {_PARTS}")
 def rul_7(t):
-    return mails.with_reject_reason(t.mails).select("k", "reason")
+    return rules.with_reject_reason(t.mails).select("k", "reason")
 
 
 @query("rul_7b_count_by_reason", f"""
