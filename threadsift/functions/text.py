@@ -6,7 +6,7 @@ The rule set, applied to the whole body:
    text: only what is inside <body> when there is one; comments, scripts, styles
    and images dropped; white space collapsed; headings in upper case; list items
    start with ' * '; links keep their target in brackets unless it equals the link
-   text; block elements and <br> become line breaks; a fixed set of entities decoded.
+   text; block elements and <br> become line breaks; named and numeric entities decoded.
 2. Quoted lines ('>'), 'On ... wrote:' lines and everything from a signature line
    ('--', '__', 'Sent from my ...') on are dropped, unless nothing would remain.
 3. Line endings and white space are normalised.
@@ -24,29 +24,29 @@ from pyspark.sql import functions as F
 from threadsift import fixed_values as fixed
 from threadsift.functions.scalars import bound, trim_blank
 
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&trade;", "™"),
-    ("&middot;", "·"),
-    ("&bull;", "•"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&euro;", "€"),
-    ("&pound;", "£"),
-    ("&amp;", "&"),
-)
+# Entities by name; numeric ones ('&#8364;', '&#x20AC;') are decoded by their number.
+ENTITIES = {
+    "nbsp": " ",
+    "lt": "<",
+    "gt": ">",
+    "quot": '"',
+    "apos": "'",
+    "copy": "©",
+    "reg": "®",
+    "trade": "™",
+    "middot": "·",
+    "bull": "•",
+    "hellip": "…",
+    "ndash": "–",
+    "mdash": "—",
+    "lsquo": "‘",
+    "rsquo": "’",
+    "ldquo": "“",
+    "rdquo": "”",
+    "euro": "€",
+    "pound": "£",
+    "amp": "&",
+}
 
 # Invisible marks around a heading while its text is put in upper case.
 _HEADING_OPEN = "\x01"
@@ -91,11 +91,29 @@ def html_to_text(html: Column) -> Column:
     return trim_blank(bound(_upper_headings(text), _decoded))
 
 
+def _numeric_entity(code: Column) -> Column:
+    """Character of '#123' or '#x1F'; NULL for anything else."""
+    decimal = F.when(code.rlike("^#[0-9]{1,7}$"), F.substring(code, 2, 7))
+    hexadecimal = F.when(code.rlike("^#[xX][0-9a-fA-F]{1,6}$"), F.conv(F.substring(code, 3, 6), 16, 10))
+    number = F.coalesce(decimal, hexadecimal).try_cast("int")
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
+
 def _decoded(text: Column) -> Column:
-    decoded = text
-    for entity, character in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    """Entities decoded in one pass: the text is cut at '&' and each piece looks up its name."""
+    pairs = [F.lit(part) for entity in ENTITIES.items() for part in entity]
+    table = F.create_map(*pairs)
+
+    def piece(part: Column, index: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        character = F.coalesce(F.try_element_at(table, name), _numeric_entity(name))
+        rest = F.substring(part, F.length(name) + 2, F.length(part))
+        decoded = F.when(part.contains(";"), F.concat(character, rest))
+        return F.when(index == 0, part).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), part)))
+
+    joined = F.array_join(F.transform(F.split(text, "&"), piece), "")
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 # Each step with the plain strings of which a text must hold one for the step to matter:

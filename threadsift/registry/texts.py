@@ -54,8 +54,8 @@ def _html_sql(column: str) -> str:
         " ELSE x END"
     )
     text = f"ARRAY_TO_STRING([{title} for x in STRING_SPLIT({text}, chr(1))], '')"
-    for entity, character in ENTITIES:
-        text = f"REPLACE({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    for entity, character in ENTITIES.items():
+        text = f"REPLACE({text}, '&{entity};', '{character.replace(chr(39), chr(39) * 2)}')"
     return f"TRIM({text}, {_BLANKS})"
 
 
