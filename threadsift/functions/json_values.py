@@ -6,7 +6,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadsift.functions.scalars import NUMBER_PATTERN, trim_blank
+from threadsift.functions.scalars import NUMBER_PATTERN, bound, trim_blank
+
+
+_END = "\u0003end"
+
+
+def parse_whole(text: Column) -> Column:
+    """VARIANT of a text that is one JSON value and nothing else, NULL otherwise.
+
+    `try_parse_json` stops after the first value, so the text is parsed as the first
+    element of a list that must end with a known mark right after it.
+    """
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0003end"]')))
+
+    def only_value(v: Column) -> Column:
+        ends = (F.try_variant_get(v, "$[1]", "string") == _END) & F.try_variant_get(v, "$[2]", "variant").isNull()
+        return F.when(ends, F.try_variant_get(v, "$[0]", "variant"))
+
+    return bound(framed, only_value)
 
 
 def field(value: Column, name: str) -> Column:

@@ -66,11 +66,11 @@ def _parsed(text: Column) -> Column:
         ).otherwise(bound(_between(text, "{", "}", F.lit(None)), from_inner))
 
     def from_inner(inner: Column) -> Column:
-        wrapped = bound(F.try_parse_json(inner), _only_array)
+        wrapped = bound(jv.parse_whole(inner), _only_array)
         missing = F.when(inner.isNull(), F.lit(fixed.NO_JSON_ERROR)).otherwise(F.lit(fixed.NO_SINGLE_ARRAY_ERROR))
         return verdict(wrapped, missing)
 
-    return bound(F.try_parse_json(text), from_value)
+    return bound(jv.parse_whole(text), from_value)
 
 
 def parse_replies(replies: DataFrame, raw: str = "raw") -> DataFrame:
@@ -176,7 +176,7 @@ def cached_threads(audits: DataFrame) -> DataFrame:
 
     The stored JSON holds the threads under 'threads' or is itself the list.
     """
-    value = F.try_parse_json("ai_evaluation")
+    value = jv.parse_whole(F.col("ai_evaluation"))
     under_key = jv.field(F.col("_v"), "threads")
     chosen = F.when(jv.truthy(under_key), under_key).otherwise(F.col("_v"))
     return audits.withColumn("_v", value).select(
