@@ -21,10 +21,18 @@ def metric_table(
 ) -> DataFrame:
     """One variant's headline metrics as (metric, value)."""
     named = [
-        (metrics.detection(truth, predictions), {"recall": "recall_mean", "precision": "precision_mean", "f2": "f2_mean", "recall_stddev": "recall_stddev"}),
-        (metrics.category_accuracy(truth, predictions), {"category_accuracy": "accuracy_mean"}),
-        (metrics.score_in_range(truth, predictions), {"score_in_range": "in_range_rate_mean"}),
-        (metrics.scam_detection(truth, predictions), {"scam_detection": "accuracy_mean"}),
+        (
+            metrics.headline(truth, predictions),
+            {
+                "recall": "detection.recall_mean",
+                "precision": "detection.precision_mean",
+                "f2": "detection.f2_mean",
+                "recall_stddev": "detection.recall_stddev",
+                "category_accuracy": "categorization.accuracy_mean",
+                "score_in_range": "urgency_scoring.in_range_rate_mean",
+                "scam_detection": "scam_detection.accuracy_mean",
+            },
+        )
     ]
     if health is not None:
         named.append(

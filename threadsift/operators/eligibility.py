@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
 from threadsift.operators.ranking import latest_per_key
+from threadsift.session import materialize
 
 
 def is_processed(status: str = "status") -> Column:
@@ -139,6 +140,8 @@ def eligible_report(
     users = eligible_users(sync_states, sync_events, metadata, states)
     if limit is not None:
         users = users.orderBy("initiated_at", "user_id").limit(limit)
+    # Three joins start from the eligible users; one row per user is cheap to keep.
+    users = materialize(users.select("user_id", "initiated_at"))
     names = [f"db_{category}" for category in fixed.CATEGORIES]
     return (
         users.select("user_id", "initiated_at")

@@ -63,46 +63,61 @@ def expected_and_answered(truth: DataFrame, predictions: DataFrame) -> DataFrame
     )
 
 
-def detection_by_run(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    """recall, precision and F2 per run.
+def _labelled_category() -> Column:
+    return F.col("want_deal") & (F.coalesce("want_category", F.lit("")) != "")
 
-    An expected deal without an answer is missed, so the misses follow from the total
-    and no run has to be expanded to all labelled threads.
+
+def run_scores(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """All counts and scores of each run from one pass over the answers.
+
+    An expected deal or scam without an answer is missed, so the misses follow from the
+    totals and no run has to be expanded to all labelled threads.
     """
-    total = truth.agg(F.count_if("is_deal").alias("n")).scalar()
-    hits = judged(truth, predictions).groupBy("run_id").agg(
+    totals = truth.agg(
+        F.struct(F.count_if("is_deal").alias("deals"), F.count_if("likely_scam").alias("scams")).alias("n")
+    ).scalar()
+    found = _labelled_category() & F.col("is_deal")
+    has_range = F.col("score_lo").isNotNull() & F.col("score_hi").isNotNull()
+    counts = judged(truth, predictions).groupBy("run_id").agg(
         F.count_if(F.col("want_deal") & F.col("is_deal")).alias("tp"),
         F.count_if(~F.col("want_deal") & F.col("is_deal")).alias("fp"),
-    )
-    scored = hits.withColumn("fn", total - F.col("tp")).withColumns(
-        {
-            "recall": ratio(F.col("tp"), F.col("tp") + F.col("fn")),
-            "precision": ratio(F.col("tp"), F.col("tp") + F.col("fp")),
-        }
+        F.count_if(found).alias("found"),
+        F.count_if(found & (F.col("category") == F.col("want_category"))).alias("right"),
+        F.count_if(has_range).alias("ranged"),
+        F.count_if(has_range & F.col("ai_score").between(F.col("score_lo"), F.col("score_hi"))).alias("inside"),
+        F.count_if(F.col("want_scam") & F.col("likely_scam")).alias("caught"),
     )
     recall, precision = F.col("recall"), F.col("precision")
-    return scored.withColumn(
-        "f2", F.when(precision + recall > 0, 5 * precision * recall / (4 * precision + recall)).otherwise(0.0)
+    return (
+        counts.withColumns({"fn": totals["deals"] - F.col("tp"), "scams": totals["scams"]})
+        .withColumns(
+            {
+                "recall": ratio(F.col("tp"), F.col("tp") + F.col("fn")),
+                "precision": ratio(F.col("tp"), F.col("tp") + F.col("fp")),
+                "accuracy": ratio(F.col("right"), F.col("found")),
+                "in_range_rate": ratio(F.col("inside"), F.col("ranged")),
+                "scam_accuracy": ratio(F.col("caught"), F.col("scams")),
+            }
+        )
+        .withColumn(
+            "f2", F.when(precision + recall > 0, 5 * precision * recall / (4 * precision + recall)).otherwise(0.0)
+        )
     )
 
 
-def detection(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    runs = detection_by_run(truth, predictions)
-    return runs.agg(*[c for name in ("recall", "precision", "f2") for c in stats(F.col(name), name)])
+def detection_by_run(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """recall, precision and F2 per run."""
+    return run_scores(truth, predictions).select("run_id", "tp", "fp", "fn", "recall", "precision", "f2")
 
 
-def _labelled_category() -> Column:
-    return F.col("want_deal") & (F.coalesce("want_category", F.lit("")) != "")
+def detection(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    runs = run_scores(truth, predictions)
+    return runs.agg(*[c for name in ("recall", "precision", "f2") for c in stats(F.col(name), name)])
 
 
 def category_accuracy(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     """Of the deals found, the share with the right category; 1 for a run that found none."""
-    found = F.coalesce(_labelled_category() & F.col("is_deal"), F.lit(False))
-    right = found & F.coalesce(F.col("category") == F.col("want_category"), F.lit(False))
-    runs = judged(truth, predictions).groupBy("run_id").agg(
-        F.count_if(found).alias("found"), F.count_if(right).alias("right")
-    )
-    return runs.agg(*stats(ratio(F.col("right"), F.col("found")), "accuracy"))
+    return run_scores(truth, predictions).agg(*stats(F.col("accuracy"), "accuracy"))
 
 
 def accuracy_per_category(truth: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -132,24 +147,30 @@ def accuracy_per_category(truth: DataFrame, predictions: DataFrame) -> DataFrame
 
 
 def score_in_range(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    has_range = F.col("score_lo").isNotNull() & F.col("score_hi").isNotNull()
-    inside = has_range & F.col("ai_score").between(F.col("score_lo"), F.col("score_hi"))
-    runs = judged(truth, predictions).groupBy("run_id").agg(
-        F.count_if(has_range).alias("total"), F.count_if(inside).alias("inside")
-    )
-    return runs.agg(*stats(ratio(F.col("inside"), F.col("total")), "in_range_rate"))
+    """Share of answers inside the expected range, of threads that have one."""
+    return run_scores(truth, predictions).agg(*stats(F.col("in_range_rate"), "in_range_rate"))
 
 
 def scam_detection(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     """Share of expected scams flagged; a missing answer is not flagged."""
-    total = truth.agg(F.count_if("likely_scam").alias("n")).scalar()
-    runs = judged(truth, predictions).groupBy("run_id").agg(
-        F.count_if(F.col("want_scam") & F.col("likely_scam")).alias("caught")
+    return run_scores(truth, predictions).agg(
+        *stats(F.col("scam_accuracy"), "accuracy"),
+        F.coalesce(F.max("scams"), F.lit(0)).alias("total_scam_threads"),
     )
-    runs = runs.withColumn("total", total)
+
+
+def headline(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """All headline statistics as four structs in one row."""
+    runs = run_scores(truth, predictions)
     return runs.agg(
-        *stats(ratio(F.col("caught"), F.col("total")), "accuracy"),
-        F.coalesce(F.max("total"), F.lit(0)).alias("total_scam_threads"),
+        F.struct(*[c for name in ("recall", "precision", "f2") for c in stats(F.col(name), name)]).alias("detection"),
+        F.struct(*stats(F.col("accuracy"), "accuracy")).alias("categorization"),
+        F.struct(*stats(F.col("in_range_rate"), "in_range_rate")).alias("urgency_scoring"),
+        F.struct(
+            *stats(F.col("scam_accuracy"), "accuracy"),
+            F.coalesce(F.max("scams"), F.lit(0)).alias("total_scam_threads"),
+        ).alias("scam_detection"),
+        F.count(F.lit(1)).alias("successful_runs"),
     )
 
 
@@ -227,7 +248,7 @@ def report(
             F.collect_list(F.struct("category", F.struct(*[c for c in categories.columns if c != "category"])))
         ).alias("per_category")
     ).scalar()
-    scored = predictions.agg(F.count_distinct("run_id").alias("successful_runs"))
+    scored = headline(truth, predictions)
     runs = health.agg(F.count(F.lit(1)).alias("runs")).scalar()
     threads = truth.agg(F.count(F.lit(1)).alias("n")).scalar()
     named = [F.lit(value).alias(name) for name, value in (settings or {}).items()]
@@ -238,11 +259,11 @@ def report(
         .otherwise(F.raise_error(F.lit("All runs failed: no valid results to compute metrics")))
         .alias("successful_runs"),
         threads.alias("ground_truth_count"),
-        part(detection(truth, predictions)).alias("detection"),
-        part(category_accuracy(truth, predictions)).alias("categorization"),
+        "detection",
+        "categorization",
         as_map.alias("per_category"),
-        part(score_in_range(truth, predictions)).alias("urgency_scoring"),
-        part(scam_detection(truth, predictions)).alias("scam_detection"),
+        "urgency_scoring",
+        "scam_detection",
         part(json_health(health)).alias("json_health"),
         part(cost(usage, truth)).alias("cost"),
     )

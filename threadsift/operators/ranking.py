@@ -45,12 +45,15 @@ def numbered(
     slice_by: Column,
     order: Sequence[Column],
     name: str = "row_no",
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Exact 1-based position of each row inside its key.
 
     `slice_by` must not decrease along `order`. Rows are sorted per (key, slice);
     the sizes of the earlier slices, counted on the map side, give the offset.
-    Keys and slices must not be NULL.
+    Keys and slices must not be NULL. Columns of `per_key` (one row per key) travel
+    with the offsets, so attaching them moves no row a second time; rows whose key it
+    lacks are dropped.
     """
     sliced = rows.withColumn("_slice", slice_by)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,6 +62,8 @@ def numbered(
         .agg(F.count(F.lit(1)).alias("_size"))
         .select(*keys, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     )
+    if per_key is not None:
+        offsets = offsets.join(per_key, list(keys))
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
     return (
         sliced.withColumn("_inside", F.row_number().over(inside))

@@ -15,6 +15,7 @@ from threadsift import fixed_values as fixed
 from threadsift.functions.scalars import minutes_before, stable_id
 from threadsift.operators.mutations import apply_changes
 from threadsift.operators.ranking import first_n_per_key, in_chunks
+from threadsift.session import materialize
 
 BATCH_COLUMNS = ("email_metadata_id", "message_id", "user_id", "thread_id", "sync_state_id")
 
@@ -243,23 +244,31 @@ def retry_stuck(
     A stuck parent batch is cut into sub-batches instead, each with a 'new' event:
     by rows for filtering, by threads for classification.
     """
-    stuck = stuck_batches(states, batch_events, status, as_of, minutes, max_attempts).select("batch_id")
+    # The list of stuck batches is short next to the tables it comes from, and four
+    # steps below start from it.
+    stuck = materialize(
+        stuck_batches(states, batch_events, status, as_of, minutes, max_attempts).select("batch_id")
+    )
     is_parent = F.col("batch_id").startswith(fixed.MEGA_BATCH_PREFIX)
-    retried, parents = stuck.filter(~is_parent), stuck.filter(is_parent)
-    renewed = refresh_batches(states, retried, as_of)
+    marked = states.join(stuck.withColumn("_stuck", F.lit(True)), "batch_id", "left")
 
-    parent_rows = states.join(parents, "batch_id", "left_semi")
+    parent_rows = states.filter(is_parent).join(stuck, "batch_id", "left_semi")
     if batch_type == "filter":
         pieces, on = row_sub_batches(parent_rows, split_size), ["email_metadata_id"]
     else:
         pieces, on = thread_sub_batches(parent_rows, split_size), ["batch_id", "thread_id"]
-    split = assign_sub_batches(renewed, pieces, on, F.col("sub_batch_id").isNotNull(), as_of)
-
+    hit = F.col("_stuck").isNotNull()
+    updated = marked.join(pieces, on, "left").withColumns(
+        {
+            "updated_at": F.when(hit, as_of).otherwise(F.col("updated_at")),
+            "batch_id": F.when(hit & is_parent, F.col("sub_batch_id")).otherwise(F.col("batch_id")),
+        }
+    )
     new_batches = pieces.select(F.col("sub_batch_id").alias("batch_id")).distinct()
-    events = event_rows(retried, batch_type, "retrigger", as_of).unionByName(
+    events = event_rows(stuck.filter(~is_parent), batch_type, "retrigger", as_of).unionByName(
         event_rows(new_batches, batch_type, "new", as_of)
     )
-    return split, events
+    return updated.select(*states.columns), events
 
 
 def dead_letter(

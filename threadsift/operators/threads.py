@@ -28,7 +28,7 @@ def thread_batches(messages: DataFrame, keys: list[str], batch_size: int) -> Dat
     return chunks.withColumn("thread_index", F.row_number().over(inside))
 
 
-def message_numbers(messages: DataFrame) -> DataFrame:
+def message_numbers(messages: DataFrame, per_thread: DataFrame | None = None) -> DataFrame:
     """1-based `message_no` inside each thread, by `position`.
 
     Positions are cut into slices of fixed width, so long threads are numbered in many tasks.
@@ -39,6 +39,24 @@ def message_numbers(messages: DataFrame) -> DataFrame:
         F.floor(F.col("position") / F.lit(1000)),
         [F.col("position"), F.col("message_id")],
         "message_no",
+        per_thread,
+    )
+
+
+def prepared_messages(messages: DataFrame) -> DataFrame:
+    """What a text needs of each message. Bodies are cleaned and cut here, before any
+    exchange, so only short texts travel."""
+    headers = F.col("headers")
+    raw = F.coalesce(F.nullif("body", F.lit("")), F.nullif("reply_body", F.lit("")), F.lit(""))
+    return messages.select(
+        "thread_id",
+        "message_id",
+        "position",
+        "previous_ai_summary",
+        header(headers, "from").alias("from_value"),
+        header(headers, "date").alias("date_value"),
+        header(headers, "subject").alias("subject_value"),
+        clean_body(raw).alias("clean"),
     )
 
 
@@ -50,23 +68,21 @@ def batch_segments(messages: DataFrame, batches: DataFrame) -> DataFrame:
     few threads, so ordering its threads in a window is bounded.
     """
     counted = messages.groupBy("thread_id").agg(F.count(F.lit(1)).alias("message_count"))
-    before = Window.partitionBy("batch_id").orderBy("thread_index").rowsBetween(Window.unboundedPreceding, -1)
-    placed = batches.join(counted, "thread_id").withColumns(
+    in_batch = Window.partitionBy("batch_id").orderBy("thread_index")
+    before = in_batch.rowsBetween(Window.unboundedPreceding, -1)
+    placed = batches.select("thread_id", "batch_id", "thread_index").join(counted, "thread_id").withColumns(
         {
             "offset": F.coalesce(F.sum("message_count").over(before), F.lit(0)),
-            "is_last_thread": F.lead("thread_index").over(Window.partitionBy("batch_id").orderBy("thread_index")).isNull(),
+            "is_last_thread": F.lead("thread_index").over(in_batch).isNull(),
         }
     )
-    numbers = message_numbers(messages).join(placed, "thread_id")
-    headers = F.col("headers")
-    raw = F.coalesce(F.nullif("body", F.lit("")), F.nullif("reply_body", F.lit("")), F.lit(""))
-    cleaned = numbers.withColumn("clean", clean_body(raw))
+    numbers = message_numbers(prepared_messages(messages), placed)
     message = F.format_string(
         fixed.MESSAGE_FORMAT,
         F.col("message_no"),
-        header(headers, "from"),
-        header(headers, "date"),
-        header(headers, "subject"),
+        F.col("from_value"),
+        F.col("date_value"),
+        F.col("subject_value"),
         F.coalesce(F.nullif("clean", F.lit("")), F.lit(fixed.NO_BODY)),
     )
     opening = F.format_string(
@@ -76,7 +92,7 @@ def batch_segments(messages: DataFrame, batches: DataFrame) -> DataFrame:
         F.coalesce(F.nullif("previous_ai_summary", F.lit("")), F.lit(fixed.NO_SUMMARY)),
     )
     closing = F.when(F.col("is_last_thread"), F.lit(fixed.THREAD_FOOTER)).otherwise(F.lit(fixed.THREAD_FOOTER + "\n"))
-    return cleaned.select(
+    return numbers.select(
         "batch_id",
         "thread_id",
         (F.col("offset") + F.col("message_no")).alias("segment_no"),

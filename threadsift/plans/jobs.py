@@ -128,10 +128,13 @@ def select_candidates(
     Batches hold threads of one user, so the creator line belongs to every thread in it.
     """
     ready = deal_states.filter(F.col("status") == "pending_classification")
-    rows = states.with_previous_evaluation(
-        ready.join(states.complete_threads(deal_states), "thread_id", "left_semi").select(*states.BATCH_COLUMNS),
-        evaluations,
-        user_settings,
+    # Every table a classification run changes follows from these rows and batches.
+    rows = materialize(
+        states.with_previous_evaluation(
+            ready.join(states.complete_threads(deal_states), "thread_id", "left_semi").select(*states.BATCH_COLUMNS),
+            evaluations,
+            user_settings,
+        )
     )
     owners = rows.groupBy("thread_id").agg(
         F.max("user_id").alias("user_id"), F.max("creator_email").alias("creator_email")
@@ -140,10 +143,12 @@ def select_candidates(
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")
-    batches = threads.thread_batches(open_mails, ["user_id"], batch_size).select(
-        "thread_id",
-        "thread_index",
-        F.concat_ws(":", F.lit("classify"), "user_id", "batch_no").alias("batch_id"),
+    batches = materialize(
+        threads.thread_batches(open_mails, ["user_id"], batch_size).select(
+            "thread_id",
+            "thread_index",
+            F.concat_ws(":", F.lit("classify"), "user_id", "batch_no").alias("batch_id"),
+        )
     )
     texts = threads.batch_texts(threads.batch_segments(open_mails, batches))
     creators = (
