@@ -29,6 +29,7 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from threadsift.registry import (  # noqa: F401
+        documents,
         evaluation,
         mail_rules,
         mutations,

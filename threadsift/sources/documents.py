@@ -21,9 +21,13 @@ def read_rule_lists(spark: SparkSession, path: str) -> RuleLists:
     return RuleLists(**given)
 
 
-def read_truth(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled threads, as a JSON array or one object per line, mails in message shape."""
-    raw = spark.read.schema(schemas.TRUTH).json(path, multiLine=True)
+def read_truth(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Labelled threads from JSON, mails in message shape.
+
+    A hand-made file is one JSON array; a large set has one object per line, which
+    Spark can split.
+    """
+    raw = spark.read.schema(schemas.TRUTH).json(path, multiLine=not one_per_line)
     emails = F.transform(
         "emails",
         lambda e: F.struct(
