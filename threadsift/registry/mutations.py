@@ -282,7 +282,7 @@ def classification(t):
         F.expr("CAST(SUBSTR(message_id, 5) AS BIGINT)").alias("position"),
     )
     candidates = jobs.select_candidates(t.deal_states, t.evaluations, t.user_settings, t.deals, messages)
-    verdict = F.struct("thread_index", (F.crc32("thread_id") % 2 == 0).alias("is_deal"), F.lit("new").alias("category"))
+    verdict = F.struct("thread_index", (F.substring(F.md5("thread_id"), 1, 1) < "8").alias("is_deal"), F.lit("new").alias("category"))
     raw_replies = candidates.batches.groupBy("batch_id").agg(
         F.to_json(F.array_sort(F.collect_list(verdict))).alias("raw")
     )
@@ -290,9 +290,29 @@ def classification(t):
     return candidates, raw_replies, messages
 
 
-@query("snk_6d_classified_threads")
+_CLAIMED = """
+SELECT s.* FROM f_deal_states s WHERE s.status = 'pending_classification' AND s.thread_id IN (
+ SELECT a.thread_id FROM f_deal_states a WHERE a.status = 'pending_classification' AND NOT EXISTS (
+  SELECT 1 FROM f_deal_states b WHERE b.thread_id = a.thread_id AND b.sync_state_id = a.sync_state_id
+   AND b.status IN ('pending', 'filtering')))"""
+_CLAIMED_THREADS = f"""
+SELECT c.thread_id, MAX(c.user_id) AS user_id, COUNT(m.message_id) AS messages,
+ MAX(CASE WHEN m.date_text <> 'not a date' THEN m.sent_at END) <= MAX(d.updated_at) AS covered
+FROM ({_CLAIMED}) c LEFT JOIN f_messages m ON m.message_id = c.message_id LEFT JOIN f_deals d ON d.thread_id = c.thread_id
+GROUP BY c.thread_id"""
+
+
+@query("snk_6d_classify_summary", f"""
+SELECT COUNT(*) FILTER (WHERE deal) AS deal_rows, COUNT(*) FILTER (WHERE NOT deal) AS not_deal_rows,
+ (SELECT CAST(SUM(CEIL(n / 5.0)) AS BIGINT) FROM (SELECT user_id, COUNT(*) AS n FROM ({_CLAIMED_THREADS}) x
+  WHERE messages > 0 AND COALESCE(NOT covered, TRUE) GROUP BY user_id) u) AS batches_processed,
+ CAST(0 AS BIGINT) AS batches_failed, CAST(0 AS BIGINT) AS rejected_items
+FROM (SELECT CASE WHEN t.messages > 0 AND COALESCE(NOT t.covered, TRUE) THEN SUBSTR(MD5(c.thread_id), 1, 1) < '8'
+  ELSE COALESCE(t.covered, FALSE) OR COALESCE(e.is_deal, FALSE) END AS deal
+ FROM ({_CLAIMED}) c JOIN ({_CLAIMED_THREADS}) t ON t.thread_id = c.thread_id
+ LEFT JOIN f_evaluations e ON e.thread_id = c.thread_id) r""")
 def snk_6_classify(t):
-    """Status counts after a whole classification run (checked against plain Python in the tests)."""
+    """Outcome of a whole classification run over the state table."""
     candidates, raw_replies, messages = classification(t)
     given = {
         "email_thread_evaluations": schemas.conform(t.evaluations, schemas.EVALUATIONS),

@@ -8,6 +8,7 @@ version without its success mark, which nobody reads.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,38 @@ def write_table(rows: DataFrame, root: str, name: str) -> int:
     return version
 
 
+# The column each large table is updated or joined by.
+BUCKET_KEYS = {
+    "deal_states": "email_metadata_id",
+    "email_metadata": "id",
+    "email_senders": "email_metadata_id",
+    "messages": "message_id",
+    "deals": "thread_id",
+    "email_thread_evaluations": "thread_id",
+}
+
+
+def write_bucketed(rows: DataFrame, root: str, name: str, buckets: int) -> DataFrame:
+    """Write the next version of a large table bucketed by its key, and return it.
+
+    A later update joins its changes to the buckets and moves only the changes. The
+    bucketing is kept in the session's catalog, so clusters need a shared one.
+    """
+    spark = rows.sparkSession
+    taken = [int(m.group(1)) for m in map(_VERSION.match, _children(spark, f"{root}/{name}")) if m]
+    version = max(taken, default=0) + 1
+    table = f"{name}_{uuid.uuid4().hex}"
+    conformed = schemas.conform(rows, schema_of(name))
+    (
+        conformed.repartition(buckets, BUCKET_KEYS[name])
+        .write.bucketBy(buckets, BUCKET_KEYS[name])
+        .sortBy(BUCKET_KEYS[name])
+        .option("path", f"{root}/{name}/v={version}")
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
 def register_views(spark: SparkSession, mail_root: str, deal_root: str) -> None:
     """All tables of both namespaces as temporary views for SQL users."""
     for root, names in ((mail_root, schemas.MAIL_TABLES), (deal_root, schemas.DEAL_TABLES)):
