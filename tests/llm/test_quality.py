@@ -1,0 +1,51 @@
+"""The compression classifier: held-out accuracy and edge cases."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from threadsift.llm import quality
+from threadsift.llm.queries import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = QUERIES["op1_quality_scores"](spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    held = rows.filter("held_out").join(labels, "doc_id").select("predicted", "quality", "score").collect()
+    assert len(held) > 80
+    assert sum(r.predicted == r.quality for r in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 for r in held)
+    assert rows.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+@pytest.fixture()
+def labelled(documents, spark):
+    good = [(i, f"the river ran past house number {i} and then into the quiet sea beyond. " * 3) for i in range(40)]
+    bad = [(100 + i, f"BUY!! ### {i} $$$ CHEAP!! %%% *** NOW!! " * 5) for i in range(40)]
+    marks = [(i, 1, 0) for i, _ in good] + [(i, 0, 1) for i, _ in bad] + [(5, 0, 0), (None, 0, 0), (7777, 1, 0), (3, None, 0)]
+    return documents(good + bad), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def test_scores_nulls_repeats_and_long_texts(documents, labelled):
+    model = quality.fit(*labelled)
+    odd = [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "the quiet sea " * 9), (9, "BUY!! $$$ " * 50_000)]
+    rows = quality.scores(documents(odd, {"score": F.lit("s"), "held_out": F.lit(7)}), model).collect()
+    assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
+    by = {r.doc_id: r for r in rows}
+    assert by[None].predicted == 1 and by[None].held_out is False and by[9].predicted == 0
+    assert by[1].score == by[2].score
+
+
+def test_rejected_documents_go_with_all_columns_kept(documents, labelled):
+    model = quality.fit(*labelled)
+    frame = documents([(1, "the river ran past the house and then into the sea."), (2, "CHEAP!! $$$ %%% BUY!! ***" * 4)], {"score": F.lit(1)})
+    kept = quality.accepted(frame, model)
+    assert kept.columns == frame.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_without_labels_of_both_classes(documents, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.fit(documents([(1, "a")]), none) is None
+    rows = quality.scores(documents([(1, "a")]), None).collect()
+    assert rows[0].score == 0.5 and rows[0].predicted == 1
+    assert quality.scores(documents([]), None).collect() == []

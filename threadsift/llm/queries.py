@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import substring_dedup, suffix_dedup
+from threadsift.llm import jaccard, quality, substring_dedup, suffix_dedup
 from threadsift.llm.common import table
 from threadsift.session import configure
 
@@ -24,6 +24,17 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_quality_scores")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.scores(documents, quality.fit_on_learning_part(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op5_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
