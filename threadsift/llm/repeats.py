@@ -28,7 +28,7 @@ from threadsift.llm.common import batch, ints, longs, materialize
 from threadsift.llm.windows import super_kmers
 
 #: Different strings of one minimiser beyond which its windows are grouped one by one.
-HOT = 200
+HOT = 2000
 
 
 @dataclass(frozen=True)
@@ -84,18 +84,12 @@ def places(docs: DataFrame, kind: Symbols) -> DataFrame:
 
 
 def distinct_strings(found: DataFrame) -> DataFrame:
-    """One row for each different super-k-mer: its first place, its places, and whether its minimiser is hot."""
-    first = materialize(
+    """One row for each different super-k-mer: its first place and the number of its places."""
+    return materialize(
         found.groupBy("minimiser", "string")
         .agg(F.min(F.struct("k", "start")).alias("at"), F.count(F.lit(1)).alias("places"), F.first("n").alias("n"))
         .select("minimiser", "string", "at.k", "at.start", "n", "places")
     )
-    hot = materialize(
-        first.groupBy("minimiser").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > HOT).select("minimiser")
-    )
-    return first.join(hot.withColumn("hot", F.lit(True)), "minimiser", "left").withColumn(
-        "hot", F.coalesce("hot", F.lit(False))
-    )
 
 
 _PACKED = (
@@ -180,8 +174,11 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def packed_strings(docs: DataFrame, strings: DataFrame, kind: Symbols) -> DataFrame:
-    """The text of every different super-k-mer (packed), or the hashes of the windows of hot ones."""
-    cuts = strings.groupBy("k").agg(
+    """The text of every different super-k-mer (packed), or the hashes of the windows of hot minimisers."""
+    many = strings.groupBy("minimiser").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > HOT)
+    hot = materialize(many.select("minimiser", F.lit(True).alias("hot")))
+    marked = strings.join(hot, "minimiser", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    cuts = marked.groupBy("k").agg(
         F.collect_list(F.struct("minimiser", "string", "start", "n", "places", "hot")).alias("cuts")
     )
     joined = docs.select("k", "text").join(cuts, "k")

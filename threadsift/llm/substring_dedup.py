@@ -75,12 +75,12 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataF
     """Half-open word spans (k, first, stop) whose union is what goes; docs as `keyed` gives them."""
     kind = repeats.Symbols("word", size, core)
     found = repeats.places(docs, kind)
-    strings = materialize(repeats.distinct_strings(found))
+    strings = repeats.distinct_strings(found)
     packed = repeats.packed_strings(docs, strings, kind)
     counted = repeats.in_buckets(packed, _count_in_bucket(size), _FLAGS)
     # Minimisers with very many different super-k-mers: windows one by one.
     single = packed.filter("window IS NOT NULL").join(
-        strings.filter("hot").select("minimiser", "string", F.col("start").alias("s0")), ["minimiser", "string"]
+        strings.select("minimiser", "string", F.col("start").alias("s0")), ["minimiser", "string"]
     )
     single = single.selectExpr("window", "window2", "minimiser", "string", "start - s0 AS offset", "places")
     total = materialize(
@@ -90,9 +90,10 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataF
         "minimiser", "string", "offset", f"CAST({size} AS INT) AS length"
     )
     flags = materialize(counted.unionByName(hot))
-    return found.join(flags, ["minimiser", "string"]).selectExpr(
+    spans = found.join(flags, ["minimiser", "string"]).selectExpr(
         "k", "CAST(start + offset AS LONG) AS first", "CAST(start + offset + length AS LONG) AS stop"
     )
+    return materialize(spans)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

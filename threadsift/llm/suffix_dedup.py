@@ -174,7 +174,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataF
     """Half-open byte spans (k, first, stop) whose union is what goes; docs as `keyed` gives them."""
     kind = repeats.Symbols("byte", size, core)
     found = repeats.places(docs, kind)
-    strings = materialize(repeats.distinct_strings(found))
+    strings = repeats.distinct_strings(found)
     packed = repeats.packed_strings(docs, strings, kind)
     # 1. A whole super-k-mer that stands earlier elsewhere.
     several = strings.filter("places > 1").select("minimiser", "string", F.col("k").alias("k0"), F.col("start").alias("s0"))
@@ -198,7 +198,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataF
         .filter("NOT (k = k0 AND start = s0)")
         .selectExpr("k", "CAST(start AS LONG) AS first", f"CAST(start + {size} AS LONG) AS stop")
     )
-    return copies.unionByName(sorted_).unionByName(hot)
+    return materialize(copies.unionByName(sorted_).unionByName(hot))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
