@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadsift.llm import jaccard, quality, substring_dedup, suffix_dedup
+import corpus_pipeline
+from threadsift.llm import decontaminate, jaccard, packing, quality, substring_dedup, suffix_dedup
 from threadsift.llm.common import table
 from threadsift.session import configure
 
@@ -30,11 +31,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(documents, quality.fit_on_learning_part(documents, table(spark, sf_dir, "labels")))
 
 
+@query("op3_decontamination", decontaminate.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_jaccard_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"))
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
@@ -43,3 +54,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
