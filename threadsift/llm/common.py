@@ -31,6 +31,15 @@ def materialize(rows: DataFrame) -> DataFrame:
             conf.set(_CLEAN_UP, before)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete the files of a frame that `materialize` wrote and nothing reads any more."""
+    spark = rows.sparkSession
+    files = rows.inputFiles()
+    if files:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Columns k, doc_id, text, row: every input row under a unique key.
 

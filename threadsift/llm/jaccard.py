@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, ints, keyed, longs, materialize
+from threadsift.llm.common import batch, discard, ints, keyed, longs, materialize
 from threadsift.llm.components import components
 from threadsift.llm.hashing import blocks, mix, shingles, words_of
 
@@ -53,10 +53,9 @@ BLOCK = 64
 STEP = 1 << 20
 
 
-def _sets(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(keys, bounds, shingles) of blocks of documents: sorted distinct hashes of each."""
-    k = rows.column("k").to_numpy(zero_copy_only=False)
-    for block in blocks(rows.column("text")):
+def _sets_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bounds, shingles) of blocks of texts: sorted distinct hashes of each text."""
+    for block in blocks(texts):
         values, bounds = shingles(words_of(block, lower=True), SHINGLE)
         text = np.repeat(np.arange(len(block)), np.diff(bounds))
         order = np.lexsort((values, text))
@@ -64,7 +63,14 @@ def _sets(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         new = np.ones(len(values), dtype=bool)
         new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
         values, text = values[new], text[new]
-        yield k[block.first : block.first + len(block)], np.searchsorted(text, np.arange(len(block) + 1)), values
+        yield block.first, np.searchsorted(text, np.arange(len(block) + 1)), values
+
+
+def _sets(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, bounds, shingles) of blocks of documents."""
+    k = rows.column("k").to_numpy(zero_copy_only=False)
+    for first, bounds, values in _sets_of(rows.column("text")):
+        yield k[first : first + len(bounds) - 1], bounds, values
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,45 +139,39 @@ def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordB
     return run
 
 
-def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        for k, bounds, values in _sets(rows):
-            sets = [values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
-            yield batch({"k": pa.array(k), "members": pa.array(sets, pa.binary())})
-
-
 def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in batches:
-        shared, na, nb = [], [], []
-        for x, y in zip(rows.column("sa"), rows.column("sb")):
-            x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-            if len(x) > len(y):
-                shared.append(int(_member(x, y).sum()))
-            else:
-                shared.append(int(_member(y, x).sum()))
-            na.append(len(x))
-            nb.append(len(y))
-        yield batch(
-            {
-                "a": rows.column("a"),
-                "b": rows.column("b"),
-                "na": pa.array(na, pa.int32()),
-                "nb": pa.array(nb, pa.int32()),
-                "shared": pa.array(shared, pa.int32()),
-            }
-        )
+    """Pairs of texts -> the sizes of their sets and of what they share."""
+    for whole in batches:
+        for first in range(0, whole.num_rows, 256):
+            rows = whole.slice(first, 256)
+            sides = []
+            for name in ("ta", "tb"):
+                sides.append([v[a:b] for _, bounds, v in _sets_of(rows.column(name)) for a, b in zip(bounds, bounds[1:])])
+            shared = [int(_member(y, x).sum()) if len(x) < len(y) else int(_member(x, y).sum()) for x, y in zip(*sides)]
+            yield batch(
+                {
+                    "a": rows.column("a"),
+                    "b": rows.column("b"),
+                    "na": pa.array(list(map(len, sides[0])), pa.int32()),
+                    "nb": pa.array(list(map(len, sides[1])), pa.int32()),
+                    "shared": pa.array(shared, pa.int32()),
+                }
+            )
 
 
 def overlaps(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, na, nb, shared) for each pair of documents, from their whole texts; pairs must be a written table."""
     ids = materialize(pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct())
-    sets = materialize(docs.select("k", "text").join(ids, "k", "left_semi").mapInArrow(_as_sets, "k long, members binary"))
+    texts = materialize(docs.select("k", "text").join(ids, "k", "left_semi"))
     both = (
         pairs.select("a", "b")
-        .join(sets.select(F.col("k").alias("a"), F.col("members").alias("sa")), "a")
-        .join(sets.select(F.col("k").alias("b"), F.col("members").alias("sb")), "b")
+        .join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
+        .join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
     )
-    return both.select("a", "b", "sa", "sb").mapInArrow(_count_shared, "a long, b long, na int, nb int, shared int")
+    counted = both.select("a", "b", "ta", "tb").mapInArrow(_count_shared, "a long, b long, na int, nb int, shared int")
+    counted = materialize(counted)
+    discard(texts)
+    return counted
 
 
 def _linked(percent: int) -> str:
@@ -376,7 +376,7 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = full.join(copies, "k", "left_anti")
 
     # Followers and their leaders.
-    stars = materialize(overlaps(docs, materialize(leader_pairs(sets))).filter(_linked(percent)))
+    stars = overlaps(docs, materialize(leader_pairs(sets))).filter(_linked(percent))
     first = materialize(components(stars.select("a", "b")))
     labelled = sets.join(first.select(F.col("node").alias("k"), F.col("component").alias("class")), "k", "left")
     labelled = labelled.withColumn("class", F.coalesce("class", "k"))
@@ -395,7 +395,7 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     leading = materialize(
         led.filter("la <> lb").select(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b")).distinct()
     )
-    answers = materialize(overlaps(docs, leading))
+    answers = overlaps(docs, leading)
     sizes = sets.select("k", "n")
     undecided = (
         led.withColumns({"x": F.greatest("la", "lb"), "y": F.least("la", "lb")})
