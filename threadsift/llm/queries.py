@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from threadsift.llm import decontaminate, jaccard, packing, quality, substring_dedup, suffix_dedup
+from threadsift.llm import decontaminate, jaccard, language, packing, quality, substring_dedup, suffix_dedup, topk
 from threadsift.llm.common import table
 from threadsift.session import configure
 
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(documents, quality.fit_on_learning_part(documents, table(spark, sf_dir, "labels")))
 
 
+@query("op2_top_k")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_decontamination", decontaminate.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -46,6 +51,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"))
 
 
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
