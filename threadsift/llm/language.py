@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = 128
@@ -138,14 +138,16 @@ def train(matrix: np.ndarray, target: np.ndarray, languages: list[str], seed: in
 
 def fit(documents: DataFrame, rows: int = ROWS) -> Network | None:
     """Learn from text and lang of documents; None if none has a language."""
-    marked = documents.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, CHARS).alias("text"))
-    # rows with the least hash of each language: a bounded list for each, merged map-side.
-    least = marked.groupBy("lang").agg(F.expr(f"percentile_approx(h, 0.0)").alias("low"), F.count(F.lit(1)).alias("n"))
-    found = least.select("lang", "n").orderBy("lang").collect()
-    languages = [r["lang"] for r in found]
-    if not languages:
+    marked = documents.filter("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, CHARS).alias("text")
+    )
+    # At most `rows` for each language; Spark keeps no more of a language in any task.
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    found = marked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).toPandas()
+    if found.empty:
         return None
-    parts = [marked.filter(F.col("lang") == r["lang"]).orderBy("h", "text").limit(rows).toPandas() for r in found]
+    languages = sorted(found["lang"].unique())
+    parts = [found[found["lang"] == name].sort_values("n") for name in languages]
     sample, target = [], []
     rng = np.random.default_rng(0)
     for number, part in enumerate(parts):

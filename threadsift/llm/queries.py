@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from threadsift.llm import decontaminate, jaccard, language, packing, quality, substring_dedup, suffix_dedup, topk
+from threadsift.llm import (
+    decontaminate,
+    html_text,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    topk,
+)
 from threadsift.llm.common import table
 from threadsift.session import configure
 
@@ -41,6 +52,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op4_main_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op5_jaccard_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
@@ -61,6 +77,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.document_paths())
+
+
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
