@@ -266,3 +266,11 @@ def test_stream_adds_new_mail_once(spark, tmp_path, as_of):
     got = by_id(sync.read_states(spark, target))
     assert got == {"e0": ("deal", None), **{f"e{i}": ("pending", None) for i in (1, 2, 3)}}
     assert sync.read_states(spark, target).count() == 4
+
+
+def test_numbering_keeps_rows_without_key_or_id(spark):
+    rows = spark.createDataFrame([("u", "a"), (None, "b"), ("u", None), (None, None)], "user_id string, id string")
+    got = ranking.in_chunks(rows, ["user_id"], "id", 1).collect()
+    assert sorted((r.user_id or "", r.id or "", r.chunk_no) for r in got) == [
+        ("", "", 0), ("", "b", 1), ("u", "", 0), ("u", "a", 1)
+    ]

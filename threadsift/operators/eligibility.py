@@ -132,7 +132,7 @@ def eligible_report(
     deals: DataFrame,
     deal_contacts: DataFrame,
     contacts: DataFrame,
-    limit: int | None = fixed.ELIGIBLE_USERS_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Eligible users with their deal and contact counts, earliest start first."""
     if limit is not None and (isinstance(limit, bool) or not isinstance(limit, int) or limit <= 0):

@@ -39,6 +39,15 @@ def first_n_per_key(
     return salted.drop("_salt", "_position")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, where NULL equals NULL; the right side's keys are dropped."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    condition = F.lit(True)
+    for key in keys:
+        condition &= left[key].eqNullSafe(renamed[f"_right_{key}"])
+    return left.join(renamed, condition).drop(*[f"_right_{key}" for key in keys])
+
+
 def numbered(
     rows: DataFrame,
     keys: Sequence[str],
@@ -51,9 +60,9 @@ def numbered(
 
     `slice_by` must not decrease along `order`. Rows are sorted per (key, slice);
     the sizes of the earlier slices, counted on the map side, give the offset.
-    Keys and slices must not be NULL. Columns of `per_key` (one row per key) travel
-    with the offsets, so attaching them moves no row a second time; rows whose key it
-    lacks are dropped.
+    NULL is a key and a slice like any other. Columns of `per_key` (one row per key)
+    travel with the offsets, so attaching them moves no row a second time; rows whose
+    key it lacks are dropped.
     """
     sliced = rows.withColumn("_slice", slice_by)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,11 +72,11 @@ def numbered(
         .select(*keys, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     )
     if per_key is not None:
-        offsets = offsets.join(per_key, list(keys))
+        offsets = _null_safe_join(offsets, per_key, list(keys))
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    numbered_inside = sliced.withColumn("_inside", F.row_number().over(inside))
     return (
-        sliced.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, "_slice"])
+        _null_safe_join(numbered_inside, offsets, [*keys, "_slice"])
         .withColumn(name, F.col("_inside") + F.col("_offset"))
         .drop("_slice", "_inside", "_offset")
     )

@@ -147,10 +147,12 @@ def coerce_items(items: DataFrame, item: str = "item") -> DataFrame:
 def attach_thread_ids(items: DataFrame, batch_order: DataFrame) -> DataFrame:
     """Resolve thread_index through the order of the batch.
 
-    An index of 0 or less means the first thread; outside the batch the item's own id counts.
+    An index of 0 or less means the first thread; where it cannot be read or lies outside
+    the batch, the item's own id counts.
     """
     order = batch_order.select("batch_id", F.col("thread_index").cast("double").alias("_index"), F.col("thread_id").alias("_ordered"))
-    index = F.when(F.col("has_index"), F.greatest(F.lit(1.0), F.col("thread_index")))
+    readable = F.col("has_index") & F.col("thread_index").isNotNull()
+    index = F.when(readable, F.greatest(F.lit(1.0), F.col("thread_index")))
     return (
         items.withColumn("_index", index)
         .join(order, ["batch_id", "_index"], "left")

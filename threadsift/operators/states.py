@@ -310,7 +310,7 @@ def fail_orphans(states: DataFrame, statuses: Sequence[str], stale_minutes: int
 
 
 # ---- recovery ------------------------------------------------------------------
-def users_with_failures(states: DataFrame, limit: int | None = fixed.RECOVERY_USERS) -> DataFrame:
+def users_with_failures(states: DataFrame, limit: int | None = None) -> DataFrame:
     """Users with failed rows and the oldest of them, oldest first."""
     users = (
         states.filter(F.col("status") == "failed")
@@ -322,10 +322,10 @@ def users_with_failures(states: DataFrame, limit: int | None = fixed.RECOVERY_US
 
 def failed_rows(
     states: DataFrame,
-    user_limit: int | None = fixed.RECOVERY_USERS,
-    rows_per_user: int | None = fixed.RECOVERY_ROWS_PER_USER,
+    user_limit: int | None = None,
+    rows_per_user: int | None = None,
 ) -> DataFrame:
-    """Failed rows to recover: the oldest rows of the users who wait longest."""
+    """Failed rows to recover; with limits, the oldest rows of the users who wait longest."""
     failed = states.filter(F.col("status") == "failed")
     if user_limit is not None:
         failed = failed.join(users_with_failures(states, user_limit).select("user_id"), "user_id", "left_semi")
@@ -347,8 +347,8 @@ def recover(
     states: DataFrame,
     messages: DataFrame,
     as_of: Column,
-    user_limit: int | None = fixed.RECOVERY_USERS,
-    rows_per_user: int | None = fixed.RECOVERY_ROWS_PER_USER,
+    user_limit: int | None = None,
+    rows_per_user: int | None = None,
 ) -> DataFrame:
     """Failed rows go back to pending (no batch) or, without a message, to dead (batch kept)."""
     rows = split_by_availability(failed_rows(states, user_limit, rows_per_user), messages)

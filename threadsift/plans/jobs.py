@@ -143,11 +143,16 @@ def select_candidates(
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")
+    placed_threads = threads.thread_batches(open_mails, ["user_id"], batch_size)
+    # A later run numbers a user's batches anew: what is in a batch makes its id unique.
+    contents = placed_threads.groupBy("user_id", "batch_no").agg(
+        F.md5(F.array_join(F.array_sort(F.collect_list("thread_id")), "|")).alias("contents")
+    )
     batches = materialize(
-        threads.thread_batches(open_mails, ["user_id"], batch_size).select(
+        placed_threads.join(contents, ["user_id", "batch_no"]).select(
             "thread_id",
             "thread_index",
-            F.concat_ws(":", F.lit("classify"), "user_id", "batch_no").alias("batch_id"),
+            F.concat_ws(":", F.lit("classify"), "user_id", "batch_no", "contents").alias("batch_id"),
         )
     )
     texts = threads.batch_texts(threads.batch_segments(open_mails, batches))
@@ -234,8 +239,8 @@ def recovery_job(
     deal_states: DataFrame,
     messages: DataFrame,
     as_of: Column,
-    user_limit: int | None = fixed.RECOVERY_USERS,
-    rows_per_user: int | None = fixed.RECOVERY_ROWS_PER_USER,
+    user_limit: int | None = None,
+    rows_per_user: int | None = None,
 ) -> JobResult:
     """Return failed rows to the queue where their message can still be read."""
     rows = states.split_by_availability(states.failed_rows(deal_states, user_limit, rows_per_user), messages)
@@ -248,7 +253,7 @@ def recovery_job(
     return JobResult({"deal_states": after}, summary)
 
 
-def notify_job(tables: dict[str, DataFrame], markers: DataFrame, limit: int | None = fixed.ELIGIBLE_USERS_LIMIT) -> JobResult:
+def notify_job(tables: dict[str, DataFrame], markers: DataFrame, limit: int | None = None) -> JobResult:
     """Outbox rows for users whose first scan is complete and who were not told yet."""
     report = eligibility.eligible_report(
         tables["sync_states"],

@@ -291,10 +291,12 @@ def classification(t):
 
 
 _CLAIMED = """
-SELECT s.* FROM f_deal_states s WHERE s.status = 'pending_classification' AND s.thread_id IN (
- SELECT a.thread_id FROM f_deal_states a WHERE a.status = 'pending_classification' AND NOT EXISTS (
-  SELECT 1 FROM f_deal_states b WHERE b.thread_id = a.thread_id AND b.sync_state_id = a.sync_state_id
-   AND b.status IN ('pending', 'filtering')))"""
+SELECT s.* FROM f_deal_states s JOIN (
+ SELECT thread_id, MAX(CASE WHEN ready > 0 AND (unfinished = 0 OR sync_state_id IS NULL) THEN 1 ELSE 0 END) AS complete FROM (
+  SELECT thread_id, sync_state_id, COUNT(*) FILTER (WHERE status = 'pending_classification') AS ready,
+   COUNT(*) FILTER (WHERE status IN ('pending', 'filtering')) AS unfinished
+  FROM f_deal_states GROUP BY thread_id, sync_state_id) g GROUP BY thread_id) t ON t.thread_id = s.thread_id
+WHERE s.status = 'pending_classification' AND t.complete = 1"""
 _CLAIMED_THREADS = f"""
 SELECT c.thread_id, MAX(c.user_id) AS user_id, COUNT(m.message_id) AS messages,
  MAX(CASE WHEN m.date_text <> 'not a date' THEN m.sent_at END) <= MAX(d.updated_at) AS covered

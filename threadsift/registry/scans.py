@@ -15,8 +15,8 @@ from threadsift.streaming import sync as stream
 CATEGORIES = ("new", "in_progress", "completed", "not_interested", "likely_scam", "low_confidence")
 ACTIVE = "('pending', 'filtering', 'pending_classification', 'classifying')"
 
-_LATEST = """SELECT id AS sync_state_id, user_id, created_at, sync_strategy FROM (
- SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY created_at DESC, id DESC) AS rn FROM f_sync_states) s WHERE rn = 1"""
+_LATEST = """SELECT newest.id AS sync_state_id, user_id, newest.created_at AS created_at, newest.strategy AS sync_strategy
+FROM (SELECT user_id, MAX({'created_at': created_at, 'id': id, 'strategy': sync_strategy}) AS newest FROM f_sync_states GROUP BY user_id) u"""
 
 
 @query("win_1_latest_sync", _LATEST)
@@ -24,11 +24,14 @@ def win_1(t):
     return eli.latest_sync(t.sync_states)
 
 
-_STATUS = f"""SELECT l.user_id, l.sync_state_id, l.created_at AS initiated_at,
- (SELECT COUNT(*) FROM f_email_metadata m WHERE m.user_id = l.user_id) AS total_messages,
- CAST(COALESCE((SELECT SUM(CASE WHEN s.status NOT IN {ACTIVE} THEN 1 ELSE 0 END) FROM f_deal_states s
-  WHERE s.user_id = l.user_id), 0) AS BIGINT) AS processed_messages
-FROM ({_LATEST}) l WHERE l.sync_strategy = 'LOOKBACK'"""
+# Mails and finished mails are counted once for each user and then looked up.
+_STATUS = f"""SELECT l.user_id, l.sync_state_id, l.created_at AS initiated_at, COALESCE(mails.n, 0) AS total_messages,
+ COALESCE(done.n, 0) AS processed_messages
+FROM ({_LATEST}) l
+LEFT JOIN (SELECT user_id, COUNT(*) AS n FROM f_email_metadata GROUP BY user_id) mails ON mails.user_id = l.user_id
+LEFT JOIN (SELECT user_id, COUNT(status) - COUNT(*) FILTER (WHERE status IN {ACTIVE}) AS n FROM f_deal_states GROUP BY user_id) done
+ ON done.user_id = l.user_id
+WHERE l.sync_strategy = 'LOOKBACK'"""
 
 
 @query("joi_12_message_counts_per_user", _STATUS)
@@ -37,11 +40,12 @@ def joi_12(t):
 
 
 _SUCCESS_EVENTS = "('metadata_ingestion_end', 'content_ingestion_end', 'completed')"
-_PRIOR = f"""SELECT ss.id, ss.user_id, ss.created_at FROM f_sync_states ss WHERE ss.sync_strategy = 'LOOKBACK' AND EXISTS (
- SELECT 1 FROM f_sync_events se WHERE se.sync_state_id = ss.id AND se.event IN {_SUCCESS_EVENTS}
-  AND se.created_at = (SELECT MAX(s2.created_at) FROM f_sync_events s2 WHERE s2.sync_state_id = ss.id AND s2.event IN {_SUCCESS_EVENTS})
-  AND NOT EXISTS (SELECT 1 FROM f_sync_events sf WHERE sf.sync_state_id = ss.id
-   AND sf.event IN ('metadata_ingestion_failed', 'content_ingestion_failed') AND sf.created_at > se.created_at))"""
+# A sync succeeded if its last success is not older than its last failure.
+_PRIOR = f"""SELECT ss.id, ss.user_id, ss.created_at FROM f_sync_states ss JOIN (
+ SELECT sync_state_id, MAX(created_at) FILTER (WHERE event IN {_SUCCESS_EVENTS}) AS won,
+  MAX(created_at) FILTER (WHERE event LIKE '%_ingestion_failed') AS lost FROM f_sync_events GROUP BY sync_state_id) log
+ ON log.sync_state_id = ss.id
+WHERE ss.sync_strategy = 'LOOKBACK' AND won >= COALESCE(lost, won)"""
 
 
 @query("joi_7_successful_lookbacks", _PRIOR)
@@ -49,15 +53,14 @@ def joi_7(t):
     return eli.successful_lookbacks(t.sync_states, t.sync_events)
 
 
-_CANDIDATES = f"""SELECT * FROM ({_STATUS}) s WHERE initiated_at IS NOT NULL AND total_messages > 0
- AND processed_messages >= total_messages"""
-_ELIGIBLE = f"""SELECT c.* FROM ({_CANDIDATES}) c WHERE NOT EXISTS (
- SELECT 1 FROM ({_PRIOR}) p WHERE p.user_id = c.user_id AND p.created_at < c.initiated_at)"""
+# The first success of each user decides: nothing may have succeeded before the scan began.
+_FIRST = f"SELECT user_id, MIN(created_at) AS first_success FROM ({_PRIOR}) p GROUP BY user_id"
+_UNTOLD = f"""SELECT s.* FROM ({_STATUS}) s LEFT JOIN ({_FIRST}) f ON f.user_id = s.user_id
+WHERE COALESCE(first_success >= initiated_at, TRUE)"""
+_ELIGIBLE = f"SELECT * FROM ({_UNTOLD}) u WHERE total_messages BETWEEN 1 AND processed_messages AND initiated_at IS NOT NULL"
 
 
-@query("joi_8_without_earlier_success", f"""
-SELECT s.user_id, s.initiated_at FROM ({_STATUS}) s WHERE NOT EXISTS (
- SELECT 1 FROM ({_PRIOR}) p WHERE p.user_id = s.user_id AND p.created_at < s.initiated_at)""")
+@query("joi_8_without_earlier_success", f"SELECT user_id, initiated_at FROM ({_UNTOLD}) u")
 def joi_8(t):
     users = eli.sync_progress(eli.latest_sync(t.sync_states), t.email_metadata, t.deal_states)
     return eli.without_earlier_success(users, eli.successful_lookbacks(t.sync_states, t.sync_events)).select(
@@ -70,18 +73,18 @@ def _all_users(t):
 
 
 def _deal_counts(users: str) -> str:
-    sums = ", ".join(
-        f"CAST(SUM(CASE WHEN d.category = '{c}' THEN 1 ELSE 0 END) AS BIGINT) AS db_{c}" for c in CATEGORIES
-    )
-    return f"""SELECT e.user_id, {sums} FROM ({users}) e
-LEFT JOIN f_deals d ON d.user_id = e.user_id AND d.updated_at >= e.initiated_at GROUP BY e.user_id"""
+    counts = ", ".join(f"COUNT(*) FILTER (WHERE category = '{c}') AS db_{c}" for c in CATEGORIES)
+    found = ", ".join(f"COALESCE(db_{c}, 0) AS db_{c}" for c in CATEGORIES)
+    return f"""SELECT u.user_id, {found} FROM ({users}) u LEFT JOIN (
+ SELECT d.user_id, {counts} FROM f_deals d, ({users}) w WHERE w.user_id = d.user_id AND d.updated_at >= w.initiated_at
+ GROUP BY d.user_id) n ON n.user_id = u.user_id"""
 
 
 def _contact_counts(users: str) -> str:
-    return f"""SELECT e.user_id, COUNT(DISTINCT c.email) AS contacts_added FROM ({users}) e
-JOIN f_deal_contacts dc ON dc.user_id = e.user_id
-JOIN f_deals d ON d.id = dc.deal_id AND d.user_id = e.user_id AND d.updated_at >= e.initiated_at
-JOIN f_contacts c ON c.user_id = dc.user_id AND c.email = dc.email GROUP BY e.user_id"""
+    return f"""SELECT user_id, COUNT(*) AS contacts_added FROM (
+ SELECT user_id, email FROM f_deal_contacts WHERE (deal_id, user_id) IN (
+  SELECT (d.id, d.user_id) FROM f_deals d, ({users}) w WHERE w.user_id = d.user_id AND d.updated_at >= w.initiated_at)
+ INTERSECT SELECT user_id, email FROM f_contacts) x GROUP BY user_id"""
 
 
 _USERS = f"SELECT user_id, created_at AS initiated_at FROM ({_LATEST}) l"
@@ -108,27 +111,27 @@ def agg_5(t):
     return t.deal_contacts.groupBy("user_id").agg(F.count_distinct("email").alias("contacts"))
 
 
-def _report(limit: int) -> str:
-    counts = ", ".join(f"COALESCE(da.db_{c}, 0) AS db_{c}" for c in CATEGORIES)
-    return f"""SELECT e.user_id, e.initiated_at, {counts}, COALESCE(ca.contacts_added, 0) AS contacts_added
-FROM ({_ELIGIBLE}) e LEFT JOIN ({_deal_counts(_ELIGIBLE)}) da ON da.user_id = e.user_id
-LEFT JOIN ({_contact_counts(_ELIGIBLE)}) ca ON ca.user_id = e.user_id ORDER BY e.initiated_at, e.user_id LIMIT {limit}"""
+def _report(limit: int | None = None) -> str:
+    counts = ", ".join(f"db_{c}" for c in CATEGORIES)
+    first = f" ORDER BY initiated_at, user_id LIMIT {limit}" if limit else ""
+    return f"""SELECT u.user_id, u.initiated_at, {counts}, COALESCE(contacts_added, 0) AS contacts_added FROM ({_ELIGIBLE}) u
+JOIN ({_deal_counts(_ELIGIBLE)}) n USING (user_id) LEFT JOIN ({_contact_counts(_ELIGIBLE)}) c USING (user_id){first}"""
 
 
-def report(t, limit: int | None = 500):
+def report(t, limit: int | None = None):
     return eli.eligible_report(
         t.sync_states, t.sync_events, t.email_metadata, t.deal_states, t.deals, t.deal_contacts, t.contacts, limit
     )
 
 
-@query("eli_1_eligible_users", _report(500))
+@query("eli_1_eligible_users", _report())
 def eli_1(t):
     return report(t)
 
 
-@query("joi_11_report_of_all_eligible_users", _report(1000000000))
+@query("joi_11_report_of_all_eligible_users", _report())
 def joi_11(t):
-    return report(t, None)
+    return report(t)
 
 
 @query("srt_1_first_five_eligible_users", _report(5))
@@ -148,12 +151,12 @@ def src_6(t):
     )
 
 
-_WAITING = f"SELECT r.* FROM ({_report(1000000000)}) r WHERE r.user_id NOT IN (SELECT user_id FROM ({_MARKED}) m WHERE sent)"
+_WAITING = f"SELECT r.* FROM ({_report()}) r WHERE r.user_id NOT IN (SELECT user_id FROM ({_MARKED}) m WHERE sent)"
 
 
 @query("joi_18_not_yet_notified", f"SELECT user_id, initiated_at FROM ({_WAITING}) w")
 def joi_18(t):
-    rows = notifications.classify(report(t, None), t.markers)
+    rows = notifications.classify(report(t), t.markers)
     return rows.filter(F.col("outcome") == "to_send").select("user_id", "initiated_at")
 
 
@@ -169,16 +172,16 @@ def _payload(source: str) -> str:
 
 @query("snk_5_outbox", _payload(_WAITING))
 def snk_5(t):
-    return notifications.outbox(report(t, None), t.markers)
+    return notifications.outbox(report(t), t.markers)
 
 
 _ROWS = f"""SELECT CASE WHEN user_id LIKE '%7' THEN '  ' ELSE user_id END AS user_id, * EXCLUDE (user_id)
-FROM ({_report(1000000000)}) r"""
+FROM ({_report()}) r"""
 
 
 def damaged_report(t):
     """The report with some user ids lost and upper-case column names."""
-    rows = report(t, None).withColumn(
+    rows = report(t).withColumn(
         "user_id", F.when(F.col("user_id").endswith("7"), "  ").otherwise(F.col("user_id"))
     )
     return rows.toDF(*[name.upper() for name in rows.columns])

@@ -108,10 +108,13 @@ def joi_4(t):
     )
 
 
+# A thread is complete if one of its syncs has rows ready and none unfinished; rows without a sync wait for nobody.
 _COMPLETE = """
-SELECT DISTINCT a.thread_id FROM f_deal_states a WHERE a.status = 'pending_classification'
- AND NOT EXISTS (SELECT 1 FROM f_deal_states b WHERE b.thread_id = a.thread_id
-  AND b.sync_state_id = a.sync_state_id AND b.status IN ('pending', 'filtering'))"""
+SELECT DISTINCT thread_id FROM (
+ SELECT thread_id, sync_state_id, COUNT(*) FILTER (WHERE status = 'pending_classification') AS ready,
+  COUNT(*) FILTER (WHERE status IN ('pending', 'filtering')) AS unfinished
+ FROM f_deal_states GROUP BY thread_id, sync_state_id) g
+WHERE ready > 0 AND (unfinished = 0 OR sync_state_id IS NULL OR thread_id IS NULL)"""
 
 
 @query("joi_5_complete_threads", _COMPLETE)
@@ -166,7 +169,7 @@ def agg_2b(t):
 SELECT user_id, MIN(updated_at) AS oldest FROM f_deal_states WHERE status = 'failed'
 GROUP BY user_id ORDER BY oldest, user_id LIMIT 200""")
 def agg_3(t):
-    return states.users_with_failures(t.deal_states)
+    return states.users_with_failures(t.deal_states, 200)
 
 
 _FAILED = """
@@ -351,7 +354,8 @@ def sta_9(t):
     return states.fail_orphans(t.deal_states, ["pending_classification", "classifying"], 30, t.as_of)
 
 
-_RECOVERED = f"SELECT s.*, r.email_metadata_id AS rid, m.message_id AS mid FROM f_deal_states s LEFT JOIN ({_FAILED.replace('rn <= 2', 'rn <= 500')}) r ON r.email_metadata_id = s.email_metadata_id LEFT JOIN f_messages m ON m.message_id = s.message_id"
+_RECOVERED = """SELECT s.*, CASE WHEN s.status = 'failed' THEN s.email_metadata_id END AS rid, m.message_id AS mid
+FROM f_deal_states s LEFT JOIN f_messages m ON m.message_id = s.message_id"""
 
 
 @query("sta_10_recover", f"""
