@@ -295,8 +295,17 @@ def _long_list(lo: int, hi: int, n, at, class_, percent) -> Iterator[tuple[np.nd
             yield _pairs_in_range(n, at, class_, left, right, percent)
 
 
+def _merged_pairs(pairs: np.ndarray) -> np.ndarray:
+    """Rows (a, b, na, nb, met) with one row for each pair, its meetings summed."""
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    first = np.flatnonzero(np.append(True, (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)))
+    merged = pairs[first]
+    merged[:, 4] = np.add.reduceat(pairs[:, 4], first)
+    return merged
+
+
 def _probe(percent: int):
-    """Packed postings, sorted by bucket and cell -> distinct candidate pairs of each."""
+    """Packed postings, sorted by bucket and cell -> candidate pairs of each, with how often they meet."""
 
     def of_bucket(parts: list[dict]) -> Iterator[pa.RecordBatch]:
         whole = {c: np.concatenate([p[c] for p in parts]) for c in ("shingle", "k", "n", "at", "class")}
@@ -319,22 +328,27 @@ def _probe(percent: int):
             for i in long_.tolist():
                 yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, percent)
 
+        def out(pairs: np.ndarray) -> pa.RecordBatch:
+            names = zip(("a", "b", "na", "nb", "met"), pairs.T)
+            return batch({c: pa.array(np.ascontiguousarray(v)) for c, v in names})
+
         held: list[np.ndarray] = []
         size = 0
         for x, y in found():
             if not len(x):
                 continue
-            held.append(np.stack([np.maximum(k[x], k[y]), np.minimum(k[x], k[y])], axis=1))
+            up = k[x] > k[y]
+            x, y = np.where(up, x, y), np.where(up, y, x)
+            held.append(np.stack([k[x], k[y], n[x], n[y], np.ones(len(x), dtype=np.int64)], axis=1))
             size += len(x)
             if size > STEP:
-                held = [np.unique(np.concatenate(held), axis=0)]
+                held = [_merged_pairs(np.concatenate(held))]
                 size = 0
                 if len(held[0]) > STEP:
-                    yield batch({"a": pa.array(held[0][:, 0].copy()), "b": pa.array(held[0][:, 1].copy())})
+                    yield out(held[0])
                     held = []
         if held:
-            pairs = np.unique(np.concatenate(held), axis=0)
-            yield batch({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
+            yield out(_merged_pairs(np.concatenate(held)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -354,12 +368,20 @@ def _probe(percent: int):
 
 
 def candidates(sets: DataFrame, common: np.ndarray, often: np.ndarray, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a, b) of sets of different classes; sets: k, n, prefix, class."""
+    """Candidate pairs (a, b, na, nb) of sets of different classes; sets: k, n, prefix, class.
+
+    Let x be the set whose prefix ends first. What two sets share up to that end stands in
+    both prefixes, where they meet once for each such shingle; the rest is no more than
+    what follows in x, ceil(percent * n) - 1. Pairs for which that is too little go.
+    """
     total = sets.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(64, int(total // BUCKET))
     packed = sets.select("k", "n", "prefix", "class").mapInArrow(_postings(common, often, buckets, CELL), _POSTINGS)
     dealt = packed.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    return dealt.mapInArrow(_probe(percent), "a long, b long").distinct()
+    met = dealt.mapInArrow(_probe(percent), "a long, b long, na long, nb long, met long")
+    pairs = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("met").alias("met"))
+    follows = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
+    return pairs.filter((F.col("met") + follows) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
 
 
 def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -391,20 +413,17 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
             {f"l{side}": F.coalesce(f"l{side}", side), f"d{side}": F.coalesce(f"d{side}", F.lit(0))}
         )
 
-    led = materialize(with_leader(with_leader(open_, "a"), "b"))
+    led = materialize(with_leader(with_leader(open_.withColumnsRenamed({"na": "n1", "nb": "n2"}), "a"), "b"))
     leading = materialize(
         led.filter("la <> lb").select(F.greatest("la", "lb").alias("a"), F.least("la", "lb").alias("b")).distinct()
     )
     answers = overlaps(docs, leading)
-    sizes = sets.select("k", "n")
     undecided = (
         led.withColumns({"x": F.greatest("la", "lb"), "y": F.least("la", "lb")})
         .filter("NOT (a = x AND b = y)")
         .join(answers.select(F.col("a").alias("x"), F.col("b").alias("y"), "na", "nb", "shared"), ["x", "y"])
         .filter(f"NOT ({_linked(percent)})")
-        .join(sizes.select(F.col("k").alias("a"), F.col("n").alias("n1")), "a")
-        .join(sizes.select(F.col("k").alias("b"), F.col("n").alias("n2")), "b")
-        .filter(f"100 * CAST(shared + da + db AS LONG) >= {percent} * (CAST(n1 AS LONG) + n2 - shared - da - db)")
+        .filter(f"100 * CAST(shared + da + db AS LONG) >= {percent} * (n1 + n2 - shared - da - db)")
         .select("a", "b")
         .distinct()
     )
