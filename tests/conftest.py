@@ -12,7 +12,7 @@ from threadsift.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(4, shuffle_partitions=4)
     if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        session.conf.set("threadsift.shared.folder", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -20,6 +20,10 @@ SQL_DEFAULTS = {
 }
 
 
+# Remembers the fallback of a local session; the cluster's own setting cannot be changed later.
+_OWN_FOLDER = "threadsift.shared.folder"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time SQL settings to an existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -53,13 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
     On a cluster `spark.checkpoint.dir` names it. Only a local session without
     that setting falls back to a fresh temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_FOLDER, None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="threadsift-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(_OWN_FOLDER, folder)
     return folder
 
 
