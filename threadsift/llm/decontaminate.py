@@ -131,9 +131,9 @@ def clean(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
 
 
 ORACLE = """
-WITH d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), w -> w <> '') AS w
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') AS w
  FROM documents),
-b AS (SELECT row_number() OVER () AS item, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), w -> w <> '') AS w
+b AS (SELECT row_number() OVER () AS item, item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda w: w <> '') AS w
  FROM benchmark),
 ds AS (SELECT DISTINCT k, doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
 bs AS (SELECT DISTINCT item, item_id, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),

@@ -13,6 +13,7 @@ from threadsift.llm import (
     jaccard,
     language,
     licenses,
+    oracles,
     packing,
     quality,
     substring_dedup,
@@ -42,7 +43,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(documents, quality.fit_on_learning_part(documents, table(spark, sf_dir, "labels")))
 
 
-@query("op2_top_k")
+@query("op2_top_k", oracles.TOP_K)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +58,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
-@query("op5_jaccard_join")
+@query("op5_jaccard_join", oracles.JACCARD)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
@@ -72,7 +73,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
-@query("op8_substring_dedup")
+@query("op8_substring_dedup", oracles.SUBSTRINGS)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
