@@ -82,10 +82,11 @@ def test_thread_ids_follow_the_batch_order(spark):
     raw = json.dumps([
         {"thread_index": 2}, {"thread_index": 0}, {"thread_index": -3}, {"thread_index": "1"},
         {"thread_index": 9, "thread_id": "own"}, {"thread_index": 9}, {"thread_id": "free"}, {"thread_index": None, "thread_id": "n"},
+        {"thread_index": "abc", "thread_id": "unread"}, {"thread_index": 1.5, "thread_id": "half"}, {"thread_index": "", "thread_id": "blank"},
     ])
     order = spark.createDataFrame([("0", 1, "first"), ("0", 2, "second")], "batch_id string, thread_index int, thread_id string")
     rows = replies.reply_items(parse(spark, raw), order).orderBy("pos").collect()
-    assert [r.thread_id for r in rows] == ["second", "first", "first", "first", "own", "", "free", "n"]
+    assert [r.thread_id for r in rows] == ["second", "first", "first", "first", "own", "", "free", "n", "unread", "half", "first"]
 
 
 def test_layers(spark):

@@ -16,6 +16,11 @@ def headers_only(messages: DataFrame) -> DataFrame:
     return messages.drop("body", "reply_body")
 
 
+def claimed_messages(messages: DataFrame, rows: DataFrame) -> DataFrame:
+    """The messages that the given rows name. No rule, body or header of another one is looked at."""
+    return messages.join(rows.select("message_id"), "message_id", "left_semi")
+
+
 def enrich(messages: DataFrame, rows: DataFrame) -> DataFrame:
     """Messages with the metadata id, thread and previous summary of their row.
 
@@ -88,7 +93,8 @@ def filter_changes(states: DataFrame, messages: DataFrame, lists: RuleLists = DE
     One exchange on message_id; rows without a message are left out and stay as they are.
     """
     waiting = states.filter(F.col("status") == "filtering").select("email_metadata_id", "batch_id", "message_id")
-    return waiting.join(verdicts(messages, lists), "message_id").withColumnRenamed("verdict", "status")
+    judged = verdicts(claimed_messages(messages, waiting), lists)
+    return waiting.join(judged, "message_id").withColumnRenamed("verdict", "status")
 
 
 def filter_step(states: DataFrame, messages: DataFrame, as_of: Column, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:

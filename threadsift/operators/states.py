@@ -162,6 +162,11 @@ def _stamp(states: DataFrame, where: Column, as_of: Column, **values: Column) ->
     return states.withColumns(columns)
 
 
+def _asked(states: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows for which a condition holds, and all others."""
+    return states.filter(where), states.filter(~F.coalesce(where, F.lit(False)))
+
+
 def set_status_by_ids(states: DataFrame, ids: DataFrame, status: str, as_of: Column) -> DataFrame:
     return apply_changes(states, ids.select("email_metadata_id", F.lit(status).alias("status")), as_of)
 
@@ -169,18 +174,30 @@ def set_status_by_ids(states: DataFrame, ids: DataFrame, status: str, as_of: Col
 def set_status_by_batches(
     states: DataFrame, batches: DataFrame, from_status: str, to_status: str, as_of: Column
 ) -> DataFrame:
-    """Rows of the given batches that are in `from_status` move to `to_status`."""
+    """Rows of the given batches that are in `from_status` move to `to_status`.
+
+    Only rows that can match are joined: the rows without a batch would all meet under
+    one key.
+    """
+    asked, others = _asked(states, F.col("batch_id").isNotNull() & (F.col("status") == from_status))
     marked = batches.select("batch_id").distinct().withColumn("_hit", F.lit(True))
-    joined = states.join(marked, "batch_id", "left")
-    hit = F.col("_hit").isNotNull() & (F.col("status") == from_status)
-    return _stamp(joined, hit, as_of, status=F.lit(to_status)).select(*states.columns)
+    joined = asked.join(marked, "batch_id", "left")
+    moved = _stamp(joined, F.col("_hit").isNotNull(), as_of, status=F.lit(to_status))
+    return moved.select(*states.columns).unionByName(others)
+
+
+def count_in_batches(states: DataFrame, batches: DataFrame, status: str) -> DataFrame:
+    """One row, n: how many rows in `status` the given batches hold."""
+    asked, _ = _asked(states, F.col("batch_id").isNotNull() & (F.col("status") == status))
+    return asked.join(batches.select("batch_id"), "batch_id", "left_semi").agg(F.count(F.lit(1)).alias("n"))
 
 
 def refresh_batches(states: DataFrame, batches: DataFrame, as_of: Column) -> DataFrame:
     """Renew the timestamp of every row of the given batches."""
+    asked, others = _asked(states, F.col("batch_id").isNotNull())
     marked = batches.select("batch_id").distinct().withColumn("_hit", F.lit(True))
-    joined = states.join(marked, "batch_id", "left")
-    return _stamp(joined, F.col("_hit").isNotNull(), as_of).select(*states.columns)
+    joined = asked.join(marked, "batch_id", "left")
+    return _stamp(joined, F.col("_hit").isNotNull(), as_of).select(*states.columns).unionByName(others)
 
 
 # ---- stuck and dead batches ----------------------------------------------------
@@ -250,7 +267,8 @@ def retry_stuck(
         stuck_batches(states, batch_events, status, as_of, minutes, max_attempts).select("batch_id")
     )
     is_parent = F.col("batch_id").startswith(fixed.MEGA_BATCH_PREFIX)
-    marked = states.join(stuck.withColumn("_stuck", F.lit(True)), "batch_id", "left")
+    batched, others = _asked(states, F.col("batch_id").isNotNull())
+    marked = batched.join(stuck.withColumn("_stuck", F.lit(True)), "batch_id", "left")
 
     parent_rows = states.filter(is_parent).join(stuck, "batch_id", "left_semi")
     if batch_type == "filter":
@@ -268,7 +286,7 @@ def retry_stuck(
     events = event_rows(stuck.filter(~is_parent), batch_type, "retrigger", as_of).unionByName(
         event_rows(new_batches, batch_type, "new", as_of)
     )
-    return updated.select(*states.columns), events
+    return updated.select(*states.columns).unionByName(others), events
 
 
 def dead_letter(

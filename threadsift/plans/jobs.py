@@ -28,13 +28,6 @@ class JobResult:
     summary: DataFrame
 
 
-def _changed_to(before: DataFrame, after: DataFrame, status: str) -> Column:
-    """Number of rows a job moved to a status, as a scalar."""
-    counts = states.transition_counts(before, after)
-    moved = (F.col("new_status") == status) & (F.col("old_status") != status)
-    return counts.agg(F.coalesce(F.sum(F.when(moved, F.col("n"))), F.lit(0)).alias("n")).scalar()
-
-
 def sync_job(
     deal_states: DataFrame,
     batch_events: DataFrame,
@@ -43,19 +36,18 @@ def sync_job(
     max_attempts: int = fixed.MAX_ATTEMPTS,
 ) -> JobResult:
     """Add states for new mail, then fail batches out of attempts in both active steps."""
-    fresh = states.missing_states(deal_states, metadata, as_of)
-    current, events = deal_states.unionByName(fresh), []
+    fresh = materialize(states.missing_states(deal_states, metadata, as_of))
+    swept, events, failed = deal_states, [], F.lit(0)
     for status, batch_type in (("filtering", "filter"), ("classifying", "classify")):
-        current, dead = states.dead_letter(
-            current, batch_events, status, batch_type, as_of, max_attempts=max_attempts
+        # New rows are in neither step, and no row is in both: each looks at the old table.
+        dead = materialize(
+            states.dead_batches(deal_states, batch_events, status, as_of, max_attempts=max_attempts).select("batch_id")
         )
-        events.append(dead)
-    counts = states.transition_counts(deal_states, current).agg(
-        F.sum(F.when(F.col("old_status") == "(none)", F.col("n")).otherwise(0)).alias("synced_count"),
-        F.sum(
-            F.when((F.col("new_status") == "failed") & F.col("old_status").isin(list(fixed.ACTIVE_STATUSES)), F.col("n")).otherwise(0)
-        ).alias("dead_lettered"),
-    )
+        failed = failed + states.count_in_batches(deal_states, dead, status).scalar()
+        swept = states.set_status_by_batches(swept, dead, status, "failed", as_of)
+        events.append(states.event_rows(dead, batch_type, "dead_letter", as_of))
+    current = swept.unionByName(fresh)
+    counts = fresh.agg(F.count(F.lit(1)).alias("synced_count")).withColumn("dead_lettered", failed)
     log = upsert_table("batch_events", batch_events, events[0].unionByName(events[1]), as_of)
     return JobResult({"deal_states": current, "batch_events": log}, counts)
 
@@ -71,7 +63,8 @@ def filter_changes(
     chunks = in_chunks(pending, ["user_id"], "email_metadata_id", batch_size)
     stamp = F.date_format(as_of, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     claimed = chunks.withColumn("batch_id", stable_id(F.lit("filter"), F.col("user_id"), F.col("chunk_no"), stamp))
-    return claimed.join(mails.verdicts(messages, lists), "message_id", "left").select(
+    judged = mails.verdicts(mails.claimed_messages(messages, pending), lists)
+    return claimed.join(judged, "message_id", "left").select(
         "email_metadata_id", "batch_id", F.coalesce("verdict", F.lit("filtering")).alias("status")
     )
 
@@ -89,9 +82,12 @@ def filter_job(
     fail what ran out of attempts. The claim and the verdict reach the state table in one update."""
     changes = materialize(filter_changes(deal_states, messages, as_of, batch_size, lists))
     filtered = apply_changes(deal_states, changes, as_of)
-    swept, dead = states.dead_letter(
-        filtered, batch_events, "filtering", "filter", as_of, max_attempts=max_attempts
+    # Rows claimed just now are fresh: whatever is out of attempts was so before.
+    dead_ids = materialize(
+        states.dead_batches(deal_states, batch_events, "filtering", as_of, max_attempts=max_attempts).select("batch_id")
     )
+    swept = states.set_status_by_batches(filtered, dead_ids, "filtering", "failed", as_of)
+    dead = states.event_rows(dead_ids, "filter", "dead_letter", as_of)
     batches = changes.select("batch_id").distinct()
     done = states.event_rows(batches, "filter", "complete", as_of)
     log = upsert_table("batch_events", batch_events, done.unionByName(dead), as_of)
@@ -100,7 +96,7 @@ def filter_job(
         F.count_if(F.col("status") == "pending_classification").alias("total_filtered"),
         F.count_if(F.col("status") == "filter_rejected").alias("total_rejected"),
         F.count_if(F.col("status") == "filtering").alias("total_unfetched"),
-    ).withColumn("stuck_failed", _changed_to(filtered, swept, "failed"))
+    ).withColumn("stuck_failed", states.count_in_batches(deal_states, dead_ids, "filtering").scalar())
     return JobResult({"deal_states": swept, "batch_events": log}, summary)
 
 
@@ -139,7 +135,7 @@ def select_candidates(
     owners = rows.groupBy("thread_id").agg(
         F.max("user_id").alias("user_id"), F.max("creator_email").alias("creator_email")
     )
-    placed = mails.enrich(messages.drop("user_id"), rows).join(owners, "thread_id")
+    placed = mails.enrich(mails.claimed_messages(messages.drop("user_id"), rows), rows).join(owners, "thread_id")
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")
@@ -193,10 +189,15 @@ def classify_job(
         F.max("user_id").alias("user_id"), F.max("creator_email").alias("creator_email")
     )
     found = items.filter("is_deal").select("batch_id", "pos", "thread_id", "main_contact").join(people, "thread_id", "left")
-    placed = mails.enrich(messages, rows)
+    # Only deal threads need a contact from elsewhere.
+    sought = found.select("thread_id").distinct()
+    placed = mails.enrich(mails.claimed_messages(messages, rows), rows).join(sought, "thread_id", "left_semi")
     from_headers = contacts.latest_header_sender(placed, people, lists)
     from_store = contacts.latest_stored_sender(
-        tables["email_metadata"], tables["email_senders"], tables["user_sync_settings"], lists
+        tables["email_metadata"].join(sought, "thread_id", "left_semi"),
+        tables["email_senders"],
+        tables["user_sync_settings"],
+        lists,
     )
     resolved = contacts.resolve_contacts(found, from_headers, from_store, lists)
     contact_rows, link_rows = outcomes.contact_rows(resolved, as_of, lists)

@@ -108,12 +108,17 @@ LLAMA_TEMPLATE = "Llama: {{THREAD_DATA}}\n"
 
 
 def conversation_messages(t):
-    """Conversations as mail threads: assistants are creators, system rows are no mails."""
-    conversations = t.conversations.filter(F.col("role") != "system")
+    """Conversations as mail threads: assistants are creators, system turns come from a third sender."""
+    conversations = t.conversations
     creator = F.concat(F.lit("u"), F.col("conv_id").cast("string"), F.lit("@creator.com"))
     thread_id = F.concat(F.lit("c-"), F.col("conv_id").cast("string"))
     pairs = [
-        ("From", F.when(F.col("role") == "assistant", creator).otherwise("Ann <ann@brand.com>")),
+        (
+            "From",
+            F.when(F.col("role") == "assistant", creator)
+            .when(F.col("role") == "system", "Sys <sys@brand.com>")
+            .otherwise("Ann <ann@brand.com>"),
+        ),
         ("Date", F.concat(F.lit("day "), F.col("turn").cast("string"))),
         ("Subject", F.concat(F.lit("Deal "), F.col("conv_id").cast("string"))),
     ]
@@ -130,7 +135,7 @@ def conversation_messages(t):
 
 
 def conversation_batches(t):
-    """Every tenth user's conversations in batches of five threads."""
+    """Conversations in batches of five threads of one user."""
     users = conversation_messages(t).withColumn(
         "user_id", F.concat(F.lit("u"), F.floor(F.substring("thread_id", 3, 20).cast("bigint") / 12).cast("string"))
     )
@@ -145,27 +150,27 @@ SELECT *, ROW_NUMBER() OVER (PARTITION BY batch_id ORDER BY MD5(thread_id), thre
  SELECT user_id, conv_id, thread_id,
   user_id || '-' || CAST(CAST(FLOOR((ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY MD5(thread_id), thread_id) - 1) / 5) AS BIGINT) AS STRING) AS batch_id
  FROM (SELECT DISTINCT conv_id, 'c-' || CAST(conv_id AS STRING) AS thread_id,
-  'u' || CAST(CAST(FLOOR(conv_id / 12) AS BIGINT) AS STRING) AS user_id FROM conversations WHERE role <> 'system') d) b"""
+  'u' || CAST(CAST(FLOOR(conv_id / 12) AS BIGINT) AS STRING) AS user_id FROM conversations) d) b"""
 
 
 @query("win_6_thread_and_message_numbers", f"""
 SELECT b.batch_id, b.thread_id, b.thread_index, 'c-' || CAST(c.conv_id AS STRING) || '-' || CAST(c.turn AS STRING) AS message_id,
  ROW_NUMBER() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS message_no
-FROM conversations c JOIN ({_BATCHES}) b ON b.conv_id = c.conv_id WHERE c.role <> 'system'""")
+FROM conversations c JOIN ({_BATCHES}) b ON b.conv_id = c.conv_id""")
 def win_6(t):
     numbers = threads.message_numbers(conversation_messages(t)).select("thread_id", "message_id", "message_no")
     batches = conversation_batches(t).select("batch_id", "thread_id", "thread_index")
     return numbers.join(batches, "thread_id")
 
 
-_CLEAN_TURNS = clean_sql("(SELECT * FROM conversations WHERE role <> 'system') c", "conv_id, turn, role", "text")
+_CLEAN_TURNS = clean_sql("conversations c", "conv_id, turn, role", "text")
 _NUMBERED = f"""
 SELECT c.*, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) AS n, COUNT(*) OVER (PARTITION BY conv_id) AS total
 FROM ({_CLEAN_TURNS}) c"""
 _SECTION = f"""
 SELECT conv_id, MAX(total) AS total, STRING_AGG(
  '[Message ' || CAST(n AS STRING) || ']' || chr(10)
- || 'From: ' || CASE WHEN role = 'assistant' THEN 'u' || CAST(conv_id AS STRING) || '@creator.com' ELSE 'Ann <ann@brand.com>' END || chr(10)
+ || 'From: ' || CASE WHEN role = 'assistant' THEN 'u' || CAST(conv_id AS STRING) || '@creator.com' WHEN role = 'system' THEN 'Sys <sys@brand.com>' ELSE 'Ann <ann@brand.com>' END || chr(10)
  || 'Date: day ' || CAST(turn AS STRING) || chr(10) || 'Subject: Deal ' || CAST(conv_id AS STRING) || chr(10) || chr(10)
  || CASE WHEN clean = '' THEN '[no body]' ELSE clean END || chr(10) || chr(10), '' ORDER BY n) AS messages
 FROM ({_NUMBERED}) n GROUP BY conv_id"""
@@ -235,7 +240,7 @@ def txt_4(t):
 @query("agg_9_messages_by_thread", """
 SELECT 'c-' || CAST(conv_id AS STRING) AS thread_id, CAST(FLOOR((n - 1) / 3) AS BIGINT) AS part_no,
  STRING_AGG('c-' || CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING), ',' ORDER BY n) AS message_ids
-FROM (SELECT conv_id, turn, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations WHERE role <> 'system') x
+FROM (SELECT conv_id, turn, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) x
 GROUP BY conv_id, 2""")
 def agg_9(t):
     rows = conversation_messages(t).select("thread_id", "message_id", "position")
