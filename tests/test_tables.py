@@ -274,3 +274,61 @@ def test_numbering_keeps_rows_without_key_or_id(spark):
     assert sorted((r.user_id or "", r.id or "", r.chunk_no) for r in got) == [
         ("", "", 0), ("", "b", 1), ("u", "", 0), ("u", "a", 1)
     ]
+
+
+def test_two_classification_runs_of_one_user(spark):
+    """Audits, events and states of a later run stand beside those of the first; failed batches wait and are retried."""
+    from threadsift.registry.inputs import Inputs
+
+    def stamp(text):
+        return F.lit(text).cast("timestamp")
+
+    names = ["email_metadata_id", "user_id", "thread_id", "message_id"]
+    rows = [("e1", "u", "t1", "m1"), ("e2", "u", "t2", "m2")]
+    deal_states = spark.createDataFrame(rows, names).select(
+        F.concat(F.lit("s"), "email_metadata_id").alias("id"), *names, F.lit("y").alias("sync_state_id"),
+        F.when(F.col("thread_id") == "t1", "pending_classification").otherwise("filtering").alias("status"),
+        F.lit(None).cast("string").alias("batch_id"), stamp("2024-01-01").alias("created_at"), stamp("2024-01-01").alias("updated_at"),
+    )
+    deal_states = deal_states.withColumn("sync_state_id", F.col("thread_id"))
+    header = "array<struct<name:string,value:string>>"
+    messages = spark.createDataFrame(
+        [("m1", [("From", "a@b.co")], None, "Hello", 1), ("m2", [("From", "a@b.co")], None, "Hi", 1)],
+        f"message_id string, headers {header}, body string, reply_body string, position long",
+    )
+    empty = {name: spark.createDataFrame([], schema) for name, schema in {**schemas.DEAL_TABLES, **schemas.MAIL_TABLES}.items()}
+    tables = {**empty, "deal_states": deal_states}
+
+    def run(as_of, raw, retried=None):
+        found = jobs.select_candidates(
+            tables["deal_states"], tables["email_thread_evaluations"], tables["user_sync_settings"], tables["deals"], messages, retried=retried
+        )
+        replies_ = found.batches.select("batch_id", F.lit("primary").alias("layer"), F.lit("m").alias("model"), F.lit(raw).alias("raw"))
+        result = jobs.classify_job(tables, found, replies_, messages, stamp(as_of))
+        for name, frame in result.tables.items():
+            tables[name] = spark.createDataFrame(frame.collect(), frame.schema)
+        return result.summary.first()
+
+    deal = '[{"thread_index": 1, "is_deal": true, "category": "new"}]'
+    assert run("2024-02-01", deal).batches_processed == 1
+    tables["deal_states"] = tables["deal_states"].withColumn(
+        "status", F.when(F.col("status") == "filtering", "pending_classification").otherwise(F.col("status"))
+    )
+    # The second run's reply cannot be read: its rows wait under their batch.
+    failed = run("2024-03-01", "no json")
+    assert (failed.batches_processed, failed.batches_failed) == (0, 1)
+    state = {r.thread_id: r for r in tables["deal_states"].collect()}
+    assert state["t1"].status == "deal" and state["t2"].status == "classifying"
+    assert state["t1"].batch_id != state["t2"].batch_id and state["t2"].batch_id
+    renewed = jobs.retry_job(tables["deal_states"], tables["batch_events"], stamp("2024-03-02"))
+    assert renewed.summary.first().batches_renewed == 1
+    for name, frame in renewed.tables.items():
+        tables[name] = spark.createDataFrame(frame.collect(), frame.schema)
+    retried = tables["batch_events"].filter("event_type = 'retrigger'").select("batch_id")
+    assert run("2024-03-02", deal, retried).batches_processed == 1
+    state = {r.thread_id: r for r in tables["deal_states"].collect()}
+    assert state["t2"].status == "deal"
+    audits = tables["ai_evaluation_audits"].collect()
+    assert sorted(a.batch_id for a in audits) == sorted(s.batch_id for s in state.values())
+    done = {e.batch_id for e in tables["batch_events"].collect() if e.event_type == "complete"}
+    assert done == {s.batch_id for s in state.values()}

@@ -21,9 +21,6 @@ MEGA_BATCH_PREFIX = "mega:"
 STUCK_MINUTES = 5
 ORPHAN_MINUTES = 30
 MAX_ATTEMPTS = 6
-RECOVERY_USERS = 200
-RECOVERY_ROWS_PER_USER = 500
-ELIGIBLE_USERS_LIMIT = 500
 
 # ---- Fixed values: rejection word lists -------------------------------------
 AUTH_PASS_MARKS = ("dkim=pass", "spf=pass", "dmarc=pass")

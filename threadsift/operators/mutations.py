@@ -89,11 +89,11 @@ def append_missing(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
-def apply_changes(states: DataFrame, changes: DataFrame, as_of: Column) -> DataFrame:
+def apply_changes(states: DataFrame, changes: DataFrame, as_of: Column, keep_batch: bool = False) -> DataFrame:
     """Write changed status (and batch) values back to the state table.
 
     `changes`: email_metadata_id, status and, when the batch changes too,
-    batch_id. One row per id.
+    batch_id. One row per id. With `keep_batch` a change without a batch leaves the old one.
     """
     sets_batch = "batch_id" in changes.columns
     renamed = changes.select(
@@ -109,5 +109,6 @@ def apply_changes(states: DataFrame, changes: DataFrame, as_of: Column) -> DataF
         "updated_at": F.when(changed, as_of).otherwise(F.col("updated_at")),
     }
     if sets_batch:
-        columns["batch_id"] = F.when(changed, F.col("_batch_id")).otherwise(F.col("batch_id"))
+        batch = F.coalesce("_batch_id", "batch_id") if keep_batch else F.col("_batch_id")
+        columns["batch_id"] = F.when(changed, batch).otherwise(F.col("batch_id"))
     return joined.withColumns(columns).select(*states.columns)

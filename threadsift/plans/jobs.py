@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
@@ -118,19 +118,25 @@ def select_candidates(
     deals: DataFrame,
     messages: DataFrame,
     batch_size: int = 5,
+    retried: DataFrame | None = None,
 ) -> Candidates:
     """Complete threads with readable mail that no stored deal covers yet, as batch texts.
 
     Batches hold threads of one user, so the creator line belongs to every thread in it.
+    `retried`: ids of batches whose rows are still 'classifying' and take part again, under
+    the batch id they have.
     """
     ready = deal_states.filter(F.col("status") == "pending_classification")
+    ready = ready.join(states.complete_threads(deal_states), "thread_id", "left_semi").select(*states.BATCH_COLUMNS)
+    again = None
+    if retried is not None:
+        stuck = deal_states.filter((F.col("status") == "classifying") & F.col("batch_id").isNotNull())
+        stuck = stuck.join(retried.select("batch_id"), "batch_id", "left_semi")
+        again = stuck.select("batch_id", "thread_id").distinct()
+        ready = ready.unionByName(stuck.select(*states.BATCH_COLUMNS))
     # Every table a classification run changes follows from these rows and batches.
     rows = materialize(
-        states.with_previous_evaluation(
-            ready.join(states.complete_threads(deal_states), "thread_id", "left_semi").select(*states.BATCH_COLUMNS),
-            evaluations,
-            user_settings,
-        )
+        states.with_previous_evaluation(ready, evaluations, user_settings)
     )
     owners = rows.groupBy("thread_id").agg(
         F.max("user_id").alias("user_id"), F.max("creator_email").alias("creator_email")
@@ -139,18 +145,25 @@ def select_candidates(
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")
-    placed_threads = threads.thread_batches(open_mails, ["user_id"], batch_size)
+    fresh_mails = open_mails if again is None else open_mails.join(again, "thread_id", "left_anti")
+    placed_threads = threads.thread_batches(fresh_mails, ["user_id"], batch_size)
     # A later run numbers a user's batches anew: what is in a batch makes its id unique.
     contents = placed_threads.groupBy("user_id", "batch_no").agg(
         F.md5(F.array_join(F.array_sort(F.collect_list("thread_id")), "|")).alias("contents")
     )
-    batches = materialize(
-        placed_threads.join(contents, ["user_id", "batch_no"]).select(
-            "thread_id",
-            "thread_index",
-            F.concat_ws(":", F.lit("classify"), "user_id", "batch_no", "contents").alias("batch_id"),
-        )
+    batches = placed_threads.join(contents, ["user_id", "batch_no"]).select(
+        "thread_id",
+        "thread_index",
+        F.concat_ws(":", F.lit("classify"), "user_id", "batch_no", "contents").alias("batch_id"),
     )
+    if again is not None:
+        # A batch holds few threads, so its window is small.
+        order = Window.partitionBy("batch_id").orderBy(F.md5("thread_id"), "thread_id")
+        renumbered = again.join(open_mails.select("thread_id").distinct(), "thread_id", "left_semi").select(
+            "thread_id", F.row_number().over(order).alias("thread_index"), "batch_id"
+        )
+        batches = batches.unionByName(renumbered)
+    batches = materialize(batches)
     texts = threads.batch_texts(threads.batch_segments(open_mails, batches))
     creators = (
         batches.join(owners, "thread_id")
@@ -171,10 +184,18 @@ def classify_job(
 ) -> JobResult:
     """Apply model replies to the evaluation, deal, contact, audit, event and state tables.
 
-    `raw_replies`: batch_id, layer, model, raw. The parsed items feed six tables, so
-    they are written once.
+    `raw_replies`: batch_id, layer, model, raw. A stored audit of a batch comes before any of
+    them. Rows of batches without a usable reply stay 'classifying' under the batch id and
+    its 'new' event, so attempts count; batches out of attempts and stale rows that no batch
+    ever took fail. The parsed items feed six tables, so they are written once.
     """
-    best = materialize(replies.first_usable_reply(replies.parse_replies(raw_replies)))
+    ids = candidates.batches.select("batch_id").distinct()
+    stored = tables["ai_evaluation_audits"].select("batch_id", "ai_evaluation").join(ids, "batch_id", "left_semi")
+    cached = replies.cached_threads(stored).select(
+        "batch_id", F.lit("cached").alias("layer"), F.lit(None).cast("string").alias("model"), "items"
+    )
+    given = replies.parse_replies(raw_replies).select("batch_id", "layer", "model", "items")
+    best = materialize(replies.first_usable_reply(given.unionByName(cached)))
     items = replies.reply_items(best.select("batch_id", "items"), candidates.batches)
     items, rejected = split_by_valid_id(materialize(items), "thread_id")
     rows = candidates.rows
@@ -204,22 +225,41 @@ def classify_job(
 
     verdicts = items.select("thread_id", "is_deal")
     answered = best.filter(F.col("layer").isNotNull()).select("batch_id")
-    failed = candidates.batches.join(answered, "batch_id", "left_anti").select("thread_id")
+    failed = candidates.batches.join(answered, "batch_id", "left_anti").select("thread_id", "batch_id")
     settled = rows.join(failed, "thread_id", "left_anti")
     changes = outcomes.terminal_changes(settled, verdicts, candidates.skipped, tables["email_thread_evaluations"])
-    new_states = apply_changes(tables["deal_states"], changes, as_of)
+    placed_rows = rows.select("email_metadata_id", "thread_id").join(candidates.batches, "thread_id")
+    changes = changes.join(placed_rows.select("email_metadata_id", "batch_id"), "email_metadata_id", "left")
+    waiting = rows.join(failed, "thread_id").select(
+        "email_metadata_id", F.lit("classifying").alias("status"), "batch_id"
+    )
+    changes = materialize(changes.unionByName(waiting))
+    classified = apply_changes(tables["deal_states"], changes, as_of, keep_batch=True)
+    # What this run claims is fresh, so the batches out of attempts are those of the old table.
+    dead = states.dead_batches(tables["deal_states"], tables["batch_events"], "classifying", as_of).select("batch_id")
+    dead = materialize(dead.join(ids, "batch_id", "left_anti"))
+    swept = states.set_status_by_batches(classified, dead, "classifying", "failed", as_of)
+    orphaned = (["pending_classification"], fixed.ORPHAN_MINUTES, as_of)
+    orphan_count = states.count_orphans(classified, *orphaned)
+    new_states = states.fail_orphans(swept, *orphaned)
 
     email_counts = rows.join(candidates.batches, "thread_id").groupBy("batch_id").agg(F.count(F.lit(1)).alias("email_count"))
     new_audits = outcomes.audit_rows(best.filter(F.col("layer") != "cached"), items, email_counts, as_of)
-    done = states.event_rows(answered, "classify", "complete", as_of)
+    done = (
+        states.event_rows(answered, "classify", "complete", as_of)
+        .unionByName(states.event_rows(failed.select("batch_id").distinct(), "classify", "new", as_of))
+        .unionByName(states.event_rows(dead, "classify", "dead_letter", as_of))
+    )
     summary = changes.agg(
         F.count_if(F.col("status") == "deal").alias("deal_rows"),
         F.count_if(F.col("status") == "not_deal").alias("not_deal_rows"),
     ).withColumns(
         {
             "batches_processed": answered.agg(F.count(F.lit(1)).alias("n")).scalar(),
-            "batches_failed": best.filter(F.col("layer").isNull()).agg(F.count(F.lit(1)).alias("n")).scalar(),
+            "batches_failed": failed.agg(F.count_distinct("batch_id").alias("n")).scalar(),
             "rejected_items": rejected.agg(F.count(F.lit(1)).alias("n")).scalar(),
+            "stuck_failed": states.count_in_batches(tables["deal_states"], dead, "classifying").scalar(),
+            "orphan_failed": orphan_count.scalar(),
         }
     )
     return JobResult(
@@ -236,6 +276,31 @@ def classify_job(
     )
 
 
+def retry_job(
+    deal_states: DataFrame,
+    batch_events: DataFrame,
+    as_of: Column,
+    filter_size: int = 200,
+    classify_size: int = 5,
+    max_attempts: int = fixed.MAX_ATTEMPTS,
+) -> JobResult:
+    """Renew the stuck batches of both active steps; stuck parent batches are split.
+
+    Its 'retrigger' events name the batches that `select_candidates` can take again.
+    """
+    current, events = deal_states, []
+    for status, batch_type, size in (("filtering", "filter", filter_size), ("classifying", "classify", classify_size)):
+        current, new = states.retry_stuck(current, batch_events, status, batch_type, as_of, size, max_attempts=max_attempts)
+        events.append(new)
+    added = materialize(events[0].unionByName(events[1]))
+    summary = added.agg(
+        F.count_if(F.col("event_type") == "retrigger").alias("batches_renewed"),
+        F.count_if(F.col("event_type") == "new").alias("batches_split_off"),
+    )
+    log = upsert_table("batch_events", batch_events, added, as_of)
+    return JobResult({"deal_states": current, "batch_events": log}, summary)
+
+
 def recovery_job(
     deal_states: DataFrame,
     messages: DataFrame,

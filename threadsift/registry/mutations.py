@@ -308,7 +308,10 @@ GROUP BY c.thread_id"""
 SELECT COUNT(*) FILTER (WHERE deal) AS deal_rows, COUNT(*) FILTER (WHERE NOT deal) AS not_deal_rows,
  (SELECT CAST(SUM(CEIL(n / 5.0)) AS BIGINT) FROM (SELECT user_id, COUNT(*) AS n FROM ({_CLAIMED_THREADS}) x
   WHERE messages > 0 AND COALESCE(NOT covered, TRUE) GROUP BY user_id) u) AS batches_processed,
- CAST(0 AS BIGINT) AS batches_failed, CAST(0 AS BIGINT) AS rejected_items
+ CAST(0 AS BIGINT) AS batches_failed, CAST(0 AS BIGINT) AS rejected_items, ({_DEAD.format('classifying')}) AS stuck_failed,
+ (SELECT COUNT(*) FROM f_deal_states s WHERE s.status = 'pending_classification' AND s.batch_id IS NULL
+  AND s.updated_at < {AS_OF} - 30 * INTERVAL '1' MINUTE
+  AND s.email_metadata_id NOT IN (SELECT c.email_metadata_id FROM ({_CLAIMED}) c)) AS orphan_failed
 FROM (SELECT CASE WHEN t.messages > 0 AND COALESCE(NOT t.covered, TRUE) THEN SUBSTR(MD5(c.thread_id), 1, 1) < '8'
   ELSE COALESCE(t.covered, FALSE) OR COALESCE(e.is_deal, FALSE) END AS deal
  FROM ({_CLAIMED}) c JOIN ({_CLAIMED_THREADS}) t ON t.thread_id = c.thread_id

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadsift.operators import mutations, states
+from threadsift.plans import jobs
 from threadsift.registry import query
 
 AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
@@ -396,3 +397,14 @@ FROM f_deal_states s LEFT JOIN f_messages m ON m.message_id = s.message_id GROUP
 def agg_10(t):
     after = states.recover(t.deal_states, t.messages, t.as_of, user_limit=None, rows_per_user=None)
     return states.transition_counts(t.deal_states, after)
+
+
+_STUCK_IDS = "SELECT batch_id FROM ({}) a WHERE attempts < 6"
+
+
+# A batch renewed in one step is fresh in the other.
+@query("snk_6e_retry_summary", f"""
+SELECT COUNT(*) AS batches_renewed, CAST(0 AS BIGINT) AS batches_split_off FROM (
+ {_STUCK_IDS.format(_ATTEMPTS.format(status='filtering'))} UNION {_STUCK_IDS.format(_ATTEMPTS.format(status='classifying'))}) b""")
+def snk_6_retry(t):
+    return jobs.retry_job(t.deal_states, t.batch_events, t.as_of).summary
