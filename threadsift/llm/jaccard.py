@@ -5,8 +5,9 @@ is `percent` or more. Classes of linked documents are found without writing out
 links inside a group of copies:
 
 1. Equal sets are merged by a 128-bit digest; from here on a set stands for its copies.
-2. Sets that agree on most of a few minimum hashes are compared with one leader. A set
-   linked to its leader is a follower: how many shingles they share is now known.
+2. Sets that agree on most of a few minimum hashes are compared with one leader, and if
+   that is in vain with another. A set linked to its leader is a follower: how many
+   shingles they share is now known.
 3. An inverted index over the prefixes of all sets (rare shingles first) gives candidate
    pairs. Its lists are sorted and cut into blocks; a pair of blocks is skipped whole when
    their sizes or positions leave too little overlap, or when all their sets already are
@@ -43,6 +44,8 @@ PERCENT = 80
 #: Minimum hashes by which a set looks for a leader, and how many must name it.
 HASHES = 8
 VOTES = 4
+#: Leaders that a set may ask in turn.
+ROUNDS = 3
 #: Most common shingles that are put last in the order of prefixes; a matter of speed only.
 COMMON = 100_000
 #: Postings in a bucket of the index, on average, and sets in a cell of a common shingle's list.
@@ -178,22 +181,43 @@ def _linked(percent: int) -> str:
     return f"100 * CAST(shared AS LONG) >= {percent} * (CAST(na AS LONG) + nb - shared)"
 
 
-def leader_pairs(sketches: DataFrame) -> DataFrame:
-    """(a, b): each set and the least set that VOTES of its minimum hashes name, if that is another one."""
+def leader_pairs(sketches: DataFrame, asking: DataFrame, round_: int) -> DataFrame:
+    """(a, b): each asking set and the set that most of its minimum hashes name, VOTES at least.
+
+    Each minimum hash names one of the sets that have it: the least in round 0, in later
+    rounds the one with the least salted hash.
+    """
     least = sketches.select("k", F.posexplode("least").alias("slot", "value"))
+    rank = F.col("k") if round_ == 0 else F.xxhash64("k", F.lit(round_))
     named = materialize(
         least.groupBy("slot", "value")
-        .agg(F.min("k").alias("leader"), F.count(F.lit(1)).alias("c"))
+        .agg(F.min_by("k", rank).alias("leader"), F.count(F.lit(1)).alias("c"))
         .filter("c > 1")
         .select("slot", "value", "leader")
     )
-    votes = least.join(named, ["slot", "value"]).groupBy("k", "leader").agg(F.count(F.lit(1)).alias("votes"))
+    asked = asking.select("k", F.posexplode("least").alias("slot", "value"))
+    votes = asked.join(named, ["slot", "value"]).groupBy("k", "leader").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.filter(f"votes >= {VOTES} AND leader <> k").groupBy("k").agg(
         F.max(F.struct("votes", (-F.col("leader")).alias("leader"))).alias("best")
     )
     return best.select(F.col("k").alias("a"), (-F.col("best.leader")).alias("b"))
 
 
+def followers(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, na, nb, shared): sets that are linked to a leader, one leader for each.
+
+    A set that the first leader turns away asks others in later rounds; every round
+    compares a set once.
+    """
+    found = None
+    asking = sets
+    for round_ in range(ROUNDS):
+        linked = overlaps(docs, materialize(leader_pairs(sets, asking, round_))).filter(_linked(percent))
+        found = linked if found is None else found.unionByName(linked)
+        asking = asking.join(linked.select(F.col("a").alias("k")), "k", "left_anti")
+    return found
+
+
 _POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary"
 
 
@@ -398,7 +422,7 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = full.join(copies, "k", "left_anti")
 
     # Followers and their leaders.
-    stars = overlaps(docs, materialize(leader_pairs(sets))).filter(_linked(percent))
+    stars = followers(docs, sets.select("k", "least"), percent)
     first = materialize(components(stars.select("a", "b")))
     labelled = sets.join(first.select(F.col("node").alias("k"), F.col("component").alias("class")), "k", "left")
     labelled = labelled.withColumn("class", F.coalesce("class", "k"))
