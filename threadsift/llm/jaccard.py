@@ -218,7 +218,12 @@ def followers(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-_POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary"
+_POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary, able binary, marks binary"
+_TYPES = {
+    "shingle": np.uint64, "k": np.int64, "n": np.int32, "at": np.int32, "class": np.int64, "able": np.int32, "marks": np.uint8
+}
+#: Marks of a posting: its shingle is a common one; its set has common ones in its prefix.
+_COMMON, _SUSPECT = 1, 2
 
 
 def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
@@ -234,6 +239,9 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
             lengths = np.fromiter((len(p) // 8 for p in raw), dtype=np.int64, count=len(raw))
             shingle = np.frombuffer(b"".join(raw), dtype=np.uint64)
             row = np.repeat(np.arange(len(k)), lengths)
+            is_common = _member(common, shingle)
+            n_common = np.bincount(row, weights=is_common, minlength=len(k)).astype(np.int32)
+            able = np.where(n_common > 0, n_common + rows.column("meeting").to_numpy(), lengths).astype(np.int32)
             at = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             bucket = (shingle % np.uint64(buckets)).astype(np.int64)
             cells = np.full(len(row), -1, dtype=np.int32)
@@ -257,7 +265,9 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
             new[1:] = (bucket[1:] != bucket[:-1]) | (cells[1:] != cells[:-1])
             first = np.flatnonzero(new)
             spans = list(zip(first.tolist(), [*first[1:].tolist(), len(row)]))
+            marks = (_COMMON * _member(common, shingle) + _SUSPECT * (n_common[row] > 0)).astype(np.uint8)
             fields = {"shingle": shingle, "k": k[row], "n": n[row].astype(np.int32), "at": at, "class": class_[row]}
+            fields |= {"able": able[row], "marks": marks}
             yield batch(
                 {"bucket": pa.array(bucket[first]), "cell": pa.array(cells[first])}
                 | {c: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for c, v in fields.items()}
@@ -271,15 +281,21 @@ def _needed(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (na.astype(np.int64) + nb) // (100 + percent))
 
 
-def _pairs_in_range(n, at, class_, left, right, percent):
-    """Candidate pairs among given index pairs: sizes and positions leave enough overlap, classes differ."""
+def _pairs_in_range(n, at, class_, able, left, right, percent):
+    """Candidate pairs among given index pairs.
+
+    Sizes and positions leave enough overlap, both sets can meet as often as they must, and
+    their classes differ.
+    """
     n1, n2, p1, p2 = n[left], n[right], at[left], at[right]
-    most = np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2)
-    good = (most >= _needed(n1, n2, percent)) & (class_[left] != class_[right])
+    needed = _needed(n1, n2, percent)
+    good = (np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2) >= needed) & (class_[left] != class_[right])
+    follows = -(-np.maximum(n1, n2) * percent // 100) - 1
+    good &= np.minimum(able[left], able[right]) + follows >= needed
     return left[good], right[good]
 
 
-def _short_lists(bounds: np.ndarray, n, at, class_, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _short_lists(bounds: np.ndarray, n, at, class_, able, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of the lists [bounds[i], bounds[i + 1]), a bounded number at a time."""
     lengths = np.diff(bounds)
     lengths, begins = lengths[lengths > 1], bounds[:-1][lengths > 1]
@@ -292,11 +308,11 @@ def _short_lists(bounds: np.ndarray, n, at, class_, percent) -> Iterator[tuple[n
         inner = np.arange(len(which)) - np.repeat(np.cumsum(m * m) - m * m, m * m)
         i, j = inner // m[which], inner % m[which]
         half = i < j
-        yield _pairs_in_range(n, at, class_, (b[which] + i)[half], (b[which] + j)[half], percent)
+        yield _pairs_in_range(n, at, class_, able, (b[which] + i)[half], (b[which] + j)[half], percent)
         cut = end
 
 
-def _long_list(lo: int, hi: int, n, at, class_, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _long_list(lo: int, hi: int, n, at, class_, able, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one long list by pairs of blocks; blocks that cannot hold a link are skipped whole."""
     starts = np.arange(lo, hi, BLOCK)
     low_n, high_n = np.minimum.reduceat(n[:hi], starts), np.maximum.reduceat(n[:hi], starts)
@@ -316,7 +332,7 @@ def _long_list(lo: int, hi: int, n, at, class_, percent) -> Iterator[tuple[np.nd
             if a == b:
                 half = left < right
                 left, right = left[half], right[half]
-            yield _pairs_in_range(n, at, class_, left, right, percent)
+            yield _pairs_in_range(n, at, class_, able, left, right, percent)
 
 
 def _merged_pairs(pairs: np.ndarray) -> np.ndarray:
@@ -332,10 +348,10 @@ def _probe(percent: int):
     """Packed postings, sorted by bucket and cell -> candidate pairs of each, with how often they meet."""
 
     def of_bucket(parts: list[dict]) -> Iterator[pa.RecordBatch]:
-        whole = {c: np.concatenate([p[c] for p in parts]) for c in ("shingle", "k", "n", "at", "class")}
+        whole = {c: np.concatenate([p[c] for p in parts]) for c in ("shingle", "k", "n", "at", "class", "able")}
         # In a list: by class, then size and position, so that blocks are alike.
         order = np.lexsort((whole["at"], whole["n"], whole["class"], whole["shingle"]))
-        shingle, k, n, at, class_ = (whole[c][order] for c in ("shingle", "k", "n", "at", "class"))
+        shingle, k, n, at, class_, able = (whole[c][order] for c in ("shingle", "k", "n", "at", "class", "able"))
         n, at = n.astype(np.int64), at.astype(np.int64)
         bounds = np.append(np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])), len(shingle))
         long_ = np.flatnonzero(np.diff(bounds) > 4 * BLOCK)
@@ -347,10 +363,10 @@ def _probe(percent: int):
             if len(begins):
                 packed = np.concatenate([np.arange(b, e) for b, e in zip(begins, ends)]) if len(long_) else np.arange(len(shingle))
                 inner = np.append(0, np.cumsum(ends - begins))
-                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], percent):
+                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], able[packed], percent):
                     yield packed[x], packed[y]
             for i in long_.tolist():
-                yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, percent)
+                yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, able, percent)
 
         def out(pairs: np.ndarray) -> pa.RecordBatch:
             names = zip(("a", "b", "na", "nb", "met"), pairs.T)
@@ -374,19 +390,35 @@ def _probe(percent: int):
         if held:
             yield out(_merged_pairs(np.concatenate(held)))
 
+    return _whole_buckets(of_bucket)
+
+
+def _meetings(parts: list[dict]) -> Iterator[pa.RecordBatch]:
+    """How many of a suspect set's shingles in this bucket, common ones aside, another set has too."""
+    shingle = np.concatenate([p["shingle"] for p in parts])
+    k = np.concatenate([p["k"] for p in parts])
+    marks = np.concatenate([p["marks"] for p in parts])
+    _, number, times = np.unique(shingle, return_inverse=True, return_counts=True)
+    keys, n = np.unique(k[(marks == _SUSPECT) & (times[number] > 1)], return_counts=True)
+    if len(keys):
+        yield batch({"k": pa.array(keys), "meeting": pa.array(n.astype(np.int64))})
+
+
+def _whole_buckets(work: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Calls `work` with all packed postings of a bucket and cell; rows come sorted by these."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
-        types = {"shingle": np.uint64, "k": np.int64, "n": np.int32, "at": np.int32, "class": np.int64}
         for rows in batches:
             bucket, cell = rows.column("bucket").to_pylist(), rows.column("cell").to_pylist()
             for i in range(rows.num_rows):
                 if at != (bucket[i], cell[i]):
                     if held:
-                        yield from of_bucket(held)
+                        yield from work(held)
                     at, held = (bucket[i], cell[i]), []
-                held.append({c: np.frombuffer(rows.column(c)[i].as_buffer(), dtype=t) for c, t in types.items()})
+                held.append({c: np.frombuffer(rows.column(c)[i].as_buffer(), dtype=t) for c, t in _TYPES.items()})
         if held:
-            yield from of_bucket(held)
+            yield from work(held)
 
     return run
 
@@ -397,12 +429,22 @@ def candidates(sets: DataFrame, common: np.ndarray, often: np.ndarray, percent:
     Let x be the set whose prefix ends first. What two sets share up to that end stands in
     both prefixes, where they meet once for each such shingle; the rest is no more than
     what follows in x, ceil(percent * n) - 1. Pairs for which that is too little go.
+
+    Sets with common shingles in their prefix meet very many others there. For them it is
+    counted first how many of their other shingles stand in any second prefix: a set that
+    cannot meet another one often enough is not paired at all.
     """
     total = sets.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(64, int(total // BUCKET))
-    packed = sets.select("k", "n", "prefix", "class").mapInArrow(_postings(common, often, buckets, CELL), _POSTINGS)
-    dealt = packed.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    met = dealt.mapInArrow(_probe(percent), "a long, b long, na long, nb long, met long")
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        packed = rows.select("k", "n", "prefix", "class", "meeting").mapInArrow(_postings(common, often, buckets, CELL), _POSTINGS)
+        return packed.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+
+    counted = dealt(sets.withColumn("meeting", F.lit(0))).mapInArrow(_whole_buckets(_meetings), "k long, meeting long")
+    meeting = materialize(counted.groupBy("k").agg(F.sum("meeting").cast("int").alias("meeting")))
+    ready = sets.join(meeting, "k", "left").withColumn("meeting", F.coalesce("meeting", F.lit(0)))
+    met = dealt(ready).mapInArrow(_probe(percent), "a long, b long, na long, nb long, met long")
     pairs = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("met").alias("met"))
     follows = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
     return pairs.filter((F.col("met") + follows) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
