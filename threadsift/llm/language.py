@@ -33,6 +33,7 @@ ROWS = 600
 CHARS = 1500
 SAMPLE = 2500
 EPOCHS = 8
+LEAST_STEPS = 300
 RATE = 0.01
 UNKNOWN = "und"
 
@@ -107,7 +108,9 @@ def train(matrix: np.ndarray, target: np.ndarray, languages: list[str], seed: in
     values = [*net.tables, net.bias, net.dense, net.offset]
     first, second = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values]
     step = 0
-    for epoch in range(EPOCHS):
+    # Few windows are gone through more often.
+    epochs = max(EPOCHS, -(-LEAST_STEPS * 64 // len(matrix)))
+    for epoch in range(epochs):
         order = rng.permutation(len(matrix))
         for a in range(0, len(order), 64):
             rows = order[a : a + 64]
@@ -128,7 +131,7 @@ def train(matrix: np.ndarray, target: np.ndarray, languages: list[str], seed: in
                 gradients.append(g)
             gradients += [back.sum(axis=0), hidden.T @ slope, slope.sum(axis=0)]
             step += 1
-            rate = RATE / (1 + epoch)
+            rate = RATE / (1 + epoch * EPOCHS / epochs)
             for v, g, m, s in zip(values, gradients, first, second):
                 m += 0.1 * (g - m)
                 s += 0.001 * (g * g - s)
@@ -154,6 +157,9 @@ def fit(documents: DataFrame, rows: int = ROWS) -> Network | None:
         matrix, _, length = windows_of([t.encode() for t in part["text"]])
         matrix = matrix[length >= min(40, WINDOW)] if (length >= 40).any() else matrix
         matrix = matrix[rng.permutation(len(matrix))[:SAMPLE]]
+        # Half of them are cut short, so that short texts look like something learnt.
+        cut = np.where(rng.random(len(matrix)) < 0.5, rng.integers(8, WINDOW, len(matrix)), WINDOW)
+        matrix = np.where(np.arange(WINDOW)[None, :] < cut[:, None], matrix, 0).astype(np.uint8)
         sample.append(matrix)
         target.append(np.full(len(matrix), number))
     matrix, target = np.concatenate(sample), np.concatenate(target)
