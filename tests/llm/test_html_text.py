@@ -68,3 +68,21 @@ def test_given_pages_keep_their_articles(spark):
 
         words = html.unescape(re.sub(r"<[^>]*>", " ", article)).split()
         assert r.text.split() == words and r.n_chars == len(r.text)
+
+
+NAMED = [
+    ("<div class='container has-sidebar'><article><p>a</p></article><div class='sidebar'>s</div></div>", "a"),
+    ("<div class='site has-fixed-header'><article>a</article></div>", "a"),
+    ("<div class='sidebar widget'><main><p>a</p></main></div>", "a"),
+    ("<div id='header'><p>menu</p></div><div class='header'><article>a</article></div>", "a"),
+    ("<article><div class='entry-header'><h1>title</h1></div><p>a</p></article>", "title\na"),
+    ("<article><div class='header'><h1>title</h1></div><p>a</p></article>", "title\na"),
+    ("<article><div class='elementor-widget-text-editor elementor-widget-container'><p>a</p></div></article>", "a"),
+    ("<article><p>a</p><div id='comments'><article class='comment-body'>nice</article></div></article>", "a"),
+    ("<div class='no-comments'>open</div><div class='Comments'>c</div>", "open"),
+]
+
+
+@pytest.mark.parametrize("html,text", NAMED)
+def test_names_count_whole_and_never_cover_an_article(html, text):
+    assert "\n".join(t for _, t, what in html_text.blocks_of(html) if what != 0) == text

@@ -9,7 +9,9 @@ much the content of its blocks does. With m pages and shares p of the different
     H = -sum(p * log_m(p)), or 1 where m is 1, and l the number of its different presentations.
 
 Blocks below a branch whose importance is under THRESHOLD go: menus and footers look alike
-on every page. HTML also says outright what some branches are. Those of menus, headers,
+on every page. HTML also says outright what some branches are. Names are whole class names
+or ids, and none covers an element that holds an article or main element, unless it stands
+inside an article itself (comments). Branches of menus, headers,
 footers, sidebars, notices, adverts, forms and comments have importance 0; those inside
 an article or main element have 1, and a page that has such an element has no main text
 outside it, so that text which several articles share is never lost.
@@ -65,53 +67,89 @@ CHROME = frozenset("nav footer aside form button select textarea dialog menu sea
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 CHROME_NAMES = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-    "footer gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related reply "
-    "replies respond share sharing sidebar skip social sponsor sponsored subscribe toolbar topbar widget".split()
+    "footer gdpr menu modal nav navbar navigation newsletter notice popup promo promoted related reply "
+    "replies respond share sharing sidebar skip social sponsor sponsored subscribe toolbar topbar widget "
+    "ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper adsbygoogle banner-ad comment-form comment-list comment-respond "
+    "comments-area comments-section comment-section cookie-banner cookie-bar cookie-consent cookie-notice cookie-popup "
+    "consent-banner gdpr-banner google-ad footer-widgets site-footer page-footer main-footer main-menu main-nav "
+    "main-navigation nav-bar nav-links nav-menu navbar-nav newsletter-form newsletter-signup popup-overlay post-navigation "
+    "post-share related-articles related-links related-posts share-buttons sharing-buttons side-bar site-nav "
+    "site-navigation skip-link skip-to-content social-icons social-links social-share sponsored-content widget-area".split()
 )
 MAIN = frozenset(["article", "main"])
+#: Names that say what the header tag says.
+HEADER_NAMES = frozenset("header masthead page-header site-header main-header top-header".split())
 _NAME = re.compile(r"[A-Za-z0-9]+")
 
 
+class _Element:
+    """An open element: what its tag and its names say, and whether an article or main element is below it."""
+
+    __slots__ = ("tag", "style", "above", "skipped", "chrome", "named", "header", "main", "holds", "in_article", "what")
+
+    def __init__(self, tag: str, attributes: dict, above: _Element | None):
+        self.tag, self.above = tag, above
+        self.style = ".".join([tag, *sorted(set(_NAME.findall(attributes.get("class") or "")))])
+        self.skipped = tag in SKIPPED or (above is not None and above.skipped)
+        names = {n.lower() for a in ("class", "id") for n in (attributes.get(a) or "").split()}
+        if tag in ("html", "body"):
+            names = set()
+        role = (attributes.get("role") or "").lower()
+        style = (attributes.get("style") or "").replace(" ", "").lower()
+        hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style
+        self.chrome = tag in CHROME or role in CHROME_ROLES or hidden
+        self.named, self.header = bool(names & CHROME_NAMES), bool(names & HEADER_NAMES)
+        self.main = tag in MAIN or role in MAIN
+        self.in_article = above is not None and (above.in_article or above.tag == "article")
+        self.holds = False
+        if self.main:
+            while above is not None and not above.holds:
+                above.holds = True
+                above = above.above
+
+    def settle(self) -> None:
+        """0 for chrome, 1 for main or None; elements above are settled before."""
+        above = self.above.what if self.above is not None else None
+        # Comments may be article elements themselves: inside an article, names count whatever they cover.
+        named = self.named and (self.in_article or not self.holds)
+        header = self.tag == "header" or (self.header and not self.holds)
+        if above == 0 or self.chrome or named or (header and above != 1):
+            self.what = 0
+        else:
+            self.what = 1 if self.main else above
+
+
 class _Page(HTMLParser):
     """Blocks of a page: (path of styles, text, 0 for chrome, 1 for main or None)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, int | None, bool]] = []  # tag, style, what it is, skipped
-        self.blocks: list[tuple[str, str, int | None]] = []
+        self.open: list[_Element] = []
+        self.elements: list[_Element] = []
+        self.found: list[tuple[str, str, _Element | None]] = []
         self.text: list[str] = []
 
     def _end_block(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                path = ">".join(style for tag, style, _, _ in self.open if tag not in INLINE)
-                self.blocks.append((path, text, self.open[-1][2] if self.open else None))
+                path = ">".join(e.style for e in self.open if e.tag not in INLINE)
+                self.found.append((path, text, self.open[-1] if self.open else None))
             self.text = []
 
-    def _what(self, tag: str, attributes: dict) -> int | None:
-        above = self.open[-1][2] if self.open else None
-        if above == 0:
-            return 0
-        names = {n.lower() for a in ("class", "id") for n in _NAME.findall(attributes.get(a) or "")}
-        role = (attributes.get("role") or "").lower()
-        style = (attributes.get("style") or "").replace(" ", "").lower()
-        if tag in CHROME or role in CHROME_ROLES or (tag not in ("html", "body") and names & CHROME_NAMES):
-            return 0
-        if tag == "header" and above != 1:
-            return 0
-        if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style:
-            return 0
-        return 1 if tag in MAIN or role in MAIN else above
+    def blocks(self) -> list[tuple[str, str, int | None]]:
+        for element in self.elements:
+            element.settle()
+        return [(path, text, element.what if element is not None else None) for path, text, element in self.found]
 
     def _pop_to(self, names: set | frozenset, stop: set | frozenset) -> None:
         """Close the nearest open element of `names`, unless one of `stop` is nearer."""
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in names:
+            if self.open[i].tag in names:
                 self._end_block()
                 del self.open[i:]
                 return
-            if self.open[i][0] in stop:
+            if self.open[i].tag in stop:
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -127,11 +165,8 @@ class _Page(HTMLParser):
             if tag in ("br", "img", "wbr"):
                 self.text.append(" " if tag == "br" else "")
             return
-        attributes = dict(attrs)
-        names = _NAME.findall(attributes.get("class") or "")
-        style = ".".join([tag, *sorted(set(names))])
-        skipped = tag in SKIPPED or (self.open[-1][3] if self.open else False)
-        self.open.append((tag, style, self._what(tag, attributes), skipped))
+        self.open.append(_Element(tag, dict(attrs), self.open[-1] if self.open else None))
+        self.elements.append(self.open[-1])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -141,14 +176,14 @@ class _Page(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID:
             return
-        if any(o[0] == tag for o in self.open):
+        if any(o.tag == tag for o in self.open):
             if tag not in INLINE:
                 self._end_block()
-            while self.open.pop()[0] != tag:
+            while self.open.pop().tag != tag:
                 pass
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][3]):
+        if not (self.open and self.open[-1].skipped):
             self.text.append(data)
 
 
@@ -157,9 +192,10 @@ def blocks_of(html: str | None) -> list[tuple[str, str, int | None]]:
     page.feed(html or "")
     page.close()
     page._end_block()
-    if any(what == 1 for _, _, what in page.blocks):
-        return [(path, text, what or 0) for path, text, what in page.blocks]
-    return page.blocks
+    blocks = page.blocks()
+    if any(what == 1 for _, _, what in blocks):
+        return [(path, text, what or 0) for path, text, what in blocks]
+    return blocks
 
 
 _BLOCKS = "page long, seq int, page_id long, url string, path string, text string, what int"
