@@ -86,3 +86,24 @@ NAMED = [
 @pytest.mark.parametrize("html,text", NAMED)
 def test_names_count_whole_and_never_cover_an_article(html, text):
     assert "\n".join(t for _, t, what in html_text.blocks_of(html) if what != 0) == text
+
+
+def test_boilerplate_inside_articles_goes_and_copied_articles_stay(spark):
+    def own(i):
+        return [f"story {i} has paragraph {j} with many words of its own" for j in range(2 + i % 3)]
+
+    def page(title, paragraphs, more=""):
+        return f"<article><h1>{title}</h1>{''.join(f'<p>{x}</p>' for x in paragraphs)}{more}</article>"
+
+    notice = "<div>Read our terms.</div><p>Write to us.</p>"
+    copied = [f"copied paragraph {j}" for j in range(6)]
+    rows = [(i, f"http://a.org/{i}", page(f"story {i}", own(i), notice)) for i in range(12)]
+    rows += [(100 + i, f"http://b.org/{i}", f"<nav>{i}</nav>" + page("copied", copied)) for i in range(12)]
+    rows += [(200 + i, f"http://c.org/{i}", page("near", [*copied, f"number {i}"])) for i in range(12)]
+    rows += [(300 + i, f"http://d.org/{i}", page(f"title {i}", copied)) for i in range(12)]
+    got = {r.page_id: r.text for r in html_text.main_text(frame(spark, rows)).collect()}
+    for i in range(12):
+        assert got[i] == "\n".join([f"story {i}", *own(i)])
+        assert got[100 + i] == "\n".join(["copied", *copied])
+        assert got[200 + i] == "\n".join(["near", *copied, f"number {i}"])
+        assert got[300 + i] == "\n".join([f"title {i}", *copied])

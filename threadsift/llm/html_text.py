@@ -12,9 +12,17 @@ Blocks below a branch whose importance is under THRESHOLD go: menus and footers
 on every page. HTML also says outright what some branches are. Names are whole class names
 or ids, and none covers an element that holds an article or main element, unless it stands
 inside an article itself (comments). Branches of menus, headers,
-footers, sidebars, notices, adverts, forms and comments have importance 0; those inside
-an article or main element have 1, and a page that has such an element has no main text
-outside it, so that text which several articles share is never lost.
+footers, sidebars, notices, adverts, forms and comments have importance 0, and a page that
+has an article or main element has no main text outside it.
+
+Inside articles, too, the tree decides. A block goes if its branch is under THRESHOLD, or if
+its own content is: with c of the m pages that show the branch having the block,
+
+    importance(content) = 1 - log_m(c).
+
+Articles that are copies of each other inside a host count as one page, so text is not taken
+for boilerplate because an article was copied. Near copies share most of their text: a page
+that would lose more than half of its article keeps all of it.
 
 Blocks end where block-level elements begin or end. Character references are decoded,
 white space inside a block becomes one space, and blocks are joined by a line feed in page
@@ -262,9 +270,26 @@ def main_text(pages: DataFrame) -> DataFrame:
     numbered = pages.select(F.monotonically_increasing_id().alias("page"), F.col("page_id").cast("long"), "url", "html")
     parsed = materialize(numbered.mapInArrow(_parse, _BLOCKS))
     blocks = parsed.filter("seq >= 0").withColumn("host", _host(F.col("url")))
-    tree = materialize(importance(blocks))
+    inner = blocks.filter("what = 1").withColumn("content", F.xxhash64("text"))
+    # One page stands for all copies of its article.
+    articles = inner.groupBy("host", "page").agg(F.xxhash64(F.array_sort(F.collect_list(F.xxhash64("path", "content")))).alias("article"))
+    stands = materialize(articles.groupBy("host", "article").agg(F.min("page").alias("page")).select("page"))
+    ones = inner.join(stands, "page", "left_semi")
+    columns = ["host", "page", "seq", "path", "text"]
+    tree = materialize(importance(blocks.filter("what IS NULL OR what = 0").select(*columns).unionByName(ones.select(*columns))))
     low = tree.filter((F.col("value") < THRESHOLD) & (F.col("pages") >= LEAST_PAGES)).select("host", "path")
-    sure = blocks.filter("what = 1").select("page", "seq", "text")
+    shown = ones.select("host", "path", "content", "page").distinct().groupBy("host", "path", "content").agg(F.count(F.lit(1)).alias("c"))
+    repeated = shown.filter("c > 1").join(tree.filter(F.col("pages") >= LEAST_PAGES).select("host", "path", "pages"), ["host", "path"])
+    repeated = materialize(
+        repeated.filter(1 - F.ln("c") / F.ln("pages") < THRESHOLD).select("host", "path", "content")
+    )
+    sized = inner.select("host", "path", "content", "page", "seq", F.length("text").alias("size"))
+    plain = sized.join(low, ["host", "path"], "left_semi").unionByName(sized.join(repeated, ["host", "path", "content"], "left_semi"))
+    plain = materialize(plain.select("page", "seq", "size").distinct())
+    lost = plain.groupBy("page").agg(F.sum("size").alias("lost"))
+    lost = sized.join(lost, "page").groupBy("page").agg(F.sum("size").alias("all"), F.max("lost").alias("lost")).filter("2 * lost <= all")
+    plain = plain.join(lost, "page", "left_semi").select("page", "seq")
+    sure = inner.join(plain, ["page", "seq"], "left_anti").select("page", "seq", "text")
     open_ = blocks.filter("what IS NULL")
     parts = F.split("path", ">")
     branches = open_.select(
