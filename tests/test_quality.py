@@ -212,3 +212,12 @@ def test_unknown_reason_fails(spark):
     frame = spark.createDataFrame([("u", "bored")], "user_id string, reason string")
     with pytest.raises(Exception, match="Invalid look-back"):
         lookback.fallback_log(frame).collect()
+
+
+def test_saved_results_keep_all_metrics(spark, sf_dir):
+    from threadsift import registry
+
+    registry.load_all()
+    rows = {r.metric: r for r in registry.QUERIES["src_5b_all_saved_results"](spark, sf_dir).collect()}
+    assert len(rows) == 11
+    assert all(rows[m].a is not None for m in ("clean_parse_rate", "corrective_retry_rate", "total_failures", "cost"))

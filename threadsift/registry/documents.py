@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from threadsift.functions.headers import address
 from threadsift.operators import compare, mails, metrics
 from threadsift.registry import query
-from threadsift.registry.evaluation import _COMPARED, health, usage, variants
+from threadsift.registry.evaluation import _COMPARED, _COST, _HEALTH_ROWS, health, usage, variants
 from threadsift.session import shared_folder
 from threadsift.sources import documents
 
@@ -87,7 +87,9 @@ def saved_results(t):
             F.struct(stat("urgency_scoring", "in_range_rate")).alias("urgency_scoring"),
             F.struct(stat("scam_detection", "accuracy")).alias("scam_detection"),
             F.struct(
-                stat("json_health", "clean_parse_rate"), F.col("json_health.total_failures").alias("total_failures")
+                stat("json_health", "clean_parse_rate"),
+                stat("json_health", "corrective_retry_rate"),
+                F.col("json_health.total_failures").alias("total_failures"),
             ).alias("json_health"),
             F.struct(F.col("cost.avg_cost_per_thread").alias("avg_cost_per_thread")).alias("cost"),
         )
@@ -98,14 +100,29 @@ def saved_results(t):
     return text(a, "a").unionByName(text(b, "b"))
 
 
-@query("src_5_saved_results", _COMPARED)
-def src_5(t):
+def compared_results(t):
     values = documents.result_metrics(documents.parse_results(saved_results(t)))
-    table = compare.compare_metrics(
+    return compare.compare_metrics(
         values.filter("variant = 'a'").drop("variant"), values.filter("variant = 'b'").drop("variant")
     )
+
+
+@query("src_5_saved_results", _COMPARED)
+def src_5(t):
     kept = ["recall", "precision", "f2", "recall_stddev", "category_accuracy", "score_in_range", "scam_detection"]
-    return table.filter(F.col("metric").isin(kept))
+    return compared_results(t).filter(F.col("metric").isin(kept))
+
+
+# The whole comparison: health and cost are of the same calls in both variants.
+@query("src_5b_all_saved_results", f"""
+{_COMPARED}
+UNION ALL SELECT metric, v AS a, v AS b, CAST(0 AS DOUBLE) AS delta, 'tie' AS winner FROM (
+ SELECT 'clean_parse_rate' AS metric, ROUND(AVG(clean), 4) AS v FROM {_HEALTH_ROWS}
+ UNION ALL SELECT 'corrective_retry_rate', ROUND(AVG(retry), 4) FROM {_HEALTH_ROWS}
+ UNION ALL SELECT 'total_failures', CAST(SUM(failed) AS DOUBLE) FROM {_HEALTH_ROWS}
+ UNION ALL SELECT 'cost', ROUND(avg_cost_per_thread, 4) FROM ({_COST}) k) m""")
+def src_5b(t):
+    return compared_results(t)
 
 
 # ---- plain functions --------------------------------------------------------------------
