@@ -137,6 +137,22 @@ def test_clean_body(spark, body, clean):
     assert one(spark, body, "string", clean_body) == clean
 
 
+@pytest.mark.parametrize(
+    "body, clean",
+    [
+        ("Hello\n--\nAnn\n\nReal paragraph", "Hello\n--\nAnn\n\nReal paragraph"),
+        ("Hello\n__\nSection\n\nOne\n\nTwo\n--\nAnn", "Hello\n__\nSection\n\nOne\n\nTwo"),
+        ("Hello\nSent from my phone\n\nReal paragraph", "Hello\nSent from my phone\n\nReal paragraph"),
+        ("Hello\n--\nAnn\nBrand\n \n\n", "Hello"),
+        ("Hello\n\n-- \nAnn\n\nOn Mon, Bo wrote:\n> old\n", "Hello"),
+        ("Hello\n--\n" + "line\n" * 20000, "Hello"),
+        ("Hello\n--flag\nAnn", "Hello\n--flag\nAnn"),
+    ],
+)
+def test_only_a_signature_that_ends_the_mail_goes(spark, body, clean):
+    assert one(spark, body, "string", clean_body) == clean
+
+
 def test_long_bodies_are_cut_and_marked(spark):
     assert one(spark, "é" * 3001, "string", clean_body) == "é" * 3000 + "\n[... truncated]"
     assert one(spark, "é" * 3000, "string", clean_body) == "é" * 3000

@@ -7,8 +7,10 @@ The rule set, applied to the whole body:
    and images dropped; white space collapsed; headings in upper case; list items
    start with ' * '; links keep their target in brackets unless it equals the link
    text; block elements and <br> become line breaks; named and numeric entities decoded.
-2. Quoted lines ('>'), 'On ... wrote:' lines and everything from a signature line
-   ('--', '__', 'Sent from my ...') on are dropped, unless nothing would remain.
+2. Quoted lines ('>'), 'On ... wrote:' lines and a signature that ends the mail are
+   dropped, unless nothing would remain. A signature is a line '--', '__' or 'Sent from
+   my ...' and the lines up to the next blank one; text after a blank line stays, and so
+   does all before it.
 3. Line endings and white space are normalised.
 4. Text over the limit is cut and marked.
 """
@@ -121,7 +123,7 @@ def _decoded(text: Column) -> Column:
 _QUOTE_STEPS = (
     (r"(?dm)^>[^\n]*\n?", "", (">",)),
     (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*$", "", ("wrote:",)),
-    (r"(?d)(^|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[\s\S]*)?\z", "", ("--", "__", "Sent from my ")),
+    (r"(?d)(\A|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[^\n]*\S[^\n]*)*+\s*\z", "", ("--", "__", "Sent from my ")),
 )
 
 _SPACE_STEPS = (
