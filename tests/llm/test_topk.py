@@ -66,3 +66,10 @@ def test_cover_tree_holds_every_point_within_its_radius():
         rows = tree.order[tree.first[node] : tree.last[node]]
         away = np.sqrt(((points[rows] - points[tree.centre[node]]) ** 2).sum(axis=1))
         assert away.max() <= tree.radius[node] + 1e-9
+
+
+def test_copies_of_a_query_do_not_take_the_places_of_equal_vectors(spark):
+    rows = [(100, [1.0, 0.5])] * 16 + [(101 + i, [1.0, 0.5]) for i in range(39)] + [(200 + i, [0.5, 0.1 * i]) for i in range(1, 9)]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == brute(rows, 100, 10)
+    assert [v for q, _, v, _ in got if q == 100] == list(range(101, 111))

@@ -113,6 +113,7 @@ def search(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, own: np.nda
     distinct, group = np.unique(points, axis=0, return_inverse=True)
     by_group = np.lexsort((ids, group.ravel()))
     starts = np.searchsorted(group.ravel()[by_group], np.arange(len(distinct) + 1))
+    sorted_ids = ids[by_group]
     tree, query_tree = CoverTree(distinct.astype(float)), CoverTree(queries.astype(float))
     lengths = np.sqrt((tree.points[tree.centre_rows] ** 2).sum(axis=1)) if len(distinct) else np.zeros(0)
     centres = tree.points[tree.centre_rows]
@@ -125,6 +126,11 @@ def search(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, own: np.nda
         value = centres[nodes] @ c + s * np.sqrt(c @ c) + r * lengths[nodes] + r * s
         return value + 1e-9 * (np.abs(value) + 1)
 
+    def own_rows(g: int, own_id: int) -> int:
+        """Rows of a group of more than k equal vectors that have this id."""
+        run = sorted_ids[starts[g] : starts[g + 1]]
+        return int(np.searchsorted(run, own_id, "right") - np.searchsorted(run, own_id)) if len(run) > k else 0
+
     def meet(rows: np.ndarray, node: int) -> None:
         """All queries `rows` against all points of a leaf."""
         at = tree.order[tree.first[node] : tree.last[node]]
@@ -133,8 +139,8 @@ def search(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, own: np.nda
             good = np.flatnonzero(scores[i] >= worst[row])
             if not len(good):
                 continue
-            # Of equal vectors no more than the first k + 1 ids can count.
-            runs = [by_group[starts[g] : min(starts[g + 1], starts[g] + k + 1)] for g in at[good].tolist()]
+            # Of equal vectors no more than the first k ids besides the query's own can count.
+            runs = [by_group[starts[g] : min(starts[g + 1], starts[g] + k + own_rows(g, own[row]))] for g in at[good].tolist()]
             found = ids[np.concatenate(runs)]
             value = np.repeat(scores[i][good], [len(x) for x in runs])
             other = found != own[row]
