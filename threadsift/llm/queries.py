@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from threadsift.llm import (
+    alignment,
     decontaminate,
     html_text,
     jaccard,
     language,
     licenses,
+    line_dedup,
+    manifest,
     oracles,
     packing,
     quality,
@@ -88,6 +91,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", manifest.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_line_dedup", line_dedup.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
