@@ -153,6 +153,76 @@ def test_only_a_signature_that_ends_the_mail_goes(spark, body, clean):
     assert one(spark, body, "string", clean_body) == clean
 
 
+@pytest.mark.parametrize(
+    "body, clean",
+    [
+        # Quotes of any depth go; what stands around and between them stays.
+        ("<div>New</div><blockquote>old <blockquote>older</blockquote> old</blockquote><p>After</p>", "New\n\nAfter"),
+        ("<p>A</p><blockquote><p>q1</p><p>q2</p></blockquote><p>B</p><blockquote>q3<br>q4</blockquote>C", "A\n\nB\n\nC"),
+        ("<BlockQuote type='cite'>a</BLOCKQUOTE><p>b</p>", "b"),
+        ("<blockquote>one<blockquote>two</blockquote></blockquote>", "> one\n>\n> > two"),
+        ("x</blockquote>y<p>z</p>", "xy\n\nz"),
+        ("<p>a</p><blockquote>never closed<p>b</p>", "a"),
+        # Numbers of ordered lists, each list on its own.
+        ("<ol><li>a</li><li>b</li></ol>", "1. a\n\n 2. b"),
+        ("<p>x</p><ol start='7'><li>a<ol><li>in</li><li>in</li></ol></li><li>b</li></ol>", "x\n\n 7. a\n 1. in\n\n 2. in\n\n 8. b"),
+        ("<p>x</p><ul><li>a<ol><li>n</li></ol></li><li>b</li></ul>", "x\n\n * a\n 1. n\n\n * b"),
+        ("<p>x</p><ol><li>a<ul><li>n</li></ul><li>b</ol>", "x\n\n 1. a\n * n\n\n 2. b"),
+        ("<li>lone</li><ol></ol></ol><b/>", "* lone"),
+        # A row is a line, its cells stand one space apart.
+        ("<table><tr><th>Item</th><th>Price</th></tr><tr><td>Ad</td><td>&euro;5</td></tr></table>", "Item Price\n\nAd €5"),
+        ("<p>t</p><table><tbody><tr> <td>a</td> <td><b>b</b></td> </tr></tbody></table><p>u</p>", "t\n\na b\n\nu"),
+        ("<table><tr><td>a</td><td><table><tr><td>i</td><td>j</td></tr></table></td><td>c</td></tr></table>", "a\n\ni j\n\nc"),
+        ("<td>cell</td><td>without table</td>", "cellwithout table"),
+    ],
+)
+def test_nested_structure_of_html(spark, body, clean):
+    assert one(spark, body, "string", clean_body) == clean
+
+
+def test_deep_and_long_structure(spark):
+    deep = "<p>top</p>" + "<blockquote>q" * 300 + "</blockquote>" * 300 + "<p>end</p>"
+    assert one(spark, deep, "string", clean_body) == "top\n\nend"
+    long = "<ol>" + "".join(f"<li>{i}</li>" for i in range(500)) + "</ol>"
+    lines = one(spark, long, "string", lambda c: clean_body(c, 10**6)).split("\n\n")
+    assert [x.strip() for x in lines] == [f"{i + 1}. {i}" for i in range(500)]
+
+
+@pytest.mark.parametrize(
+    "body, clean",
+    [
+        ("Oui\n\nLe lun. 3 janv. 2024 à 10:00, Ann <a@b.c> a écrit :\n> ancien", "Oui"),
+        ("Oui\n\nLe 3 janv. 2024,\nAnn <a@b.c> a écrit\u00a0:\n> ancien", "Oui"),
+        ("Ja\n\nAm Mo., 3. Jan. 2024 um 10:00 Uhr schrieb Ann <a@b.c>:\n> alt", "Ja"),
+        ("Sí\n\nEl lun, 3 ene 2024 a las 10:00, Ann (<a@b.c>) escribió:\n> viejo", "Sí"),
+        # Sentences that only look like attributions stay.
+        ("Le patron a écrit :\nbonjour", "Le patron a écrit :\nbonjour"),
+        ("Am Ende schrieb er das auf:\nalles", "Am Ende schrieb er das auf:\nalles"),
+        # Header blocks go, the text below them stays.
+        ("See below\n\nFrom: Ann\nSent: Monday\nTo: Bo\nSubject: Offer\n\nWe offer 5", "See below\n\nWe offer 5"),
+        ("Voir\n\nDe : Ann\nEnvoyé : lundi\nÀ : Bo\nObjet : Offre\n\nTexte", "Voir\n\nTexte"),
+        ("Siehe\n\nVon: Ann\nGesendet: Montag\nAn: Bo\nBetreff: Angebot\n\nText", "Siehe\n\nText"),
+        ("Ver\n\nDe: Ann\nEnviado el: lunes\nPara: Bo\nAsunto: Oferta\n\nTexto", "Ver\n\nTexto"),
+        ("Note\nFrom: the shop\nTo: you", "Note\nFrom: the shop\nTo: you"),
+        ("Hi\n\n-----Original Message-----\nFrom: Ann\nTo: Bo\nSubject: X\n\nold", "Hi\n\nold"),
+        ("FYI\n\n---------- Forwarded message ---------\nFrom: Ann\nDate: Mon\nSubject: X\nTo: Bo\n\noffer", "FYI\n\noffer"),
+        # Signatures, from the last fragment upwards.
+        ("Hello\n\n--\nAnn\n\nSent from my phone", "Hello"),
+        ("Hello\n--\nAnn\n \n__\nLegal text\nmore", "Hello"),
+        ("Salut\n\nEnvoyé de mon iPhone", "Salut"),
+        ("Hallo\n\nVon meinem iPhone gesendet", "Hallo"),
+        ("Hola\n\nEnviado desde mi iPhone", "Hola"),
+        ("Hi\nGet Outlook for iOS", "Hi"),
+        ("Hi\n\n--\nAnn\n\nP.S. one more thing\n\n--\nAnn", "Hi\n\n--\nAnn\n\nP.S. one more thing"),
+        ("--\nonly a signature", "--\nonly a signature"),
+        # All of it at once, in HTML.
+        ("<p>Yes</p><p>--<br>Ann</p><div>On Mon, Bo wrote:<blockquote>old<blockquote>older</blockquote></blockquote></div>", "Yes"),
+    ],
+)
+def test_reply_fragments(spark, body, clean):
+    assert one(spark, body, "string", clean_body) == clean
+
+
 def test_long_bodies_are_cut_and_marked(spark):
     assert one(spark, "é" * 3001, "string", clean_body) == "é" * 3000 + "\n[... truncated]"
     assert one(spark, "é" * 3000, "string", clean_body) == "é" * 3000

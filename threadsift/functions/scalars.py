@@ -71,5 +71,32 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Items of an array that `scan` passes between two additions to its result.
+_SCAN_CHUNK = 64
+
+
+def scan(items: Column, start: Column, step, output_type: str) -> Column:
+    """Walk an array with a state: `step(state, item)` gives (next state, output); the outputs, in order.
+
+    `start` is the first state. Outputs are gathered in chunks, so the work grows with the
+    array and not with its square. The array must not be empty.
+    """
+
+    def outputs(acc: Column, item: Column) -> Column:
+        state, output = step(acc["state"], item)
+        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(output)).alias("out"))
+
+    def chunk(acc: Column, number: Column) -> Column:
+        none = F.array().cast(f"array<{output_type}>")
+        part = F.slice(items, number * _SCAN_CHUNK + 1, F.lit(_SCAN_CHUNK))
+        walked = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), outputs)
+        return bound(walked, lambda w: F.struct(w["state"].alias("state"), F.concat(acc["out"], F.array(w["out"])).alias("out")))
+
+    none = F.array().cast(f"array<array<{output_type}>>")
+    last = F.floor((F.size(items) - 1) / F.lit(_SCAN_CHUNK)).cast("int")
+    walked = F.aggregate(F.sequence(F.lit(0), last), F.struct(start.alias("state"), none.alias("out")), chunk)
+    return F.flatten(walked["out"])
+
+
 def minutes_before(as_of: Column, minutes: int) -> Column:
     return as_of - F.make_interval(mins=F.lit(minutes))

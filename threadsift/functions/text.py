@@ -7,10 +7,22 @@ The rule set, applied to the whole body:
    and images dropped; white space collapsed; headings in upper case; list items
    start with ' * '; links keep their target in brackets unless it equals the link
    text; block elements and <br> become line breaks; named and numeric entities decoded.
-2. Quoted lines ('>'), 'On ... wrote:' lines and a signature that ends the mail are
-   dropped, unless nothing would remain. A signature is a line '--', '__' or 'Sent from
-   my ...' and the lines up to the next blank one; text after a blank line stays, and so
-   does all before it.
+   Structure that depends on what is open is followed by a walk over the tags: items of
+   <ol> start with their number (from `start`, each list on its own, nested or not), a
+   table row is a line and its cells stand one space apart, and every line inside a
+   <blockquote> starts with one '> ' for each open one. Closing tags without an opening
+   one are passed over; what is left open ends with the text.
+2. What the sender did not write is dropped, unless nothing would remain:
+   - quoted lines ('>'), so HTML quotes of any depth too;
+   - attribution lines: 'On ... wrote:', and with a digit in them 'Le ... a écrit :',
+     'Am ... schrieb ...:', 'El ... escribió:', each over one line or two;
+   - header blocks of a quoted message: a line 'From:' ('De :', 'Von:', 'De:') with two more
+     header lines at least behind it, and 'Original Message' or 'Forwarded message' rules.
+     The text of the message below such a block stays: it may be what was forwarded;
+   - signatures. The text is a list of fragments with blank lines between them. They are
+     walked from the last one upwards as long as nothing visible was met: a line '--', '__',
+     'Sent from my ...' (or its form in the other languages) ends a fragment there, and a
+     fragment that starts with it goes. Above the first visible fragment all stays.
 3. Line endings and white space are normalised.
 4. Text over the limit is cut and marked.
 """
@@ -24,7 +36,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
-from threadsift.functions.scalars import bound, trim_blank
+from threadsift.functions.scalars import bound, scan, trim_blank
 
 # Entities by name; numeric ones ('&#8364;', '&#x20AC;') are decoded by their number.
 ENTITIES = {
@@ -54,6 +66,15 @@ ENTITIES = {
 _HEADING_OPEN = "\x01"
 _HEADING_CLOSE = "\x02"
 
+# Invisible marks: a quote opens and closes, and a space that must stay.
+_QUOTE_OPEN = "\x05"
+_QUOTE_CLOSE = "\x06"
+_HARD_SPACE = "\x07"
+_TAG_START = "\x03"
+_TAG_END = "\x04"
+_STRUCTURE = r"(?i)(</?(?:blockquote|ol|ul|li|table|tr|td|th)\b[^>]*>)"
+_STRUCTURED = r"(?i)</?blockquote\b|<(?:ol|t[dh])\b"
+
 _HTML_STEPS = (
     (r"(?is)^.*?<body\b[^>]*>", ""),
     (r"(?is)</body\b.*$", ""),
@@ -64,6 +85,9 @@ _HTML_STEPS = (
     (r"(?i)<a\b[^>]*?\bhref=\"([^\"]*)\"[^>]*>(.*?)</a\s*>", "$2 [$1]"),
     (r"(?i)<h[1-6]\b[^>]*>", "\n\n" + _HEADING_OPEN),
     (r"(?i)</h[1-6]\s*>", _HEADING_CLOSE + "\n\n"),
+)
+
+_LINE_STEPS = (
     (r"(?i)<li\b[^>]*>", "\n * "),
     (r"(?i)<br\b[^>]*>|</?(div|tr|nav|section|article|header|footer|main|aside|address|form|hr)\b[^>]*>|</li\s*>", "\n"),
     (r"(?i)</?(p|ul|ol|table|blockquote|pre)\b[^>]*>", "\n\n"),
@@ -86,11 +110,99 @@ def _upper_headings(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, _HEADING_OPEN), piece), "")
 
 
+def _structure_step(state: Column, piece: Column) -> tuple[Column, Column]:
+    """A structural tag and the text behind it -> the text that stands for both.
+
+    The state: `lists`, the next number of every open <ol>, -1 for a <ul>; `cells`, the cells
+    so far in the row of every open <table>; `quotes`, the open quotes.
+    """
+    tag = F.lower(F.regexp_extract(piece, r"^<(/?[A-Za-z]+)", 1))
+    rest = F.substring_index(piece, _TAG_END, -1)
+    lists, cells, quotes = state["lists"], state["cells"], state["quotes"]
+    in_list, in_table = F.size(lists) > 0, F.size(cells) > 0
+
+    def top(stack: Column) -> Column:
+        return F.get(stack, F.size(stack) - 1)
+
+    def popped(stack: Column) -> Column:
+        return F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+
+    def with_top(stack: Column, value: Column) -> Column:
+        return F.concat(popped(stack), F.array(value))
+
+    given = F.regexp_extract(F.substring_index(piece, _TAG_END, 1), r"(?i)\bstart\s*=\s*[\"']?(\d{1,9})", 1)
+    first = F.coalesce(F.nullif(given, F.lit("")).try_cast("int"), F.lit(1))
+    numbered = in_list & (top(lists) >= 0)
+    next_lists = (
+        F.when(tag == "ol", F.concat(lists, F.array(first)))
+        .when(tag == "ul", F.concat(lists, F.array(F.lit(-1))))
+        .when(tag.isin("/ol", "/ul"), popped(lists))
+        .when((tag == "li") & numbered, with_top(lists, top(lists) + 1))
+        .otherwise(lists)
+    )
+    is_cell = tag.isin("td", "th")
+    next_cells = (
+        F.when(tag == "table", F.concat(cells, F.array(F.lit(0))))
+        .when(tag == "/table", popped(cells))
+        .when((tag == "tr") & in_table, with_top(cells, F.lit(0)))
+        .when(is_cell & in_table, with_top(cells, top(cells) + 1))
+        .otherwise(cells)
+    )
+    next_quotes = (
+        F.when(tag == "blockquote", quotes + 1)
+        .when(tag == "/blockquote", F.greatest(quotes - 1, F.lit(0)))
+        .otherwise(quotes)
+    )
+    space, line, gap = F.lit(_HARD_SPACE), F.lit("\n"), F.lit("\n\n")
+    shown = (
+        F.when(tag == "blockquote", F.lit("\n\n" + _QUOTE_OPEN))
+        .when(tag == "/blockquote", F.when(quotes > 0, F.lit(_QUOTE_CLOSE + "\n\n")).otherwise(""))
+        .when((tag == "li") & numbered, F.concat(line, space, top(lists).cast("string"), F.lit(". ")))
+        .when(tag == "li", F.lit("\n * "))
+        .when(tag.isin("/li", "tr", "/tr"), line)
+        .when(is_cell, F.when(in_table & (top(cells) > 0), F.lit(" ")).otherwise(""))
+        .when(tag.isin("ol", "ul"), F.when(in_list, F.lit("")).otherwise(gap))
+        .when(tag.isin("/ol", "/ul"), F.when(F.size(lists) > 1, line).otherwise(gap))
+        .when(tag.isin("table", "/table"), gap)
+        .otherwise("")
+    )
+    following = F.struct(next_lists.alias("lists"), next_cells.alias("cells"), next_quotes.alias("quotes"))
+    return following, F.concat(shown, rest)
+
+
+def _structured(text: Column) -> Column:
+    """Lists, tables and quotes as text, where a text has what depends on nesting."""
+    marked = F.regexp_replace(text, _STRUCTURE, f"{_TAG_START}$1{_TAG_END}")
+    start = F.struct(
+        F.array().cast("array<int>").alias("lists"), F.array().cast("array<int>").alias("cells"), F.lit(0).alias("quotes")
+    )
+    walked = bound(F.split(marked, _TAG_START), lambda pieces: F.array_join(scan(pieces, start, _structure_step, "string"), ""))
+    return F.when(text.rlike(_STRUCTURED), walked).otherwise(text)
+
+
+def _quote_step(depth: Column, line: Column) -> tuple[Column, Column]:
+    opened = F.length(line) - F.length(F.replace(line, F.lit(_QUOTE_OPEN), F.lit("")))
+    closed = F.length(line) - F.length(F.replace(line, F.lit(_QUOTE_CLOSE), F.lit("")))
+    bare = F.translate(line, _QUOTE_OPEN + _QUOTE_CLOSE, "")
+    return depth + opened - closed, F.rtrim(F.concat(F.repeat(F.lit("> "), depth + opened), bare))
+
+
+def _with_quote_marks(text: Column) -> Column:
+    """One '> ' for each open quote in front of every line; a quote starts and ends with a line of text."""
+    close = F.regexp_replace(F.regexp_replace(text, _QUOTE_OPEN + r"\s+", _QUOTE_OPEN), r"\s+" + _QUOTE_CLOSE, _QUOTE_CLOSE)
+    lines = bound(F.split(close, "\n"), lambda parts: F.array_join(scan(parts, F.lit(0), _quote_step, "string"), "\n"))
+    return F.when(text.contains(_QUOTE_OPEN), lines).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
     text = html
     for pattern, replacement in _HTML_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
-    return trim_blank(bound(_upper_headings(text), _decoded))
+    text = bound(text, _structured)
+    for pattern, replacement in _LINE_STEPS:
+        text = F.regexp_replace(text, pattern, replacement)
+    text = bound(bound(_upper_headings(text), _decoded), _with_quote_marks)
+    return trim_blank(F.replace(text, F.lit(_HARD_SPACE), F.lit(" ")))
 
 
 def _numeric_entity(code: Column) -> Column:
@@ -120,12 +232,29 @@ def _decoded(text: Column) -> Column:
 
 # Each step with the plain strings of which a text must hold one for the step to matter:
 # a search for a string is far cheaper than running the pattern.
+_SECOND_LINE = r"[^\n]*(?:\n[^\n]*)?"
+_HEADER = r"(?:From|Sent|Date|To|Cc|Subject|De|Envoyé|À|Objet|Von|Gesendet|Datum|An|Betreff|Enviado(?: el)?|Fecha|Para|Asunto) ?:[^\n]*"
 _QUOTE_STEPS = (
     (r"(?dm)^>[^\n]*\n?", "", (">",)),
-    (r"(?dm)^On [^\n]*(?:\n[^\n]*)?wrote:[ \t]*$", "", ("wrote:",)),
-    (r"(?d)(\A|\n)(--|__|Sent from my [^\n]*)[ \t]*(\n[^\n]*\S[^\n]*)*+\s*\z", "", ("--", "__", "Sent from my ")),
+    (rf"(?dm)^On {_SECOND_LINE}wrote:[ \t]*$", "", ("wrote:",)),
+    (rf"(?dm)^Le (?=[^\n]*\d){_SECOND_LINE}a écrit[ \u00a0\u202f]?:[ \t]*$", "", ("a écrit",)),
+    (rf"(?dm)^Am (?=[^\n]*\d){_SECOND_LINE}schrieb[^\n]*:[ \t]*$", "", ("schrieb",)),
+    (rf"(?dm)^El (?=[^\n]*\d){_SECOND_LINE}escribió:[ \t]*$", "", ("escribió:",)),
+    (
+        r"(?dm)^-{2,} ?(?:Original Message|Forwarded message|Message d'origine|Message transféré|Ursprüngliche Nachricht"
+        r"|Weitergeleitete Nachricht|Mensaje original|Mensaje reenviado) ?-{2,}[ \t]*$",
+        "",
+        ("--",),
+    ),
+    (rf"(?dm)^(?:From|De|Von) ?:[^\n]*(?:\n{_HEADER}){{2,}}+$", "", ("From:", "De:", "De :", "Von:")),
 )
 
+_SIGNATURE = (
+    r"(?ds)(?:\A|\n)(?:--|__|Sent from my [^\n]*|Get Outlook for [^\n]*|Envoyé de mon [^\n]*|Envoyé depuis mon [^\n]*"
+    r"|Von meinem [^\n]* gesendet|Enviado desde mi [^\n]*)[ \t]*(?:\n.*)?\z"
+)
+_SIGNATURE_MARKS = ("--", "__", "Sent from my ", "Get Outlook for ", "Envoyé de", "Von meinem ", "Enviado desde mi ")
+
 _SPACE_STEPS = (
     (r"\n{3,}", "\n\n", ("\n\n\n",)),
     (r"[ \t]{2,}", " ", ("  ", "\t")),
@@ -148,8 +277,23 @@ def _guarded(pattern: str, replacement: str, marks: tuple[str, ...]):
     return step
 
 
+def _fragment_step(seen: Column, fragment: Column) -> tuple[Column, Column]:
+    """`seen`: something visible stands below. Until then a fragment loses its signature."""
+    left = F.when(seen, fragment).otherwise(F.regexp_replace(fragment, _SIGNATURE, ""))
+    return seen | (trim_blank(left) != ""), left
+
+
+def without_signature(text: Column) -> Column:
+    """The text without the signatures that end it, fragment by fragment from the last one upwards."""
+    fragments = F.reverse(F.split(text, r"\n(?:[ \t\r\f\x0B]*\n)+"))
+    kept = bound(fragments, lambda f: scan(f, F.lit(False), _fragment_step, "string"))
+    shown = F.filter(F.reverse(kept), lambda f: trim_blank(f) != "")
+    present = reduce(or_, (text.contains(mark) for mark in _SIGNATURE_MARKS))
+    return F.when(present, F.array_join(shown, "\n\n")).otherwise(text)
+
+
 def without_quotes(text: Column) -> Column:
-    return _apply(text, _QUOTE_STEPS)
+    return bound(_apply(text, _QUOTE_STEPS), without_signature)
 
 
 def clean_body(body: Column, max_chars: int = fixed.BODY_MAX_CHARS) -> Column:

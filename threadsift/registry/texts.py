@@ -101,6 +101,47 @@ def txt_1_replies(t):
     return t.conversations.select("conv_id", "turn", clean_body(body).alias("clean"))
 
 
+# An HTML reply to each turn: its words, a numbered list with a list in it, a table, quotes in quotes.
+_WORDS = "TRIM(REGEXP_REPLACE(text, '[^A-Za-z]+', ' ', 'g'))"
+_REPLY_TEXT = f"""CASE WHEN {_WORDS} = '' THEN '' ELSE {_WORDS} || chr(10) || chr(10) END
+ || ' ' || CAST(turn + 2 AS STRING) || '. ' || role || chr(10) || ' * in' || chr(10) || chr(10) || ' ' || CAST(turn + 3 AS STRING) || '. two'
+ || chr(10) || chr(10) || 'conv turn' || chr(10) || chr(10) || CAST(conv_id AS STRING) || ' ' || CAST(turn AS STRING) || chr(10) || chr(10) || 'end'"""
+
+
+@query("txt_1d_nested_html", f"""
+SELECT conv_id, turn, CASE WHEN LENGTH(t) > 3000 THEN SUBSTR(t, 1, 3000) || chr(10) || '[... truncated]' ELSE t END AS clean
+FROM (SELECT conv_id, turn, TRIM({_REPLY_TEXT}, {_BLANKS}) AS t FROM conversations) x""")
+def txt_1_nested(t):
+    words = F.trim(F.regexp_replace("text", "[^A-Za-z]+", " "))
+    body = F.format_string(
+        "<html><body><div>%s</div><ol start='%d'><li>%s<ul><li>in</li></ul></li><li>two</li></ol>"
+        "<table><tr><th>conv</th><th>turn</th></tr><tr><td>%d</td><td>%d</td></tr></table>"
+        "<blockquote>quoted<blockquote>deeper</blockquote>after</blockquote><p>end</p></body></html>",
+        words, F.col("turn") + 2, F.col("role"), F.col("conv_id"), F.col("turn"),
+    )
+    return t.conversations.select("conv_id", "turn", clean_body(body).alias("clean"))
+
+
+# What mail programs of four languages put around an answer, by turn.
+_AROUND = (
+    ("Le 3 janv. 2024 à 10:00, Ann <a@b.c> a écrit :\n> ancien", "Envoyé de mon iPhone"),
+    ("Am 3. Jan. 2024 schrieb Ann <a@b.c>:\n> alt", "Von meinem iPhone gesendet"),
+    ("El 3 ene 2024, Ann escribió:\n> viejo", "Enviado desde mi iPhone"),
+    ("From: Ann\nSent: Monday\nTo: Bo\nSubject: Offer", "--\nAnn Lee\n\nSent from my phone"),
+)
+
+
+@query("txt_1e_reply_fragments", f"""
+SELECT conv_id, turn, CASE WHEN LENGTH(t) > 3000 THEN SUBSTR(t, 1, 3000) || chr(10) || '[... truncated]' ELSE t END AS clean
+FROM (SELECT conv_id, turn, 'Answer ' || {_WORDS} AS t FROM conversations) x""")
+def txt_1_fragments(t):
+    words = F.concat(F.lit("Answer "), F.trim(F.regexp_replace("text", "[^A-Za-z]+", " ")))
+    kind = F.pmod("turn", F.lit(len(_AROUND))).cast("int")
+    quote, signature = (F.get(F.array(*[F.lit(pair[i]) for pair in _AROUND]), kind) for i in (0, 1))
+    body = F.concat_ws("\n\n", words, signature, quote)
+    return t.conversations.select("conv_id", "turn", clean_body(body).alias("clean"))
+
+
 # ---- threads from conversations ---------------------------------------------------
 _THREADS_PER_BATCH = 5
 TEMPLATE = "Classify these threads.\n\n{{THREAD_DATA}}\n\nAnswer in JSON.\n"
