@@ -268,6 +268,55 @@ def test_stream_adds_new_mail_once(spark, tmp_path, as_of):
     assert sync.read_states(spark, target).count() == 4
 
 
+def test_stream_reads_states_once_and_survives_a_restart(spark, tmp_path):
+    """A second micro-batch scans no state file; a repeated one changes nothing; the clock is its own."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "states", "c"))
+    columns = "id string, user_id string, thread_id string, message_id string"
+
+    def arrive(ids):
+        spark.createDataFrame([(i, "u", "t", f"m{i}") for i in ids], columns).coalesce(1).write.mode("append").parquet(source)
+
+    arrive(["e0", "e1", "e1"])
+    arrive(["e0", "e2", "e1"])
+    sync.prepare_states(state_table(spark, [(e, "u", "t", "m", None, "deal", None, 1) for e in ("e0", "e2")]), target)
+    plans = []
+    original = sync.new_states
+
+    def watched(batch, as_of):
+        plans.append(batch._jdf.queryExecution().logical().toString())
+        return original(batch, as_of)
+
+    sync.new_states = watched
+    try:
+        arriving = spark.readStream.schema(columns).option("maxFilesPerTrigger", 1).parquet(source)
+        query = sync.start_sync(arriving, target, checkpoint)
+        query.awaitTermination()
+        # [rows of states, rows of metadata] of each micro-batch
+        read = [[s["numInputRows"] for s in p["sources"]] for p in query.recentProgress if p["sources"]]
+        assert read[0][0] == 2 and all(r[0] == 0 for r in read[1:]) and len(read) >= 2
+        after = sync.read_states(spark, target)
+        assert by_id(after) == {"e0": ("deal", None), "e1": ("pending", None), "e2": ("deal", None)}
+        assert after.count() == 3
+        added = after.filter("status = 'pending'").first()
+        assert added.created_at == added.updated_at and added.created_at.year >= 2025
+        # Another run brings one known mail, one new one, and one that another job has added to the table.
+        state_table(spark, [("e9", "u", "t", "m", None, "not_deal", None, 1)]).write.parquet(f"{target}/other")
+        arrive(["e1", "e3", "e9"])
+        sync.start_sync(arriving, target, checkpoint).awaitTermination()
+        assert by_id(sync.read_states(spark, target)) == {
+            "e0": ("deal", None), "e1": ("pending", None), "e2": ("deal", None), "e3": ("pending", None), "e9": ("not_deal", None),
+        }
+        # The last micro-batch was not committed: it runs again and replaces what it wrote.
+        last = sorted((tmp_path / "c" / "commits").glob("[0-9]*"))[-1]
+        for file in (last, last.with_name(f".{last.name}.crc")):
+            file.unlink(missing_ok=True)
+        sync.start_sync(arriving, target, checkpoint).awaitTermination()
+        assert sync.read_states(spark, target).count() == 5
+    finally:
+        sync.new_states = original
+    assert plans
+
+
 def test_numbering_keeps_rows_without_key_or_id(spark):
     rows = spark.createDataFrame([("u", "a"), (None, "b"), ("u", None), (None, None)], "user_id string, id string")
     got = ranking.in_chunks(rows, ["user_id"], "id", 1).collect()

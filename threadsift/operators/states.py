@@ -55,7 +55,12 @@ def count_by_batch_and_status(states: DataFrame) -> DataFrame:
 def missing_states(states: DataFrame, metadata: DataFrame, as_of: Column) -> DataFrame:
     """New pending rows for metadata without a state row; the sync id stays NULL."""
     known = states.select(F.col("email_metadata_id").alias("id"))
-    return metadata.join(known, "id", "left_anti").select(
+    return new_states(metadata.join(known, "id", "left_anti"), as_of)
+
+
+def new_states(metadata: DataFrame, as_of: Column) -> DataFrame:
+    """A pending row for each row of metadata."""
+    return metadata.select(
         stable_id(F.lit("state"), F.col("id")).alias("id"),
         F.col("id").alias("email_metadata_id"),
         "user_id",
