@@ -9,6 +9,7 @@ from threadsift import fixed_values as fixed
 from threadsift import schemas
 from threadsift.operators import mutations, ranking, states
 from threadsift.plans import jobs
+from threadsift.session import materialize
 from threadsift.sources import tables
 from threadsift.streaming import sync
 
@@ -135,6 +136,43 @@ def test_stuck_parents_are_split_and_others_renewed(spark, as_of):
     assert kinds == [("new", False)] * 3 + [("retrigger", True)]
 
 
+def test_renewed_filter_batches_are_filtered_again(spark, as_of):
+    """A mail that comes after the first attempt, one that never comes, and a parent batch."""
+    headers = "array<struct<name:string,value:string>>"
+    mail = [("From", "Ann <ann@brand.com>")]
+    bulk = [("From", "no-reply@brand.com")]
+    rows = [(f"e{i}", "u", "t", f"m{i}", None, "pending", None, 10) for i in range(4)]
+    rows += [(f"p{i}", "u", "t", f"m-p{i}", None, "filtering", "mega:1", 10) for i in range(5)]
+    log = schemas.conform(spark.createDataFrame([], "trigger_hash string"), schemas.BATCH_EVENTS)
+    known = [("m0", mail), ("m1", bulk), *[(f"m-p{i}", mail) for i in range(4)]]
+
+    def messages(pairs):
+        return spark.createDataFrame(pairs, f"message_id string, headers {headers}")
+
+    table, seen = state_table(spark, rows), {}
+    for run in range(1, 4):
+        clock = as_of + F.expr(f"INTERVAL {10 * run} MINUTES")
+        renewed = jobs.retry_job(table, log, clock, filter_size=2, max_attempts=3).tables
+        table, log = (materialize(renewed[n]) for n in ("deal_states", "batch_events"))
+        again = states.renewed_batches(log, "filter", clock)
+        arrived = known + ([("m2", mail)] if run > 1 else [])
+        result = jobs.filter_job(table, log, messages(arrived), clock, batch_size=10, max_attempts=3, retried=again)
+        seen[run] = result.summary.first().asDict()
+        table, log = materialize(result.tables["deal_states"]), materialize(result.tables["batch_events"])
+        found = by_id(table)
+        batch = found["e0"][1]
+        if run == 1:
+            assert [found[f"e{i}"][0] for i in range(4)] == ["pending_classification", "filter_rejected", "filtering", "filtering"]
+            parents = {found[f"p{i}"][1] for i in range(5)}
+            assert len(parents) == 3 and "mega:1" not in parents
+            assert [found[f"p{i}"][0] for i in range(5)] == ["pending_classification"] * 4 + ["filtering"]
+    assert found["e2"] == ("pending_classification", batch) and found["e3"] == ("filtering", batch)
+    assert [seen[r]["total_unfetched"] for r in (1, 2, 3)] == [3, 2, 2]
+    clock = as_of + F.expr("INTERVAL 60 MINUTES")
+    swept = jobs.filter_job(table, log, messages(known), clock, max_attempts=3)
+    assert by_id(swept.tables["deal_states"])["e3"] == ("failed", batch)
+
+
 def test_dead_letter_needs_enough_attempts_and_stale_rows(spark, as_of):
     frame = state_table(spark, [
         ("e1", "u", "t", "m1", None, "filtering", "tired", 10),

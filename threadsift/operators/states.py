@@ -294,6 +294,12 @@ def retry_stuck(
     return updated.select(*states.columns).unionByName(others), events
 
 
+def renewed_batches(batch_events: DataFrame, batch_type: str, as_of: Column) -> DataFrame:
+    """Ids of the batches that a retry at `as_of` renewed or split off a parent."""
+    at = (F.col("batch_type") == batch_type) & F.col("event_type").isin("retrigger", "new") & (F.col("created_at") == as_of)
+    return batch_events.filter(at).select("batch_id").distinct()
+
+
 def dead_letter(
     states: DataFrame,
     batch_events: DataFrame,
@@ -374,7 +380,11 @@ def recover(
     rows_per_user: int | None = None,
 ) -> DataFrame:
     """Failed rows go back to pending (no batch) or, without a message, to dead (batch kept)."""
-    rows = split_by_availability(failed_rows(states, user_limit, rows_per_user), messages)
+    return apply_recovery(states, split_by_availability(failed_rows(states, user_limit, rows_per_user), messages), as_of)
+
+
+def apply_recovery(states: DataFrame, rows: DataFrame, as_of: Column) -> DataFrame:
+    """`recover` for rows of `split_by_availability`."""
     changes = rows.select("email_metadata_id", "is_available")
     joined = states.join(changes, "email_metadata_id", "left")
     recovered, hit = F.col("is_available"), F.col("is_available").isNotNull()

@@ -53,17 +53,30 @@ def sync_job(
 
 
 def filter_changes(
-    deal_states: DataFrame, messages: DataFrame, as_of: Column, batch_size: int, lists: RuleLists = DEFAULT_LISTS
+    deal_states: DataFrame,
+    messages: DataFrame,
+    as_of: Column,
+    batch_size: int,
+    lists: RuleLists = DEFAULT_LISTS,
+    retried: DataFrame | None = None,
 ) -> DataFrame:
-    """What becomes of every pending row: its new batch (`batch_size` rows of one user) and status.
+    """What becomes of every row to be filtered: its batch and status.
 
-    A row whose message is not available stays in 'filtering' and surfaces as stuck later.
+    Pending rows get a new batch (`batch_size` rows of one user); rows of `retried` batches
+    that are still 'filtering' keep theirs. A row whose message is not available stays in
+    'filtering' and surfaces as stuck later.
     """
     pending = deal_states.filter(F.col("status") == "pending").select("user_id", "email_metadata_id", "message_id")
     chunks = in_chunks(pending, ["user_id"], "email_metadata_id", batch_size)
     stamp = F.date_format(as_of, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    claimed = chunks.withColumn("batch_id", stable_id(F.lit("filter"), F.col("user_id"), F.col("chunk_no"), stamp))
-    judged = mails.verdicts(mails.claimed_messages(messages, pending), lists)
+    batch_id = stable_id(F.lit("filter"), F.col("user_id"), F.col("chunk_no"), stamp)
+    claimed = chunks.select("email_metadata_id", "message_id", batch_id.alias("batch_id"))
+    if retried is not None:
+        stuck = deal_states.filter((F.col("status") == "filtering") & F.col("batch_id").isNotNull())
+        again = stuck.join(retried.select("batch_id"), "batch_id", "left_semi")
+        claimed = claimed.unionByName(again.select(*claimed.columns))
+    claimed = materialize(claimed)
+    judged = mails.verdicts(mails.claimed_messages(messages, claimed), lists)
     return claimed.join(judged, "message_id", "left").select(
         "email_metadata_id", "batch_id", F.coalesce("verdict", F.lit("filtering")).alias("status")
     )
@@ -77,10 +90,15 @@ def filter_job(
     batch_size: int = 200,
     max_attempts: int = fixed.MAX_ATTEMPTS,
     lists: RuleLists = DEFAULT_LISTS,
+    retried: DataFrame | None = None,
 ) -> JobResult:
     """Claim pending rows, apply the rules to every available mail, log the batches and
-    fail what ran out of attempts. The claim and the verdict reach the state table in one update."""
-    changes = materialize(filter_changes(deal_states, messages, as_of, batch_size, lists))
+    fail what ran out of attempts. The claim and the verdict reach the state table in one update.
+
+    `retried`: ids of batches that `retry_job` renewed or split off (`states.renewed_batches`);
+    their rows are filtered again under the batch id they have.
+    """
+    changes = materialize(filter_changes(deal_states, messages, as_of, batch_size, lists, retried))
     filtered = apply_changes(deal_states, changes, as_of)
     # Rows claimed just now are fresh: whatever is out of attempts was so before.
     dead_ids = materialize(
@@ -286,7 +304,8 @@ def retry_job(
 ) -> JobResult:
     """Renew the stuck batches of both active steps; stuck parent batches are split.
 
-    Its 'retrigger' events name the batches that `select_candidates` can take again.
+    Its events name the batches (`states.renewed_batches`) that `filter_job` and
+    `select_candidates` can take again.
     """
     current, events = deal_states, []
     for status, batch_type, size in (("filtering", "filter", filter_size), ("classifying", "classify", classify_size)):
@@ -309,14 +328,14 @@ def recovery_job(
     rows_per_user: int | None = None,
 ) -> JobResult:
     """Return failed rows to the queue where their message can still be read."""
-    rows = states.split_by_availability(states.failed_rows(deal_states, user_limit, rows_per_user), messages)
+    found = states.split_by_availability(states.failed_rows(deal_states, user_limit, rows_per_user), messages)
+    rows = materialize(found.select("email_metadata_id", "user_id", "is_available"))
     summary = rows.agg(
         F.count_if("is_available").alias("total_recovered"),
         F.count_if(~F.col("is_available")).alias("total_dead"),
         F.count_distinct("user_id").alias("users_processed"),
     )
-    after = states.recover(deal_states, messages, as_of, user_limit, rows_per_user)
-    return JobResult({"deal_states": after}, summary)
+    return JobResult({"deal_states": states.apply_recovery(deal_states, rows, as_of)}, summary)
 
 
 def notify_job(tables: dict[str, DataFrame], markers: DataFrame, limit: int | None = None) -> JobResult:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from threadsift import fixed_values as fixed
 from threadsift.operators import mutations, states
 from threadsift.plans import jobs
 from threadsift.registry import query
+from threadsift.session import materialize
 
 AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
 STATE_COLUMNS = "id, email_metadata_id, user_id, thread_id, message_id, sync_state_id"
@@ -336,6 +338,56 @@ def sta_7b(t):
     return states.retry_stuck(t.deal_states, t.batch_events, "filtering", "filter", t.as_of, 50)[1]
 
 
+# The state table with parent batches: half of the rows with a batch are still in one of a larger claim.
+_PARENTS = """SELECT s.*, CASE WHEN batch_id IS NOT NULL AND CAST(SUBSTR(email_metadata_id, 4) AS BIGINT) % 1000 < 500
+ THEN 'mega:' || CAST(CAST(FLOOR(CAST(SUBSTR(email_metadata_id, 4) AS BIGINT) / 700) AS BIGINT) AS STRING) ELSE batch_id END AS b
+FROM f_deal_states s"""
+
+
+def parent_states(t):
+    key = F.substring("email_metadata_id", 4, 20).cast("bigint")
+    parent = F.concat(F.lit(fixed.MEGA_BATCH_PREFIX), F.floor(key / 700).cast("string"))
+    return t.deal_states.withColumn("batch_id", F.when(F.col("batch_id").isNotNull() & (key % 1000 < 500), parent).otherwise(F.col("batch_id")))
+
+
+_PARENT_ATTEMPTS = f"""SELECT p.b, COUNT(DISTINCT e.trigger_hash) AS attempts FROM parents p LEFT JOIN f_batch_events e ON e.batch_id = p.b
+ WHERE p.status = 'filtering' AND p.b IS NOT NULL AND p.updated_at < {AS_OF} - 5 * INTERVAL '1' MINUTE GROUP BY p.b"""
+
+
+@query("sta_7c_retry_splits_parents", f"""
+WITH parents AS ({_PARENTS}), attempts AS ({_PARENT_ATTEMPTS}),
+chunks AS (SELECT p.*, a.b IS NOT NULL AS hit,
+ CAST(FLOOR((ROW_NUMBER() OVER (PARTITION BY p.b ORDER BY MD5(email_metadata_id), email_metadata_id) - 1) / 5) AS BIGINT) AS chunk_no
+ FROM parents p LEFT JOIN attempts a ON a.b = p.b AND a.attempts < 6)
+SELECT id, email_metadata_id, user_id, thread_id, message_id, sync_state_id, status,
+ CASE WHEN hit AND STARTS_WITH(b, 'mega:') THEN SHA256('sub|' || b || '|' || CAST(chunk_no AS STRING)) ELSE b END AS batch_id,
+ created_at, CASE WHEN hit THEN {AS_OF} ELSE updated_at END AS updated_at FROM chunks""")
+def sta_7_parents(t):
+    return states.retry_stuck(parent_states(t), t.batch_events, "filtering", "filter", t.as_of, 5)[0]
+
+
+# Messages of every fourth mail arrive only after the first filter run.
+@query("sta_7d_second_filter_run", f"""
+WITH parents AS ({_PARENTS}),
+attempts AS (SELECT p.b, COUNT(DISTINCT e.trigger_hash) AS attempts FROM parents p LEFT JOIN f_batch_events e ON e.batch_id = p.b
+ WHERE p.b IS NOT NULL GROUP BY p.b),
+judged AS (SELECT p.*, a.attempts, CASE WHEN m.message_id IS NULL THEN 'filtering'
+ WHEN STARTS_WITH(LOWER(m.from_value), 'no-reply@') OR LOWER(m.from_value) LIKE '"the team"%' OR m.subject_value = 'Weekly Digest'
+ THEN 'filter_rejected' ELSE 'pending_classification' END AS verdict
+ FROM parents p LEFT JOIN f_messages m ON m.message_id = p.message_id LEFT JOIN attempts a ON a.b = p.b)
+SELECT email_metadata_id, CASE WHEN status = 'pending' THEN verdict WHEN status = 'filtering' AND b IS NOT NULL THEN
+ CASE WHEN attempts >= 6 THEN 'failed' ELSE verdict END ELSE status END AS status FROM judged""")
+def sta_7_second_run(t):
+    later = t.as_of + F.expr("INTERVAL 10 MINUTES")
+    early = t.state_mails.filter(F.substring("message_id", 5, 20).cast("bigint") % 4 != 0)
+    first = jobs.filter_job(parent_states(t), t.batch_events, early, t.as_of, batch_size=50).tables
+    renewed = jobs.retry_job(materialize(first["deal_states"]), materialize(first["batch_events"]), later, filter_size=5).tables
+    log = materialize(renewed["batch_events"])
+    again = states.renewed_batches(log, "filter", later)
+    second = jobs.filter_job(materialize(renewed["deal_states"]), log, t.state_mails, later, batch_size=50, retried=again)
+    return second.tables["deal_states"].select("email_metadata_id", "status")
+
+
 _DEAD_ROW = f"(s.status = 'filtering' AND s.batch_id IN ({_DEAD}))"
 
 
