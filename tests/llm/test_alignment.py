@@ -103,6 +103,26 @@ def test_equals_brute_force(documents, tools, monkeypatch, hot):
     assert got[120] == (0, 0, 0, 0, 0, 0, "") and got[126][0] > 0 or got[125][0] == 0
 
 
+def test_parts_are_read_alike_alone_and_together(tools):
+    """Texts cut at spaces give the tokens of whole texts; also when memory is short."""
+    rng = random.Random(8)
+    letters = ["a", "B", "é", "日", "1", ".", "'s", "-", " ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "\u200b", "😀", "\u0301", "the", "▁"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(4000)]
+    memory = alignment.Memory(A_PATH, B_PATH)
+    assert memory.cuts
+    memory.MOST = 500
+    a, b = tools
+    found = [f for i in range(0, len(texts), 100) for f in memory.align(texts[i : i + 100])]
+    for text, (n_a, n_b, _, groups, _) in zip(texts, found):
+        ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        if "▁" in text:
+            assert n_a == n_b == 0
+            continue
+        sides = [g.split("|") for g in groups.split(";")]
+        assert [int(i) for left, _ in sides for i in left.split(",")] == ids_a, repr(text)
+        assert [int(i) for _, right in sides for i in right.split(",")] == ids_b, repr(text)
+
+
 def test_texts_that_normalisation_changes_have_no_tokens(documents):
     rows = alignment.alignments(documents([(1, "with ▁ inside"), (2, "plain")])).collect()
     assert {r.doc_id: r.n_a for r in rows} == {1: 0, 2: 1}

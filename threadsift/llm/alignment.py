@@ -15,6 +15,12 @@ From the byte ends of both sides follow the groups (cuts common to A and B) and
 links (one for each stretch between neighbouring cuts of any side, which lies in one
 token of A and one of B). All of that is arithmetic on one block of texts at a time.
 
+Neither tokenizer joins anything across a single space between characters that are not
+white space: A's words begin with it, and no piece of B has a space behind another
+character (which is checked). So a text is cut at such spaces, each different part is
+encoded and aligned once by a task and remembered, and a document is its parts in order.
+A text without such a space is one part.
+
 Documents are encoded once; the links of each are written beside its counts, as one
 number for each link. Links are counted in blocks, then by id pair over the corpus. To
 give each link its pair's count, pairs that hold more than 1/262,144 of all links (so
@@ -34,6 +40,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -126,8 +133,8 @@ class ByteSide(Side):
     def encode(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         counts = np.array([len(e) for e in found], dtype=np.int64)
-        ids = np.fromiter((i for e in found for i in e.ids), dtype=np.int64, count=int(counts.sum()))
-        spans = np.array([o for e in found for o in e.offsets], dtype=np.int64).reshape(-1, 2)
+        ids = np.fromiter(chain.from_iterable([e.ids for e in found]), dtype=np.int64, count=int(counts.sum()))
+        spans = np.array(list(chain.from_iterable([e.offsets for e in found])), dtype=np.int64).reshape(-1, 2)
         # Offsets count characters of one text: turn them into bytes of the block.
         first_bytes = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
         before = np.searchsorted(first_bytes, bounds[:-1])
@@ -150,8 +157,8 @@ class PieceSide(Side):
     def encode(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         found = self.model.encode([t[1:] for t in texts], return_type="offset_mapping", return_bytes=True, num_threads=1)
         counts = np.array([len(f["ids"]) for f in found], dtype=np.int64)
-        ids = np.fromiter((i for f in found for i in f["ids"]), dtype=np.int64, count=int(counts.sum()))
-        spans = np.array([o for f in found for o in f["offsets"]], dtype=np.int64).reshape(-1, 2)
+        ids = np.fromiter(chain.from_iterable([f["ids"] for f in found]), dtype=np.int64, count=int(counts.sum()))
+        spans = np.array(list(chain.from_iterable([f["offsets"] for f in found])), dtype=np.int64).reshape(-1, 2)
         shift = np.repeat(bounds[:-1] + 1, counts)  # spans do not count the space that the model adds
         begins, ends = spans[:, 0] + shift, spans[:, 1] + shift
         firsts = np.cumsum(counts) - counts
@@ -198,11 +205,22 @@ def refined(tokens: Tokens, lengths: np.ndarray, bounds: np.ndarray) -> tuple[np
     return ends, bad
 
 
-def _texts(ids_a: np.ndarray, last_a: np.ndarray, ids_b: np.ndarray, last_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, names: np.ndarray, a_size: int, b_size: int) -> np.ndarray:
+def _texts(ids_a: np.ndarray, last_a: np.ndarray, ids_b: np.ndarray, last_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, names: np.ndarray, a_size: int, b_size: int) -> list[str]:
     """The written tokens in order of group, A before B: `1,` inside a list, `1|` and `1;` at its end."""
     codes = np.concatenate([ids_a + a_size * last_a, 2 * a_size + ids_b + b_size * last_b])
     order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    return names[codes[order]]
+    return names[codes[order]].tolist()
+
+
+@dataclass
+class Aligned:
+    """Alignments of the parts of some lists."""
+
+    counts: np.ndarray  # tokens of A, of B, groups of each part
+    groups: list[str]
+    link_counts: np.ndarray
+    links: np.ndarray
+    bad: np.ndarray  # lists whose bytes do not fit; their parts have no tokens
 
 
 class Aligner:
@@ -230,14 +248,18 @@ class Aligner:
             bad[np.searchsorted(bounds, at, "right") - 1] = True
         return tokens.ids, ends, tokens.counts, bad
 
-    def align(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> list[tuple[int, int, int, str, np.ndarray]]:
-        """For each text: tokens of A, of B, groups, the groups as text, the links as numbers."""
+    def align(self, lists: list[list[str]]) -> Aligned:
+        """Alignments of parts; the parts of each list are read as one text with spaces between them."""
+        texts = [" " + " ".join(parts) for parts in lists]
+        sizes = np.array([len(p.encode()) + 1 for parts in lists for p in parts], dtype=np.int64)
+        part_bounds = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = part_bounds[np.cumsum([0, *map(len, lists)])]
+        data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
         ids_a, ends_a, counts_a, bad_a = self._side(self.a, texts, bounds, data)
         ids_b, ends_b, counts_b, bad_b = self._side(self.b, texts, bounds, data)
         bad = bad_a | bad_b
         keep_a, keep_b = ~np.repeat(bad, counts_a), ~np.repeat(bad, counts_b)
         ids_a, ends_a, ids_b, ends_b = ids_a[keep_a], ends_a[keep_a], ids_b[keep_b], ends_b[keep_b]
-        counts_a, counts_b = np.where(bad, 0, counts_a), np.where(bad, 0, counts_b)
         # Ends rise through the whole block, so all texts are one axis of bytes.
         cuts = np.union1d(ends_a, ends_b)
         links = (ids_a[np.searchsorted(ends_a, cuts)] << _B_BITS) | ids_b[np.searchsorted(ends_b, cuts)]
@@ -245,36 +267,161 @@ class Aligner:
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         last_a, last_b = common[group_a] == ends_a, common[group_b] == ends_b
         written = _texts(ids_a, last_a, ids_b, last_b, group_a, group_b, self.names, self.a_size, self.b_size)
-        at = np.cumsum(np.concatenate([[0], counts_a + counts_b]))
-        link_at = np.searchsorted(cuts, bounds, "right")
-        group_at = np.searchsorted(common, bounds, "right")
+        at_a, at_b, at_group, at_link = (np.searchsorted(x, part_bounds, "right") for x in (ends_a, ends_b, common, cuts))
+        at = (at_a + at_b).tolist()
+        groups = ["".join(written[i:j])[:-1] for i, j in zip(at, at[1:])]
+        counts = np.stack([np.diff(at_a), np.diff(at_b), np.diff(at_group)], axis=1)
+        return Aligned(counts, groups, np.diff(at_link), links, bad)
+
+
+#: A space at which a text can be cut: not behind a space, before what surely is no white space.
+_STARTS = re.compile("[^\\s\u0085\u180e\u200b-\u200d\u2060\ufeff]")
+_CUT = re.compile(f"(?<! ) (?={_STARTS.pattern})")
+
+
+def parts_of(text: str) -> list[str]:
+    """A text as parts that both tokenizers read one by one; each stands for a space and itself."""
+    if not text:
+        return []
+    parts = _CUT.split(" " + text)
+    if parts[0]:
+        parts[0] = parts[0][1:]
+        return parts
+    return parts[1:]
+
+
+class Memory:
+    """Alignments of the parts that a task has met."""
+
+    #: Parts to remember and their links; beyond, all are forgotten.
+    MOST = 1_000_000
+    MOST_LINKS = 16_000_000
+    #: New parts are read in texts of about so many characters.
+    TEXT = 4096
+
+    def __init__(self, path_a: str, path_b: str):
+        self.aligner = Aligner(path_a, path_b)
+        pieces = self.aligner.b.model
+        names = (pieces.id_to_piece(i).lstrip(_SPACE) for i in range(self.aligner.b_size))
+        self.cuts = not any(_SPACE in name for name in names)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.counts = np.zeros((1 << 16, 3), dtype=np.int32)  # tokens of A, of B, groups
+        self.first = np.zeros(1 << 16, dtype=np.int64)
+        self.length = np.zeros(1 << 16, dtype=np.int32)
+        self.links = np.zeros(1 << 18, dtype=np.int64)
+        self.used = 0
+
+    def _learn(self, parts: list[str]) -> None:
+        """Align new parts and remember them.
+
+        Parts that can stand between spaces are read together, the others alone; so are the
+        parts of a text whose bytes do not fit.
+        """
+        lists, size = [], self.TEXT
+        for p in parts:
+            if not self.cuts or p[-1] == " " or not _STARTS.match(p):
+                lists.append([p])
+                size = self.TEXT
+            elif size >= self.TEXT:
+                lists.append([p])
+                size = len(p)
+            else:
+                lists[-1].append(p)
+                size += len(p)
+        alone: list[list[str]] = []
+        begin = 0
+        while begin < len(lists):
+            end, size = begin, 0
+            while end < len(lists) and size < BLOCK_BYTES:
+                size += sum(map(len, lists[end]))
+                end += 1
+            alone += self._keep(lists[begin:end])
+            begin = end
+        for begin in range(0, len(alone), 256):
+            self._keep(alone[begin : begin + 256])
+
+    def _keep(self, lists: list[list[str]]) -> list[list[str]]:
+        """Remember the parts of some lists; gives those that have to be read alone."""
+        found = self.aligner.align(lists)
+        again = [[p] for parts, bad in zip(lists, found.bad.tolist()) if bad and len(parts) > 1 for p in parts]
+        known = np.repeat(~found.bad | np.array([len(x) == 1 for x in lists]), [len(x) for x in lists])
+        parts = [p for p, k in zip(chain.from_iterable(lists), known.tolist()) if k]
+        base, n = len(self.groups), len(parts)
+        while len(self.first) < base + n:
+            self.counts, self.first, self.length = (np.concatenate([v, np.zeros_like(v)]) for v in (self.counts, self.first, self.length))
+        while len(self.links) < self.used + len(found.links):
+            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
+        lengths = found.link_counts[known]  # lists that do not fit have no links
+        self.counts[base : base + n] = found.counts[known]
+        self.length[base : base + n] = lengths
+        self.first[base : base + n] = self.used + np.cumsum(lengths) - lengths
+        self.links[self.used : self.used + len(found.links)] = found.links
+        self.used += len(found.links)
+        self.groups += [g for g, k in zip(found.groups, known.tolist()) if k]
+        self.number.update(zip(parts, range(base, base + n)))
+        return again
+
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
+        """For each text: tokens of A, of B, groups, the groups as text, the links as numbers."""
+        split = [parts_of(t) for t in texts] if self.cuts else [[t] if t else [] for t in texts]
+        met = set(chain.from_iterable(split))
+        new = met - self.number.keys()
+        if len(self.groups) + len(new) > self.MOST or self.used > self.MOST_LINKS:
+            self._forget()
+            new = met
+        self._learn(sorted(new))
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        lengths = self.length[numbers]
+        after = np.cumsum(lengths)
+        total = int(after[-1]) if len(after) else 0
+        links = self.links[np.arange(total) + np.repeat(self.first[numbers] - after + lengths, lengths)]
+        sums = np.concatenate([np.zeros((1, 3), dtype=np.int64), np.cumsum(self.counts[numbers], axis=0)])
+        misfits = np.concatenate([[0], np.cumsum(self.counts[numbers, 0] == 0)])  # such parts have no tokens
+        edges = np.concatenate([[0], after])
+        bounds = np.cumsum([0, *map(len, split)])
         out = []
-        for i in range(len(texts)):
-            groups = "".join(written[at[i] : at[i + 1]].tolist())[:-1]
-            out.append((int(counts_a[i]), int(counts_b[i]), int(group_at[i + 1] - group_at[i]), groups, links[link_at[i] : link_at[i + 1]]))
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            if a == b or misfits[b] > misfits[a]:
+                out.append((0, 0, 0, "", links[:0]))
+                continue
+            n_a, n_b, n_groups = (sums[b] - sums[a]).tolist()
+            groups = ";".join([self.groups[i] for i in numbers[a:b].tolist()])
+            out.append((n_a, n_b, n_groups, groups, links[edges[a] : edges[b]]))
         return out
 
 
 _ALIGNED = "k long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
 
+#: What a worker process remembers goes on to its next task.
+_memories: dict[tuple[str, str], Memory] = {}
+
+
+def _memory(path_a: str, path_b: str) -> Memory:
+    if (path_a, path_b) not in _memories:
+        _memories.clear()
+        _memories[path_a, path_b] = Memory(path_a, path_b)
+    return _memories[path_a, path_b]
+
+
 def _align(path_a: str, path_b: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        memory = _memory(path_a, path_b)
         for rows in batches:
             for block in blocks(rows.column("text"), BLOCK_BYTES):
                 n = len(block)
-                sizes = np.diff(block.bounds)
-                texts = ["" if not size else " " + block.raw(i).decode() for i, size in enumerate(sizes.tolist())]
-                joined = "".join(texts).encode()
-                bounds = np.concatenate([[0], np.cumsum(np.where(sizes > 0, sizes + 1, 0))])
-                found = aligner.align(texts, bounds, np.frombuffer(joined, dtype=np.uint8))
+                found = memory.align([block.raw(i).decode() for i in range(n)])
                 here = rows.slice(block.first, n)
                 counts = [pa.array([f[j] for f in found], pa.int64()) for j in range(3)]
                 n_links = pa.array([len(f[4]) for f in found], pa.int64())
                 groups = pa.array([f[3] for f in found], pa.string())
                 links = pa.array([f[4].astype("<i8").tobytes() for f in found], pa.binary())
-                yield batch(dict(zip(("k", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"), (here.column("k"), here.column("doc_id"), *counts, n_links, groups, links))))
+                names = ("k", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links")
+                yield batch(dict(zip(names, (here.column("k"), here.column("doc_id"), *counts, n_links, groups, links))))
 
     return run
 
