@@ -44,6 +44,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -293,9 +294,9 @@ def parts_of(text: str) -> list[str]:
 class Memory:
     """Alignments of the parts that a task has met."""
 
-    #: Parts to remember and their links; beyond, all are forgotten.
-    MOST = 1_000_000
-    MOST_LINKS = 16_000_000
+    #: Parts to remember and their links; beyond, only the most used half is kept.
+    MOST = 400_000
+    MOST_LINKS = 8_000_000
     #: New parts are read in texts of about so many characters.
     TEXT = 4096
 
@@ -312,9 +313,37 @@ class Memory:
         self.counts = np.zeros((1 << 16, 3), dtype=np.int32)  # tokens of A, of B, groups
         self.first = np.zeros(1 << 16, dtype=np.int64)
         self.length = np.zeros(1 << 16, dtype=np.int32)
+        self.uses = np.zeros(1 << 16, dtype=np.int64)
         self.links = np.zeros(1 << 18, dtype=np.int64)
         self.used = 0
 
+    def _keep_most_used(self, most: int) -> None:
+        n = len(self.groups)
+        kept = np.sort(np.argsort(-self.uses[:n], kind="stable")[:most])
+        lengths = self.length[kept].astype(np.int64)
+        after = np.cumsum(lengths)
+        links = self.links[np.arange(int(after[-1]) if len(after) else 0) + np.repeat(self.first[kept] - after + lengths, lengths)]
+        parts = list(self.number)  # in the order of their numbers
+        parts, groups = [parts[i] for i in kept.tolist()], [self.groups[i] for i in kept.tolist()]
+        counts, uses = self.counts[kept], self.uses[kept] // 2
+        self._forget()
+        self._store(parts, groups, counts, lengths, links)
+        self.uses[: len(parts)] = uses
+
+    def _store(self, parts: list[str], groups: list[str], counts: np.ndarray, lengths: np.ndarray, links: np.ndarray) -> None:
+        base, n = len(self.groups), len(parts)
+        while len(self.first) < base + n:
+            self.counts, self.first, self.length, self.uses = (np.concatenate([v, np.zeros_like(v)]) for v in (self.counts, self.first, self.length, self.uses))
+        while len(self.links) < self.used + len(links):
+            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
+        self.counts[base : base + n] = counts
+        self.length[base : base + n] = lengths
+        self.first[base : base + n] = self.used + np.cumsum(lengths) - lengths
+        self.links[self.used : self.used + len(links)] = links
+        self.used += len(links)
+        self.groups += groups
+        self.number.update(zip(parts, range(base, base + n)))
+
     def _learn(self, parts: list[str]) -> None:
         """Align new parts and remember them.
 
@@ -350,19 +379,9 @@ class Memory:
         again = [[p] for parts, bad in zip(lists, found.bad.tolist()) if bad and len(parts) > 1 for p in parts]
         known = np.repeat(~found.bad | np.array([len(x) == 1 for x in lists]), [len(x) for x in lists])
         parts = [p for p, k in zip(chain.from_iterable(lists), known.tolist()) if k]
-        base, n = len(self.groups), len(parts)
-        while len(self.first) < base + n:
-            self.counts, self.first, self.length = (np.concatenate([v, np.zeros_like(v)]) for v in (self.counts, self.first, self.length))
-        while len(self.links) < self.used + len(found.links):
-            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        lengths = found.link_counts[known]  # lists that do not fit have no links
-        self.counts[base : base + n] = found.counts[known]
-        self.length[base : base + n] = lengths
-        self.first[base : base + n] = self.used + np.cumsum(lengths) - lengths
-        self.links[self.used : self.used + len(found.links)] = found.links
-        self.used += len(found.links)
-        self.groups += [g for g, k in zip(found.groups, known.tolist()) if k]
-        self.number.update(zip(parts, range(base, base + n)))
+        groups = [g for g, k in zip(found.groups, known.tolist()) if k]
+        # Lists that do not fit have no links.
+        self._store(parts, groups, found.counts[known], found.link_counts[known], found.links)
         return again
 
     def align(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
@@ -371,12 +390,14 @@ class Memory:
         met = set(chain.from_iterable(split))
         new = met - self.number.keys()
         if len(self.groups) + len(new) > self.MOST or self.used > self.MOST_LINKS:
-            self._forget()
-            new = met
+            # A text whose own links are beyond the bound is still whole: the bound is on what is kept.
+            self._keep_most_used(self.MOST // 2 if self.used <= self.MOST_LINKS else 0)
+            new = met - self.number.keys()
         self._learn(sorted(new))
         numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        self.uses[: len(self.groups)] += np.bincount(numbers, minlength=len(self.groups))
         lengths = self.length[numbers]
-        after = np.cumsum(lengths)
+        after = np.cumsum(lengths, dtype=np.int64)
         total = int(after[-1]) if len(after) else 0
         links = self.links[np.arange(total) + np.repeat(self.first[numbers] - after + lengths, lengths)]
         sums = np.concatenate([np.zeros((1, 3), dtype=np.int64), np.cumsum(self.counts[numbers], axis=0)])
@@ -437,17 +458,28 @@ def alignments(documents: DataFrame, path_a: str | None = None, path_b: str | No
     return docs.mapInArrow(_align(path_a, path_b), _ALIGNED)
 
 
-def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All links of a column of binaries, and the row of each."""
-    values = column.to_pylist()
-    links = np.frombuffer(b"".join(values), dtype="<i8")
-    return links, np.repeat(np.arange(len(values)), [len(v) >> 3 for v in values])
+#: Links that are looked at together, apart from those of one longer document.
+LINKS = 1 << 19
+
+
+def _numbers(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row of some documents, all their links, and the row of each from the first on."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) >> 3
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + LINKS, "right")))
+        links = np.frombuffer(b"".join(column.slice(begin, end - begin).to_pylist()), dtype="<i8")
+        yield begin, end, links, np.repeat(np.arange(end - begin), sizes[begin:end])
+        begin = end
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        pairs, counts = np.unique(_numbers(rows.column("links"))[0], return_counts=True)
-        yield batch({"pair": longs(pairs), "n": longs(counts.astype(np.int64))})
+        for _, _, links, _ in _numbers(rows.column("links")):
+            pairs, counts = np.unique(links, return_counts=True)
+            yield batch({"pair": longs(pairs), "n": longs(counts.astype(np.int64))})
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -465,23 +497,24 @@ def _look_up(hot) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = hot.value
         for rows in batches:
-            k = rows.column("k").to_numpy()
-            links, row = _numbers(rows.column("links"))
-            at = np.minimum(np.searchsorted(pairs, links), max(len(pairs) - 1, 0))
-            known = pairs[at] == links if len(pairs) else np.zeros(len(links), dtype=bool)
-            sums, bests = np.zeros(len(k), dtype=np.int64), np.zeros(len(k), dtype=np.int64)
-            np.add.at(sums, row[known], n[at[known]])
-            np.add.at(bests, row[known], best[at[known]])
-            none = pa.nulls(len(k), pa.int64())
-            yield batch({"k": longs(k), "pair": none, "times": none, "count_sum": longs(sums), "n_best": longs(bests)})
-            other, owner = links[~known], row[~known]
-            order = np.lexsort((other, owner))
-            other, owner = other[order], owner[order]
-            new = np.append(True, (other[1:] != other[:-1]) | (owner[1:] != owner[:-1]))[: len(other)]
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(other)))
-            none = pa.nulls(len(first), pa.int64())
-            yield batch({"k": longs(k[owner[first]]), "pair": longs(other[first]), "times": longs(times), "count_sum": none, "n_best": none})
+            keys = rows.column("k").to_numpy()
+            for begin, end, links, row in _numbers(rows.column("links")):
+                k = keys[begin:end]
+                at = np.minimum(np.searchsorted(pairs, links), max(len(pairs) - 1, 0))
+                known = pairs[at] == links if len(pairs) else np.zeros(len(links), dtype=bool)
+                sums, bests = np.zeros(len(k), dtype=np.int64), np.zeros(len(k), dtype=np.int64)
+                np.add.at(sums, row[known], n[at[known]])
+                np.add.at(bests, row[known], best[at[known]])
+                none = pa.nulls(len(k), pa.int64())
+                yield batch({"k": longs(k), "pair": none, "times": none, "count_sum": longs(sums), "n_best": longs(bests)})
+                other, owner = links[~known], row[~known]
+                order = np.lexsort((other, owner))
+                other, owner = other[order], owner[order]
+                new = np.append(True, (other[1:] != other[:-1]) | (owner[1:] != owner[:-1]))[: len(other)]
+                first = np.flatnonzero(new)
+                times = np.diff(np.append(first, len(other)))
+                none = pa.nulls(len(first), pa.int64())
+                yield batch({"k": longs(k[owner[first]]), "pair": longs(other[first]), "times": longs(times), "count_sum": none, "n_best": none})
 
     return run
 
