@@ -15,11 +15,14 @@ From the byte ends of both sides follow the groups (cuts common to A and B) and
 links (one for each stretch between neighbouring cuts of any side, which lies in one
 token of A and one of B). All of that is arithmetic on one block of texts at a time.
 
-Neither tokenizer joins anything across a single space between characters that are not
-white space: A's words begin with it, and no piece of B has a space behind another
-character (which is checked). So a text is cut at such spaces, each different part is
-encoded and aligned once by a task and remembered, and a document is its parts in order.
-A text without such a space is one part.
+Neither tokenizer joins anything across some places: before a single space between
+characters that are not white space, behind a single line feed between such, and between
+a letter of ASCII and a full stop, comma or the like. A's words end there by their
+pattern, and no piece of B reaches over such a place (which is checked, for each kind of
+place). So a text is cut there, each different part is encoded and aligned once by a task
+and remembered, and a document is its parts in order. A text without such places is one
+part. In parts of ASCII alone one character is one byte, so the lengths of the tokens are
+the cuts and the spans are not asked for.
 
 Documents are encoded once; the links of each are written beside its counts, as one
 number for each link. Links are counted in blocks, then by id pair over the corpus. To
@@ -48,7 +51,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, keyed, longs, materialize
+from threadsift.llm.common import batch, keyed, longs, materialize, small_batches
 from threadsift.llm.hashing import blocks
 
 #: Pairs with more than this part of all links are shipped to the tasks; there are fewer than this.
@@ -116,6 +119,22 @@ class Side:
 
     def encode(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         """texts begin with the space; bounds and data are their bytes."""
+        if (data < 0x80).all():
+            ids, counts = self._ids(texts)
+            lengths = self.vocabulary.lengths[ids]
+            ends = np.cumsum(lengths)
+            # Each text's tokens start with its bytes, whatever those before add up to.
+            starts = np.cumsum(counts) - counts
+            before = np.concatenate([[0], ends])[starts]
+            ends += np.repeat(bounds[:-1] - before, counts)
+            return Tokens(ids, ends - lengths, ends, counts)
+        return self._with_spans(texts, bounds, data)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and their number by text."""
+        raise NotImplementedError
+
+    def _with_spans(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         raise NotImplementedError
 
 
@@ -131,7 +150,12 @@ class ByteSide(Side):
         decoded = [names.get(i, "") for i in range(max(names) + 1)]
         self.vocabulary = Vocabulary.of([bytes(byte.get(c, 0) for c in t) for t in decoded])
 
-    def encode(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.array([len(e) for e in found], dtype=np.int64)
+        return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(counts.sum())), counts
+
+    def _with_spans(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         counts = np.array([len(e) for e in found], dtype=np.int64)
         ids = np.fromiter(chain.from_iterable([e.ids for e in found]), dtype=np.int64, count=int(counts.sum()))
@@ -155,7 +179,12 @@ class PieceSide(Side):
         fallback = re.fullmatch("<0x([0-9A-F]{2})>", piece)
         return bytes.fromhex(fallback[1]) if fallback else piece.replace(_SPACE, " ").encode()
 
-    def encode(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.model.encode([t[1:] for t in texts], return_type="numpy", num_threads=1)
+        counts = np.array([len(f) for f in found], dtype=np.int64)
+        return np.concatenate([*found, np.zeros(0, dtype=np.int64)]).astype(np.int64), counts
+
+    def _with_spans(self, texts: list[str], bounds: np.ndarray, data: np.ndarray) -> Tokens:
         found = self.model.encode([t[1:] for t in texts], return_type="offset_mapping", return_bytes=True, num_threads=1)
         counts = np.array([len(f["ids"]) for f in found], dtype=np.int64)
         ids = np.fromiter(chain.from_iterable([f["ids"] for f in found]), dtype=np.int64, count=int(counts.sum()))
@@ -250,9 +279,9 @@ class Aligner:
         return tokens.ids, ends, tokens.counts, bad
 
     def align(self, lists: list[list[str]]) -> Aligned:
-        """Alignments of parts; the parts of each list are read as one text with spaces between them."""
-        texts = [" " + " ".join(parts) for parts in lists]
-        sizes = np.array([len(p.encode()) + 1 for parts in lists for p in parts], dtype=np.int64)
+        """Alignments of parts; the parts of each list are read as one text, which begins with a space."""
+        texts = ["".join(parts) for parts in lists]
+        sizes = np.array([len(p) if p.isascii() else len(p.encode()) for parts in lists for p in parts], dtype=np.int64)
         part_bounds = np.concatenate([[0], np.cumsum(sizes)])
         bounds = part_bounds[np.cumsum([0, *map(len, lists)])]
         data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
@@ -275,38 +304,46 @@ class Aligner:
         return Aligned(counts, groups, np.diff(at_link), links, bad)
 
 
-#: A space at which a text can be cut: not behind a space, before what surely is no white space.
-_STARTS = re.compile("[^\\s\u0085\u180e\u200b-\u200d\u2060\ufeff]")
-_CUT = re.compile(f"(?<! ) (?={_STARTS.pattern})")
+# What surely is no white space, for both libraries.
+_SOLID = "[^\\s\u0085\u180e\u200b-\u200d\u2060\ufeff]"
+#: Where a text can be cut, each with what no piece of B may contain.
+_PLACES = {
+    f"(?<! )(?= {_SOLID})": f"[^{_SPACE}]{_SPACE}",
+    f"(?<={_SOLID}\n)(?={_SOLID})": "[^\n]\n|\n[^\n]",
+    "(?<=[A-Za-z])(?=[,.;:!?])": "[A-Za-z][,.;:!?]",
+}
+
+
+#: What may stand before a part that does not begin with a space: a letter, or a line's end.
+_LEADS = (" x", " x\n")
 
 
-def parts_of(text: str) -> list[str]:
-    """A text as parts that both tokenizers read one by one; each stands for a space and itself."""
-    if not text:
-        return []
-    parts = _CUT.split(" " + text)
-    if parts[0]:
-        parts[0] = parts[0][1:]
-        return parts
-    return parts[1:]
+def _lead(part: str) -> list[str]:
+    return [] if part[0] == " " else [_LEADS[0] if part[0] in ",.;:!?" else _LEADS[1]]
 
 
 class Memory:
     """Alignments of the parts that a task has met."""
 
     #: Parts to remember and their links; beyond, only the most used half is kept.
-    MOST = 400_000
-    MOST_LINKS = 8_000_000
+    MOST = 300_000
+    MOST_LINKS = 6_000_000
     #: New parts are read in texts of about so many characters.
     TEXT = 4096
 
     def __init__(self, path_a: str, path_b: str):
         self.aligner = Aligner(path_a, path_b)
-        pieces = self.aligner.b.model
-        names = (pieces.id_to_piece(i).lstrip(_SPACE) for i in range(self.aligner.b_size))
-        self.cuts = not any(_SPACE in name for name in names)
+        pieces = [self.aligner.b.model.id_to_piece(i) for i in range(self.aligner.b_size)]
+        places = [place for place, crossing in _PLACES.items() if not any(map(re.compile(crossing).search, pieces))]
+        self.cut = re.compile("|".join(places) or "(?!)")
+        self.joins = re.compile(f" {_SOLID}")
         self._forget()
 
+    def parts_of(self, text: str) -> list[str]:
+        """A text, behind a space, as parts that both tokenizers read one by one."""
+        parts = self.cut.split(" " + text) if text else []
+        return parts if not parts or parts[0] else parts[1:]
+
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
@@ -316,10 +353,13 @@ class Memory:
         self.uses = np.zeros(1 << 16, dtype=np.int64)
         self.links = np.zeros(1 << 18, dtype=np.int64)
         self.used = 0
+        led = self.aligner.align([[p] for p in _LEADS])
+        self._store(list(_LEADS), led.groups, led.counts, led.link_counts, led.links)
 
     def _keep_most_used(self, most: int) -> None:
         n = len(self.groups)
         kept = np.sort(np.argsort(-self.uses[:n], kind="stable")[:most])
+        kept = kept[kept >= len(_LEADS)]  # these are always there
         lengths = self.length[kept].astype(np.int64)
         after = np.cumsum(lengths)
         links = self.links[np.arange(int(after[-1]) if len(after) else 0) + np.repeat(self.first[kept] - after + lengths, lengths)]
@@ -328,7 +368,7 @@ class Memory:
         counts, uses = self.counts[kept], self.uses[kept] // 2
         self._forget()
         self._store(parts, groups, counts, lengths, links)
-        self.uses[: len(parts)] = uses
+        self.uses[len(_LEADS) : len(_LEADS) + len(parts)] = uses
 
     def _store(self, parts: list[str], groups: list[str], counts: np.ndarray, lengths: np.ndarray, links: np.ndarray) -> None:
         base, n = len(self.groups), len(parts)
@@ -350,22 +390,28 @@ class Memory:
         Parts that can stand between spaces are read together, the others alone; so are the
         parts of a text whose bytes do not fit.
         """
-        lists, size = [], self.TEXT
+        lists: list[list[str]] = []
+        sizes = {True: self.TEXT, False: self.TEXT}  # of the last list of ASCII parts, and of others
+        last = {True: 0, False: 0}
         for p in parts:
-            if not self.cuts or p[-1] == " " or not _STARTS.match(p):
-                lists.append([p])
-                size = self.TEXT
-            elif size >= self.TEXT:
-                lists.append([p])
-                size = len(p)
+            lead = _lead(p)
+            kind = p.isascii()
+            if p[-1] == " " or not (lead or self.joins.match(p)):
+                lists.append([*lead, p])
+            elif sizes[kind] >= self.TEXT:
+                last[kind] = len(lists)
+                lists.append([*lead, p])
+                sizes[kind] = len(p)
             else:
-                lists[-1].append(p)
-                size += len(p)
+                lists[last[kind]] += [*lead, p]
+                sizes[kind] += len(p)
+        lists.sort(key=lambda x: not all(map(str.isascii, x)))
         alone: list[list[str]] = []
         begin = 0
         while begin < len(lists):
             end, size = begin, 0
-            while end < len(lists) and size < BLOCK_BYTES:
+            ascii = all(map(str.isascii, lists[begin]))
+            while end < len(lists) and size < BLOCK_BYTES and (end == begin or all(map(str.isascii, lists[end])) == ascii):
                 size += sum(map(len, lists[end]))
                 end += 1
             alone += self._keep(lists[begin:end])
@@ -376,17 +422,23 @@ class Memory:
     def _keep(self, lists: list[list[str]]) -> list[list[str]]:
         """Remember the parts of some lists; gives those that have to be read alone."""
         found = self.aligner.align(lists)
-        again = [[p] for parts, bad in zip(lists, found.bad.tolist()) if bad and len(parts) > 1 for p in parts]
-        known = np.repeat(~found.bad | np.array([len(x) == 1 for x in lists]), [len(x) for x in lists])
-        parts = [p for p, k in zip(chain.from_iterable(lists), known.tolist()) if k]
-        groups = [g for g, k in zip(found.groups, known.tolist()) if k]
-        # Lists that do not fit have no links.
-        self._store(parts, groups, found.counts[known], found.link_counts[known], found.links)
+        parts = list(chain.from_iterable(lists))
+        own = np.array([p not in _LEADS for p in parts])
+        list_of = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        retry = found.bad & (np.bincount(list_of, own, len(lists)) > 1)
+        again = [[*_lead(p), p] for p, o, r in zip(parts, own.tolist(), retry[list_of].tolist()) if o and r]
+        known = own & ~retry[list_of]
+        starts = np.cumsum(found.link_counts) - found.link_counts
+        lengths = found.link_counts[known]
+        after = np.cumsum(lengths)
+        links = found.links[np.arange(int(after[-1]) if len(after) else 0) + np.repeat(starts[known] - after + lengths, lengths)]
+        chosen = known.tolist()
+        self._store([p for p, k in zip(parts, chosen) if k], [g for g, k in zip(found.groups, chosen) if k], found.counts[known], lengths, links)
         return again
 
     def align(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
         """For each text: tokens of A, of B, groups, the groups as text, the links as numbers."""
-        split = [parts_of(t) for t in texts] if self.cuts else [[t] if t else [] for t in texts]
+        split = [self.parts_of(t) for t in texts]
         met = set(chain.from_iterable(split))
         new = met - self.number.keys()
         if len(self.groups) + len(new) > self.MOST or self.used > self.MOST_LINKS:
@@ -548,7 +600,9 @@ def _digest(groups: Column) -> Column:
 def digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every document."""
     aligned = alignments(documents).withColumn("groups_sha256", _digest(F.col("groups"))).drop("groups")
-    aligned = materialize(aligned)
-    scored = scores(aligned, materialize(pair_counts(aligned))).withColumnRenamed("k", "scored_k")
+    with small_batches(documents.sparkSession):
+        aligned = materialize(aligned)
+        scored = scores(aligned, materialize(pair_counts(aligned)))
+    scored = scored.withColumnRenamed("k", "scored_k")
     rows = aligned.drop("links").join(scored, F.col("k") == F.col("scored_k"))
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

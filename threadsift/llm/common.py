@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,18 @@ def materialize(rows: DataFrame) -> DataFrame:
             conf.set(_CLEAN_UP, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Statements that run inside hand Python workers at most so many rows at once: less memory for wide rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(rows: DataFrame) -> None:
     """Delete the files of a frame that `materialize` wrote and nothing reads any more."""
     spark = rows.sparkSession
