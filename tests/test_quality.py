@@ -221,3 +221,42 @@ def test_saved_results_keep_all_metrics(spark, sf_dir):
     rows = {r.metric: r for r in registry.QUERIES["src_5b_all_saved_results"](spark, sf_dir).collect()}
     assert len(rows) == 11
     assert all(rows[m].a is not None for m in ("clean_parse_rate", "corrective_retry_rate", "total_failures", "cost"))
+
+
+def test_results_are_saved_with_their_threads(spark, truth, tmp_path):
+    """Report and per-thread table are one version; half a version is not read."""
+    predictions = spark.createDataFrame(
+        [(1, "d1", 1, True, "new", False, 3), (2, "d1", 1, True, "completed", False, 9), (2, "d2", 1, False, None, False, 1)],
+        "run_id bigint, thread_id string, pos int, is_deal boolean, category string, likely_scam boolean, ai_score int",
+    )
+    health = spark.createDataFrame([(True, False, False, False)], "clean boolean, repaired boolean, corrective_retry boolean, failed boolean")
+    usage = spark.createDataFrame([(100, 10)], "input_tokens bigint, output_tokens bigint")
+    report = metrics.report(truth, predictions, health, usage, {"model": "m"})
+    threads = metrics.per_thread(truth, predictions)
+    assert documents.save_result(report, threads, str(tmp_path), "a") == 1
+    # A job that dies between the two parts leaves a version that nobody reads.
+    threads.limit(0).write.parquet(str(tmp_path / "a" / "threads" / "v=2"))
+    result, stored = documents.read_result(spark, str(tmp_path), "a")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, threads.collect()))
+    direct = {r.category: r.accuracy_mean for r in metrics.accuracy_per_category(truth, predictions).collect()}
+    assert {r.category: r.accuracy_mean for r in documents.result_categories(result).collect()} == direct
+    values = {r.metric: r.value for r in documents.result_metrics(result).collect()}
+    assert len(values) == 11 and values["recall"] == metrics.detection(truth, predictions).first().recall_mean
+    assert documents.save_result(report, threads, str(tmp_path), "a") == 3
+    with pytest.raises(FileNotFoundError):
+        documents.read_result(spark, str(tmp_path), "b")
+
+
+def test_answers_and_misses_without_listing_them(spark, truth):
+    predictions = spark.createDataFrame(
+        [(1, "d1", 1, True, "new", False, 3), (1, "d1", 2, False, None, False, 1), (2, "elsewhere", 1, True, "new", False, 3)],
+        "run_id bigint, thread_id string, pos int, is_deal boolean, category string, likely_scam boolean, ai_score int",
+    )
+    total = truth.count()
+    found = {r.run_id: (r.answered, r.unanswered) for r in metrics.unanswered_counts(truth, predictions).collect()}
+    assert found == {1: (1, total - 1), 2: (0, total)}
+    listed = metrics.expected_and_answered(truth, predictions)
+    assert listed.count() == 2 * total and listed.filter("NOT is_missing").count() == 1
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Generate", "NestedLoop", "CartesianProduct", "collect_set"))
+    assert metrics.expected_and_answered(truth, predictions.limit(0)).count() == 0

@@ -154,3 +154,24 @@ def test_audit_json_stays_readable(spark, as_of):
     assert (audit.thread_count, audit.email_count, audit.inference_cost) == (1, 3, 0.0)
     cached = replies.cached_threads(spark.createDataFrame([("0", audit.ai_evaluation), ("1", "{bad")], "batch_id string, ai_evaluation string"))
     assert {r.batch_id: r["items"] is None for r in cached.collect()} == {"0": False, "1": True}
+
+
+def test_parts_are_bounded_in_bytes(spark):
+    """500 long messages: every part stays below the bound and the parts are the whole text."""
+    rows = [("b", i + 1, i == 0, "é" * 900 + f" {i}\n") for i in range(500)] + [("c", 1, True, "x"), ("c", 2, False, "y" * 50_000), ("c", 3, False, "z"), (None, 1, True, "n")]
+    segments = spark.createDataFrame(rows, "batch_id string, segment_no bigint, opens_thread boolean, segment string").repartition(5)
+    parts = threads.batch_texts(segments, part_bytes=20_000).orderBy("batch_id", "part_no").collect()
+    of_b = [p for p in parts if p.batch_id == "b"]
+    assert len(of_b) > 20 and all(len(p.thread_data.encode()) <= 20_000 for p in of_b)
+    assert "".join(p.thread_data for p in of_b) == "".join(r[3] for r in rows[:500])
+    assert sum(p.emails for p in of_b) == 500 and sum(p.threads for p in of_b) == 1
+    assert "".join(p.thread_data for p in parts if p.batch_id == "c") == "x" + "y" * 50_000 + "z"
+    assert [p.thread_data for p in parts if p.batch_id is None] == ["n"]
+
+
+def test_messages_by_thread_in_bytes(spark):
+    rows = [("t", f"m{i:03d}", i, "a" * (i % 7 * 100)) for i in range(200)]
+    frame = spark.createDataFrame(rows, "thread_id string, message_id string, position bigint, body string")
+    parts = threads.messages_by_thread(frame, part_bytes=3000).orderBy("part_no").collect()
+    assert [m.message_id for p in parts for m in p.messages] == [r[1] for r in rows]
+    assert len(parts) > 10 and all(sum(len(m.message_id) + len(m.body) for m in p.messages) <= 3000 for p in parts)

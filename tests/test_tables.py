@@ -10,7 +10,7 @@ from threadsift import schemas
 from threadsift.operators import mutations, ranking, states
 from threadsift.plans import jobs
 from threadsift.session import materialize
-from threadsift.sources import tables
+from threadsift.sources import lookups, partitioned, tables
 from threadsift.streaming import sync
 
 STATE_COLUMNS = "email_metadata_id string, user_id string, thread_id string, message_id string, sync_state_id string, status string, batch_id string, minutes_ago int"
@@ -276,6 +276,117 @@ def test_snapshots_are_versioned(spark, tmp_path):
     assert tables.write_table(first, root, "deals") == 4
 
 
+def part_rows(spark, pairs):
+    frame = spark.createDataFrame(pairs, "k string, v int")
+    return frame.withColumns({"created_at": F.lit("2020-01-01").cast("timestamp"), "updated_at": F.lit("2020-01-01").cast("timestamp")})
+
+
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_upserts_in_partitions(spark, tmp_path, as_of, monkeypatch, bound):
+    """Equal to the upsert of a whole table; partitions without changes are neither read nor written."""
+    monkeypatch.setattr(partitioned, "BROADCAST_KEYS", bound)
+    root = str(tmp_path)
+    target = part_rows(spark, [*[(f"k{i}", i) for i in range(200)], (None, -1)])
+    source = spark.createDataFrame([("k3", 300), ("k4", 400), ("new", 1), (None, 7)], "k string, v int")
+    partitioned.write_parts(target, root, "t", ["k"], 32)
+    before = {p: v for p, v in partitioned._list(spark, root, "t")[2].items()}
+    assert partitioned.upsert_parts(source, root, "t", target.schema, ["k"], ["v"], as_of) == 2
+    after = partitioned._list(spark, root, "t")[2]
+    want = mutations.upsert(target, source, ["k"], ["v"], as_of)
+
+    def rows(frame):
+        return sorted(map(tuple, frame.collect()), key=repr)
+
+    assert rows(partitioned.read_parts(spark, root, "t", target.schema)) == rows(want)
+    changed = {p for p, v in after.items() if v == 2}
+    assert 1 <= len(changed) <= 4 and {p: v for p, v in after.items() if v == 1} == {p: v for p, v in before.items() if p not in changed}
+    # An empty change makes no version; the same change twice gives the same rows.
+    assert partitioned.upsert_parts(source.limit(0), root, "t", target.schema, ["k"], ["v"], as_of) == 2
+    known = source.filter("k IS NOT NULL")
+    partitioned.upsert_parts(known, root, "t", target.schema, ["k"], ["v"], as_of)
+    assert rows(partitioned.read_parts(spark, root, "t", target.schema)) == rows(want)
+
+
+def test_upserts_in_partitions_do_not_move_the_target(spark, tmp_path, as_of, monkeypatch):
+    root, plans = str(tmp_path), []
+    target = part_rows(spark, [(f"k{i}", i) for i in range(500)])
+    partitioned.write_parts(target, root, "t", ["k"], 8)
+    original = partitioned._write
+
+    def watched(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return original(rows, *args)
+
+    monkeypatch.setattr(partitioned, "_write", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        partitioned.upsert_parts(spark.createDataFrame([("k1", 5), ("x", 6)], "k string, v int"), root, "t", target.schema, ["k"], ["v"], as_of)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The branch that reads the target has a broadcast join and no exchange between it and the scan.
+    branch = plans[0].split("Union")[1].split("\n")
+    at = next(i for i, line in enumerate(branch) if "FileScan" in line and "created_at" in line)
+    assert any("BroadcastHashJoin" in line for line in branch[:at])
+    assert not any("Exchange hashpartitioning" in line or "SortMergeJoin" in line for line in branch[:at])
+
+
+def test_a_failed_change_leaves_the_table(spark, tmp_path, as_of):
+    root = str(tmp_path)
+    target = part_rows(spark, [("a", 1), ("b", 2)])
+    partitioned.write_parts(target, root, "t", ["k"], 4)
+    broken = spark.createDataFrame([("a", 3)], "k string, v int").withColumn("v", F.when(F.col("v") == 3, F.raise_error(F.lit("boom")).cast("int")))
+    with pytest.raises(Exception, match="boom"):
+        partitioned.upsert_parts(broken, root, "t", target.schema, ["k"], ["v"], as_of)
+    with pytest.raises(ValueError):
+        partitioned.upsert_parts(target.select("k", "v"), root, "other", target.schema, ["k"], ["v"], as_of)
+    assert {r.k: r.v for r in partitioned.read_parts(spark, root, "t", target.schema).collect()} == {"a": 1, "b": 2}
+    assert partitioned.upsert_parts(target.select("k", (F.col("v") * 10).alias("v")), root, "t", target.schema, ["k"], ["v"], as_of) > 1
+    assert {r.k: r.v for r in partitioned.read_parts(spark, root, "t", target.schema).collect()} == {"a": 10, "b": 20}
+
+
+def scanned_rows(frame):
+    """Rows that the file scan of a frame gave: all of the row groups it did not skip."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    leaves, total = [plan], 0
+    while leaves:
+        node = leaves.pop()
+        children = node.children()
+        leaves += [children.apply(i) for i in range(children.size())]
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            leaves.append(node.executedPlan())
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            total += node.metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_look_ups_skip_row_groups(spark, tmp_path):
+    """Bloom filters on every looked-up column: few row groups are read, also for columns the file is not sorted by."""
+    n = 40_000
+    rows = spark.range(n).select(
+        F.concat(F.lit("s"), "id").alias("id"), F.concat(F.lit("e"), "id").alias("email_metadata_id"), F.lit("u").alias("user_id"),
+        F.concat(F.lit("t"), F.md5(F.col("id").cast("string"))).alias("thread_id"), F.concat(F.lit("m"), F.md5((F.col("id") + 7).cast("string"))).alias("message_id"),
+        F.lit("filtering").alias("status"), F.concat(F.lit("b"), F.floor(F.col("id") / 50).cast("string")).alias("batch_id"),
+    )
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(1 << 18))
+    try:
+        tables.write_table(rows.coalesce(1), str(tmp_path), "deal_states")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    stored = tables.read_table(spark, str(tmp_path), "deal_states")
+    thread, message = (r := stored.first()).thread_id, r.message_id
+    for frame, found in (
+        (states.batch_rows(stored, "b77"), 50),
+        (lookups.with_ids(stored, "thread_id", spark.createDataFrame([(thread,), ("none",), (None,)], "thread_id string")), 1),
+        (lookups.with_ids(stored, "message_id", spark.createDataFrame([(message,)], "m string"), "m"), 1),
+        (lookups.with_ids(stored, "thread_id", spark.createDataFrame([], "thread_id string")), 0),
+    ):
+        assert frame.count() == found
+        assert scanned_rows(frame) <= n / 4
+    many = stored.select("thread_id").limit(lookups.NAMED_IDS + 5)
+    assert lookups.with_ids(stored, "thread_id", many).count() == lookups.NAMED_IDS + 5
+
+
 def test_bucketed_state_table_is_updated_without_moving_it(spark, tmp_path, as_of):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

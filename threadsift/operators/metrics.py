@@ -8,6 +8,9 @@ A run is the set of its prediction rows; a run without any is not scored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,15 +53,48 @@ def judged(truth: DataFrame, predictions: DataFrame, keep: str = "last") -> Data
     return answers(predictions, keep).join(expected, "thread_id", "left")
 
 
+#: A quality check has tens of runs; beyond this the full listing is refused.
+MOST_RUNS = 1000
+
+
+def answered_threads(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """The labelled threads a run has answered, one row for each run and thread."""
+    expected = truth.select(F.col("id").alias("thread_id"), F.col("is_deal").alias("want_deal"))
+    return answers(predictions).join(expected, "thread_id")
+
+
+def unanswered_counts(truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Per run, how many labelled threads and how many labelled deals it left unanswered.
+
+    What a run did not answer is counted from totals and never listed.
+    """
+    totals = truth.agg(F.struct(F.count(F.lit(1)).alias("threads"), F.count_if("is_deal").alias("deals")).alias("n")).scalar()
+    found = answered_threads(truth, predictions).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("answered"), F.count_if("want_deal").alias("answered_deals")
+    )
+    every = predictions.select("run_id").distinct().join(found, "run_id", "left").na.fill(0, ["answered", "answered_deals"])
+    return every.select(
+        "run_id",
+        "answered",
+        (totals["threads"] - F.col("answered")).alias("unanswered"),
+        (totals["deals"] - F.col("answered_deals")).alias("unanswered_deals"),
+    )
+
+
 def expected_and_answered(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Each labelled thread in each run, answered or not.
+    """Each labelled thread in each run, answered or not: the full listing, on request.
 
-    The list of runs is one small aggregate (a quality check has tens of runs), so
-    threads are expanded by an array instead of a join without a key.
+    It has a row for each thread and run. The scores need only `answered_threads` and
+    `unanswered_counts`.
     """
-    runs = predictions.agg(F.sort_array(F.collect_set("run_id")).alias("runs")).scalar()
-    expected = truth.select(F.col("id").alias("thread_id"), F.col("is_deal").alias("want_deal"), F.explode(runs).alias("run_id"))
-    return expected.join(answers(predictions), ["run_id", "thread_id"], "left").withColumn(
+    names = [r.run_id for r in predictions.select("run_id").distinct().limit(MOST_RUNS + 1).collect()]
+    if len(names) > MOST_RUNS:
+        raise ValueError(f"more than {MOST_RUNS} runs cannot be listed in full")
+    kind = predictions.schema["run_id"].dataType
+    expected = truth.select(F.col("id").alias("thread_id"), F.col("is_deal").alias("want_deal"))
+    listed = [expected.withColumn("run_id", F.lit(name).cast(kind)) for name in names] or [expected.limit(0).withColumn("run_id", F.lit(None).cast(kind))]
+    every = reduce(DataFrame.unionByName, listed)
+    return every.join(answers(predictions), ["run_id", "thread_id"], "left").withColumn(
         "is_missing", F.col("is_deal").isNull()
     )
 
@@ -174,8 +210,11 @@ def headline(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     )
 
 
-def per_thread(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    """In how many runs each labelled thread was right; a run's first answer counts."""
+def per_thread(truth: DataFrame, predictions: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """In how many runs each labelled thread was right; a run's first answer counts.
+
+    `keep`: further columns of the labels that travel along.
+    """
     runs = predictions.agg(F.count_distinct("run_id").alias("n")).scalar()
     inside = F.col("ai_score").between(F.col("score_lo"), F.col("score_hi"))
     right_category = F.col("want_deal") & F.col("is_deal") & (F.col("category") == F.col("want_category"))
@@ -187,7 +226,7 @@ def per_thread(truth: DataFrame, predictions: DataFrame) -> DataFrame:
     )
     names = ["detection_correct", "category_correct", "score_in_range", "scam_correct"]
     return (
-        truth.select(F.col("id").alias("thread_id"), F.col("is_deal").alias("want_deal"))
+        truth.select(F.col("id").alias("thread_id"), F.col("is_deal").alias("want_deal"), *keep)
         .join(counts, "thread_id", "left")
         .na.fill(0, names)
         .withColumn("total_runs", runs)

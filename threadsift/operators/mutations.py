@@ -41,16 +41,18 @@ def upsert(
     keys: Sequence[str],
     update_columns: Sequence[str],
     as_of: Column,
+    how: str = "full",
 ) -> DataFrame:
     """Insert new keys, overwrite the listed columns of known keys.
 
     `source` must hold one row per key (see `last_write`). `created_at` and every
-    column not listed keep their stored value; `updated_at` becomes `as_of`.
+    column not listed keep their stored value; `updated_at` becomes `as_of`. With
+    how="left" only known keys are changed and nothing is inserted.
     """
     old = target.withColumn("_old", F.lit(True)).alias("old")
     new = source.withColumn("_new", F.lit(True)).alias("new")
     matching = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys]
-    joined = old.join(new, matching, "full")
+    joined = old.join(new, matching, how)
     is_old, is_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
 
     def value(name: str) -> Column:

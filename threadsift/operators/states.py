@@ -79,15 +79,17 @@ def sync(states: DataFrame, metadata: DataFrame, as_of: Column) -> DataFrame:
 
 
 # ---- claims --------------------------------------------------------------------
+def oldest_rows(states: DataFrame, status: str, limit: int) -> DataFrame:
+    """The rows of a status that have waited longest; ties go by id."""
+    return states.filter(F.col("status") == status).orderBy("updated_at", "email_metadata_id").limit(limit)
+
+
 def claim_for_filter(states: DataFrame, batch_id: str, as_of: Column, limit: int | None = None) -> DataFrame:
     """Pending rows, oldest first up to `limit`, become 'filtering' under a batch id."""
     pending = F.col("status") == "pending"
     if limit is None:
         return _stamp(states, pending, as_of, status=F.lit("filtering"), batch_id=F.lit(batch_id))
-    claimed = (
-        states.filter(pending).orderBy("updated_at", "email_metadata_id").limit(limit).select("email_metadata_id")
-    )
-    changes = claimed.select(
+    changes = oldest_rows(states, "pending", limit).select(
         "email_metadata_id", F.lit("filtering").alias("status"), F.lit(batch_id).alias("batch_id")
     )
     return apply_changes(states, changes, as_of)
@@ -227,6 +229,24 @@ def stale_batch_attempts(
     )
 
 
+def active_batches(
+    states: DataFrame, batch_events: DataFrame, statuses: Sequence[str], as_of: Column, minutes: int = fixed.STUCK_MINUTES
+) -> DataFrame:
+    """(batch_id, status, n, attempts) of the batches with a stale row in an active status; n counts all rows in it.
+
+    One pass over the states, whatever the number of statuses.
+    """
+    stale = F.col("updated_at") < minutes_before(as_of, minutes)
+    held = (
+        states.filter(F.col("status").isin(list(statuses)) & F.col("batch_id").isNotNull())
+        .groupBy("batch_id", "status")
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or(stale).alias("is_stale"))
+        .filter("is_stale")
+    )
+    attempts = batch_events.groupBy("batch_id").agg(F.count_distinct("trigger_hash").alias("attempts"))
+    return held.join(attempts, "batch_id", "left").select("batch_id", "status", "n", F.coalesce("attempts", F.lit(0)).alias("attempts"))
+
+
 def stuck_batches(states, batch_events, status, as_of, minutes=fixed.STUCK_MINUTES, max_attempts=fixed.MAX_ATTEMPTS):
     attempts = stale_batch_attempts(states, batch_events, status, as_of, minutes)
     return attempts.filter(F.col("attempts") < max_attempts)

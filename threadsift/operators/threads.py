@@ -1,13 +1,16 @@
 """Classification text per batch of threads.
 
 A batch text is the concatenation of message segments. Segments are numbered
-across the batch and packed into parts of a bounded number of messages, so even a
-thread with a large share of all mail never becomes one row. Joining the parts of
-a batch in order gives the whole text.
+across the batch and packed into parts of bounded size in bytes, so even a thread with
+a large share of all mail never becomes one row. Joining the parts of a batch in order
+gives the whole text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +20,9 @@ from threadsift.functions.scalars import trim_blank
 from threadsift.functions.text import clean_body
 from threadsift.operators.ranking import in_chunks, numbered
 
-MESSAGES_PER_PART = 500
+#: Bytes of a part; one longer message makes a part longer by itself.
+PART_BYTES = 4 << 20
+_SLICE = 500
 
 
 def thread_batches(messages: DataFrame, keys: list[str], batch_size: int) -> DataFrame:
@@ -43,12 +48,19 @@ def message_numbers(messages: DataFrame, per_thread: DataFrame | None = None) ->
     )
 
 
+def cleaned(messages: DataFrame) -> DataFrame:
+    """Messages with `clean`, their cleaned and cut body, in place of the raw ones."""
+    if "clean" in messages.columns:
+        return messages
+    raw = F.coalesce(F.nullif("body", F.lit("")), F.nullif("reply_body", F.lit("")), F.lit(""))
+    return messages.withColumn("clean", clean_body(raw)).drop("body", "reply_body")
+
+
 def prepared_messages(messages: DataFrame) -> DataFrame:
-    """What a text needs of each message. Bodies are cleaned and cut here, before any
-    exchange, so only short texts travel."""
+    """What a text needs of each message. Bodies are cleaned and cut before any exchange,
+    so only short texts travel."""
     headers = F.col("headers")
-    raw = F.coalesce(F.nullif("body", F.lit("")), F.nullif("reply_body", F.lit("")), F.lit(""))
-    return messages.select(
+    return cleaned(messages).select(
         "thread_id",
         "message_id",
         "position",
@@ -56,15 +68,15 @@ def prepared_messages(messages: DataFrame) -> DataFrame:
         header(headers, "from").alias("from_value"),
         header(headers, "date").alias("date_value"),
         header(headers, "subject").alias("subject_value"),
-        clean_body(raw).alias("clean"),
+        "clean",
     )
 
 
 def batch_segments(messages: DataFrame, batches: DataFrame) -> DataFrame:
     """One text segment per message with its place in the batch.
 
-    `messages`: thread_id, message_id, position, headers, body, reply_body,
-    previous_ai_summary. `batches`: thread_id, batch_id, thread_index; a batch holds
+    `messages`: thread_id, message_id, position, headers, previous_ai_summary, and body and
+    reply_body or the `clean` text that `cleaned` made of them. `batches`: thread_id, batch_id, thread_index; a batch holds
     few threads, so ordering its threads in a window is bounded.
     """
     counted = messages.groupBy("thread_id").agg(F.count(F.lit(1)).alias("message_count"))
@@ -105,12 +117,38 @@ def batch_segments(messages: DataFrame, batches: DataFrame) -> DataFrame:
     )
 
 
-def batch_texts(segments: DataFrame, messages_per_part: int = MESSAGES_PER_PART) -> DataFrame:
-    """(batch_id, part_no, thread_data): segments joined in order, part by part."""
-    part = F.floor((F.col("segment_no") - 1) / F.lit(messages_per_part)).cast("bigint")
+def in_parts(rows: DataFrame, key: str, number: str, size: Column, most: int) -> DataFrame:
+    """`part_no` of each row: the rows of a key in order of `number` (from 1), cut by the sum of their sizes.
+
+    A part holds the rows that begin in one half of `most`, so with rows of up to half of
+    `most` it stays below it; only a longer row makes it longer. Sums run inside slices
+    of rows of one key and start from the total of the slices before, so no key is one task.
+    """
+    sliced = rows.withColumns({"_size": size.cast("bigint"), "_slice": F.floor((F.col(number) - 1) / F.lit(_SLICE))})
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy(key, "_slice").agg(F.sum("_size").alias("_total"))
+    offsets = totals.select(key, "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(key, "_slice").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    begun = sliced.withColumn("_begin", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    known = offsets.withColumnsRenamed({key: "_key", "_slice": "_of"})
+    placed = begun.join(known, begun[key].eqNullSafe(known["_key"]) & (begun["_slice"] == known["_of"]))
+    part = F.floor((F.col("_begin") + F.col("_offset")) / F.lit(max(1, most // 2))).cast("bigint")
+    return placed.withColumn("part_no", part).drop("_size", "_slice", "_begin", "_offset", "_key", "_of")
+
+
+def batch_texts(segments: DataFrame, messages_per_part: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(batch_id, part_no, thread_data): segments joined in order, part by part.
+
+    Parts are bounded in bytes and numbered upwards (a number is left out where one segment
+    fills it alone), or hold a number of messages where one is given.
+    """
+    if messages_per_part is None:
+        placed = in_parts(segments, "batch_id", "segment_no", F.octet_length("segment"), part_bytes)
+    else:
+        placed = segments.withColumn("part_no", F.floor((F.col("segment_no") - 1) / F.lit(messages_per_part)).cast("bigint"))
     ordered = F.array_sort(F.collect_list(F.struct("segment_no", "segment")))
     return (
-        segments.groupBy("batch_id", part.alias("part_no"))
+        placed.groupBy("batch_id", "part_no")
         .agg(ordered.alias("_segments"), F.count_if("opens_thread").alias("threads"), F.count(F.lit(1)).alias("emails"))
         .select(
             "batch_id",
@@ -166,11 +204,22 @@ def size_report(texts: DataFrame) -> DataFrame:
     )
 
 
-def messages_by_thread(messages: DataFrame, messages_per_part: int = MESSAGES_PER_PART) -> DataFrame:
-    """Ordered message lists per thread, long threads in several parts."""
+def messages_by_thread(messages: DataFrame, messages_per_part: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Ordered message lists per thread, long threads in several parts.
+
+    A part is bounded by the bytes of its messages' texts, or by their number where one is given.
+    """
     numbers = message_numbers(messages)
-    part = F.floor((F.col("message_no") - 1) / F.lit(messages_per_part)).cast("bigint")
+    if messages_per_part is None:
+        texts = [f.name for f in messages.schema.fields if f.dataType.simpleString() == "string" and f.name != "thread_id"]
+        lengths = [F.coalesce(F.octet_length(name), F.lit(0)) for name in texts]
+        if "headers" in messages.columns:
+            lengths.append(F.coalesce(F.octet_length(F.to_json("headers")), F.lit(0)))
+        size = reduce(add, lengths, F.lit(0))
+        numbers = in_parts(numbers, "thread_id", "message_no", size, part_bytes)
+    else:
+        numbers = numbers.withColumn("part_no", F.floor((F.col("message_no") - 1) / F.lit(messages_per_part)).cast("bigint"))
     fields = ["message_no", *[c for c in messages.columns if c != "thread_id"]]
-    return numbers.groupBy("thread_id", part.alias("part_no")).agg(
+    return numbers.groupBy("thread_id", "part_no").agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("messages")
     )

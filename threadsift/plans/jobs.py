@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
@@ -17,7 +17,7 @@ from threadsift.functions.scalars import split_by_valid_id, stable_id
 from threadsift.operators import contacts, eligibility, mails, notifications, outcomes, replies, states, threads
 from threadsift.operators.mutations import append_missing, apply_changes, delete_matching, upsert_table
 from threadsift.operators.ranking import in_chunks
-from threadsift.session import materialize
+from threadsift.session import materialize, materialize_counting
 
 
 @dataclass
@@ -28,6 +28,11 @@ class JobResult:
     summary: DataFrame
 
 
+def one_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts as a summary row."""
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
 def sync_job(
     deal_states: DataFrame,
     batch_events: DataFrame,
@@ -36,20 +41,20 @@ def sync_job(
     max_attempts: int = fixed.MAX_ATTEMPTS,
 ) -> JobResult:
     """Add states for new mail, then fail batches out of attempts in both active steps."""
-    fresh = materialize(states.missing_states(deal_states, metadata, as_of))
-    swept, events, failed = deal_states, [], F.lit(0)
-    for status, batch_type in (("filtering", "filter"), ("classifying", "classify")):
-        # New rows are in neither step, and no row is in both: each looks at the old table.
-        dead = materialize(
-            states.dead_batches(deal_states, batch_events, status, as_of, max_attempts=max_attempts).select("batch_id")
-        )
-        failed = failed + states.count_in_batches(deal_states, dead, status).scalar()
-        swept = states.set_status_by_batches(swept, dead, status, "failed", as_of)
-        events.append(states.event_rows(dead, batch_type, "dead_letter", as_of))
+    fresh, counts = materialize_counting(states.missing_states(deal_states, metadata, as_of), synced_count=F.count(F.lit(1)))
+    # New rows are in neither step, and no row is in both: each looks at the old table.
+    steps = {"filtering": "filter", "classifying": "classify"}
+    tired = states.active_batches(deal_states, batch_events, list(steps), as_of).filter(F.col("attempts") >= max_attempts)
+    dead, failed = materialize_counting(tired, dead_lettered=F.sum("n"))
+    swept, events = deal_states, []
+    for status, batch_type in steps.items():
+        of_step = dead.filter(F.col("status") == status).select("batch_id")
+        swept = states.set_status_by_batches(swept, of_step, status, "failed", as_of)
+        events.append(states.event_rows(of_step, batch_type, "dead_letter", as_of))
     current = swept.unionByName(fresh)
-    counts = fresh.agg(F.count(F.lit(1)).alias("synced_count")).withColumn("dead_lettered", failed)
+    summary = one_row(deal_states.sparkSession, {**counts, **failed})
     log = upsert_table("batch_events", batch_events, events[0].unionByName(events[1]), as_of)
-    return JobResult({"deal_states": current, "batch_events": log}, counts)
+    return JobResult({"deal_states": current, "batch_events": log}, summary)
 
 
 def filter_changes(
@@ -98,23 +103,23 @@ def filter_job(
     `retried`: ids of batches that `retry_job` renewed or split off (`states.renewed_batches`);
     their rows are filtered again under the batch id they have.
     """
-    changes = materialize(filter_changes(deal_states, messages, as_of, batch_size, lists, retried))
+    # The summary's counts are taken while the changes and the dead batches are written.
+    changes, counts = materialize_counting(
+        filter_changes(deal_states, messages, as_of, batch_size, lists, retried),
+        total_filtered=F.count_if(F.col("status") == "pending_classification"),
+        total_rejected=F.count_if(F.col("status") == "filter_rejected"),
+        total_unfetched=F.count_if(F.col("status") == "filtering"),
+    )
     filtered = apply_changes(deal_states, changes, as_of)
     # Rows claimed just now are fresh: whatever is out of attempts was so before.
-    dead_ids = materialize(
-        states.dead_batches(deal_states, batch_events, "filtering", as_of, max_attempts=max_attempts).select("batch_id")
-    )
+    tired = states.active_batches(deal_states, batch_events, ["filtering"], as_of).filter(F.col("attempts") >= max_attempts)
+    dead_ids, failed = materialize_counting(tired.select("batch_id", "n"), stuck_failed=F.sum("n"))
     swept = states.set_status_by_batches(filtered, dead_ids, "filtering", "failed", as_of)
     dead = states.event_rows(dead_ids, "filter", "dead_letter", as_of)
-    batches = changes.select("batch_id").distinct()
+    batches, processed = materialize_counting(changes.select("batch_id").distinct(), batches_processed=F.count(F.lit(1)))
     done = states.event_rows(batches, "filter", "complete", as_of)
     log = upsert_table("batch_events", batch_events, done.unionByName(dead), as_of)
-    summary = changes.agg(
-        F.count_distinct("batch_id").alias("batches_processed"),
-        F.count_if(F.col("status") == "pending_classification").alias("total_filtered"),
-        F.count_if(F.col("status") == "filter_rejected").alias("total_rejected"),
-        F.count_if(F.col("status") == "filtering").alias("total_unfetched"),
-    ).withColumn("stuck_failed", states.count_in_batches(deal_states, dead_ids, "filtering").scalar())
+    summary = one_row(deal_states.sparkSession, {**processed, **counts, **failed})
     return JobResult({"deal_states": swept, "batch_events": log}, summary)
 
 
@@ -159,7 +164,9 @@ def select_candidates(
     owners = rows.groupBy("thread_id").agg(
         F.max("user_id").alias("user_id"), F.max("creator_email").alias("creator_email")
     )
-    placed = mails.enrich(mails.claimed_messages(messages.drop("user_id"), rows), rows).join(owners, "thread_id")
+    # Raw bodies end here: every later join carries a cleaned text of bounded length.
+    claimed = threads.cleaned(mails.claimed_messages(messages.drop("user_id"), rows))
+    placed = mails.enrich(claimed, rows).join(owners, "thread_id")
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")
@@ -311,11 +318,12 @@ def retry_job(
     for status, batch_type, size in (("filtering", "filter", filter_size), ("classifying", "classify", classify_size)):
         current, new = states.retry_stuck(current, batch_events, status, batch_type, as_of, size, max_attempts=max_attempts)
         events.append(new)
-    added = materialize(events[0].unionByName(events[1]))
-    summary = added.agg(
-        F.count_if(F.col("event_type") == "retrigger").alias("batches_renewed"),
-        F.count_if(F.col("event_type") == "new").alias("batches_split_off"),
+    added, counts = materialize_counting(
+        events[0].unionByName(events[1]),
+        batches_renewed=F.count_if(F.col("event_type") == "retrigger"),
+        batches_split_off=F.count_if(F.col("event_type") == "new"),
     )
+    summary = one_row(deal_states.sparkSession, counts)
     log = upsert_table("batch_events", batch_events, added, as_of)
     return JobResult({"deal_states": current, "batch_events": log}, summary)
 
@@ -329,13 +337,14 @@ def recovery_job(
 ) -> JobResult:
     """Return failed rows to the queue where their message can still be read."""
     found = states.split_by_availability(states.failed_rows(deal_states, user_limit, rows_per_user), messages)
-    rows = materialize(found.select("email_metadata_id", "user_id", "is_available"))
-    summary = rows.agg(
-        F.count_if("is_available").alias("total_recovered"),
-        F.count_if(~F.col("is_available")).alias("total_dead"),
-        F.count_distinct("user_id").alias("users_processed"),
+    rows, counts = materialize_counting(
+        found.select("email_metadata_id", "user_id", "is_available"),
+        total_recovered=F.count_if("is_available"),
+        total_dead=F.count_if(~F.col("is_available")),
     )
-    return JobResult({"deal_states": states.apply_recovery(deal_states, rows, as_of)}, summary)
+    # Distinct users cannot be counted on the way; the rows just written are few and have one narrow column for it.
+    counts["users_processed"] = rows.agg(F.count_distinct("user_id")).first()[0]
+    return JobResult({"deal_states": states.apply_recovery(deal_states, rows, as_of)}, one_row(deal_states.sparkSession, counts))
 
 
 def notify_job(tables: dict[str, DataFrame], markers: DataFrame, limit: int | None = None) -> JobResult:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from threadsift.functions.headers import address
 from threadsift.operators import compare, mails, metrics
 from threadsift.registry import query
-from threadsift.registry.evaluation import _COMPARED, _COST, _HEALTH_ROWS, health, usage, variants
+from threadsift.registry.evaluation import _A, _B, _COMPARED, _COST, _HEALTH_ROWS, _REGRESSED, _VERDICT, _WINNER, _categories, health, usage, variants
 from threadsift.session import shared_folder
 from threadsift.sources import documents
 
@@ -125,6 +125,44 @@ def src_5b(t):
     return compared_results(t)
 
 
+def saved_variants(t):
+    """Both variants saved as versions of their own, and read again: (result, per-thread table) of each."""
+    root = f"{shared_folder(t.spark)}/results-{uuid.uuid4().hex}"
+    out = []
+    for name, predictions in zip("ab", variants(t)):
+        report = metrics.report(t.truth, predictions, health(t), usage(t), {"model": name})
+        threads = metrics.per_thread(t.truth, predictions, keep=["category", "likely_scam", "score_lo", "score_hi"])
+        documents.save_result(report, threads, root, name)
+        out.append(documents.read_result(t.spark, root, name))
+    return out
+
+
+def _saved_comparison(t):
+    (result_a, threads_a), (result_b, threads_b) = saved_variants(t)
+    metric_a, metric_b = (documents.result_metrics(r).drop("variant") for r in (result_a, result_b))
+    return compare.compare_metrics(metric_a, metric_b), compare.regressions(threads_a, threads_b)
+
+
+@query("eva_9b_saved_regressions", _REGRESSED)
+def eva_9_saved(t):
+    return _saved_comparison(t)[1]
+
+
+@query("eva_10b_saved_verdict", _VERDICT)
+def eva_10_saved(t):
+    return compare.verdict(*_saved_comparison(t))
+
+
+@query("joi_17b_saved_categories", f"""
+SELECT category, a, b, delta, {_WINNER}, a_count, b_count FROM (
+ SELECT x.category, ROUND(x.accuracy_mean, 4) AS a, ROUND(y.accuracy_mean, 4) AS b, ROUND(y.accuracy_mean - x.accuracy_mean, 4) AS delta,
+  x.ground_truth_count AS a_count, y.ground_truth_count AS b_count
+ FROM ({_categories(_A)}) x JOIN ({_categories(_B)}) y ON y.category = x.category) z""")
+def joi_17_saved(t):
+    (result_a, _), (result_b, _) = saved_variants(t)
+    return compare.compare_categories(*[documents.result_categories(r) for r in (result_a, result_b)])
+
+
 # ---- plain functions --------------------------------------------------------------------
 @query("sca_1_text_functions", """
 SELECT email_metadata_id, LOWER(TRIM(sender_email)) AS email, STARTS_WITH(LOWER(TRIM(sender_email)), 'no-') AS starts,

@@ -55,6 +55,21 @@ def joi_16(t):
     )
 
 
+@query("joi_16b_answered_and_unanswered", f"""
+SELECT run_id, COUNT(*) FILTER (WHERE answered) AS answered, COUNT(*) FILTER (WHERE NOT answered) AS unanswered,
+ COUNT(*) FILTER (WHERE NOT answered AND want_deal) AS unanswered_deals FROM {_full()} GROUP BY run_id""")
+def joi_16_counts(t):
+    return metrics.unanswered_counts(t.truth, t.predictions)
+
+
+@query("joi_16c_answered_threads", f"""
+SELECT run_id, id AS thread_id, want_deal, is_deal, category, likely_scam, ai_score FROM {_full()} WHERE answered""")
+def joi_16_answered(t):
+    return metrics.answered_threads(t.truth, t.predictions).select(
+        "run_id", "thread_id", "want_deal", "is_deal", "category", "likely_scam", "ai_score"
+    )
+
+
 @query("agg_7_score_stats", f"SELECT run_id, {_stats('ai_score', 'score')} FROM f_predictions GROUP BY run_id")
 def agg_7(t):
     return t.predictions.groupBy("run_id").agg(*metrics.stats(F.col("ai_score").cast("double"), "score"))
@@ -187,6 +202,14 @@ def eva_7(t):
     )
 
 
+@query("eva_7b_report_categories", _categories())
+def eva_7_categories(t):
+    """The per-category map of the report, one row for each entry."""
+    report = metrics.report(t.truth, t.predictions, health(t), usage(t))
+    names = [f"accuracy_{k}" for k in ("mean", "min", "max", "stddev")]
+    return report.select(F.explode("per_category").alias("category", "c")).select("category", "c.ground_truth_count", *[f"c.{n}" for n in names])
+
+
 # ---- two variants: the first two runs against the others ---------------------------
 _A = "(SELECT * FROM f_predictions WHERE run_id <= 2)"
 _B = "(SELECT * FROM f_predictions WHERE run_id > 2)"
@@ -270,7 +293,7 @@ def eva_9(t):
     return regressed(t)
 
 
-@query("eva_10_verdict", f"""
+_VERDICT = f"""
 SELECT *, CASE WHEN b_recall_above_95 AND b_precision_above_40 AND b_f2_above_baseline AND b_consistency_within_3pct
   AND no_new_missed_deals AND b_scam_no_regression AND b_category_no_regression THEN 'PASS' ELSE 'FAIL' END AS verdict
 FROM (SELECT
@@ -280,7 +303,10 @@ FROM (SELECT
  (SELECT b FROM ({_COMPARED}) c WHERE metric = 'recall_stddev') <= 0.03 AS b_consistency_within_3pct,
  NOT EXISTS (SELECT 1 FROM ({_REGRESSED}) r WHERE kind = 'missed_deal') AS no_new_missed_deals,
  NOT EXISTS (SELECT 1 FROM ({_REGRESSED}) r WHERE kind = 'missed_scam') AS b_scam_no_regression,
- (SELECT b >= a FROM ({_COMPARED}) c WHERE metric = 'category_accuracy') AS b_category_no_regression) v""")
+ (SELECT b >= a FROM ({_COMPARED}) c WHERE metric = 'category_accuracy') AS b_category_no_regression) v"""
+
+
+@query("eva_10_verdict", _VERDICT)
 def eva_10(t):
     a, b = variants(t)
     comparison = compare.compare_metrics(compare.metric_table(t.truth, a), compare.metric_table(t.truth, b))

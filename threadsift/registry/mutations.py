@@ -13,7 +13,7 @@ from threadsift.plans import jobs
 from threadsift.registry import query
 from threadsift.registry.replies import COERCED, items
 from threadsift.session import shared_folder
-from threadsift.sources import tables
+from threadsift.sources import partitioned, tables
 
 AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
 OLD = "TIMESTAMP '2023-12-01 00:00:00'"
@@ -66,6 +66,25 @@ def snk_2(t):
     return mutations.upsert(target, source, keys, ["quantity"], t.as_of)
 
 
+_EVERY = 100
+
+
+@query("snk_2f_upsert_changed_parts", f"""
+SELECT COALESCE(o.o_orderkey, n.o_orderkey) AS o_orderkey, COALESCE(n.status, o.status) AS status,
+ COALESCE(o.created_at, {AS_OF}) AS created_at, CASE WHEN n.o_orderkey IS NOT NULL THEN {AS_OF} ELSE o.updated_at END AS updated_at
+FROM (SELECT o_orderkey, o_orderstatus AS status, {OLD} AS created_at, {OLD} AS updated_at FROM orders WHERE o_orderkey % 3 <> 0) o
+FULL JOIN (SELECT o_orderkey, 'X' AS status FROM orders WHERE o_custkey % {_EVERY} = 1) n ON n.o_orderkey = o.o_orderkey""")
+def snk_2_parts(t):
+    """An upsert of a few keys into a table in partitions: two versions, of which the second holds what changed."""
+    root = f"{shared_folder(t.spark)}/parts-{uuid.uuid4().hex}"
+    kept = t.orders.filter("o_orderkey % 3 <> 0")
+    target = kept.select("o_orderkey", F.col("o_orderstatus").alias("status"), _old("created_at"), _old("updated_at"))
+    source = t.orders.filter(F.col("o_custkey") % _EVERY == 1).select("o_orderkey", F.lit("X").alias("status"))
+    partitioned.write_parts(target, root, "orders", ["o_orderkey"], 16)
+    partitioned.upsert_parts(source, root, "orders", target.schema, ["o_orderkey"], ["status"], t.as_of)
+    return partitioned.read_parts(t.spark, root, "orders", target.schema)
+
+
 _ITEMS = f"(SELECT * FROM ({COERCED}) c WHERE shape <> 'broken') i"
 
 

@@ -9,6 +9,7 @@ from threadsift.operators import mutations, states
 from threadsift.plans import jobs
 from threadsift.registry import query
 from threadsift.session import materialize
+from threadsift.sources import lookups
 
 AS_OF = "TIMESTAMP '2024-01-20 00:00:00'"
 STATE_COLUMNS = "id, email_metadata_id, user_id, thread_id, message_id, sync_state_id"
@@ -36,16 +37,15 @@ def flt_3(t):
 @query("flt_4_evaluations_of_deal_threads", """
 SELECT e.thread_id, e.is_deal FROM f_evaluations e WHERE e.thread_id IN (SELECT thread_id FROM f_deals)""")
 def flt_4(t):
-    wanted = t.deals.select("thread_id")
-    return t.evaluations.join(wanted, "thread_id", "left_semi").select("thread_id", "is_deal")
+    return lookups.with_ids(t.evaluations, "thread_id", t.deals).select("thread_id", "is_deal")
 
 
 @query("flt_4b_deals_of_ready_threads", """
 SELECT d.id, d.thread_id, d.user_id, d.updated_at FROM f_deals d
 WHERE d.thread_id IN (SELECT thread_id FROM f_deal_states WHERE status = 'classifying')""")
 def flt_4b(t):
-    wanted = t.deal_states.filter(F.col("status") == "classifying").select("thread_id").distinct()
-    return t.deals.join(wanted, "thread_id", "left_semi").select("id", "thread_id", "user_id", "updated_at")
+    wanted = t.deal_states.filter(F.col("status") == "classifying")
+    return lookups.with_ids(t.deals, "thread_id", wanted).select("id", "thread_id", "user_id", "updated_at")
 
 
 @query("flt_5_stale_rows", f"""
@@ -129,11 +129,8 @@ def joi_5(t):
 SELECT email_metadata_id, status, updated_at FROM f_deal_states WHERE email_metadata_id IN (
  SELECT email_metadata_id FROM f_deal_states WHERE status = 'pending' ORDER BY updated_at, email_metadata_id LIMIT 200)""")
 def joi_6(t):
-    pending = t.deal_states.filter(F.col("status") == "pending")
-    oldest = pending.orderBy("updated_at", "email_metadata_id").limit(200).select("email_metadata_id")
-    return t.deal_states.join(oldest, "email_metadata_id", "left_semi").select(
-        "email_metadata_id", "status", "updated_at"
-    )
+    oldest = states.oldest_rows(t.deal_states, "pending", 200)
+    return lookups.with_ids(t.deal_states, "email_metadata_id", oldest).select("email_metadata_id", "status", "updated_at")
 
 
 @query("joi_14_failed_rows_by_availability", """
@@ -224,8 +221,7 @@ def win_5c(t):
 SELECT email_metadata_id, updated_at FROM f_deal_states WHERE status = 'pending_classification'
 ORDER BY updated_at, email_metadata_id LIMIT 100""")
 def srt_2(t):
-    ready = t.deal_states.filter(F.col("status") == "pending_classification")
-    return ready.select("email_metadata_id", "updated_at").orderBy("updated_at", "email_metadata_id").limit(100)
+    return states.oldest_rows(t.deal_states, "pending_classification", 100).select("email_metadata_id", "updated_at")
 
 
 # ---- transitions ---------------------------------------------------------------

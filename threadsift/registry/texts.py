@@ -291,6 +291,21 @@ def agg_9(t):
     )
 
 
+# Message sizes: id and text; parts hold what begins in one half of 4,000 bytes.
+@query("agg_9b_messages_by_bytes", """
+SELECT 'c-' || CAST(conv_id AS STRING) AS thread_id, part_no,
+ STRING_AGG('c-' || CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING), ',' ORDER BY turn) AS message_ids
+FROM (SELECT conv_id, turn, CAST(FLOOR((SUM(size) OVER (PARTITION BY conv_id ORDER BY turn) - size) / 2000) AS BIGINT) AS part_no
+ FROM (SELECT conv_id, turn, OCTET_LENGTH(ENCODE('c-' || CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING)))
+  + COALESCE(OCTET_LENGTH(ENCODE(text)), 0) AS size FROM conversations) s) p GROUP BY conv_id, part_no""")
+def agg_9_bytes(t):
+    rows = conversation_messages(t).select("thread_id", "message_id", "position", F.coalesce("body", "reply_body").alias("body"))
+    parts = threads.messages_by_thread(rows, part_bytes=4000)
+    return parts.select(
+        "thread_id", "part_no", F.array_join(F.transform("messages", lambda m: m["message_id"]), ",").alias("message_ids")
+    )
+
+
 @query("sca_13_stable_ids", "SELECT SHA256('doc|' || CAST(doc_id AS STRING) || '|' || source) AS id FROM documents")
 def sca_13(t):
     return t.documents.select(stable_id(F.lit("doc"), F.col("doc_id"), F.col("source")).alias("id"))

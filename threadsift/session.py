@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Run-time SQL settings every job relies on. A setting the cluster has already
 # chosen explicitly wins, except the time zone: all clocks here are UTC.
@@ -15,6 +15,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot user or thread is split even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Short lists of ids reach the Bloom filters of Parquet files one by one.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
     # JSON replies may repeat a key; the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -67,6 +69,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def materialize_counting(rows: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
+    """`materialize`, and aggregates of the rows taken while they are written; 0 where there are no rows."""
+    seen = Observation(f"counts-{uuid.uuid4().hex}")
+    written = materialize(rows.observe(seen, *[value.alias(name) for name, value in counts.items()]))
+    found = seen.get
+    return written, {name: found.get(name) or 0 for name in counts}
+
+
 def materialize(rows: DataFrame) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threadsift import schemas
 from threadsift.functions.rules import RuleLists
+from threadsift.sources.tables import _children, versions
 
 
 def read_rule_lists(spark: SparkSession, path: str) -> RuleLists:
@@ -56,6 +57,57 @@ def labels_of(truth: DataFrame) -> DataFrame:
     )
 
 
+def _stats(source: str, name: str) -> Column:
+    return F.struct(*[F.col(f"{source}.{name}_{k}").alias(k) for k in ("mean", "min", "max", "stddev")]).alias(name)
+
+
+def result_document(report: DataFrame) -> DataFrame:
+    """The one-row report of `metrics.report` in the shape of a saved result, without the per-thread list."""
+
+    def category(c: Column) -> Column:
+        return F.struct(*[c[f"accuracy_{k}"].alias(k) for k in ("mean", "min", "max", "stddev")], c["ground_truth_count"].alias("ground_truth_count"))
+
+    named = [c for c in ("model",) if c in report.columns]
+    return report.select(
+        *named,
+        "runs",
+        "successful_runs",
+        "ground_truth_count",
+        F.struct(*[_stats("detection", n) for n in ("recall", "precision", "f2")]).alias("detection"),
+        F.struct(_stats("categorization", "accuracy"), F.transform_values("per_category", lambda _, c: category(c)).alias("per_category")).alias("categorization"),
+        F.struct(_stats("urgency_scoring", "in_range_rate")).alias("urgency_scoring"),
+        F.struct(_stats("scam_detection", "accuracy"), F.col("scam_detection.total_scam_threads").alias("total_scam_threads")).alias("scam_detection"),
+        F.struct(*[_stats("json_health", n) for n in ("clean_parse_rate", "repaired_rate", "corrective_retry_rate")], F.col("json_health.total_failures").alias("total_failures")).alias("json_health"),
+        "cost",
+    )
+
+
+def save_result(report: DataFrame, threads: DataFrame, root: str, name: str) -> int:
+    """Save an evaluation as the next version of `name`: the report, and its per-thread table beside it.
+
+    `threads` is a table of any size (`metrics.per_thread`). The report is written last, and
+    a version counts from then on, so both are always read from one run.
+    """
+    spark = report.sparkSession
+    folder = f"{root}/{name}"
+    taken = [int(c.split("=")[1]) for part in ("threads", "report") for c in _children(spark, f"{folder}/{part}") if c.startswith("v=")]
+    version = max(taken, default=0) + 1
+    threads.write.mode("errorifexists").parquet(f"{folder}/threads/v={version}")
+    result_document(report).coalesce(1).write.mode("errorifexists").json(f"{folder}/report/v={version}")
+    return version
+
+
+def read_result(spark: SparkSession, root: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(one row: variant, result; per-thread table) of the newest complete version of a saved evaluation."""
+    known = versions(spark, root, f"{name}/report")
+    if not known:
+        raise FileNotFoundError(f"missing evaluation result: {name}")
+    folder, version = f"{root}/{name}", known[-1]
+    report = spark.read.schema(schemas.EVAL_RESULT).json(f"{folder}/report/v={version}")
+    result = report.select(F.lit(name).alias("variant"), F.struct(*report.columns).alias("result"))
+    return result, spark.read.parquet(f"{folder}/threads/v={version}")
+
+
 def parse_results(results: DataFrame) -> DataFrame:
     """(variant, result): saved evaluation results from JSON text.
 

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from threadsift import schemas
+from threadsift.sources.lookups import sorted_and_indexed
 
 _VERSION = re.compile(r"^v=(\d+)$")
 
@@ -55,7 +56,7 @@ def write_table(rows: DataFrame, root: str, name: str) -> int:
     taken = [int(m.group(1)) for m in map(_VERSION.match, _children(spark, f"{root}/{name}")) if m]
     version = max(taken, default=0) + 1
     conformed = schemas.conform(rows, schema_of(name))
-    conformed.write.mode("errorifexists").parquet(f"{root}/{name}/v={version}")
+    sorted_and_indexed(conformed, name).parquet(f"{root}/{name}/v={version}")
     return version
 
 
