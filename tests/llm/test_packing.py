@@ -76,6 +76,32 @@ def test_encoder_gives_the_ids_of_the_library():
         assert ids.tolist() == w.ids, text
 
 
+def test_encoder_on_letters_that_normalisation_takes_apart():
+    """Every letter below U+20000 before a stop and a comma, where the library's ids differ from those of the parts."""
+    tokenizer = Tokenizer.from_file(packing.public_file())
+    encoder = packing.Encoder(packing.public_file())
+    known = [0x130, *range(0x958, 0x960), *range(0x9DC, 0x9E0), 0xA33, 0xA36, 0xA59, 0xA5A, 0xA5B, 0xA5E, 0xB5C, 0xB5D, 0xF43, 0xFB2A, 0xFB4E]
+    others = [c for c in range(0x20, 0x20000) if chr(c).isalnum() and not 0xD800 <= c < 0xE000]
+    letters = [*map(chr, known), *map(chr, others)]
+    texts = [f"{a}. x{a}, {a}" for a in letters]
+    for begin in range(0, len(texts), 5000):
+        part = texts[begin : begin + 5000]
+        want = tokenizer.encode_batch_fast(part, add_special_tokens=False)
+        for text, (ids, _), w in zip(part, encoder.encode(part), want):
+            assert ids.tolist() == w.ids, text
+
+
+def test_encoder_on_random_strings():
+    rng = random.Random(17)
+    pieces = ["İ", "i̇", "̇", "́", "़", "ड़", "ø", "é", "Σ", "ς", "ß", "ŉ", "a", "B", "1", "½", ".", ",", ". ", ", ", " ", "\n", "'s", "<|startoftext|>", "<|", "|>", "日", "😀", "\u200d", "\u0f43", "\ufb2a", "!", "_"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(20_000)]
+    tokenizer = Tokenizer.from_file(packing.public_file())
+    encoder = packing.Encoder(packing.public_file())
+    want = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    for text, (ids, _), w in zip(texts, encoder.encode(texts), want):
+        assert ids.tolist() == w.ids, repr(text)
+
+
 def test_borders_are_best():
     """The monotone queue against plain dynamic programming."""
     rng = random.Random(1)

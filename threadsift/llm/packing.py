@@ -61,7 +61,7 @@ def runs_of(text: str) -> list[str]:
     """A text's runs of characters without white space, made alike where the ids stay the same.
 
     Letters are lowered where that is what the tokenizer does to them, and a full stop or
-    comma after a letter or digit becomes a run of its own, as it becomes a token.
+    comma after a letter or digit of ASCII becomes a run of its own, as it becomes a token.
     """
     text = text.replace("\n", " ").replace("\t", " ") + " "
     if not _UNSAFE.search(text):
@@ -71,7 +71,8 @@ def runs_of(text: str) -> list[str]:
             parts = text.split(mark)
             apart = " " + mark
             last = parts.pop()
-            text = "".join([p + (apart if p[-1:].isalnum() else mark) for p in parts]) + last
+            # Only behind a letter of ASCII: others may be taken apart into a letter and a mark, which joins the stop.
+            text = "".join([p + (apart if p[-1:].isalnum() and p[-1] < "\x80" else mark) for p in parts]) + last
     return text.split(" ")
 
 
