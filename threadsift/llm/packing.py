@@ -26,7 +26,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,9 @@ def public_file(name: str = "word_bpe_49k.json") -> str:
 
 
 #: Characters whose lower case depends on their neighbours or that normalisation may change.
-_UNSAFE = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
+_UNSAFE = re.compile("[\u0130\u0250-\U0010ffff]")
+#: Runs of letters that stay one word for the tokenizer.
+_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 def runs_of(text: str) -> list[str]:
@@ -64,7 +66,7 @@ def runs_of(text: str) -> list[str]:
     comma after a letter or digit of ASCII becomes a run of its own, as it becomes a token.
     """
     text = text.replace("\n", " ").replace("\t", " ") + " "
-    if not _UNSAFE.search(text):
+    if "<|" not in text and (text.isascii() or not _UNSAFE.search(text)):
         text = text.lower()
     for mark in (". ", ", "):
         if mark in text:
@@ -80,8 +82,10 @@ class Encoder:
     """Token ids and sentence ends of texts.
 
     The tokenizer of this file looks at runs of characters without white space one by one,
-    so each different run is encoded once and remembered. New runs are encoded in one call,
-    with the file's first special token between them, which ends a run wherever it stands.
+    so each different run is encoded once and remembered. New runs are encoded in one call:
+    those that are one word of letters with spaces between them, as the last token of a word
+    says so by its suffix; others with the file's first special token between them, which
+    ends a run wherever it stands.
     """
 
     #: Runs to remember; when there are more, all are forgotten.
@@ -95,6 +99,10 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.border = min(added) if added else None
         self.mark = str(added[self.border]) if added else ""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -105,19 +113,29 @@ class Encoder:
         self.ids = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, and their number by word."""
+        texts = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.fromiter(chain.from_iterable([e.ids for e in found]), dtype=np.uint32)
+        return flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+
     def _learn(self, runs: list[str]) -> None:
-        plain = [r for r in runs if not (self.mark and self.mark in r)] if self.mark else []
-        known = set(plain)
+        words = [r for r in runs if _WORD.fullmatch(r)]
+        flat, lengths = self._words(words)
+        if len(lengths) != len(words):  # a tokenizer without such suffixes
+            words, flat, lengths = [], flat[:0], lengths[:0]
+        known = set(words)
+        plain = [r for r in runs if r not in known and not (self.mark and self.mark in r)] if self.mark else []
+        known.update(plain)
         if plain:
             found = np.array(self._encode(self.mark.join(plain)), dtype=np.uint32)
             edges = np.flatnonzero(found == self.border)
-            lengths = np.diff(edges, prepend=-1, append=len(found)) - 1
-            flat = found[found != self.border]
-        else:
-            lengths, flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+            lengths = np.concatenate([lengths, np.diff(edges, prepend=-1, append=len(found)) - 1])
+            flat = np.concatenate([flat, found[found != self.border]])
         odd = [r for r in runs if r not in known]
         lists = [np.array(self._encode(r), dtype=np.uint32) for r in odd]
-        runs = plain + odd
+        runs = words + plain + odd
         base = len(self.number)
         lengths = np.concatenate([lengths, np.array([len(x) for x in lists], dtype=np.int64)])
         flat = np.concatenate([flat, *lists])
@@ -135,16 +153,25 @@ class Encoder:
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _numbers(self, runs: list[str]) -> np.ndarray:
+        """The number of each run, -1 for one that is not known."""
+        return np.fromiter(map(self.number.get, runs, repeat(-1)), dtype=np.int64, count=len(runs))
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and the positions after which a sentence ends."""
         split = [runs_of(t) for t in texts]
-        new = set(chain.from_iterable(split)) - self.number.keys()
-        if len(self.number) + len(new) > self.MOST:
-            self._forget()
-            new = set(chain.from_iterable(split))
-        if new:
-            self._learn(sorted(new))
-        runs = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        flat = list(chain.from_iterable(split))
+        runs = self._numbers(flat)
+        missing = np.flatnonzero(runs < 0)
+        if len(missing):
+            new = {flat[i] for i in missing.tolist()}
+            if len(self.number) + len(new) > self.MOST:
+                self._forget()
+                self._learn(sorted(set(flat)))
+                runs = self._numbers(flat)
+            else:
+                self._learn(sorted(new))
+                runs[missing] = self._numbers([flat[i] for i in missing.tolist()])
         length, stop = self.length[runs], self.stop[runs]
         after = np.cumsum(length)
         ids = self.ids[np.arange(after[-1] if len(after) else 0) + np.repeat(self.first[runs] - after + length, length)]
@@ -229,6 +256,17 @@ def choose(stream: Stream, length: int = LENGTH) -> list[int]:
     return out[::-1]
 
 
+#: What a worker process remembers goes on to its next task.
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 _PIECES = "k long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, local long, offset long, ids binary"
 
 
@@ -236,7 +274,7 @@ def _pack(path: str, end_id: int, length: int, keep_ids: bool) -> Callable[[Iter
     """Documents of one range, in order -> their pieces, with the sequence's number in the range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         held: list[tuple] = []  # k, doc_id, ids not yet packed, ends in them, start, tokens of the document
         size = number = 0
 
