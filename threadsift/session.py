@@ -77,13 +77,13 @@ def materialize_counting(rows: DataFrame, **counts: Column) -> tuple[DataFrame,
     return written, {name: found.get(name) or 0 for name in counts}
 
 
-def materialize(rows: DataFrame) -> DataFrame:
-    """Write a frame once to the shared folder and read it back.
+def materialize(rows: DataFrame, **options: str) -> DataFrame:
+    """Write a frame once to the shared folder, with options of its writer, and read it back.
 
     Used where several results follow from one costly frame. The files survive a lost
     executor, and readers prune columns and see real sizes.
     """
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
-    rows.write.mode("errorifexists").parquet(path)
+    rows.write.mode("errorifexists").options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
