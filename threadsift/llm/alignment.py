@@ -326,8 +326,8 @@ class Memory:
     """Alignments of the parts that a task has met."""
 
     #: Parts to remember and their links; beyond, only the most used half is kept.
-    MOST = 300_000
-    MOST_LINKS = 6_000_000
+    MOST = 200_000
+    MOST_LINKS = 4_000_000
     #: New parts are read in texts of about so many characters.
     TEXT = 4096
 
@@ -528,6 +528,7 @@ def _numbers(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _memories.clear()  # of the step before
     for rows in batches:
         for _, _, links, _ in _numbers(rows.column("links")):
             pairs, counts = np.unique(links, return_counts=True)
@@ -601,7 +602,8 @@ def digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every document."""
     aligned = alignments(documents).withColumn("groups_sha256", _digest(F.col("groups"))).drop("groups")
     with small_batches(documents.sparkSession):
-        aligned = materialize(aligned)
+        # Writers hold a row group in memory; the links of one are small ones.
+        aligned = materialize(aligned, **{"parquet.block.size": str(16 << 20)})
         scored = scores(aligned, materialize(pair_counts(aligned)))
     scored = scored.withColumnRenamed("k", "scored_k")
     rows = aligned.drop("links").join(scored, F.col("k") == F.col("scored_k"))

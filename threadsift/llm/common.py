@@ -19,13 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(rows: DataFrame) -> DataFrame:
+def materialize(rows: DataFrame, **options: str) -> DataFrame:
     """Write a frame to the shared folder, drop the shuffle files it took, read it back."""
     conf = rows.sparkSession.conf
     before = conf.get(_CLEAN_UP, None)
     conf.set(_CLEAN_UP, "true")
     try:
-        return session.materialize(rows)
+        return session.materialize(rows, **options)
     finally:
         if before is None:
             conf.unset(_CLEAN_UP)
