@@ -80,6 +80,22 @@ NAMED = [
     ("<article><div class='elementor-widget-text-editor elementor-widget-container'><p>a</p></div></article>", "a"),
     ("<article><p>a</p><div id='comments'><article class='comment-body'>nice</article></div></article>", "a"),
     ("<div class='no-comments'>open</div><div class='Comments'>c</div>", "open"),
+    # Wrappers of whole pages are no chrome, whatever they are.
+    ("<form><main><h1>t</h1><p>a</p></main></form>", "t\na"),
+    ("<form id='aspnetForm'><article><p>a</p></article><input name='q'></form>", "a"),
+    ("<div role='dialog'><main><p>a</p></main></div>", "a"),
+    ("<div style='display: none'><article>a</article></div>", "a"),
+    ("<form><p>name</p><button>send</button></form><p>a</p>", "a"),
+    ("<nav><article>card</article></nav><p>a</p>", "a"),
+    # Entries of comments and related texts may be articles; the text of the page stays.
+    ("<div class='comments'><article>a comment</article></div><p>plain body</p>", "plain body"),
+    ("<section id='comments'><article>one</article><article>two</article></section><div><h1>t</h1><p>body</p></div>", "t\nbody"),
+    ("<div class='related-posts'><article><h3>card</h3></article></div><article><h1>t</h1><p>body</p></article>", "t\nbody"),
+    ("<div class='comments'><main><h1>t</h1><p>a</p></main></div>", "t\na"),
+    ("<div class='related'><article><h1>t</h1><p>a</p></article></div>", "t\na"),
+    # Article elements that hold little of the page do not hide the rest.
+    ("<article>short card</article><div><p>" + "long text " * 20 + "</p></div>", "short card\n" + ("long text " * 20).strip()),
+    ("<article>" + "long text " * 20 + "</article><div>aside</div>", ("long text " * 20).strip()),
 ]
 
 

@@ -9,14 +9,19 @@ much the content of its blocks does. With m pages and shares p of the different
     H = -sum(p * log_m(p)), or 1 where m is 1, and l the number of its different presentations.
 
 Blocks below a branch whose importance is under THRESHOLD go: menus and footers look alike
-on every page. HTML also says outright what some branches are. Names are whole class names
-or ids, and none covers an element that holds an article or main element, unless it stands
-inside an article itself (comments). Branches of menus, headers,
-footers, sidebars, notices, adverts, forms and comments have importance 0, and a page that
-has an article or main element has no main text outside it.
+on every page. HTML also says outright what some branches are: menus, headers, footers,
+sidebars, notices, adverts, forms and comments have importance 0. Names are whole class
+names or ids. What covers an element that holds an article or main element depends:
+forms, divs and sections do not (some frameworks put whole pages into a form or a dialog),
+nor do most names, unless they stand inside an article. Names of comments, replies and
+related texts do, since their entries are article elements too; they give way to a main
+element and to the first heading of the page. Where the article and main elements that are
+left hold at least a third of the page's text that is not settled, the page has no main
+text outside them; where they hold less, the tree decides about the rest.
 
 Inside articles, too, the tree decides. A block goes if its branch is under THRESHOLD, or if
-its own content is: with c of the m pages that show the branch having the block,
+its own content is: with c of the m pages that show the branch having the block (all counts
+are exact),
 
     importance(content) = 1 - log_m(c).
 
@@ -40,6 +45,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,15 +91,25 @@ CHROME_NAMES = frozenset(
     "site-navigation skip-link skip-to-content social-icons social-links social-share sponsored-content widget-area".split()
 )
 MAIN = frozenset(["article", "main"])
+#: Elements that may wrap a whole page.
+WRAPPERS = frozenset("div form section".split())
+#: Names of parts whose entries may be article elements.
+ENTRY_NAMES = frozenset(
+    "comment comments comment-list comment-respond comments-area comments-section comment-section disqus replies reply respond "
+    "related related-articles related-links related-posts promoted sponsored sponsored-content".split()
+)
 #: Names that say what the header tag says.
 HEADER_NAMES = frozenset("header masthead page-header site-header main-header top-header".split())
 _NAME = re.compile(r"[A-Za-z0-9]+")
 
 
 class _Element:
-    """An open element: what its tag and its names say, and whether an article or main element is below it."""
+    """An open element: what its tag and its names say, and what is below it.
+
+    `holds`: an article or main element; `holds_body`: a main element or the page's first h1.
+    """
 
-    __slots__ = ("tag", "style", "above", "skipped", "chrome", "named", "header", "main", "holds", "in_article", "what")
+    __slots__ = ("tag", "style", "above", "skipped", "chrome", "named", "entries", "header", "main", "holds", "holds_body", "in_article", "what")
 
     def __init__(self, tag: str, attributes: dict, above: _Element | None):
         self.tag, self.above = tag, above
@@ -106,22 +122,32 @@ class _Element:
         style = (attributes.get("style") or "").replace(" ", "").lower()
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style
         self.chrome = tag in CHROME or role in CHROME_ROLES or hidden
-        self.named, self.header = bool(names & CHROME_NAMES), bool(names & HEADER_NAMES)
+        self.named, self.header, self.entries = bool(names & CHROME_NAMES), bool(names & HEADER_NAMES), bool(names & ENTRY_NAMES)
         self.main = tag in MAIN or role in MAIN
         self.in_article = above is not None and (above.in_article or above.tag == "article")
-        self.holds = False
+        self.holds = self.holds_body = False
         if self.main:
-            while above is not None and not above.holds:
-                above.holds = True
-                above = above.above
+            up = above
+            while up is not None and not up.holds:
+                up.holds = True
+                up = up.above
+        if tag == "main" or role == "main":
+            self.mark_body()
+
+    def mark_body(self) -> None:
+        up = self.above
+        while up is not None and not up.holds_body:
+            up.holds_body = True
+            up = up.above
 
     def settle(self) -> None:
         """0 for chrome, 1 for main or None; elements above are settled before."""
         above = self.above.what if self.above is not None else None
-        # Comments may be article elements themselves: inside an article, names count whatever they cover.
-        named = self.named and (self.in_article or not self.holds)
+        # Inside an article names count whatever they cover.
+        named = self.named and (self.in_article or not self.holds or (self.entries and not self.holds_body))
         header = self.tag == "header" or (self.header and not self.holds)
-        if above == 0 or self.chrome or named or (header and above != 1):
+        chrome = self.chrome and not (self.holds and self.tag in WRAPPERS)
+        if above == 0 or chrome or named or (header and above != 1):
             self.what = 0
         else:
             self.what = 1 if self.main else above
@@ -136,6 +162,7 @@ class _Page(HTMLParser):
         self.elements: list[_Element] = []
         self.found: list[tuple[str, str, _Element | None]] = []
         self.text: list[str] = []
+        self.headed = False
 
     def _end_block(self) -> None:
         if self.text:
@@ -175,6 +202,9 @@ class _Page(HTMLParser):
             return
         self.open.append(_Element(tag, dict(attrs), self.open[-1] if self.open else None))
         self.elements.append(self.open[-1])
+        if tag == "h1" and not self.headed:
+            self.headed = True
+            self.open[-1].mark_body()
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -201,17 +231,43 @@ def blocks_of(html: str | None) -> list[tuple[str, str, int | None]]:
     page.close()
     page._end_block()
     blocks = page.blocks()
-    if any(what == 1 for _, _, what in blocks):
+    inside = sum(len(text) for _, text, what in blocks if what == 1)
+    outside = sum(len(text) for _, text, what in blocks if what is None)
+    if inside and 2 * inside >= outside:
         return [(path, text, what or 0) for path, text, what in blocks]
     return blocks
 
 
-_BLOCKS = "page long, seq int, page_id long, url string, path string, text string, what int"
+def _number(text: str) -> int:
+    """Spark's xxhash64 of a text."""
+    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def nodes_of(paths: list[str]) -> list[dict[str, int]]:
+    """Every branch that a page shows, and the sequence of its children, as numbers."""
+    children: dict[str, list[str]] = {}
+    for path in paths:
+        parts = path.split(">")
+        for depth in range(1, len(parts) + 1):
+            children.setdefault(">".join(parts[:depth]), []).append(parts[depth] if depth < len(parts) else "")
+    return [{"branch": _number(branch), "children": _number(">".join(own))} for branch, own in children.items()]
+
+
+_NODES = "array<struct<branch: long, children: long>>"
+_BLOCKS = f"page long, seq int, page_id long, url string, path string, text string, what int, nodes {_NODES}, outer {_NODES}"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages -> one row for each page (seq -1) and one for each of its blocks."""
-    types = {"page": pa.int64(), "seq": pa.int32(), "page_id": pa.int64(), "url": pa.string(), "path": pa.string(), "text": pa.string(), "what": pa.int32()}
+    """Pages -> one row for each page (seq -1) and one for each of its blocks.
+
+    The page's row has its branches: `nodes` of all blocks, `outer` without those of its article.
+    """
+    node = pa.list_(pa.struct([("branch", pa.int64()), ("children", pa.int64())]))
+    types = {
+        "page": pa.int64(), "seq": pa.int32(), "page_id": pa.int64(), "url": pa.string(), "path": pa.string(), "text": pa.string(),
+        "what": pa.int32(), "nodes": node, "outer": node,
+    }
     for rows in batches:
         for first in range(0, rows.num_rows, 200):
             columns = {c: [] for c in types}
@@ -223,6 +279,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 columns["url"] += [row["url"]] * len(found)
                 for name, values in zip(("path", "text", "what"), zip(*found)):
                     columns[name] += values
+                blocks = found[1:]
+                columns["nodes"] += [nodes_of([b[0] for b in blocks]), *[None] * len(blocks)]
+                columns["outer"] += [nodes_of([b[0] for b in blocks if b[2] != 1]), *[None] * len(blocks)]
             yield batch({c: pa.array(columns[c], t) for c, t in types.items()})
 
 
@@ -230,75 +289,75 @@ def _host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def _entropy(values: DataFrame, value: str) -> DataFrame:
-    """host, path, m (occurrences), kinds and h: the normalised entropy of a value over a style node."""
-    counts = values.groupBy("host", "path", value).agg(F.count(F.lit(1)).alias("c"))
-    sums = counts.groupBy("host", "path").agg(
+def _entropy(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, m (occurrences), kinds and h: the normalised entropy of a value over a style node."""
+    counts = values.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
+    sums = counts.groupBy(*keys).agg(
         F.sum("c").alias("m"), F.count(F.lit(1)).alias("kinds"), F.sum(F.col("c") * F.ln("c")).alias("clnc")
     )
     h = F.when(F.col("m") > 1, (F.ln("m") - F.col("clnc") / F.col("m")) / F.ln("m")).otherwise(1.0)
-    return sums.select("host", "path", "m", "kinds", h.alias("h"))
+    return sums.select(*keys, "m", "kinds", h.alias("h"))
+
 
+def _branches(path: Column) -> Column:
+    """The numbers of all branches that lead to a block, its own the last."""
+    parts = F.split(path, ">")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda depth: F.xxhash64(F.array_join(F.slice(parts, F.lit(1), depth), ">")))
 
-def importance(blocks: DataFrame) -> DataFrame:
-    """host, path, pages, value: the importance of every branch of every host's style tree.
 
-    blocks: host, page, path, text. Counts are merged before they move, so one host may
-    hold any share of the pages.
+def importance(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """host, branch, pages, value: the importance of every branch of every host's style tree.
+
+    blocks: host, path, content. nodes: host, branch, children, a row for each page and
+    branch of it. Counts are merged before they move, so one host may hold any share of
+    the pages, and only different paths are spread over their branches.
     """
-    leaves = _entropy(blocks.select("host", "path", F.xxhash64("text").alias("content")), "content")
-    parts = F.split("path", ">")
-    depth = F.explode(F.sequence(F.lit(1), F.size(parts))).alias("depth")
-    # Each block under each of its ancestors: the mean of its importance, and the children's sequence by page.
-    over = blocks.join(leaves.select("host", "path", "h"), ["host", "path"]).select("host", "page", "seq", "h", parts.alias("parts"), depth)
-    over = over.select(
-        "host", "page", "h", "seq", F.array_join(F.slice("parts", 1, F.col("depth")), ">").alias("path"), F.get("parts", F.col("depth")).alias("child")
-    )
-    content = over.groupBy("host", "path").agg(F.avg("h").alias("mean"), F.approx_count_distinct("page", 0.02).alias("pages"))
-    children = over.groupBy("host", "page", "path").agg(
-        F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("seq", "child"))), lambda x: x["child"])).alias("children")
-    )
-    shown = _entropy(children, "children").select("host", "path", "kinds", F.col("h").alias("presentation"))
+    leaves = _entropy(blocks, ["host", "path"], "content")
+    over = leaves.select("host", "m", "h", F.explode(_branches(F.col("path"))).alias("branch"))
+    content = over.groupBy("host", "branch").agg((F.sum(F.col("m") * F.col("h")) / F.sum("m")).alias("mean"))
+    shown = _entropy(nodes, ["host", "branch"], "children").select("host", "branch", "kinds", F.col("m").alias("pages"), F.col("h").alias("presentation"))
     share = F.pow(F.lit(GAMMA), F.col("kinds"))
-    return content.join(shown, ["host", "path"]).select(
-        "host", "path", "pages", ((1 - share) * F.col("presentation") + share * F.col("mean")).alias("value")
+    return content.join(shown, ["host", "branch"]).select(
+        "host", "branch", "pages", ((1 - share) * F.col("presentation") + share * F.col("mean")).alias("value")
     )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
     numbered = pages.select(F.monotonically_increasing_id().alias("page"), F.col("page_id").cast("long"), "url", "html")
-    parsed = materialize(numbered.mapInArrow(_parse, _BLOCKS))
-    blocks = parsed.filter("seq >= 0").withColumn("host", _host(F.col("url")))
-    inner = blocks.filter("what = 1").withColumn("content", F.xxhash64("text"))
+    parsed = numbered.mapInArrow(_parse, _BLOCKS).withColumns({"host": _host(F.col("url")), "content": F.xxhash64("text"), "size": F.length("text")})
+    # What is settled as chrome takes part in the tree by its number alone.
+    parsed = materialize(parsed.withColumn("text", F.when(F.coalesce("what", F.lit(-1)) != 0, F.col("text"))))
+    blocks = parsed.filter("seq >= 0").withColumn("branch", F.xxhash64("path"))
+    inner = blocks.filter("what = 1")
     # One page stands for all copies of its article.
     articles = inner.groupBy("host", "page").agg(F.xxhash64(F.array_sort(F.collect_list(F.xxhash64("path", "content")))).alias("article"))
     stands = materialize(articles.groupBy("host", "article").agg(F.min("page").alias("page")).select("page"))
-    ones = inner.join(stands, "page", "left_semi")
-    columns = ["host", "page", "seq", "path", "text"]
-    tree = materialize(importance(blocks.filter("what IS NULL OR what = 0").select(*columns).unionByName(ones.select(*columns))))
-    low = tree.filter((F.col("value") < THRESHOLD) & (F.col("pages") >= LEAST_PAGES)).select("host", "path")
-    shown = ones.select("host", "path", "content", "page").distinct().groupBy("host", "path", "content").agg(F.count(F.lit(1)).alias("c"))
-    repeated = shown.filter("c > 1").join(tree.filter(F.col("pages") >= LEAST_PAGES).select("host", "path", "pages"), ["host", "path"])
+    ones = inner.join(stands, "page", "left_semi").select("host", "path", "content", "branch", "page")
+    heads = parsed.filter("seq = -1")
+    every = heads.join(stands.withColumn("stands", F.lit(True)), "page", "left")
+    nodes = every.select("host", F.explode(F.when(F.col("stands"), F.col("nodes")).otherwise(F.col("outer"))).alias("n")).select("host", "n.branch", "n.children")
+    columns = ["host", "path", "content"]
+    tree = materialize(importance(blocks.filter("what IS NULL OR what = 0").select(*columns).unionByName(ones.select(*columns)), nodes))
+    low = tree.filter((F.col("value") < THRESHOLD) & (F.col("pages") >= LEAST_PAGES)).select("host", "branch")
+    shown = ones.select("host", "branch", "content", "page").distinct().groupBy("host", "branch", "content").agg(F.count(F.lit(1)).alias("c"))
+    repeated = shown.filter("c > 1").join(tree.filter(F.col("pages") >= LEAST_PAGES).select("host", "branch", "pages"), ["host", "branch"])
     repeated = materialize(
-        repeated.filter(1 - F.ln("c") / F.ln("pages") < THRESHOLD).select("host", "path", "content")
+        repeated.filter(1 - F.ln("c") / F.ln("pages") < THRESHOLD).select("host", "branch", "content")
     )
-    sized = inner.select("host", "path", "content", "page", "seq", F.length("text").alias("size"))
-    plain = sized.join(low, ["host", "path"], "left_semi").unionByName(sized.join(repeated, ["host", "path", "content"], "left_semi"))
+    sized = inner.select("host", "branch", "content", "page", "seq", "size")
+    plain = sized.join(low, ["host", "branch"], "left_semi").unionByName(sized.join(repeated, ["host", "branch", "content"], "left_semi"))
     plain = materialize(plain.select("page", "seq", "size").distinct())
     lost = plain.groupBy("page").agg(F.sum("size").alias("lost"))
     lost = sized.join(lost, "page").groupBy("page").agg(F.sum("size").alias("all"), F.max("lost").alias("lost")).filter("2 * lost <= all")
     plain = plain.join(lost, "page", "left_semi").select("page", "seq")
     sure = inner.join(plain, ["page", "seq"], "left_anti").select("page", "seq", "text")
+    # Other blocks go with any of their branches; that is found once for each different path.
     open_ = blocks.filter("what IS NULL")
-    parts = F.split("path", ">")
-    branches = open_.select(
-        "host", "page", "seq", parts.alias("parts"), F.explode(F.sequence(F.lit(1), F.size(parts))).alias("depth")
-    ).select("host", "page", "seq", F.array_join(F.slice("parts", 1, F.col("depth")), ">").alias("path"))
-    gone = branches.join(low, ["host", "path"], "left_semi").select("page", "seq").distinct()
-    kept = sure.unionByName(open_.join(gone, ["page", "seq"], "left_anti").select("page", "seq", "text"))
+    leads = open_.select("host", "path").distinct().withColumn("branch", F.explode(_branches(F.col("path"))))
+    gone = leads.join(low, ["host", "branch"], "left_semi").select("host", "path").distinct()
+    kept = sure.unionByName(open_.join(gone, ["host", "path"], "left_anti").select("page", "seq", "text"))
     texts = kept.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("b"))
     texts = texts.select("page", F.array_join(F.transform("b", lambda x: x["text"]), "\n").alias("text"))
-    heads = parsed.filter("seq = -1").select("page", "page_id", "url")
-    full = heads.join(texts, "page", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    full = heads.select("page", "page_id", "url").join(texts, "page", "left").withColumn("text", F.coalesce("text", F.lit("")))
     return full.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
