@@ -99,3 +99,24 @@ def test_components(spark):
     found = {r.node: r.component for r in components(frame).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 4: 1, 9: 1, 7: 7, 8: 7, 5: 5, 6: 5, 17: 17, 18: 17, 19: 17, 20: 17}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_bitmaps_never_turn_a_link_away():
+    """(na + nb - different bits) / 2 is never less than what two sets share."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2**64, rng.integers(1, 400), dtype=np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate([base[: rng.integers(0, len(base) + 1)], rng.integers(0, 2**64, rng.integers(0, 50), dtype=np.uint64)]))]
+    sets.append(np.zeros(0, dtype=np.uint64))
+    bits = jaccard.bitmaps(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    turned = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            shared = len(np.intersect1d(a, b))
+            most = (len(a) + len(b) - int(np.bitwise_count(bits[i] ^ bits[j]).sum())) // 2
+            assert most >= shared
+            turned += most < min(len(a), len(b))
+    assert turned > 1000 and not bits[-1].any()

@@ -11,7 +11,11 @@ links inside a group of copies:
 3. An inverted index over the prefixes of all sets (rare shingles first) gives candidate
    pairs. Its lists are sorted and cut into blocks; a pair of blocks is skipped whole when
    their sizes or positions leave too little overlap, or when all their sets already are
-   in one class. Lists of very common shingles are dealt out in cells.
+   in one class. Every posting carries a bitmap of its whole set: the parity of the set's
+   shingles in each of BITS places. Where two bitmaps differ an odd number of shingles
+   stands in one set only, so d different bits leave an overlap of (na + nb - d) / 2 at
+   most; pairs for which that is too little go before they are written. Lists of very
+   common shingles are dealt out in cells.
 4. A candidate pair is answered from its leaders first: the overlap of two followers
    differs from that of their leaders by no more than the shingles in which they differ
    from these. Only pairs that this leaves open are compared themselves.
@@ -52,6 +56,8 @@ COMMON = 100_000
 BUCKET = 200_000
 CELL = 20_000
 BLOCK = 64
+#: Places of a set's bitmap, in words of 64 bits.
+BITS = 4 * 64
 #: Candidate pairs that are looked at together.
 STEP = 1 << 20
 
@@ -102,7 +108,20 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-_SKETCH = "k long, n int, digest long, digest2 long, least array<long>, prefix binary"
+def bitmaps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set its bitmap, BITS / 64 words."""
+    words = BITS // 64
+    out = np.zeros((len(bounds) - 1, words), dtype=np.uint64)
+    full = np.flatnonzero(np.diff(bounds))
+    if len(full):
+        place = mix(values, 61) % np.uint64(BITS)
+        bit = np.uint64(1) << (place & np.uint64(63))
+        for word in range(words):
+            out[full, word] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == word, bit, np.uint64(0)), bounds[full])
+    return out
+
+
+_SKETCH = "k long, n int, digest long, digest2 long, least array<long>, prefix binary, bits binary"
 
 
 def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -128,6 +147,7 @@ def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordB
                 length = n - -(-n * percent // 100) + 1
                 prefixes = [raw[a : a + c].tobytes() if m else b"" for a, c, m in zip(bounds, length, n)]
                 flat = np.stack(least, axis=1).ravel() if len(n) else np.zeros(0, dtype=np.uint64)
+                bits = bitmaps(values, bounds)
                 yield batch(
                     {
                         "k": pa.array(k),
@@ -136,6 +156,7 @@ def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordB
                         "digest2": digests[1],
                         "least": pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * HASHES, pa.int32()), longs(flat)),
                         "prefix": pa.array(prefixes, pa.binary()),
+                        "bits": pa.array([b.tobytes() for b in bits], pa.binary()),
                     }
                 )
 
@@ -218,15 +239,15 @@ def followers(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-_POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary, able binary, marks binary"
+_POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary, able binary, marks binary, bits binary"
 _TYPES = {
-    "shingle": np.uint64, "k": np.int64, "n": np.int32, "at": np.int32, "class": np.int64, "able": np.int32, "marks": np.uint8
+    "shingle": np.uint64, "k": np.int64, "n": np.int32, "at": np.int32, "class": np.int64, "able": np.int32, "marks": np.uint8, "bits": np.uint64
 }
 #: Marks of a posting: its shingle is a common one; its set has common ones in its prefix.
 _COMMON, _SUSPECT = 1, 2
 
 
-def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
+def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int, with_bits: bool):
     """Postings of prefixes, packed by bucket; a common shingle's go to every cell that pairs its part with another."""
     parts_of = np.maximum(1, -(-often // cell))
 
@@ -235,6 +256,7 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
             k = rows.column("k").to_numpy()
             n = rows.column("n").to_numpy()
             class_ = rows.column("class").to_numpy()
+            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
             raw = rows.column("prefix").to_pylist()
             lengths = np.fromiter((len(p) // 8 for p in raw), dtype=np.int64, count=len(raw))
             shingle = np.frombuffer(b"".join(raw), dtype=np.uint64)
@@ -267,7 +289,7 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int):
             spans = list(zip(first.tolist(), [*first[1:].tolist(), len(row)]))
             marks = (_COMMON * _member(common, shingle) + _SUSPECT * (n_common[row] > 0)).astype(np.uint8)
             fields = {"shingle": shingle, "k": k[row], "n": n[row].astype(np.int32), "at": at, "class": class_[row]}
-            fields |= {"able": able[row], "marks": marks}
+            fields |= {"able": able[row], "marks": marks, "bits": bits[row] if with_bits else bits[:0]}
             yield batch(
                 {"bucket": pa.array(bucket[first]), "cell": pa.array(cells[first])}
                 | {c: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for c, v in fields.items()}
@@ -281,21 +303,24 @@ def _needed(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (na.astype(np.int64) + nb) // (100 + percent))
 
 
-def _pairs_in_range(n, at, class_, able, left, right, percent):
+def _pairs_in_range(n, at, class_, able, bits, left, right, percent):
     """Candidate pairs among given index pairs.
 
-    Sizes and positions leave enough overlap, both sets can meet as often as they must, and
-    their classes differ.
+    Sizes, positions and bitmaps leave enough overlap, both sets can meet as often as they
+    must, and their classes differ.
     """
     n1, n2, p1, p2 = n[left], n[right], at[left], at[right]
     needed = _needed(n1, n2, percent)
     good = (np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2) >= needed) & (class_[left] != class_[right])
     follows = -(-np.maximum(n1, n2) * percent // 100) - 1
     good &= np.minimum(able[left], able[right]) + follows >= needed
+    left, right, needed = left[good], right[good], needed[good]
+    apart = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+    good = n[left] + n[right] - apart >= 2 * needed
     return left[good], right[good]
 
 
-def _short_lists(bounds: np.ndarray, n, at, class_, able, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _short_lists(bounds: np.ndarray, n, at, class_, able, bits, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of the lists [bounds[i], bounds[i + 1]), a bounded number at a time."""
     lengths = np.diff(bounds)
     lengths, begins = lengths[lengths > 1], bounds[:-1][lengths > 1]
@@ -308,11 +333,11 @@ def _short_lists(bounds: np.ndarray, n, at, class_, able, percent) -> Iterator[t
         inner = np.arange(len(which)) - np.repeat(np.cumsum(m * m) - m * m, m * m)
         i, j = inner // m[which], inner % m[which]
         half = i < j
-        yield _pairs_in_range(n, at, class_, able, (b[which] + i)[half], (b[which] + j)[half], percent)
+        yield _pairs_in_range(n, at, class_, able, bits, (b[which] + i)[half], (b[which] + j)[half], percent)
         cut = end
 
 
-def _long_list(lo: int, hi: int, n, at, class_, able, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _long_list(lo: int, hi: int, n, at, class_, able, bits, percent) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one long list by pairs of blocks; blocks that cannot hold a link are skipped whole."""
     starts = np.arange(lo, hi, BLOCK)
     low_n, high_n = np.minimum.reduceat(n[:hi], starts), np.maximum.reduceat(n[:hi], starts)
@@ -332,7 +357,7 @@ def _long_list(lo: int, hi: int, n, at, class_, able, percent) -> Iterator[tuple
             if a == b:
                 half = left < right
                 left, right = left[half], right[half]
-            yield _pairs_in_range(n, at, class_, able, left, right, percent)
+            yield _pairs_in_range(n, at, class_, able, bits, left, right, percent)
 
 
 def _merged_pairs(pairs: np.ndarray) -> np.ndarray:
@@ -352,6 +377,7 @@ def _probe(percent: int):
         # In a list: by class, then size and position, so that blocks are alike.
         order = np.lexsort((whole["at"], whole["n"], whole["class"], whole["shingle"]))
         shingle, k, n, at, class_, able = (whole[c][order] for c in ("shingle", "k", "n", "at", "class", "able"))
+        bits = np.concatenate([p["bits"] for p in parts]).reshape(-1, BITS // 64)[order]
         n, at = n.astype(np.int64), at.astype(np.int64)
         bounds = np.append(np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])), len(shingle))
         long_ = np.flatnonzero(np.diff(bounds) > 4 * BLOCK)
@@ -363,10 +389,10 @@ def _probe(percent: int):
             if len(begins):
                 packed = np.concatenate([np.arange(b, e) for b, e in zip(begins, ends)]) if len(long_) else np.arange(len(shingle))
                 inner = np.append(0, np.cumsum(ends - begins))
-                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], able[packed], percent):
+                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], able[packed], bits[packed], percent):
                     yield packed[x], packed[y]
             for i in long_.tolist():
-                yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, able, percent)
+                yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, able, bits, percent)
 
         def out(pairs: np.ndarray) -> pa.RecordBatch:
             names = zip(("a", "b", "na", "nb", "met"), pairs.T)
@@ -437,14 +463,16 @@ def candidates(sets: DataFrame, common: np.ndarray, often: np.ndarray, percent:
     total = sets.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = max(64, int(total // BUCKET))
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        packed = rows.select("k", "n", "prefix", "class", "meeting").mapInArrow(_postings(common, often, buckets, CELL), _POSTINGS)
+    def dealt(rows: DataFrame, with_bits: bool) -> DataFrame:
+        packed = rows.select("k", "n", "prefix", "class", "meeting", "bits").mapInArrow(
+            _postings(common, often, buckets, CELL, with_bits), _POSTINGS
+        )
         return packed.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
 
-    counted = dealt(sets.withColumn("meeting", F.lit(0))).mapInArrow(_whole_buckets(_meetings), "k long, meeting long")
+    counted = dealt(sets.withColumn("meeting", F.lit(0)), False).mapInArrow(_whole_buckets(_meetings), "k long, meeting long")
     meeting = materialize(counted.groupBy("k").agg(F.sum("meeting").cast("int").alias("meeting")))
     ready = sets.join(meeting, "k", "left").withColumn("meeting", F.coalesce("meeting", F.lit(0)))
-    met = dealt(ready).mapInArrow(_probe(percent), "a long, b long, na long, nb long, met long")
+    met = dealt(ready, True).mapInArrow(_probe(percent), "a long, b long, na long, nb long, met long")
     pairs = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("met").alias("met"))
     follows = F.ceil(F.greatest("na", "nb") * percent / 100) - 1
     return pairs.filter((F.col("met") + follows) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
