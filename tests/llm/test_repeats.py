@@ -124,3 +124,20 @@ def test_shallow_sort_and_blind_tries_find_all_equal_suffixes():
     for i in at.tolist():
         groups.setdefault(data[i : i + 60].tobytes(), []).append(i)
     assert found == {tuple(v) for v in groups.values() if len(v) > 1}
+
+
+def test_second_hash_does_not_follow_from_the_first():
+    """Windows that the first hash cannot tell apart are told apart by the second."""
+    import numpy as np
+
+    from threadsift.llm import hashing
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 2**64, 8, dtype=np.uint64)
+    y = x.copy()
+    # One step up in a symbol and one base step down in the one before leaves the polynomial as it is.
+    y[4] += np.uint64(1)
+    y[3] -= np.uint64(hashing._BASE)
+    first = [hashing.Rolling(v).windows(8) for v in (x, y)]
+    second = [hashing.Rolling.second(v).windows(8) for v in (x, y)]
+    assert first[0] == first[1] and second[0] != second[1]

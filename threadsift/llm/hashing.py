@@ -34,6 +34,8 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 _BYTE_VALUE = mix(np.arange(256, dtype=np.uint64), 7)
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 2**64)
+#: For a second hash that shares nothing with the first: other symbol values under another base.
+SECOND_BASE = 0xA3B195354A39B70D
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -49,13 +51,18 @@ def _power(base: int, n: int) -> np.ndarray:
 class Rolling:
     """Hashes of any ranges of one sequence of 64-bit symbols, from one running sum."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, base: int = _BASE):
         n = len(symbols)
+        self.inverse = _INVERSE if base == _BASE else pow(base, -1, 2**64)
         self.total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(symbols * _power(_BASE, n), out=self.total[1:])
+        np.cumsum(symbols * _power(base, n), out=self.total[1:])
+
+    @classmethod
+    def second(cls, symbols: np.ndarray) -> Rolling:
+        return cls(mix(symbols, 77), SECOND_BASE)
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-        back = _power(_INVERSE, len(self.total))
+        back = _power(self.inverse, len(self.total))
         value = (self.total[ends] - self.total[starts]) * back[starts]
         return mix(value + (ends - starts).astype(np.uint64), seed)
 
@@ -64,7 +71,7 @@ class Rolling:
         n = len(self.total) - size
         if n <= 0:
             return np.zeros(0, dtype=np.uint64)
-        value = (self.total[size:] - self.total[:n]) * _power(_INVERSE, len(self.total))[:n]
+        value = (self.total[size:] - self.total[:n]) * _power(self.inverse, len(self.total))[:n]
         return mix(value, seed)
 
 

@@ -7,7 +7,11 @@
 3. The packed strings travel to the bucket of their minimiser, where the caller's
    function compares their windows. A minimiser with more than HOT different strings
    (a common passage among ever other neighbours) is not sent to one task: its strings
-   are cut into single windows, which are grouped by their 128-bit hash.
+   are cut into single windows, which are grouped by their 128-bit hash: two polynomials
+   over different symbol values and bases.
+
+A packed string stands for itself under two 64-bit hashes, that of its minimiser and its
+own, so only strings of one minimiser could be taken for each other.
 
 Every step groups or joins on keys; joins are left to adaptive execution, which splits
 hot keys, and nothing is kept on the driver.
@@ -156,7 +160,7 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 if len(part):
                     each = np.repeat(part, n[part])
                     step = np.arange(len(each)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
-                    rolling = hashing.Rolling(symbols)
+                    rolling, other = hashing.Rolling(symbols), hashing.Rolling.second(symbols)
                     a = first[each] + step
                     yield emit(
                         f["minimiser"][lo:hi][each],
@@ -167,7 +171,7 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                         f["places"][lo:hi][each],
                         pa.nulls(len(each), pa.binary()),
                         longs(rolling.ranges(a, a + kind.size, 21)),
-                        longs(rolling.ranges(a, a + kind.size, 22)),
+                        longs(other.ranges(a, a + kind.size, 22)),
                     )
 
     return run
