@@ -44,3 +44,43 @@ def test_pooling_is_the_same_with_and_without_places():
     matrix = rng.integers(0, 256, (70, language.WINDOW)).astype(np.uint8)
     net = language.train(matrix[:8], np.zeros(8, dtype=int), ["a", "b"])
     assert np.allclose(net.pooled(matrix)[0], net.strongest(matrix), atol=1e-5)
+
+
+def test_scores_are_those_of_plain_sums(documents):
+    """Every filter at every position of every window, one product after the other."""
+    rng = np.random.default_rng(7)
+    texts = ["the cat sat on the mat", "le chien part, é", "x" * 300 + " abc", "a", "mixed le the " * 30, "ÀÉ 日本 ok"]
+    net = language.train(rng.integers(32, 122, (40, language.WINDOW)).astype(np.uint8), np.arange(40) % 3, ["de", "en", "fr"])
+
+    def plain(text):
+        raw, total, weight = text.encode(), np.zeros(3), 0
+        for begin in range(0, len(raw), language.WINDOW):
+            part = raw[begin : begin + language.WINDOW]
+            window = part.ljust(language.WINDOW, b"\0")
+            hidden = []
+            for table in net.tables:
+                for f in range(language.FILTERS):
+                    sums = [sum(float(table[j, window[at + j], f]) for j in range(len(table))) for at in range(language.WINDOW - len(table) + 1)]
+                    hidden.append(max(0.0, max(sums) + float(net.bias[len(hidden)])))
+            z = [sum(h * float(net.dense[i, c]) for i, h in enumerate(hidden)) + float(net.offset[c]) for c in range(3)]
+            e = np.exp(np.array(z) - max(z))
+            total += e / e.sum() * len(part)
+            weight += len(part)
+        return net.languages[int(total.argmax())], total.max() / weight
+
+    rows = {r.doc_id: r for r in language.predict(documents(list(enumerate(texts))), net).collect()}
+    for i, text in enumerate(texts):
+        name, score = plain(text)
+        assert rows[i].lang_pred == name and abs(rows[i].score - score) < 1e-4
+
+
+def test_learns_from_all_parts_of_a_text_and_from_repeated_rows(documents):
+    """What stands only at the end of long texts is learnt; a third of all rows may be one row."""
+    tail = "zwölf boxkämpfer jagen viktor quer über den großen sylter deich " * 40
+    head = "0123 4567 " * 100
+    german = [(i, head + tail) for i in range(40)]
+    english = [(100 + i, head + "the quick brown fox jumps over the lazy dog near the river " * 40) for i in range(40)]
+    frame = documents(english).unionByName(documents(german + [(None, tail)] * 2000).withColumn("lang", F.lit("de")))
+    net = language.fit(frame, rows=50)
+    found = {r.doc_id: r.lang_pred for r in language.predict(documents([(1, "über den großen deich"), (2, "over the lazy dog near")]), net).collect()}
+    assert found == {1: "de", 2: "en"}

@@ -49,3 +49,43 @@ def test_without_labels_of_both_classes(documents, spark):
     rows = quality.scores(documents([(1, "a")]), None).collect()
     assert rows[0].score == 0.5 and rows[0].predicted == 1
     assert quality.scores(documents([]), None).collect() == []
+
+
+def test_scores_are_those_of_a_loop_over_pieces(documents, labelled):
+    """Each piece compressed by itself with a compressor made for it, the curve written out."""
+    import math
+
+    import zstandard
+
+    model = quality.fit(*labelled)
+    texts = ["the river ran past", "", None, "BUY!! $$$", "é" * 3000, "mixed words $$$ and the sea " * 400]
+
+    def size(raw, dictionary):
+        words = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=words, write_content_size=False, write_dict_id=False).compress(raw))
+
+    def plain(text):
+        raw = (text or "").encode()
+        cut = [raw[i : i + quality.PIECE_BYTES] for i in range(0, len(raw), quality.PIECE_BYTES)]
+        good, bad = (sum(size(p, d) for p in cut) for d in (model.good, model.bad))
+        whole = len(raw) + quality.SHORT
+        d, s, short = 10 * (bad - good) / whole, good / whole, quality.SHORT / whole
+        z = sum(w * x for w, x in zip(model.weights, [1, d, s, short, d * s, d * d, s * s, d * short]))
+        return 1 / (1 + math.exp(-min(30, max(-30, z))))
+
+    rows = {r.doc_id: r.score for r in quality.scores(documents(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        assert abs(rows[i] - plain(text)) < 1e-9
+
+
+def test_pieces_come_from_all_over_a_text(spark):
+    from threadsift.llm.common import spread_pieces
+
+    text = "".join(f"{i:04d}" for i in range(2500))
+    frame = spark.range(50).withColumn("text", F.lit(text))
+    rows = frame.select(spread_pieces(F.col("text"), F.col("id"), 100, 4).alias("p")).collect()
+    starts = {int(p[:4]) for r in rows for p in r.p}
+    assert all(len(r.p) == 4 and r.p == sorted(r.p) and all(p in text for p in r.p) for r in rows)
+    assert min(starts) < 300 and max(starts) > 2200 and len(starts) > 60
+    short = spark.createDataFrame([("",), ("ab",), ("é" * 250,)], "text string").select(spread_pieces(F.col("text"), F.lit(1), 100, 4).alias("p")).collect()
+    assert [r.p for r in short] == [[""], ["ab"], ["é" * 100, "é" * 100, "é" * 50]]

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadsift import session
@@ -45,6 +45,14 @@ def small_batches(spark: SparkSession, rows: int = 1000):
         spark.conf.set(name, before)
 
 
+def spread_pieces(text: Column, seed: Column, size: int, most: int) -> Column:
+    """Up to `most` pieces of `size` characters, taken by hash from all over a text, in its order."""
+    number = F.greatest(F.ceil(F.length(text) / F.lit(size)).cast("int"), F.lit(1))
+    hashed = F.transform(F.sequence(F.lit(0), number - 1), lambda i: F.struct(F.xxhash64(seed, i).alias("h"), i.alias("i")))
+    chosen = F.array_sort(F.transform(F.slice(F.array_sort(hashed), 1, most), lambda x: x["i"]))
+    return F.transform(chosen, lambda i: F.substring(text, i * size + 1, F.lit(size)))
+
+
 def discard(rows: DataFrame) -> None:
     """Delete the files of a frame that `materialize` wrote and nothing reads any more."""
     spark = rows.sparkSession

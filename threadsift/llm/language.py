@@ -7,12 +7,14 @@ probabilities are the mean of those of all its windows, weighted by their length
 
 A filter over bytes sums one weight per position and byte value, so a response is a sum of
 table rows. The network is trained in numpy by Adam on at most SAMPLE windows for each
-language, from the labelled texts with the least hash of their id, ROWS of them at most.
-Prediction reads whole texts.
+language: pieces taken by hash from all over the labelled texts with the least hashes,
+PIECES of a text and ROWS texts of a language at most. Which these are is found from the
+hashes alone, in two steps over salted languages. Prediction reads whole texts.
 
 Edge cases: a text that is null or has no letter is `und` with score 0; so is every text
 when nothing is labelled. Labels that are null are not learnt from. Ties go to the first
-language in order. Repeated rows and null ids are predicted like any other row.
+language in order. Repeated rows and null ids are predicted like any other row. Other columns are
+not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,17 +22,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadsift.llm.common import spread_pieces
+from threadsift.operators.ranking import first_n_per_key
+
 WINDOW = 128
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 12
-#: Labelled rows of each language that are read, characters of each of them, and windows that are learnt from.
+#: Labelled rows of each language that are read, pieces of WINDOW characters of each of them, and windows learnt from.
 ROWS = 600
-CHARS = 1500
+PIECES = 12
 SAMPLE = 2500
 EPOCHS = 8
 LEAST_STEPS = 300
@@ -141,16 +149,17 @@ def train(matrix: np.ndarray, target: np.ndarray, languages: list[str], seed: in
 
 def fit(documents: DataFrame, rows: int = ROWS) -> Network | None:
     """Learn from text and lang of documents; None if none has a language."""
-    marked = documents.filter("lang IS NOT NULL AND text IS NOT NULL").select(
-        "lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, CHARS).alias("text")
-    )
-    # At most `rows` for each language; Spark keeps no more of a language in any task.
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    found = marked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).toPandas()
-    if found.empty:
+    marked = documents.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    least = first_n_per_key(marked.select("lang", "h"), ["lang"], [F.col("h")], rows, "h")
+    borders = least.groupBy("lang").agg(F.max("h").alias("most")).collect()  # a row for each language the network knows
+    if not borders:
         return None
+    chosen = reduce(or_, ((F.col("lang") == r.lang) & (F.col("h") <= r.most) for r in borders))
+    # Only equal rows share a hash; of these no more than so many are of use.
+    taken = marked.filter(chosen).limit(2 * rows * len(borders))
+    found = taken.select("lang", "h", F.concat_ws("", spread_pieces(F.col("text"), F.col("h"), WINDOW, PIECES)).alias("text")).toPandas()
     languages = sorted(found["lang"].unique())
-    parts = [found[found["lang"] == name].sort_values("n") for name in languages]
+    parts = [found[found["lang"] == name].sort_values(["h", "text"])[:rows] for name in languages]
     sample, target = [], []
     rng = np.random.default_rng(0)
     for number, part in enumerate(parts):

@@ -7,13 +7,14 @@ the evidence. A logistic curve over the evidence and the compressed size itself,
 on labelled texts that built no dictionary, turns it into a score from 0 to 1.
 
 The model is fitted on at most SAMPLE labelled rows of each class, those with the least
-hash of their id, and on at most PIECE_CHARS characters from the middle of each of them.
-Scoring always reads the whole text.
+hash of their id, and on PIECES pieces of each of them at most, taken by hash from all over
+its text. Scoring always reads the whole text.
 
 Edge cases: a null or empty text has evidence 0 and a size of 0 and gets the score of
 that point. Labels that are null, or of documents that are not there, are ignored; if a
 document has several labels the highest counts. Without labels of both classes every
-score is 0.5. Repeated rows and null ids are scored like any other row.
+score is 0.5. Repeated rows and null ids are scored like any other row. Columns other
+than doc_id, text and the label are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadsift.llm.common import spread_pieces
+
 #: Labelled rows of each class that the model is fitted on.
 SAMPLE = 3000
-#: Characters of a labelled text that the model is fitted on; scoring has no such bound.
-PIECE_CHARS = 8000
+#: Pieces of a labelled text, in characters, that the model is fitted on; scoring has no such bound.
+PIECES = 4
+PIECE_CHARS = 2000
 PIECE_BYTES = 2048
 SHORT = 40
 DICTIONARY_BYTES = 96 * 1024
@@ -117,8 +121,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", sample:
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * sample rows by construction.
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    middle = F.expr(f"substring(text, CAST(greatest(1, (length(text) - {PIECE_CHARS}) / 2 + 1) AS INT), {PIECE_CHARS})")
-    rows = texts.select("doc_id", "label", middle.alias("text")).limit(4 * sample).toPandas()
+    part = F.concat_ws("", spread_pieces(F.col("text"), F.col("doc_id"), PIECE_CHARS, PIECES))
+    rows = texts.select("doc_id", "label", part.alias("text")).limit(4 * sample).toPandas()
     rows = rows.sort_values(["doc_id", "text"])
     good, bad = (rows[rows.label == v].text.tolist() for v in (1, 0))
     if not good or not bad:
