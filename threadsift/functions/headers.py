@@ -19,6 +19,11 @@ def header(headers: Column, name: str) -> Column:
     return F.coalesce(F.get(matches, F.lit(0))["value"], F.lit(""))
 
 
+def has_header(headers: Column, *names: str) -> Column:
+    """Whether any header has one of these names."""
+    return F.exists(headers, lambda h: F.lower(h["name"]).isin([n.lower() for n in names]))
+
+
 def address(sender: Column) -> Column:
     """Lower-case address of a From value: inside the first <...>, else all of it."""
     inside = F.regexp_extract(sender, "<([^>]+)>", 1)

@@ -61,6 +61,16 @@ def number_or_zero(value: Column) -> Column:
     return F.when(finite, number).otherwise(F.lit(0.0))
 
 
+def rounded_between(value: Column, low: int, high: int) -> Column:
+    """Half rounds up, then the number is moved inside the bounds."""
+    return F.floor(F.least(F.lit(float(high)), F.greatest(F.lit(float(low)), value + 0.5))).cast("int")
+
+
+def first_given(*values: Column, default: str) -> Column:
+    """The first value that is neither NULL nor empty, as text."""
+    return F.coalesce(*[F.nullif(v.cast("string"), F.lit("")) for v in values], F.lit(default))
+
+
 def stable_id(*parts: Column | str) -> Column:
     """The same natural key always gives the same id, so reruns are repeatable."""
     return F.sha2(F.concat_ws("|", *parts), 256)

@@ -86,18 +86,24 @@ def eligible_users(
     return without_earlier_success(finished, successful_lookbacks(sync_states, sync_events))
 
 
+def category_counts() -> list[Column]:
+    """Deals of each category, as aggregates."""
+    return [F.count_if(F.col("category") == category).alias(f"db_{category}") for category in fixed.CATEGORIES]
+
+
+def contacts_per_user(deal_contacts: DataFrame) -> DataFrame:
+    return deal_contacts.groupBy("user_id").agg(F.count_distinct("email").alias("contacts"))
+
+
 def deal_counts(users: DataFrame, deals: DataFrame) -> DataFrame:
     """Deals per category touched since each user's sync began; users without deals count 0."""
     starts = users.select("user_id", "initiated_at")
-    counts = [
-        F.count_if(F.col("category") == category).alias(f"db_{category}") for category in fixed.CATEGORIES
-    ]
     found = (
         deals.select("user_id", "category", "updated_at")
         .join(starts, "user_id")
         .filter(F.col("updated_at") >= F.col("initiated_at"))
         .groupBy("user_id")
-        .agg(*counts)
+        .agg(*category_counts())
     )
     names = [f"db_{category}" for category in fixed.CATEGORIES]
     return users.select("user_id").join(found, "user_id", "left").na.fill(0, names)

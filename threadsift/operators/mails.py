@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.functions.headers import header, mail_date
+from threadsift.functions.headers import address, display_name, header, mail_date
 from threadsift.functions.rules import DEFAULT_LISTS, RuleLists, reject_reason, with_reject_reason
 from threadsift.functions.scalars import trim_blank
 from threadsift.operators.mutations import apply_changes
@@ -52,9 +52,8 @@ def count_by_reason(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> Da
     )
 
 
-def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> DataFrame:
-    """How many mails each single entry of the sender and subject lists matches."""
-    from threadsift.functions.headers import address
+def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS, every_list: bool = False) -> DataFrame:
+    """How many mails each single entry of the sender and subject lists matches, or of all eight lists."""
 
     def hits(kind: str, words, test) -> Column:
         entries = F.array(*[F.lit(w) for w in words])
@@ -62,9 +61,14 @@ def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> Dat
             F.filter(entries, test), lambda w: F.struct(F.lit(kind).alias("list"), w.alias("entry"))
         )
 
+    sender = header(F.col("headers"), "from")
     mails = messages.select(
-        address(header(F.col("headers"), "from")).alias("sender"),
+        address(sender).alias("sender"),
         F.lower(header(F.col("headers"), "subject")).alias("subject"),
+        F.lower(display_name(sender)).alias("name"),
+        F.transform("headers", lambda h: F.lower(h["name"])).alias("names"),
+        F.transform("headers", lambda h: F.lower(h["value"])).alias("values"),
+        F.lower(header(F.col("headers"), "precedence")).alias("precedence"),
     )
     domain = F.when(F.col("sender").contains("@"), F.substring_index("sender", "@", -1)).otherwise("")
     found = F.concat(
@@ -72,6 +76,15 @@ def rule_list_hits(messages: DataFrame, lists: RuleLists = DEFAULT_LISTS) -> Dat
         hits("domain", lists.blocked_domain_tokens, lambda w: domain.contains(w)),
         hits("subject", lists.automated_subject_terms, lambda w: F.col("subject").contains(w)),
     )
+    if every_list:
+        found = F.concat(
+            found,
+            hits("header", lists.bulk_headers, lambda w: F.array_contains("names", F.lower(w))),
+            hits("precedence", lists.bulk_precedence_values, lambda w: F.trim("precedence") == w),
+            hits("tool", lists.mailing_tools, lambda w: F.exists("values", lambda v: v.contains(F.lower(w)))),
+            hits("name", lists.impersonal_names, lambda w: F.col("name") == F.lower(w)),
+            hits("free_mail", lists.free_mail_patterns, lambda w: F.regexp_like("sender", F.concat(F.lit("(?i)"), w))),
+        )
     return (
         mails.select(F.explode(found).alias("hit"))
         .groupBy("hit.list", "hit.entry")
@@ -119,9 +132,20 @@ def filter_counts(states: DataFrame, messages: DataFrame, lists: RuleLists = DEF
     )
 
 
-def latest_mail_dates(messages: DataFrame, date_text: Column | None = None) -> DataFrame:
+def own_threads(messages: DataFrame) -> DataFrame:
+    """Messages of which one without a thread id is a thread of its own, named by its id."""
+    own = F.coalesce(*[F.nullif(name, F.lit("")) for name in ("thread_id", "id", "message_id") if name in messages.columns])
+    return messages.withColumn("thread_id", own)
+
+
+def date_text(messages: DataFrame) -> Column:
+    """The message's own date; the Date header only in tables that do not store one."""
+    return F.col("date") if "date" in messages.columns else header(F.col("headers"), "date")
+
+
+def latest_mail_dates(messages: DataFrame, text: Column | None = None) -> DataFrame:
     """Latest readable mail date per thread; threads without one are left out."""
-    text = header(F.col("headers"), "date") if date_text is None else date_text
+    text = date_text(messages) if text is None else text
     return (
         messages.filter(F.col("thread_id").isNotNull())
         .groupBy("thread_id")

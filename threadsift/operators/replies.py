@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
 from threadsift.functions import json_values as jv
-from threadsift.functions.scalars import bound, trim_blank
+from threadsift.functions.scalars import bound, rounded_between, trim_blank
 
 CONTACT_FIELDS = ("name", "email", "company", "title", "phone_number")
 
@@ -87,7 +87,7 @@ def _score(value: Column) -> Column:
     low, high = fixed.SCORE_RANGE
     given = jv.number(value)
     number = F.when((given == 0) | given.isNull() | F.isnan(given), F.lit(float(fixed.DEFAULT_SCORE))).otherwise(given)
-    return F.floor(F.least(F.lit(float(high)), F.greatest(F.lit(float(low)), number + 0.5))).cast("int")
+    return rounded_between(number, low, high)
 
 
 def _contact(value: Column) -> Column:

@@ -166,7 +166,7 @@ def select_candidates(
     )
     # Raw bodies end here: every later join carries a cleaned text of bounded length.
     claimed = threads.cleaned(mails.claimed_messages(messages.drop("user_id"), rows))
-    placed = mails.enrich(claimed, rows).join(owners, "thread_id")
+    placed = mails.own_threads(mails.enrich(claimed, rows)).join(owners, "thread_id")
     skipped = outcomes.already_evaluated(mails.latest_mail_dates(placed), deals)
     unavailable = outcomes.unavailable_threads(rows, messages)
     open_mails = placed.join(skipped, "thread_id", "left_anti")

@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from threadsift.functions.headers import address
+from threadsift.functions import scalars
+from threadsift.functions.headers import address, has_header
 from threadsift.operators import compare, mails, metrics
 from threadsift.registry import query
 from threadsift.registry.evaluation import _A, _B, _COMPARED, _COST, _HEALTH_ROWS, _REGRESSED, _VERDICT, _WINNER, _categories, health, usage, variants
@@ -209,7 +210,7 @@ SELECT event_id, CAST(FLOOR(LEAST(10, GREATEST(1, value / 20 + 0.5))) AS INTEGER
 def sca_8(t):
     return t.events.select(
         "event_id",
-        F.floor(F.least(F.lit(10.0), F.greatest(F.lit(1.0), F.col("value") / 20 + 0.5))).cast("int").alias("score"),
+        scalars.rounded_between(F.col("value") / 20, 1, 10).alias("score"),
     )
 
 
@@ -219,7 +220,7 @@ SELECT user_id, COALESCE(NULLIF(integer_value, ''), CAST(CAST(double_value AS BI
 def sca_10(t):
     return t.markers.select(
         "user_id",
-        F.coalesce(F.nullif("integer_value", F.lit("")), F.col("double_value").cast("bigint").cast("string"), F.lit("none")).alias("marker"),
+        scalars.first_given(F.col("integer_value"), F.col("double_value").cast("bigint"), default="none").alias("marker"),
         F.when(~F.col("integer_value").isin("0", "not-a-timestamp"), "set").otherwise("unset").alias("kind"),
     )
 
@@ -246,6 +247,6 @@ def sca_12(t):
     return t.mails.select(
         "k",
         F.size("headers").alias("n_headers"),
-        F.exists("headers", lambda h: F.lower(h["name"]) == "authentication-results").alias("has_auth"),
-        F.forall("headers", lambda h: ~F.lower(h["name"]).isin(bulk)).alias("no_bulk"),
+        has_header(F.col("headers"), "Authentication-Results").alias("has_auth"),
+        (~has_header(F.col("headers"), *bulk)).alias("no_bulk"),
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import functions as F
 
 from threadsift import fixed_values as fixed
@@ -9,6 +12,8 @@ from threadsift.functions import headers as hdr
 from threadsift.functions import rules
 from threadsift.operators import contacts, mails
 from threadsift.registry import query
+from threadsift.session import shared_folder
+from threadsift.sources import documents
 
 
 def _in(words) -> str:
@@ -117,6 +122,37 @@ def src_3(t):
     return mails.rule_list_hits(t.mails)
 
 
+# All eight lists, read from a JSON document that names some entries and leaves one list to its default.
+_JSON_LISTS = {
+    "blocked_prefixes": ["no-reply@", "info"],
+    "blocked_domain_tokens": ["news.", "creator.com"],
+    "bulk_headers": ["list-id"],
+    "bulk_precedence_values": ["bulk"],
+    "mailing_tools": ["mutt"],
+    "automated_subject_terms": ["paid partnership", "hello"],
+    "impersonal_names": ["ann lee", "digest"],
+}
+_PRECEDENCE = "TRIM(LOWER(COALESCE(precedence_value, '')))"
+_LIST_TESTS = [
+    *[("prefix", w, f"STARTS_WITH(address, '{w}')") for w in _JSON_LISTS["blocked_prefixes"]],
+    *[("domain", w, f"CONTAINS(address, '@') AND CONTAINS(SPLIT_PART(address, '@', 2), '{w}')") for w in _JSON_LISTS["blocked_domain_tokens"]],
+    *[("subject", w, f"CONTAINS(LOWER(subject_value), '{w}')") for w in _JSON_LISTS["automated_subject_terms"]],
+    ("header", "list-id", "list_id_value IS NOT NULL"),
+    ("precedence", "bulk", f"{_PRECEDENCE} = 'bulk'"),
+    ("tool", "mutt", "CONTAINS(LOWER(x_mailer_value), 'mutt')"),
+    *[("name", w, f"LOWER(display_name) = '{w}'") for w in _JSON_LISTS["impersonal_names"]],
+    *[("free_mail", p, f"REGEXP_MATCHES(address, '(?i){p}')") for p in fixed.FREE_MAIL_PATTERNS],
+]
+
+
+@query("src_3b_rule_lists_from_json", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{kind}' AS list, '{entry}' AS entry, COUNT(*) AS n FROM {_PARTS} WHERE {test}" for kind, entry, test in _LIST_TESTS) + ") h WHERE n > 0")
+def src_3_json(t):
+    path = f"{shared_folder(t.spark)}/lists-{uuid.uuid4().hex}"
+    t.spark.createDataFrame([(json.dumps(_JSON_LISTS),)], "value string").coalesce(1).write.text(path)
+    return mails.rule_list_hits(t.mails, documents.read_rule_lists(t.spark, path), every_list=True)
+
+
 # ---- filtering of state rows ----------------------------------------------------
 _VERDICT = """CASE WHEN m.message_id IS NULL THEN NULL
  WHEN STARTS_WITH(LOWER(m.from_value), 'no-reply@') OR LOWER(m.from_value) LIKE '"the team"%'
@@ -168,6 +204,22 @@ def agg_6(t):
     return mails.latest_mail_dates(t.mails)
 
 
+# The message's own date: three of four can be read, whatever the header says.
+@query("agg_6b_latest_own_dates", """
+SELECT thread_id, MAX(CASE WHEN k % 4 <> 0 THEN sent_at END) AS latest_mail_at FROM f_emails GROUP BY thread_id
+HAVING MAX(CASE WHEN k % 4 <> 0 THEN sent_at END) IS NOT NULL""")
+def agg_6_own(t):
+    own = F.when(F.col("k") % 4 != 0, F.col("sent_at").cast("string")).otherwise("soon")
+    return mails.latest_mail_dates(t.mails.withColumn("date", own))
+
+
+@query("joi_13b_mails_without_thread", """
+SELECT m.message_id, COALESCE(CASE WHEN m.k % 3 <> 0 THEN m.thread_id END, m.message_id) AS thread_id FROM f_emails m""")
+def joi_13_own(t):
+    some = t.mails.withColumn("thread_id", F.when(F.col("k") % 3 == 1, F.col("thread_id")).when(F.col("k") % 3 == 2, F.col("thread_id")).otherwise(""))
+    return mails.own_threads(some).select("message_id", "thread_id")
+
+
 # ---- contacts ---------------------------------------------------------------------
 _USABLE_SENDERS = f"""
 SELECT * FROM (

@@ -80,6 +80,19 @@ def rep_4(t):
     return ops.first_usable_reply(parsed).select("batch_id", "layer", "model_used")
 
 
+# Every second batch has a stored audit; what can be read of them comes before any reply.
+@query("rep_4b_cached_replies_first", f"""
+SELECT l.batch_id, CASE WHEN c.batch_id IS NOT NULL THEN 'cached' ELSE layer END AS layer,
+ CASE WHEN c.batch_id IS NOT NULL THEN NULL WHEN layer = 'primary' THEN 'big-model' WHEN layer = 'corrective' THEN 'big-model(corrective-retry)'
+ WHEN layer = 'fallback' THEN 'small-model' END AS model_used
+FROM ({_LAYER}) l LEFT JOIN (SELECT DISTINCT batch_id FROM f_replies WHERE shape <> 'broken' AND batch_id % 2 = 0) c ON c.batch_id = l.batch_id""")
+def rep_4_cached(t):
+    stored = ops.cached_threads(given.audits(t.replies).filter("batch_id % 2 = 0"))
+    cached = stored.select("batch_id", F.lit("cached").alias("layer"), F.lit(None).cast("string").alias("model"), "items")
+    parsed = ops.parse_replies(given.layered(t.replies)).select("batch_id", "layer", "model", "items")
+    return ops.first_usable_reply(parsed.unionByName(cached)).select("batch_id", "layer", "model_used")
+
+
 def run_replies(t):
     """The layered replies as three runs; the last run has no corrections."""
     layers = given.layered(t.replies).filter(F.col("layer") != "fallback")

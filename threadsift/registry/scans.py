@@ -98,7 +98,7 @@ def joi_9(t):
 @query("agg_4_deals_per_category", f"""
 SELECT {', '.join(f"COUNT(*) FILTER (WHERE category = '{c}') AS db_{c}" for c in CATEGORIES)} FROM f_deals""")
 def agg_4(t):
-    return t.deals.agg(*[F.count_if(F.col("category") == c).alias(f"db_{c}") for c in CATEGORIES])
+    return t.deals.agg(*eli.category_counts())
 
 
 @query("joi_10_contact_counts_since_start", _contact_counts(_USERS))
@@ -108,7 +108,7 @@ def joi_10(t):
 
 @query("agg_5_contacts_per_user", "SELECT user_id, COUNT(DISTINCT email) AS contacts FROM f_deal_contacts GROUP BY user_id")
 def agg_5(t):
-    return t.deal_contacts.groupBy("user_id").agg(F.count_distinct("email").alias("contacts"))
+    return eli.contacts_per_user(t.deal_contacts)
 
 
 def _report(limit: int | None = None) -> str:

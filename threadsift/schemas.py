@@ -57,7 +57,7 @@ SYNC_EVENTS = _schema("sync_state_id STRING, event STRING, created_at TIMESTAMP"
 MARKERS = _schema("user_id STRING, integer_value STRING, double_value DOUBLE")
 MESSAGES = _schema(
     "message_id STRING, id STRING, user_id STRING, thread_id STRING, previous_ai_summary STRING, "
-    "headers ARRAY<STRUCT<name: STRING, value: STRING>>, body STRING, reply_body STRING, position BIGINT"
+    "headers ARRAY<STRUCT<name: STRING, value: STRING>>, body STRING, reply_body STRING, position BIGINT, date STRING"
 )
 REPLIES = _schema("run_id BIGINT, batch_id STRING, layer STRING, model STRING, raw STRING")
 BATCH_ORDER = _schema("batch_id STRING, thread_index INT, thread_id STRING")
