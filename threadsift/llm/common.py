@@ -34,15 +34,17 @@ def materialize(rows: DataFrame, **options: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000):
-    """Statements that run inside hand Python workers at most so many rows at once: less memory for wide rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "16m"):
+    """Statements that run inside hand Python workers at most so many rows and bytes at once: less memory for wide rows."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def spread_pieces(text: Column, seed: Column, size: int, most: int) -> Column:

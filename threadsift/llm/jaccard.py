@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, discard, ints, keyed, longs, materialize
+from threadsift.llm.common import batch, discard, ints, keyed, longs, materialize, small_batches
 from threadsift.llm.components import components
 from threadsift.llm.hashing import blocks, mix, shingles, words_of
 
@@ -58,8 +58,12 @@ CELL = 20_000
 BLOCK = 64
 #: Places of a set's bitmap, in words of 64 bits.
 BITS = 4 * 64
-#: Candidate pairs that are looked at together.
+#: Candidate pairs that are held to be merged, pairs that are looked at together, and pairs of bitmaps.
 STEP = 1 << 20
+PAIRS = 1 << 18
+AT_ONCE = 1 << 15
+#: Sets whose postings are packed together.
+PACK = 2000
 
 
 def _sets_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -252,7 +256,7 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int, wi
     parts_of = np.maximum(1, -(-often // cell))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in (b.slice(i, PACK) for b in batches for i in range(0, b.num_rows, PACK)):
             k = rows.column("k").to_numpy()
             n = rows.column("n").to_numpy()
             class_ = rows.column("class").to_numpy()
@@ -315,8 +319,11 @@ def _pairs_in_range(n, at, class_, able, bits, left, right, percent):
     follows = -(-np.maximum(n1, n2) * percent // 100) - 1
     good &= np.minimum(able[left], able[right]) + follows >= needed
     left, right, needed = left[good], right[good], needed[good]
-    apart = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
-    good = n[left] + n[right] - apart >= 2 * needed
+    good = np.zeros(len(left), dtype=bool)
+    for a in range(0, len(left), AT_ONCE):
+        x, y = left[a : a + AT_ONCE], right[a : a + AT_ONCE]
+        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+        good[a : a + AT_ONCE] = n[x] + n[y] - apart >= 2 * needed[a : a + AT_ONCE]
     return left[good], right[good]
 
 
@@ -327,7 +334,7 @@ def _short_lists(bounds: np.ndarray, n, at, class_, able, bits, percent) -> Iter
     many = lengths * lengths
     cut = 0
     while cut < len(many):
-        end = max(cut + 1, int(np.searchsorted(np.cumsum(many[cut:]), STEP)) + cut)
+        end = max(cut + 1, int(np.searchsorted(np.cumsum(many[cut:]), PAIRS)) + cut)
         m, b = lengths[cut:end], begins[cut:end]
         which = np.repeat(np.arange(len(m)), m * m)
         inner = np.arange(len(which)) - np.repeat(np.cumsum(m * m) - m * m, m * m)
@@ -496,7 +503,8 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = materialize(components(stars.select("a", "b")))
     labelled = sets.join(first.select(F.col("node").alias("k"), F.col("component").alias("class")), "k", "left")
     labelled = labelled.withColumn("class", F.coalesce("class", "k"))
-    open_ = materialize(candidates(labelled, common, often, percent))
+    with small_batches(docs.sparkSession, 10_000, "8m"):
+        open_ = materialize(candidates(labelled, common, often, percent))
 
     # Answers of leaders first, then those of followers that they leave open.
     star = stars.selectExpr("a AS k", "b AS leader", "na - shared AS apart")
