@@ -45,7 +45,9 @@ def test_pages_as_rows(spark):
     assert html_text.main_text(frame(spark, [])).collect() == []
 
 
-def test_branches_alike_on_every_page_of_a_host_go(spark):
+@pytest.mark.parametrize("shipped", [0, 200_000])
+def test_branches_alike_on_every_page_of_a_host_go(spark, monkeypatch, shipped):
+    monkeypatch.setattr(html_text, "SHIPPED", shipped)
     rows = []
     for i in range(12):
         body = "".join(f"<p>story {i} paragraph {j} of its own</p>" for j in range(1 + i % 4))
@@ -104,7 +106,10 @@ def test_names_count_whole_and_never_cover_an_article(html, text):
     assert "\n".join(t for _, t, what in html_text.blocks_of(html) if what != 0) == text
 
 
-def test_boilerplate_inside_articles_goes_and_copied_articles_stay(spark):
+@pytest.mark.parametrize("shipped", [0, 200_000])
+def test_boilerplate_inside_articles_goes_and_copied_articles_stay(spark, monkeypatch, shipped):
+    """With 0 the boilerplate is joined, else it is sent to the tasks."""
+    monkeypatch.setattr(html_text, "SHIPPED", shipped)
     def own(i):
         return [f"story {i} has paragraph {j} with many words of its own" for j in range(2 + i % 3)]
 
@@ -123,3 +128,14 @@ def test_boilerplate_inside_articles_goes_and_copied_articles_stay(spark):
         assert got[100 + i] == "\n".join(["copied", *copied])
         assert got[200 + i] == "\n".join(["near", *copied, f"number {i}"])
         assert got[300 + i] == "\n".join([f"title {i}", *copied])
+
+
+def test_both_ways_give_the_same_rows(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace("html", "</?(article|nav|footer)[^>]*>", ""))
+    frame_ = pages.unionByName(plain.withColumn("page_id", -F.col("page_id") - 1)).unionByName(pages.limit(3).withColumn("url", F.lit(None).cast("string")))
+    found = []
+    for shipped in (0, 200_000):
+        monkeypatch.setattr(html_text, "SHIPPED", shipped)
+        found.append(sorted((tuple(r) for r in html_text.main_text(frame_).collect()), key=repr))
+    assert found[0] == found[1] and sum(len(r[2]) for r in found[0]) > 1000

@@ -41,7 +41,7 @@ their own; an empty table gives an empty result. Other columns are not looked at
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -55,6 +55,8 @@ GAMMA = 0.9
 THRESHOLD = 0.25
 #: Pages that must show a branch before its entropies count.
 LEAST_PAGES = 4
+#: Entries of boilerplate, of all hosts, that are sent to the tasks.
+SHIPPED = 200_000
 
 # Names of HTML elements, roles and usual class names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -322,29 +324,81 @@ def importance(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars for every page."""
-    numbered = pages.select(F.monotonically_increasing_id().alias("page"), F.col("page_id").cast("long"), "url", "html")
-    parsed = numbered.mapInArrow(_parse, _BLOCKS).withColumns({"host": _host(F.col("url")), "content": F.xxhash64("text"), "size": F.length("text")})
-    # What is settled as chrome takes part in the tree by its number alone.
-    parsed = materialize(parsed.withColumn("text", F.when(F.coalesce("what", F.lit(-1)) != 0, F.col("text"))))
-    blocks = parsed.filter("seq >= 0").withColumn("branch", F.xxhash64("path"))
+def _numbered(pages: DataFrame) -> DataFrame:
+    return pages.select(F.monotonically_increasing_id().alias("page"), F.col("page_id").cast("long"), "url", "html")
+
+
+def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
+    """One row for each page and for each block, written; texts only of blocks that may stay, or none."""
+    rows = _numbered(pages).mapInArrow(_parse, _BLOCKS)
+    rows = rows.withColumns({"host": _host(F.col("url")), "content": F.xxhash64("text"), "size": F.length("text"), "branch": F.xxhash64("path")})
+    if with_text:
+        return materialize(rows.withColumn("text", F.when(F.coalesce("what", F.lit(-1)) != 0, F.col("text"))).drop("nodes", "outer"))
+    return materialize(rows.drop("text", "page_id", "url"))
+
+
+def boilerplate(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, branch) that go, and (host, branch, content) that go inside articles; both written."""
+    parsed = _parsed(pages, with_text=False)
+    blocks = parsed.filter("seq >= 0")
     inner = blocks.filter("what = 1")
     # One page stands for all copies of its article.
     articles = inner.groupBy("host", "page").agg(F.xxhash64(F.array_sort(F.collect_list(F.xxhash64("path", "content")))).alias("article"))
     stands = materialize(articles.groupBy("host", "article").agg(F.min("page").alias("page")).select("page"))
     ones = inner.join(stands, "page", "left_semi").select("host", "path", "content", "branch", "page")
-    heads = parsed.filter("seq = -1")
-    every = heads.join(stands.withColumn("stands", F.lit(True)), "page", "left")
+    every = parsed.filter("seq = -1").join(stands.withColumn("stands", F.lit(True)), "page", "left")
     nodes = every.select("host", F.explode(F.when(F.col("stands"), F.col("nodes")).otherwise(F.col("outer"))).alias("n")).select("host", "n.branch", "n.children")
     columns = ["host", "path", "content"]
     tree = materialize(importance(blocks.filter("what IS NULL OR what = 0").select(*columns).unionByName(ones.select(*columns)), nodes))
     low = tree.filter((F.col("value") < THRESHOLD) & (F.col("pages") >= LEAST_PAGES)).select("host", "branch")
     shown = ones.select("host", "branch", "content", "page").distinct().groupBy("host", "branch", "content").agg(F.count(F.lit(1)).alias("c"))
     repeated = shown.filter("c > 1").join(tree.filter(F.col("pages") >= LEAST_PAGES).select("host", "branch", "pages"), ["host", "branch"])
-    repeated = materialize(
-        repeated.filter(1 - F.ln("c") / F.ln("pages") < THRESHOLD).select("host", "branch", "content")
-    )
+    repeated = repeated.filter(1 - F.ln("c") / F.ln("pages") < THRESHOLD).select("host", "branch", "content")
+    return materialize(low), materialize(repeated)
+
+
+def _cut(gone) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pages -> their main texts, by the boilerplate of all hosts."""
+
+    def text_of(html: str | None, host: str, low: set, repeated: set) -> str:
+        blocks = blocks_of(html)
+        numbers: dict[str, int] = {}
+
+        def number(branch: str) -> int:
+            if branch not in numbers:
+                numbers[branch] = _number(branch)
+            return numbers[branch]
+
+        def leads(path: str) -> Iterator[int]:
+            parts = path.split(">")
+            return (number(">".join(parts[:depth])) for depth in range(1, len(parts) + 1))
+
+        plain = {
+            i for i, (path, text, what) in enumerate(blocks)
+            if what == 1 and ((host, number(path)) in low or (host, number(path), _number(text)) in repeated)
+        }
+        if 2 * sum(len(blocks[i][1]) for i in plain) > sum(len(text) for _, text, what in blocks if what == 1):
+            plain = set()
+        return "\n".join(
+            text for i, (path, text, what) in enumerate(blocks)
+            if (what == 1 and i not in plain) or (what is None and not any((host, b) in low for b in leads(path)))
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, repeated = gone.value
+        for rows in batches:
+            for part in (rows.slice(i, 200) for i in range(0, rows.num_rows, 200)):
+                texts = [text_of(h, host, low, repeated) for h, host in zip(part.column("html").to_pylist(), part.column("host").to_pylist())]
+                yield batch({"page_id": part.column("page_id"), "url": part.column("url"), "text": pa.array(texts, pa.string())})
+
+    return run
+
+
+def _joined(pages: DataFrame, low: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Main texts by joins with the boilerplate, whatever its size; blocks travel to their pages."""
+    parsed = _parsed(pages, with_text=True)
+    blocks = parsed.filter("seq >= 0")
+    inner = blocks.filter("what = 1")
     sized = inner.select("host", "branch", "content", "page", "seq", "size")
     plain = sized.join(low, ["host", "branch"], "left_semi").unionByName(sized.join(repeated, ["host", "branch", "content"], "left_semi"))
     plain = materialize(plain.select("page", "seq", "size").distinct())
@@ -359,5 +413,23 @@ def main_text(pages: DataFrame) -> DataFrame:
     kept = sure.unionByName(open_.join(gone, ["host", "path"], "left_anti").select("page", "seq", "text"))
     texts = kept.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("b"))
     texts = texts.select("page", F.array_join(F.transform("b", lambda x: x["text"]), "\n").alias("text"))
-    full = heads.select("page", "page_id", "url").join(texts, "page", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    heads = parsed.filter("seq = -1").select("page", "page_id", "url")
+    return heads.join(texts, "page", "left").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars for every page.
+
+    Boilerplate of up to SHIPPED entries, counted first, is sent to the tasks, which parse the
+    pages once more and write their texts at once; more of it is joined.
+    """
+    low, repeated = boilerplate(pages)
+    if low.count() + repeated.count() <= SHIPPED:
+        spark = pages.sparkSession
+        sets = tuple({tuple(r) for r in rows.collect()} for rows in (low, repeated))
+        gone = spark.sparkContext.broadcast(sets)
+        rows = pages.select(F.col("page_id").cast("long"), "url", "html", _host(F.col("url")).alias("host"))
+        full = rows.mapInArrow(_cut(gone), "page_id long, url string, text string")
+    else:
+        full = _joined(pages, low, repeated)
     return full.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
