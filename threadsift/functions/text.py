@@ -73,7 +73,7 @@ _HARD_SPACE = "\x07"
 _TAG_START = "\x03"
 _TAG_END = "\x04"
 _STRUCTURE = r"(?i)(</?(?:blockquote|ol|ul|li|table|tr|td|th)\b[^>]*>)"
-_STRUCTURED = r"(?i)</?blockquote\b|<(?:ol|t[dh])\b"
+_STRUCTURED = r"(?i)<(?:/?blockquote|ol|t[dh])\b"
 
 _HTML_STEPS = (
     (r"(?is)^.*?<body\b[^>]*>", ""),
@@ -202,7 +202,7 @@ def html_to_text(html: Column) -> Column:
     for pattern, replacement in _LINE_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
     text = bound(bound(_upper_headings(text), _decoded), _with_quote_marks)
-    return trim_blank(F.replace(text, F.lit(_HARD_SPACE), F.lit(" ")))
+    return trim_blank(bound(text, lambda t: F.when(t.contains(_HARD_SPACE), F.replace(t, F.lit(_HARD_SPACE), F.lit(" "))).otherwise(t)))
 
 
 def _numeric_entity(code: Column) -> Column:
@@ -234,8 +234,9 @@ def _decoded(text: Column) -> Column:
 # a search for a string is far cheaper than running the pattern.
 _SECOND_LINE = r"[^\n]*(?:\n[^\n]*)?"
 _HEADER = r"(?:From|Sent|Date|To|Cc|Subject|De|Envoyé|À|Objet|Von|Gesendet|Datum|An|Betreff|Enviado(?: el)?|Fecha|Para|Asunto) ?:[^\n]*"
-_QUOTE_STEPS = (
-    (r"(?dm)^>[^\n]*\n?", "", (">",)),
+_QUOTE_STEPS = ((r"(?dm)^>[^\n]*\n?", "", (">",)),)
+# None of these is there without a colon, except rules of dashes.
+_COLON_STEPS = (
     (rf"(?dm)^On {_SECOND_LINE}wrote:[ \t]*$", "", ("wrote:",)),
     (rf"(?dm)^Le (?=[^\n]*\d){_SECOND_LINE}a écrit[ \u00a0\u202f]?:[ \t]*$", "", ("a écrit",)),
     (rf"(?dm)^Am (?=[^\n]*\d){_SECOND_LINE}schrieb[^\n]*:[ \t]*$", "", ("schrieb",)),
@@ -253,7 +254,7 @@ _SIGNATURE = (
     r"(?ds)(?:\A|\n)(?:--|__|Sent from my [^\n]*|Get Outlook for [^\n]*|Envoyé de mon [^\n]*|Envoyé depuis mon [^\n]*"
     r"|Von meinem [^\n]* gesendet|Enviado desde mi [^\n]*)[ \t]*(?:\n.*)?\z"
 )
-_SIGNATURE_MARKS = ("--", "__", "Sent from my ", "Get Outlook for ", "Envoyé de", "Von meinem ", "Enviado desde mi ")
+_SIGNATURE_MARKS = ("--", "__", "Sent from my ", "Get Outlook for ", "Env", "Von meinem ")
 
 _SPACE_STEPS = (
     (r"\n{3,}", "\n\n", ("\n\n\n",)),
@@ -293,7 +294,10 @@ def without_signature(text: Column) -> Column:
 
 
 def without_quotes(text: Column) -> Column:
-    return bound(_apply(text, _QUOTE_STEPS), without_signature)
+    def attributed(unquoted: Column) -> Column:
+        return F.when(unquoted.contains(":") | unquoted.contains("--"), _apply(unquoted, _COLON_STEPS)).otherwise(unquoted)
+
+    return bound(bound(_apply(text, _QUOTE_STEPS), attributed), without_signature)
 
 
 def clean_body(body: Column, max_chars: int = fixed.BODY_MAX_CHARS) -> Column:

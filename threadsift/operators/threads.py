@@ -22,7 +22,9 @@ from threadsift.operators.ranking import in_chunks, numbered
 
 #: Bytes of a part; one longer message makes a part longer by itself.
 PART_BYTES = 4 << 20
+#: Rows of a slice, and numbers that its parts may take.
 _SLICE = 500
+_PARTS_OF_SLICE = 1 << 32
 
 
 def thread_batches(messages: DataFrame, keys: list[str], batch_size: int) -> DataFrame:
@@ -120,27 +122,22 @@ def batch_segments(messages: DataFrame, batches: DataFrame) -> DataFrame:
 def in_parts(rows: DataFrame, key: str, number: str, size: Column, most: int) -> DataFrame:
     """`part_no` of each row: the rows of a key in order of `number` (from 1), cut by the sum of their sizes.
 
-    A part holds the rows that begin in one half of `most`, so with rows of up to half of
-    `most` it stays below it; only a longer row makes it longer. Sums run inside slices
-    of rows of one key and start from the total of the slices before, so no key is one task.
+    A part holds the rows of one slice (of fixed length, so no key is one task) that begin in
+    one half of `most` of the slice's bytes. With rows of up to half of `most` it stays below
+    it; only a longer row makes it longer. Parts are numbered upwards with gaps between.
     """
     sliced = rows.withColumns({"_size": size.cast("bigint"), "_slice": F.floor((F.col(number) - 1) / F.lit(_SLICE))})
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(key, "_slice").agg(F.sum("_size").alias("_total"))
-    offsets = totals.select(key, "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(key, "_slice").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     begun = sliced.withColumn("_begin", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    known = offsets.withColumnsRenamed({key: "_key", "_slice": "_of"})
-    placed = begun.join(known, begun[key].eqNullSafe(known["_key"]) & (begun["_slice"] == known["_of"]))
-    part = F.floor((F.col("_begin") + F.col("_offset")) / F.lit(max(1, most // 2))).cast("bigint")
-    return placed.withColumn("part_no", part).drop("_size", "_slice", "_begin", "_offset", "_key", "_of")
+    part = F.floor(F.col("_begin") / F.lit(max(1, most // 2)))
+    return begun.withColumn("part_no", (F.col("_slice") * _PARTS_OF_SLICE + part).cast("bigint")).drop("_size", "_slice", "_begin")
 
 
 def batch_texts(segments: DataFrame, messages_per_part: int | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """(batch_id, part_no, thread_data): segments joined in order, part by part.
 
-    Parts are bounded in bytes and numbered upwards (a number is left out where one segment
-    fills it alone), or hold a number of messages where one is given.
+    Parts are bounded in bytes and numbered upwards with gaps between, or hold a number of
+    messages where one is given.
     """
     if messages_per_part is None:
         placed = in_parts(segments, "batch_id", "segment_no", F.octet_length("segment"), part_bytes)
