@@ -51,7 +51,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, keyed, longs, materialize, small_batches
+from threadsift.llm.common import batch, forget, kept, keyed, longs, materialize, small_batches
 from threadsift.llm.hashing import blocks
 
 #: Pairs with more than this part of all links are shipped to the tasks; there are fewer than this.
@@ -470,20 +470,9 @@ class Memory:
 _ALIGNED = "k long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links binary"
 
 
-#: What a worker process remembers goes on to its next task.
-_memories: dict[tuple[str, str], Memory] = {}
-
-
-def _memory(path_a: str, path_b: str) -> Memory:
-    if (path_a, path_b) not in _memories:
-        _memories.clear()
-        _memories[path_a, path_b] = Memory(path_a, path_b)
-    return _memories[path_a, path_b]
-
-
 def _align(path_a: str, path_b: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(path_a, path_b)
+        memory = kept(("alignment", path_a, path_b), lambda: Memory(path_a, path_b))
         for rows in batches:
             for block in blocks(rows.column("text"), BLOCK_BYTES):
                 n = len(block)
@@ -528,7 +517,7 @@ def _numbers(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _memories.clear()  # of the step before
+    forget()
     for rows in batches:
         for _, _, links, _ in _numbers(rows.column("links")):
             pairs, counts = np.unique(links, return_counts=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 
 import numpy as np
@@ -55,6 +56,23 @@ def spread_pieces(text: Column, seed: Column, size: int, most: int) -> Column:
     return F.transform(chosen, lambda i: F.substring(text, i * size + 1, F.lit(size)))
 
 
+#: What a Python worker remembers from one task to the next; one thing at a time.
+_kept: dict[tuple, object] = {}
+
+
+def kept(name: tuple, make: Callable[[], object]):
+    """Something that tasks of one kind go on using in a worker process; tasks of another kind drop it."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget() -> None:
+    """Give back the memory of tasks that ran in this worker before."""
+    _kept.clear()
+
+
 def discard(rows: DataFrame) -> None:
     """Delete the files of a frame that `materialize` wrote and nothing reads any more."""
     spark = rows.sparkSession

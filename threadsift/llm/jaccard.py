@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, discard, ints, keyed, longs, materialize, small_batches
+from threadsift.llm.common import batch, discard, forget, ints, keyed, longs, materialize, small_batches
 from threadsift.llm.components import components
 from threadsift.llm.hashing import blocks, mix, shingles, words_of
 
@@ -88,6 +88,7 @@ def _sets(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that three or more sets of one block hold, with their number."""
+    forget()
     for rows in batches:
         for _, _, values in _sets(rows):
             shingle, n = np.unique(values, return_counts=True)
@@ -130,6 +131,7 @@ _SKETCH = "k long, n int, digest long, digest2 long, least array<long>, prefix b
 
 def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for rows in batches:
             for k, bounds, values in _sets(rows):
                 n = np.diff(bounds)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, keyed
+from threadsift.llm.common import batch, kept, keyed
 
 LENGTH = 4096
 END_ID = 2
@@ -256,17 +256,6 @@ def choose(stream: Stream, length: int = LENGTH) -> list[int]:
     return out[::-1]
 
 
-#: What a worker process remembers goes on to its next task.
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 _PIECES = "k long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, local long, offset long, ids binary"
 
 
@@ -274,7 +263,7 @@ def _pack(path: str, end_id: int, length: int, keep_ids: bool) -> Callable[[Iter
     """Documents of one range, in order -> their pieces, with the sequence's number in the range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = kept(("packing", path), lambda: Encoder(path))
         held: list[tuple] = []  # k, doc_id, ids not yet packed, ends in them, start, tokens of the document
         size = number = 0
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm import hashing
-from threadsift.llm.common import batch, ints, longs, materialize
+from threadsift.llm.common import batch, forget, ints, longs, materialize
 from threadsift.llm.windows import super_kmers
 
 #: Different strings of one minimiser beyond which its windows are grouped one by one.
@@ -52,6 +52,7 @@ class Symbols:
 
 def _runs(kind: Symbols, keys_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for rows in batches:
             k = rows.column("k").to_numpy(zero_copy_only=False)
             for block in hashing.blocks(rows.column("text")):
