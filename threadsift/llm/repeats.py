@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm import hashing
-from threadsift.llm.common import batch, forget, ints, longs, materialize
+from threadsift.llm.common import batch, forget, ints, longs, materialize, small_batches
 from threadsift.llm.windows import super_kmers
 
 #: Different strings of one minimiser beyond which its windows are grouped one by one.
@@ -161,8 +161,9 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 if len(part):
                     each = np.repeat(part, n[part])
                     step = np.arange(len(each)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
-                    rolling, other = hashing.Rolling(symbols), hashing.Rolling.second(symbols)
                     a = first[each] + step
+                    window = hashing.Rolling(symbols).ranges(a, a + kind.size, 21)
+                    window2 = hashing.Rolling.second(symbols).ranges(a, a + kind.size, 22)
                     yield emit(
                         f["minimiser"][lo:hi][each],
                         f["string"][lo:hi][each],
@@ -171,8 +172,8 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                         np.ones(len(each)),
                         f["places"][lo:hi][each],
                         pa.nulls(len(each), pa.binary()),
-                        longs(rolling.ranges(a, a + kind.size, 21)),
-                        longs(other.ranges(a, a + kind.size, 22)),
+                        longs(window),
+                        longs(window2),
                     )
 
     return run
@@ -187,7 +188,8 @@ def packed_strings(docs: DataFrame, strings: DataFrame, kind: Symbols) -> DataFr
         F.collect_list(F.struct("minimiser", "string", "start", "n", "places", "hot")).alias("cuts")
     )
     joined = docs.select("k", "text").join(cuts, "k")
-    return materialize(joined.mapInArrow(_pack(kind), _PACKED))
+    with small_batches(docs.sparkSession, 2000, "8m"):
+        return materialize(joined.mapInArrow(_pack(kind), _PACKED))
 
 
 def in_buckets(packed: DataFrame, compare: Callable, schema: str) -> DataFrame:

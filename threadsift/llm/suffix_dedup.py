@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm import repeats
-from threadsift.llm.common import batch, keyed, materialize
+from threadsift.llm.common import batch, keyed, materialize, small_batches
 from threadsift.llm.hashing import blocks
 
 SIZE = 100
@@ -198,7 +198,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, core: int = CORE) -> DataF
         .filter("NOT (k = k0 AND start = s0)")
         .selectExpr("k", "CAST(start AS LONG) AS first", f"CAST(start + {size} AS LONG) AS stop")
     )
-    return materialize(copies.unionByName(sorted_).unionByName(hot))
+    with small_batches(docs.sparkSession, 2000, "8m"):
+        return materialize(copies.unionByName(sorted_).unionByName(hot))
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
