@@ -73,3 +73,16 @@ def test_copies_of_a_query_do_not_take_the_places_of_equal_vectors(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
     assert got == brute(rows, 100, 10)
     assert [v for q, _, v, _ in got if q == 100] == list(range(101, 111))
+
+
+def test_points_without_clusters_are_pooled_and_searched_exactly():
+    rng = np.random.default_rng(7)
+    points = rng.integers(-600, 600, size=(2000, 64))
+    points = np.concatenate([points, points[:5], points[7] + rng.integers(-3, 3, size=(300, 64))])  # and copies, and one cluster
+    tree = topk.CoverTree(np.unique(points, axis=0).astype(float))
+    assert len(tree.centre) < 100  # not a node for each point, met one at a time
+    ids = rng.permutation(len(points))
+    got = topk.search(points[:40], points, ids, ids[:40], 10)
+    for i, (found, scores) in enumerate(got):
+        best = sorted((-int(s), int(j)) for s, j in zip(points[i] @ points.T, ids) if j != ids[i])[:10]
+        assert [(-int(s), int(j)) for s, j in zip(scores, found)] == best

@@ -12,6 +12,11 @@ so the pair is pruned when that is less than the worst kth score of the query no
 queries. What is left meets at the leaves, where scores are computed exactly. The best k
 of all blocks are merged by rank.
 
+Where points lie so far apart that hardly any two share a ball, as in many dimensions
+without clusters, they are not made nodes one by one: they are pooled in leaves around the
+centre they have in common, sorted by their distance from it, and a leaf's queries meet all
+of its points in one product.
+
 Equal vectors are one point of a tree. Every row is indexed and every query is answered
 exactly, so recall is 1.
 
@@ -34,6 +39,9 @@ K = 10
 SCALE = 1024
 EVERY = 100
 LEAF = 24
+#: Centres in a row that take hardly any point after which a node's points left over are pooled, and points of a pooled leaf.
+PATIENCE = 32
+POOL = 256
 #: Rows of a block of candidates and of queries.
 BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -51,7 +59,9 @@ class CoverTree:
 
     Built level by level: the points of a node within half its level's reach of the centre
     stay with it, each point left over in turn becomes the centre of a sibling that takes
-    the points in its own reach. A node of few points is a leaf.
+    the points in its own reach. A node of few points is a leaf. Points whose ball would hold
+    next to nothing else, and what is left after PATIENCE such in a row, are pooled in leaves
+    around the node's own centre.
     """
 
     def __init__(self, points: np.ndarray):
@@ -74,28 +84,46 @@ class CoverTree:
         difference = self.points[rows] - self.points[centre]
         return np.sqrt(np.einsum("ij,ij->i", difference, difference))
 
-    def _build(self, centre: int, rows: np.ndarray, away: np.ndarray, reach: float) -> int:
-        node = len(self.centre)
+    def _node(self, centre: int, away: np.ndarray) -> int:
         self.centre.append(centre)
         self.radius.append(float(away.max()) if len(away) else 0.0)
         self.children.append([])
         self.first.append(self.filled)
         self.last.append(0)
+        return len(self.centre) - 1
+
+    def _fill(self, node: int, rows: np.ndarray) -> int:
+        self.order[self.filled : self.filled + len(rows)] = rows
+        self.filled += len(rows)
+        self.last[node] = self.filled
+        return node
+
+    def _build(self, centre: int, rows: np.ndarray, away: np.ndarray, reach: float) -> int:
+        node = self._node(centre, away)
         if len(rows) <= LEAF or self.radius[node] == 0:
-            self.order[self.filled : self.filled + len(rows)] = rows
-            self.filled += len(rows)
-        else:
-            reach = min(reach, self.radius[node]) / 2
-            near = away <= reach
-            below = [(centre, rows[near], away[near])]
-            rest = rows[~near]
-            while len(rest):
-                own = self._distances(rest, int(rest[0]))
-                taken = own <= reach
+            return self._fill(node, rows)
+        reach = min(reach, self.radius[node]) / 2
+        near = away <= reach
+        below = [(centre, rows[near], away[near])]
+        rest, far = rows[~near], away[~near]
+        pooled, poor = [], 0
+        while len(rest) and poor < PATIENCE:
+            own = self._distances(rest, int(rest[0]))
+            taken = own <= reach
+            if np.count_nonzero(taken) <= max(LEAF // 4, 1):
+                poor += 1
+                pooled.append((rest[taken], far[taken]))
+            else:
+                poor = 0
                 below.append((int(rest[0]), rest[taken], own[taken]))
-                rest = rest[~taken]
-            for c, r, a in below:
-                self.children[node].append(self._build(c, r, a, reach))
+            rest, far = rest[~taken], far[~taken]
+        for c, r, a in below:
+            self.children[node].append(self._build(c, r, a, reach))
+        rest, far = (np.concatenate(x) for x in zip(*pooled, (rest, far)))
+        order = np.argsort(far, kind="stable")
+        for i in range(0, len(rest), POOL):
+            part = order[i : i + POOL]
+            self.children[node].append(self._fill(self._node(centre, far[part]), rest[part]))
         self.last[node] = self.filled
         return node
 
@@ -117,6 +145,7 @@ def search(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, own: np.nda
     tree, query_tree = CoverTree(distinct.astype(float)), CoverTree(queries.astype(float))
     lengths = np.sqrt((tree.points[tree.centre_rows] ** 2).sum(axis=1)) if len(distinct) else np.zeros(0)
     centres = tree.points[tree.centre_rows]
+    asked, points_ = queries.astype(exact), distinct.astype(exact)
     best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, exact)) for _ in queries]
     worst = np.full(len(queries), -np.inf)
 
@@ -134,18 +163,17 @@ def search(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, own: np.nda
     def meet(rows: np.ndarray, node: int) -> None:
         """All queries `rows` against all points of a leaf."""
         at = tree.order[tree.first[node] : tree.last[node]]
-        scores = queries[rows].astype(exact) @ distinct[at].astype(exact).T
-        for i, row in enumerate(rows.tolist()):
-            good = np.flatnonzero(scores[i] >= worst[row])
-            if not len(good):
-                continue
+        scores = asked[rows] @ points_[at].T
+        high = (scores >= worst[rows][:, None]).astype(bool)
+        for i in np.flatnonzero(high.any(axis=1)).tolist():
+            row, good = rows[i], np.flatnonzero(high[i])
             # Of equal vectors no more than the first k ids besides the query's own can count.
             runs = [by_group[starts[g] : min(starts[g + 1], starts[g] + k + own_rows(g, own[row]))] for g in at[good].tolist()]
             found = ids[np.concatenate(runs)]
             value = np.repeat(scores[i][good], [len(x) for x in runs])
             other = found != own[row]
             found, value = np.concatenate([best[row][0], found[other]]), np.concatenate([best[row][1], value[other]])
-            order = sorted(range(len(found)), key=lambda j: (-value[j], found[j]))[:k]
+            order = (np.lexsort((found, -value)) if exact is float else sorted(range(len(found)), key=lambda j: (-value[j], found[j])))[:k]
             best[row] = found[order], value[order]
             if len(order) == k:
                 worst[row] = float(value[order[-1]])
