@@ -120,3 +120,27 @@ def test_bitmaps_never_turn_a_link_away():
             assert most >= shared
             turned += most < min(len(a), len(b))
     assert turned > 1000 and not bits[-1].any()
+
+
+def test_bitmaps_of_large_sets_turn_near_misses_away():
+    """At similarity 0.6 no pair of large sets is written; 256 places let all of them through."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**64, 900, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([base, rng.integers(0, 2**64, 300, dtype=np.uint64)])) for _ in range(12)]
+    bits = jaccard._bitmaps_by_size(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    shared = np.sort(base)[:220]
+    rows = pa.RecordBatch.from_pydict(
+        {"k": range(12), "n": [1200] * 12, "class": range(12), "meeting": [0] * 12, "prefix": [shared.tobytes()] * 12, "bits": bits},
+        pa.schema([("k", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), ("meeting", pa.int32()), ("prefix", pa.binary()), ("bits", pa.binary())]),
+    )
+    none = np.zeros(0, dtype=np.uint64)
+    packed = jaccard._postings(none, none.astype(np.int64), 1, 20_000, True)(iter([rows]))
+    assert sum(b.num_rows for b in jaccard._probe(80)(packed)) == 0
+    near = [s[: 1150] for s in sets[:1]] + [sets[0]]
+    bits = jaccard._bitmaps_by_size(np.concatenate(near), np.cumsum([0, 1150, 1200]))
+    rows = rows.slice(0, 2).set_column(5, "bits", pa.array(bits, pa.binary())).set_column(1, "n", pa.array([1150, 1200], pa.int32()))
+    packed = jaccard._postings(none, none.astype(np.int64), 1, 20_000, True)(iter([rows]))
+    assert sum(b.num_rows for b in jaccard._probe(80)(packed)) == 1  # a link stays

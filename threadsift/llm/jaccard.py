@@ -11,8 +11,8 @@ links inside a group of copies:
 3. An inverted index over the prefixes of all sets (rare shingles first) gives candidate
    pairs. Its lists are sorted and cut into blocks; a pair of blocks is skipped whole when
    their sizes or positions leave too little overlap, or when all their sets already are
-   in one class. Every posting carries a bitmap of its whole set: the parity of the set's
-   shingles in each of BITS places. Where two bitmaps differ an odd number of shingles
+   in one class. A set's postings in a bucket share a bitmap of the whole set: the
+   parity of the set's shingles in each of its places, BITS at least, more for larger sets. Where two bitmaps differ an odd number of shingles
    stands in one set only, so d different bits leave an overlap of (na + nb - d) / 2 at
    most; pairs for which that is too little go before they are written. Lists of very
    common shingles are dealt out in cells.
@@ -56,14 +56,16 @@ COMMON = 100_000
 BUCKET = 200_000
 CELL = 20_000
 BLOCK = 64
-#: Places of a set's bitmap, in words of 64 bits.
+#: Places of a set's bitmap at least and at most, powers of two in words of 64 bits, and words for which a posting pays.
 BITS = 4 * 64
+MOST_BITS = 128 * 64
+PAID = 8
 #: Candidate pairs that are held to be merged, pairs that are looked at together, and pairs of bitmaps.
 STEP = 1 << 20
 PAIRS = 1 << 18
 AT_ONCE = 1 << 15
 #: Sets whose postings are packed together.
-PACK = 2000
+PACK = 1000
 
 
 def _sets_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -113,19 +115,67 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def bitmaps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """For each set its bitmap, BITS / 64 words."""
-    words = BITS // 64
-    out = np.zeros((len(bounds) - 1, words), dtype=np.uint64)
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        place = mix(values, 61) % np.uint64(BITS)
-        bit = np.uint64(1) << (place & np.uint64(63))
-        for word in range(words):
-            out[full, word] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == word, bit, np.uint64(0)), bounds[full])
+def bitmaps(values: np.ndarray, bounds: np.ndarray, places: int = BITS) -> np.ndarray:
+    """For each set its bitmap of `places` bits, places / 64 words."""
+    sets = len(bounds) - 1
+    out = np.zeros((sets, places // 64), dtype=np.uint64)
+    step = max(1, STEP // places)
+    for a in range(0, sets, step):
+        b = min(a + step, sets)
+        row = np.repeat(np.arange(b - a), np.diff(bounds[a : b + 1]))
+        place = (mix(values[bounds[a] : bounds[b]], 61) % np.uint64(places)).astype(np.int64)
+        odd = (np.bincount(row * places + place, minlength=(b - a) * places) & 1).astype(np.uint8)
+        out[a:b] = np.packbits(odd.reshape(-1, places), axis=1, bitorder="little").view(np.uint64)
     return out
 
 
+def _bitmaps_by_size(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each set a bitmap of about twice as many places as it has shingles."""
+    n = np.diff(bounds)
+    places = np.clip(2 ** np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64), BITS, MOST_BITS)
+    out = [b""] * len(n)
+    for size in np.unique(places).tolist():
+        rows = np.flatnonzero(places == size)
+        part = np.concatenate([values[bounds[i] : bounds[i + 1]] for i in rows.tolist()])
+        for i, bits in zip(rows.tolist(), bitmaps(part, np.append(0, np.cumsum(n[rows])), size)):
+            out[i] = bits.tobytes()
+    return out
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (rows) brought down to fewer places: each takes the parity of those that fall on it."""
+    return bits if bits.shape[1] == words else np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+class Bitmaps:
+    """Bitmaps of different lengths, compared in the shorter length of two; `entry` names each posting's."""
+
+    def __init__(self, flat: np.ndarray, words: np.ndarray, entry: np.ndarray):
+        self.flat, self.words, self.entry = flat, words.astype(np.int64), entry
+        self.starts = np.cumsum(self.words) - self.words
+
+    def take(self, postings: np.ndarray) -> Bitmaps:
+        return Bitmaps(self.flat, self.words, self.entry[postings])
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """In how many places the bitmaps of two postings differ."""
+        x, y = self.entry[left], self.entry[right]
+        level = self.words[x] * 1000 + self.words[y]
+        out = np.zeros(len(x), dtype=np.int64)
+        for pair in np.unique(level).tolist():
+            p, q = divmod(pair, 1000)
+            if not (p and q):
+                continue
+            here = np.flatnonzero(level == pair)
+            step = max(1, AT_ONCE * 4 // max(p, q))
+            for i in range(0, len(here), step):
+                part = here[i : i + step]
+                a = _folded(self.flat[self.starts[x[part]][:, None] + np.arange(p)], min(p, q))
+                b = _folded(self.flat[self.starts[y[part]][:, None] + np.arange(q)], min(p, q))
+                out[part] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        return out
+
+
 _SKETCH = "k long, n int, digest long, digest2 long, least array<long>, prefix binary, bits binary"
 
 
@@ -153,7 +203,6 @@ def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordB
                 length = n - -(-n * percent // 100) + 1
                 prefixes = [raw[a : a + c].tobytes() if m else b"" for a, c, m in zip(bounds, length, n)]
                 flat = np.stack(least, axis=1).ravel() if len(n) else np.zeros(0, dtype=np.uint64)
-                bits = bitmaps(values, bounds)
                 yield batch(
                     {
                         "k": pa.array(k),
@@ -162,7 +211,7 @@ def _sketches(common: np.ndarray, percent: int) -> Callable[[Iterator[pa.RecordB
                         "digest2": digests[1],
                         "least": pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * HASHES, pa.int32()), longs(flat)),
                         "prefix": pa.array(prefixes, pa.binary()),
-                        "bits": pa.array([b.tobytes() for b in bits], pa.binary()),
+                        "bits": pa.array(_bitmaps_by_size(values, bounds), pa.binary()),
                     }
                 )
 
@@ -245,14 +294,37 @@ def followers(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-_POSTINGS = "bucket long, cell int, shingle binary, k binary, n binary, at binary, class binary, able binary, marks binary, bits binary"
+#: Of each posting: shingle, place in its prefix, marks and entry; of each entry, a set in a bucket, the others.
+_POSTINGS = (
+    "bucket long, cell int, shingle binary, at binary, marks binary, entry binary, "
+    "k binary, n binary, class binary, able binary, words binary, bits binary"
+)
 _TYPES = {
-    "shingle": np.uint64, "k": np.int64, "n": np.int32, "at": np.int32, "class": np.int64, "able": np.int32, "marks": np.uint8, "bits": np.uint64
+    "shingle": np.uint64, "at": np.int32, "marks": np.uint8, "entry": np.int32,
+    "k": np.int64, "n": np.int32, "class": np.int64, "able": np.int32, "words": np.uint8, "bits": np.uint64,
 }
 #: Marks of a posting: its shingle is a common one; its set has common ones in its prefix.
 _COMMON, _SUSPECT = 1, 2
 
 
+def _paid_bitmaps(bits: pa.Array, row: np.ndarray, set_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each entry's bitmap, and all of them; a set's is as long as its postings in a bucket pay for."""
+    raw = bits.to_pylist()
+    whole = np.array([len(b) // 8 for b in raw], dtype=np.int64)
+    paid = PAID * np.bincount(row, minlength=len(raw)) / np.maximum(np.bincount(set_, minlength=len(raw)), 1)
+    words = np.minimum(whole, 2 ** np.log2(np.maximum(paid, BITS // 64)).astype(np.int64))
+    size = words[set_]
+    starts = np.cumsum(size) - size
+    flat = np.zeros(int(size.sum()), dtype=np.uint64)
+    for i in range(len(raw)):
+        raw[i] = _folded(np.frombuffer(raw[i], dtype=np.uint64).reshape(1, -1), int(words[i]))[0]
+    for w in np.unique(size).tolist():
+        entries = np.flatnonzero(size == w)
+        sets, which = np.unique(set_[entries], return_inverse=True)
+        flat[starts[entries][:, None] + np.arange(w)] = np.stack([raw[i] for i in sets.tolist()])[which]
+    return size, flat
+
+
 def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int, with_bits: bool):
     """Postings of prefixes, packed by bucket; a common shingle's go to every cell that pairs its part with another."""
     parts_of = np.maximum(1, -(-often // cell))
@@ -262,7 +334,6 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int, wi
             k = rows.column("k").to_numpy()
             n = rows.column("n").to_numpy()
             class_ = rows.column("class").to_numpy()
-            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64)
             raw = rows.column("prefix").to_pylist()
             lengths = np.fromiter((len(p) // 8 for p in raw), dtype=np.int64, count=len(raw))
             shingle = np.frombuffer(b"".join(raw), dtype=np.uint64)
@@ -287,18 +358,27 @@ def _postings(common: np.ndarray, often: np.ndarray, buckets: int, cell: int, wi
                     row, at, shingle = (np.concatenate([v[keep], v[each]]) for v in (row, at, shingle))
                     bucket = np.concatenate([bucket[keep], buckets + (shingle[len(keep) :] >> np.uint64(2)).astype(np.int64)])
                     cells = np.concatenate([cells[keep], (np.minimum(own, other) * 30_000 + np.maximum(own, other)).astype(np.int32)])
-            order = np.lexsort((shingle, cells, bucket))
+            order = np.lexsort((shingle, row, cells, bucket))
             bucket, cells, row, at, shingle = (v[order] for v in (bucket, cells, row, at, shingle))
+            marks = (_COMMON * _member(common, shingle) + _SUSPECT * (n_common[row] > 0)).astype(np.uint8)
             new = np.ones(len(row), dtype=bool)
             new[1:] = (bucket[1:] != bucket[:-1]) | (cells[1:] != cells[:-1])
-            first = np.flatnonzero(new)
+            fresh = new.copy()
+            fresh[1:] |= row[1:] != row[:-1]
+            first, heads = np.flatnonzero(new), np.flatnonzero(fresh)
+            set_, number = row[heads], np.cumsum(fresh) - 1
             spans = list(zip(first.tolist(), [*first[1:].tolist(), len(row)]))
-            marks = (_COMMON * _member(common, shingle) + _SUSPECT * (n_common[row] > 0)).astype(np.uint8)
-            fields = {"shingle": shingle, "k": k[row], "n": n[row].astype(np.int32), "at": at, "class": class_[row]}
-            fields |= {"able": able[row], "marks": marks, "bits": bits[row] if with_bits else bits[:0]}
+            held = np.append(number[first], len(heads))
+            entry = (number - np.repeat(held[:-1], np.diff(np.append(first, len(row))))).astype(np.int32)
+            words, flat = _paid_bitmaps(rows.column("bits"), row, set_) if with_bits else (np.zeros(len(set_), np.int64), np.zeros(0, np.uint64))
+            at_word = np.append(0, np.cumsum(words))[held]
+            of_posting = {"shingle": shingle, "at": at, "marks": marks, "entry": entry}
+            of_entry = {"k": k[set_], "n": n[set_].astype(np.int32), "class": class_[set_], "able": able[set_], "words": words.astype(np.uint8)}
             yield batch(
                 {"bucket": pa.array(bucket[first]), "cell": pa.array(cells[first])}
-                | {c: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for c, v in fields.items()}
+                | {c: pa.array([v[a:b].tobytes() for a, b in spans], pa.binary()) for c, v in of_posting.items()}
+                | {c: pa.array([v[a:b].tobytes() for a, b in zip(held, held[1:])], pa.binary()) for c, v in of_entry.items()}
+                | {"bits": pa.array([flat[a:b].tobytes() for a, b in zip(at_word, at_word[1:])], pa.binary())}
             )
 
     return run
@@ -324,8 +404,7 @@ def _pairs_in_range(n, at, class_, able, bits, left, right, percent):
     good = np.zeros(len(left), dtype=bool)
     for a in range(0, len(left), AT_ONCE):
         x, y = left[a : a + AT_ONCE], right[a : a + AT_ONCE]
-        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-        good[a : a + AT_ONCE] = n[x] + n[y] - apart >= 2 * needed[a : a + AT_ONCE]
+        good[a : a + AT_ONCE] = n[x] + n[y] - bits.apart(x, y) >= 2 * needed[a : a + AT_ONCE]
     return left[good], right[good]
 
 
@@ -378,15 +457,23 @@ def _merged_pairs(pairs: np.ndarray) -> np.ndarray:
     return merged
 
 
+def _unpacked(parts: list[dict], of_posting: tuple[str, ...], of_entry: tuple[str, ...]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Columns of all postings of a bucket, and the entry of each."""
+    before = np.cumsum([0, *(len(p["k"]) for p in parts)])
+    entry = np.concatenate([p["entry"] + b for p, b in zip(parts, before)])
+    out = {c: np.concatenate([p[c] for p in parts]) for c in of_posting}
+    return out | {c: np.concatenate([p[c] for p in parts])[entry] for c in of_entry}, entry
+
+
 def _probe(percent: int):
     """Packed postings, sorted by bucket and cell -> candidate pairs of each, with how often they meet."""
 
     def of_bucket(parts: list[dict]) -> Iterator[pa.RecordBatch]:
-        whole = {c: np.concatenate([p[c] for p in parts]) for c in ("shingle", "k", "n", "at", "class", "able")}
+        whole, entry = _unpacked(parts, ("shingle", "at"), ("k", "n", "class", "able"))
         # In a list: by class, then size and position, so that blocks are alike.
         order = np.lexsort((whole["at"], whole["n"], whole["class"], whole["shingle"]))
         shingle, k, n, at, class_, able = (whole[c][order] for c in ("shingle", "k", "n", "at", "class", "able"))
-        bits = np.concatenate([p["bits"] for p in parts]).reshape(-1, BITS // 64)[order]
+        bits = Bitmaps(np.concatenate([p["bits"] for p in parts]), np.concatenate([p["words"] for p in parts]), entry[order])
         n, at = n.astype(np.int64), at.astype(np.int64)
         bounds = np.append(np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])), len(shingle))
         long_ = np.flatnonzero(np.diff(bounds) > 4 * BLOCK)
@@ -398,7 +485,7 @@ def _probe(percent: int):
             if len(begins):
                 packed = np.concatenate([np.arange(b, e) for b, e in zip(begins, ends)]) if len(long_) else np.arange(len(shingle))
                 inner = np.append(0, np.cumsum(ends - begins))
-                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], able[packed], bits[packed], percent):
+                for x, y in _short_lists(inner, n[packed], at[packed], class_[packed], able[packed], bits.take(packed), percent):
                     yield packed[x], packed[y]
             for i in long_.tolist():
                 yield from _long_list(int(bounds[i]), int(bounds[i + 1]), n, at, class_, able, bits, percent)
@@ -430,9 +517,8 @@ def _probe(percent: int):
 
 def _meetings(parts: list[dict]) -> Iterator[pa.RecordBatch]:
     """How many of a suspect set's shingles in this bucket, common ones aside, another set has too."""
-    shingle = np.concatenate([p["shingle"] for p in parts])
-    k = np.concatenate([p["k"] for p in parts])
-    marks = np.concatenate([p["marks"] for p in parts])
+    whole, _ = _unpacked(parts, ("shingle", "marks"), ("k",))
+    shingle, k, marks = whole["shingle"], whole["k"], whole["marks"]
     _, number, times = np.unique(shingle, return_inverse=True, return_counts=True)
     keys, n = np.unique(k[(marks == _SUSPECT) & (times[number] > 1)], return_counts=True)
     if len(keys):
