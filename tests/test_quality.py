@@ -260,3 +260,20 @@ def test_answers_and_misses_without_listing_them(spark, truth):
     plan = listed._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Generate", "NestedLoop", "CartesianProduct", "collect_set"))
     assert metrics.expected_and_answered(truth, predictions.limit(0)).count() == 0
+
+
+def test_replies_are_parsed_once_for_both_saved_variants(spark, sf_dir, monkeypatch):
+    """Every value of both reports comes from one written table of the replies' health."""
+    from threadsift import registry
+
+    registry.load_all()
+    from threadsift.registry import documents as queries
+    from threadsift.registry.inputs import Inputs
+
+    asked = []
+    health = queries.health
+    monkeypatch.setattr(queries, "health", lambda t: asked.append(1) or health(t))
+    for name in (queries.saved_variants, queries.saved_results):
+        asked.clear()
+        name(Inputs(spark, sf_dir))
+        assert len(asked) == 1

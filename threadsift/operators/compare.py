@@ -99,8 +99,8 @@ def verdict(comparison: DataFrame, regressed: DataFrame) -> DataFrame:
     def metric(name: str, side: str) -> Column:
         return F.max(F.when(F.col("metric") == name, F.col(side)))
 
-    def regressed_count(kind: str) -> Column:
-        return regressed.agg(F.count_if(F.col("kind") == kind).alias("n")).scalar()
+    kinds = ("missed_deal", "missed_scam")
+    regressed_count = regressed.agg(F.struct(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]).alias("n")).scalar()
 
     checks = comparison.agg(
         (metric("recall", "b") >= fixed.MIN_RECALL).alias("b_recall_above_95"),
@@ -110,8 +110,8 @@ def verdict(comparison: DataFrame, regressed: DataFrame) -> DataFrame:
         (metric("category_accuracy", "b") >= metric("category_accuracy", "a")).alias("b_category_no_regression"),
     ).withColumns(
         {
-            "no_new_missed_deals": regressed_count("missed_deal") == 0,
-            "b_scam_no_regression": regressed_count("missed_scam") == 0,
+            "no_new_missed_deals": regressed_count["missed_deal"] == 0,
+            "b_scam_no_regression": regressed_count["missed_scam"] == 0,
         }
     )
     passed = None
