@@ -141,3 +141,29 @@ def test_second_hash_does_not_follow_from_the_first():
     first = [hashing.Rolling(v).windows(8) for v in (x, y)]
     second = [hashing.Rolling.second(v).windows(8) for v in (x, y)]
     assert first[0] == first[1] and second[0] != second[1]
+
+
+def test_texts_come_to_a_worker_in_small_batches(documents, monkeypatch):
+    from threadsift.llm import repeats, suffix_dedup
+    from threadsift.llm.common import keyed
+
+    made = repeats._runs
+
+    def runs(kind, keys_only):
+        inner = made(kind, keys_only)
+
+        def run(batches):
+            def seen():
+                for rows in batches:
+                    assert rows.num_rows <= 2000
+                    yield rows
+
+            yield from inner(seen())
+
+        return run
+
+    monkeypatch.setattr(repeats, "_runs", runs)
+    text = "one string that is long enough to be found again because it has more than a hundred bytes, which is what counts"
+    frame = documents([(i, text if i % 1000 == 0 else "short") for i in range(5000)]).coalesce(1)
+    spans = suffix_dedup.repeated_spans(keyed(frame))
+    assert sorted({r.k for r in spans.collect()}) == [1000, 2000, 3000, 4000]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -71,6 +72,16 @@ def kept(name: tuple, make: Callable[[], object]):
 def forget() -> None:
     """Give back the memory of tasks that ran in this worker before."""
     _kept.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task counts towards its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not every C library has it
+        pass
 
 
 def discard(rows: DataFrame) -> None:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadsift.llm.common import batch, discard, forget, ints, keyed, longs, materialize, small_batches
+from threadsift.llm.common import batch, discard, forget, give_back, ints, keyed, longs, materialize, small_batches
 from threadsift.llm.components import components
 from threadsift.llm.hashing import blocks, mix, shingles, words_of
 
@@ -540,6 +540,8 @@ def _whole_buckets(work: Callable) -> Callable[[Iterator[pa.RecordBatch]], Itera
                 held.append({c: np.frombuffer(rows.column(c)[i].as_buffer(), dtype=t) for c, t in _TYPES.items()})
         if held:
             yield from work(held)
+        held = []
+        give_back()
 
     return run
 
@@ -633,7 +635,8 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def similar(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
-    found = classes(keyed(documents), percent)
+    with small_batches(documents.sparkSession, 2000, "8m"):
+        found = classes(keyed(documents), percent)
     several = found.groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     return found.join(several.select("class", "least"), "class", "left").select(
         F.col("doc_id").cast("long"), "n_shingles", F.coalesce("least", "doc_id").cast("long").alias("component_id")
@@ -643,5 +646,6 @@ def similar(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 def representatives(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, all columns, without those that are linked to a class named by another one."""
     docs = keyed(documents)
-    gone = materialize(classes(docs, percent).filter("class <> k").select("k"))
+    with small_batches(docs.sparkSession, 2000, "8m"):
+        gone = materialize(classes(docs, percent).filter("class <> k").select("k"))
     return docs.join(gone, "k", "left_anti").select("row.*")

@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadsift.llm import hashing
-from threadsift.llm.common import batch, forget, ints, longs, materialize, small_batches
+from threadsift.llm.common import batch, forget, give_back, ints, longs, materialize, small_batches
 from threadsift.llm.windows import super_kmers
 
 #: Different strings of one minimiser beyond which its windows are grouped one by one.
 HOT = 2000
+#: Bytes of texts that are taken at once; the arrays around them take a hundred times as much.
+BLOCK_BYTES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -55,7 +57,7 @@ def _runs(kind: Symbols, keys_only: bool) -> Callable[[Iterator[pa.RecordBatch]]
         forget()
         for rows in batches:
             k = rows.column("k").to_numpy(zero_copy_only=False)
-            for block in hashing.blocks(rows.column("text")):
+            for block in hashing.blocks(rows.column("text"), BLOCK_BYTES):
                 symbols, bounds, _ = kind.of(block)
                 found = super_kmers(symbols, bounds, kind.size, kind.core)
                 if not len(found.key):
@@ -73,6 +75,7 @@ def _runs(kind: Symbols, keys_only: bool) -> Callable[[Iterator[pa.RecordBatch]]
                         "n": ints(found.count),
                     }
                 )
+        give_back()
 
     return run
 
@@ -80,12 +83,13 @@ def _runs(kind: Symbols, keys_only: bool) -> Callable[[Iterator[pa.RecordBatch]]
 def places(docs: DataFrame, kind: Symbols) -> DataFrame:
     """All super-k-mers whose minimiser occurs more than once: minimiser, string (hash), k, start, n."""
     texts = docs.select("k", "text")
-    once = texts.mapInArrow(_runs(kind, keys_only=True), "minimiser long")
-    repeated = materialize(
-        once.groupBy("minimiser").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("minimiser")
-    )
-    all_runs = texts.mapInArrow(_runs(kind, keys_only=False), "minimiser long, string long, k long, start int, n int")
-    return materialize(all_runs.join(repeated, "minimiser"))
+    with small_batches(docs.sparkSession, 2000, "8m"):
+        once = texts.mapInArrow(_runs(kind, keys_only=True), "minimiser long")
+        repeated = materialize(
+            once.groupBy("minimiser").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("minimiser")
+        )
+        all_runs = texts.mapInArrow(_runs(kind, keys_only=False), "minimiser long, string long, k long, start int, n int")
+        return materialize(all_runs.join(repeated, "minimiser"))
 
 
 def distinct_strings(found: DataFrame) -> DataFrame:
@@ -136,7 +140,7 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             at = cuts.offsets.to_numpy()
             fields = cuts.values
             f = {name: fields.field(name).to_numpy(zero_copy_only=False) for name in fields.type.names}
-            for block in hashing.blocks(rows.column("text")):
+            for block in hashing.blocks(rows.column("text"), BLOCK_BYTES):
                 symbols, bounds, words = kind.of(block)
                 lo, hi = at[block.first], at[block.first + len(block)]
                 row = np.repeat(np.arange(len(block)), np.diff(at[block.first : block.first + len(block) + 1]))
@@ -175,6 +179,7 @@ def _pack(kind: Symbols) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                         longs(window),
                         longs(window2),
                     )
+        give_back()
 
     return run
 
@@ -212,6 +217,7 @@ def _by_bucket(compare: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             held.append(rows.slice(cut))
         if held:
             yield from compare(pa.Table.from_batches(held))
+        give_back()
 
     return run
 
